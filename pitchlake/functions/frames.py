@@ -25,9 +25,9 @@ _JSON_OPTIONS = {
 
 def parse_frame(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
-    j = F.regexp_replace(c, r"'teammate':\s*True", "'teammate': true")
-    j = F.regexp_replace(j, r"'teammate':\s*False", "'teammate': false")
-    j = F.regexp_replace(j, r":\s*None(?=\s*[,}\]])", ": null")
+    j = F.replace(c, F.lit("'teammate': True"), F.lit("'teammate': true"))
+    j = F.replace(j, F.lit("'teammate': False"), F.lit("'teammate': false"))
+    j = F.replace(j, F.lit(": None"), F.lit(": null"))
     return F.from_json(j, FRAME, _JSON_OPTIONS)
 
 

@@ -85,15 +85,36 @@ def in_shot_triangle(px: Column, py: Column, sx: Column, sy: Column,
     return F.abs(whole - parts) <= F.lit(atol) + F.lit(rtol) * F.abs(parts)
 
 
+def shot_triangle_area(sx: ColumnLike, sy: ColumnLike, goal_x: float = GOAL_X,
+                       goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2) -> Column:
+    """Area of the triangle shot-post-post."""
+    return triangle_area(_c(sx), _c(sy), goal_x, goal_y1, goal_x, goal_y2)
+
+
 def players_in_triangle(frame: ColumnLike, sx: ColumnLike, sy: ColumnLike,
                         goal_x: float = GOAL_X, goal_y1: float = GOAL_Y1,
-                        goal_y2: float = GOAL_Y2) -> Column:
+                        goal_y2: float = GOAL_Y2, whole: ColumnLike | None = None) -> Column:
     """Number of frame players inside the shot triangle (X10); both teams and
-    the keeper count.  Null frame -> null, empty frame -> 0."""
+    the keeper count.  Null frame -> null, empty frame -> 0.
+
+    Same test as :func:`in_shot_triangle`, arranged for the interpreted
+    lambda evaluation of higher-order functions: the player point is read
+    once, the three sub-areas are summed in one ``transform`` and compared
+    in a second pass.  Pass ``whole`` as a column (the shot's triangle area)
+    to keep it out of the per-player loop."""
     frame, sx, sy = _c(frame), _c(sx), _c(sy)
-    inside = F.filter(frame, lambda p: F.coalesce(
-        in_shot_triangle(F.get(p["location"], 0), F.get(p["location"], 1), sx, sy,
-                         goal_x, goal_y1, goal_y2), F.lit(False)))
+    whole = shot_triangle_area(sx, sy, goal_x, goal_y1, goal_y2) if whole is None else _c(whole)
+    pts = F.transform(frame, lambda p: p["location"])
+
+    def parts(v):
+        px, py = F.get(v, 0), F.get(v, 1)
+        return (triangle_area(sx, sy, goal_x, goal_y1, px, py)
+                + triangle_area(sx, sy, goal_x, goal_y2, px, py)
+                + triangle_area(px, py, goal_x, goal_y2, goal_x, goal_y1))
+
+    sums = F.transform(pts, parts)
+    inside = F.filter(sums, lambda t: F.coalesce(
+        F.abs(whole - t) <= F.lit(1e-8) + F.lit(1e-10) * F.abs(t), F.lit(False)))
     return F.when(frame.isNotNull(), F.size(inside))
 
 

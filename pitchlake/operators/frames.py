@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.frames import parse_frame
-from pitchlake.functions.geometry import players_in_triangle
+from pitchlake.functions.geometry import players_in_triangle, shot_triangle_area
 from pitchlake.schemas import GOAL_X, GOAL_Y1, GOAL_Y2
 
 
@@ -26,7 +26,13 @@ def frame_players(shots: DataFrame, id_col: str = "id", frame_col: str = "frame"
         df = df.filter(F.col("shot_type") != "Penalty")
     if frame_col not in df.columns:
         df = with_frame(df, out=frame_col)
-    return (df.select(F.col(id_col), F.inline(frame_col))
+    # inline_outer + a filter on the generated columns: with plain inline the
+    # optimizer infers ``size(frame) > 0`` below the generator and pushes it
+    # through the projection, which would parse every frame twice.
+    gen = df.select(F.col(id_col), F.inline_outer(frame_col))
+    gen = gen.filter(F.col("location").isNotNull() | F.col("player").isNotNull()
+                     | F.col("position").isNotNull() | F.col("teammate").isNotNull())
+    return (gen
               .select(F.col(id_col),
                       F.get(F.col("location"), 0).alias("x"),
                       F.get(F.col("location"), 1).alias("y"),
@@ -46,11 +52,14 @@ def players_inside_area(shots: DataFrame, missing_frame: str = "null",
     if missing_frame not in ("null", "zero", "drop"):
         raise ValueError("missing_frame must be 'null', 'zero' or 'drop'")
     df = shots if "frame" in shots.columns else with_frame(shots)
-    count = players_in_triangle("frame", "shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2)
+    df = df.withColumn("_whole", shot_triangle_area("shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2))
+    count = players_in_triangle("frame", "shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2,
+                                whole="_whole")
     value = F.when(F.col("shot_type") == "Penalty", F.lit(1)).otherwise(count)
     if missing_frame == "zero":
         value = F.coalesce(value, F.lit(0))
     df = df.withColumn("players_inside_area", value)
     if missing_frame == "drop":
         df = df.filter(F.col("players_inside_area").isNotNull())
+    df = df.drop("_whole")
     return df if keep_frame else df.drop("frame")

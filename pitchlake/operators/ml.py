@@ -6,6 +6,7 @@ importances stay DataFrames.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -76,13 +77,23 @@ def make_estimator(model_type: str = "logistic", label_col: str = "goal",
 
 
 def train(train_df: DataFrame, model_type: str = "logistic", features: list[str] | None = None,
-          label_col: str = "goal", handle_invalid: str = "skip", **kw) -> PipelineModel:
+          label_col: str = "goal", handle_invalid: str = "skip", cache: bool = True, **kw) -> PipelineModel:
     """Assembler + estimator fitted as one pipeline (eager)."""
     feats = list(FEATURES if features is None else features)
     if model_type == "mlp" and kw.get("layers") is None:
         raise ValueError("Layers must be specified for MLP model")
     est = make_estimator(model_type, label_col=label_col, **kw)
-    return Pipeline(stages=[assembler(feats, handle_invalid=handle_invalid), est]).fit(train_df)
+    pipe = Pipeline(stages=[assembler(feats, handle_invalid=handle_invalid), est])
+    if not cache:
+        return pipe.fit(train_df)
+    # Iterative estimators scan the training set once per iteration: keep the
+    # (already pruned) training columns on the executors, spilling to disk,
+    # instead of re-running the feature plan each time.
+    data = train_df.select(*dict.fromkeys(feats + [label_col])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipe.fit(data)
+    finally:
+        data.unpersist()
 
 
 def goal_probability(predictions: DataFrame, prob_col: str = "probability", out: str = "xG",
