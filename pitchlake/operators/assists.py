@@ -3,7 +3,7 @@ codes (X12) and defaults for unassisted shots (X13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.encode import pass_height_code
@@ -18,9 +18,13 @@ def assisting_passes(events: DataFrame, one_per_shot: bool = False) -> DataFrame
     cols = [c for c in PASS_COLUMNS]
     p = events.filter(F.col("pass_assisted_shot_id").isNotNull())
     if one_per_shot:
-        w = Window.partitionBy("pass_assisted_shot_id").orderBy(
-            F.desc("period"), F.desc("minute"), F.desc("second"), F.desc("id"))
-        p = p.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+        # Latest pass = max of a struct led by the clock: a plain aggregate with
+        # map-side partial results, so a shot named by many passes never
+        # gathers them in one task.
+        rest = [c for c in cols if c != "pass_assisted_shot_id"]
+        latest = F.max(F.struct("period", "minute", "second", "id", *rest)).alias("_l")
+        p = (p.groupBy("pass_assisted_shot_id").agg(latest)
+              .select("pass_assisted_shot_id", *[F.col(f"_l.{c}").alias(c) for c in rest]))
     return p.select(*cols).withColumn("pass_height", pass_height_code("pass_height"))
 
 

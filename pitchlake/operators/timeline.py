@@ -1,16 +1,18 @@
 """Cumulative expected-goals timelines.
 
-All matches are answered in one job, partitioned by (match, team); the
-published per-match driver loop with pandas merge and forward fill becomes
-a union with a generated tick grid and one window.
+All matches are answered in one job; the published per-match driver loop
+with pandas merge and forward fill becomes a union with a tick grid
+generated on the executors and one running sum that is split across tasks
+when a (match, team) group is large.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.functions.geometry import decimal_clock
+from pitchlake.operators.prefix import running_sum
 
 
 def _order(by_period: bool) -> list[str]:
@@ -23,15 +25,24 @@ def running_window(by_period: bool = False) -> Window:
 
 
 def running_total(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("cxg",),
-                  by_period: bool = False, scale: int | None = 6) -> DataFrame:
+                  by_period: bool = False, scale: int | None = 6, method: str = "prefix") -> DataFrame:
     """Running sum of each ``xg_cols`` per (match, team) in game-clock order
-    (W1; several columns share one sort, W3).  ``id`` breaks ties, D6."""
-    w = running_window(by_period)
-    cols = {}
-    for src, dst in zip(xg_cols, out_cols):
-        s = F.sum(src).over(w)
-        cols[dst] = F.round(s, scale) if scale is not None else s
-    return shots.withColumns(cols)
+    (W1; several columns share one pass, W3).  ``id`` breaks ties, D6.
+
+    ``method='prefix'`` (default) splits a large (match, team) group over many
+    tasks (:func:`running_sum`); ``'window'`` is the single-window form, one
+    task per group."""
+    keys, order = ["match_id", "team"], _order(by_period)
+    if method == "window":
+        w = running_window(by_period)
+        out = shots.withColumns({dst: F.sum(src).over(w) for src, dst in zip(xg_cols, out_cols)})
+    elif method == "prefix":
+        out = running_sum(shots, keys, order, list(xg_cols), list(out_cols))
+    else:
+        raise ValueError("method must be 'prefix' or 'window'")
+    if scale is not None:
+        out = out.withColumns({c: F.round(c, scale) for c in out_cols})
+    return out
 
 
 def _grid_ends(shots: DataFrame, pad: int) -> DataFrame:
@@ -52,34 +63,33 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     before the first shot (W2, J10); ``goal`` is 0 on empty ticks (X22);
     ``time`` is the decimal clock (X19).
 
-    One shuffle by (match, team): the grid is generated on the executors
-    with ``sequence`` from a per-(match, team) table and unioned with the shot
-    rows, so the running sum, the forward fill and the tick replacement all
-    happen in a single window sort.
+    The grid is generated on the executors with ``sequence`` from one row per
+    (match, team); ticks that hold shots are removed with an anti join against
+    the distinct shot ticks; grid and shots are then unioned and a single
+    running sum (split across tasks for large groups) gives both the shot
+    totals and the forward fill.
     """
     shots = shots.filter(F.col("team").isNotNull())
-    keep = ["match_id", "team", "minute", "second", "id", goal_col, *xg_cols]
-    s = shots.select(*keep).withColumn("_kind", F.lit(0))
+    keys = ["match_id", "team"]
+    tick = ["match_id", "team", "minute", "second"]
+    s = shots.select(*tick, "id", goal_col, *xg_cols).withColumn("_kind", F.lit(0))
     ends = _grid_ends(shots, pad)
     ticks = F.sequence(F.lit(0), (F.col("_last") + 1) * 60 - 1)
-    grid = (ends.select("match_id", "team", F.explode(ticks).alias("_t"))
-                .select("match_id", "team",
+    grid = (ends.select(*keys, F.explode(ticks).alias("_t"))
+                .select(*keys,
                         (F.col("_t") / 60).cast("int").alias("minute"),
                         (F.col("_t") % 60).cast("int").alias("second"),
                         F.lit(1).alias("_kind")))
+    grid = grid.join(s.select(*tick).distinct(), tick, "left_anti")
     u = s.unionByName(grid, allowMissingColumns=True)
-    w_order = Window.partitionBy("match_id", "team").orderBy("minute", "second", "_kind", "id")
-    w_run = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # grid rows carry null values, so the running sum over the union is the
+    # shot total on shot rows and the forward-filled total on empty ticks
+    u = running_sum(u, keys, ["minute", "second", "_kind", "id"], list(xg_cols), list(out_cols))
     cols = {}
-    for src, dst in zip(xg_cols, out_cols):
-        run = F.sum(F.when(F.col("_kind") == 0, F.col(src))).over(w_run)
-        v = F.coalesce(run, F.lit(0.0))
+    for dst in out_cols:
+        v = F.coalesce(F.col(dst), F.lit(0.0))
         cols[dst] = F.round(v, scale) if scale is not None else v
-    same_tick_shot = ((F.lag("_kind").over(w_order) == 0)
-                      & (F.lag("minute").over(w_order) == F.col("minute"))
-                      & (F.lag("second").over(w_order) == F.col("second")))
-    cols["_drop"] = (F.col("_kind") == 1) & F.coalesce(same_tick_shot, F.lit(False))
-    out = u.withColumns(cols).filter(~F.col("_drop"))
+    out = u.withColumns(cols)
     return out.select("match_id", "team", "minute", "second", "id", *xg_cols,
                       F.coalesce(F.col(goal_col), F.lit(0)).cast("int").alias(goal_col),
                       *out_cols, decimal_clock().alias("time"))
@@ -103,19 +113,3 @@ def with_match_clock(df: DataFrame, offset: int = 100, out: str = "match_minute"
     from pitchlake.functions.geometry import match_clock
 
     return df.withColumn(out, match_clock("period", "minute", offset))
-
-
-def step_intervals(shots: DataFrame, xg_col: str = "shot_statsbomb_xg") -> DataFrame:
-    """Sparse form of the timeline: one row per shot with the clock interval
-    [this shot, next shot) over which the running total holds.  Same
-    information as the dense grid at a fraction of the rows."""
-    w = running_window()
-    w_next = Window.partitionBy("match_id", "team").orderBy("minute", "second", "id")
-    t = F.col("minute") * 60 + F.col("second")
-    return shots.select("match_id", "team", "minute", "second", "id",
-                        F.round(F.sum(xg_col).over(w), 6).alias("cxg"),
-                        t.alias("from_tick"), F.lead(t).over(w_next).alias("to_tick"))
-
-
-def clock_column(minute: str = "minute", second: str = "second") -> Column:
-    return decimal_clock(minute, second)

@@ -317,8 +317,11 @@ def attach_match_q(spark, sf):
 SELECT DISTINCT match_id, team, player_id, player AS player_name FROM b""")
 def lineup_flatten(spark, sf):
     ev = _events(spark, sf, frames=False)
+    # distinct first: a team sheet is a few dozen players however many events
+    # a match has, so the collected arrays stay small
     per_team = (ev.select("match_id", "team", F.struct("player_id", F.col("player").alias("player_name")).alias("p"))
-                  .groupBy("match_id", "team").agg(F.array_distinct(F.collect_list("p")).alias("players")))
+                  .distinct()
+                  .groupBy("match_id", "team").agg(F.collect_list("p").alias("players")))
     lineups = per_team.groupBy("match_id").agg(
         F.map_from_entries(F.collect_list(F.struct("team", "players"))).alias("teams"))
     return readers.flatten_lineups(lineups)
