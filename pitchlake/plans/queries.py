@@ -373,6 +373,29 @@ def csv_round_trip(spark, sf):
                                    F.coalesce(F.size("frame"), F.lit(0)).cast("int").alias("frame_players"))
 
 
+# ------------------------------------------------------------------ streaming ingest
+
+@register("stream_ingest", binding_ctes() + """
+SELECT competition, season, count(*) AS events, CAST(count(*) FILTER (WHERE type='Shot') AS BIGINT) AS shots,
+  count(DISTINCT match_id) AS matches
+FROM b GROUP BY competition, season""")
+def stream_ingest(spark, sf):
+    """Land the events as several files, ingest them with a file stream one
+    file per trigger, and summarise the sink table."""
+    from pitchlake.streaming import run_ingest
+
+    ev = _events(spark, sf, frames=False)
+    base = scratch_dir(spark, "stream")
+    landed = f"{base}/landed"
+    ev.drop("competition", "season").repartition(5, "match_id").write.parquet(landed)
+    matches = ev.select("match_id", "competition", "season").distinct()
+    schema = spark.read.parquet(landed).schema
+    out = run_ingest(spark, landed, f"{base}/sink", f"{base}/checkpoint", schema, matches=matches)
+    return out.groupBy("competition", "season").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("type") == "Shot").cast("bigint").alias("shots"),
+        F.countDistinct("match_id").alias("matches"))
+
+
 # ------------------------------------------------------------------ V7, A4-A6
 
 def _gxg_sql(keys: str) -> str:
