@@ -33,21 +33,12 @@ def parse_frame(text: Column | str) -> Column:
 
 def frame_text(players: Column) -> Column:
     """Inverse of :func:`parse_frame` for an ``array<struct>`` built with the
-    frame schema: renders the landed text form (used by tests and the test
-    binding; real frames arrive as text)."""
-    def one(p):
-        def num(v):
-            return F.when(v == F.floor(v), v.cast("long").cast("string")).otherwise(v.cast("string"))
-        name = p["player"]["name"]
-        quoted = F.when(F.instr(name, "'") > 0,
-                        F.concat(F.lit('"'), name, F.lit('"'))) \
-                  .otherwise(F.concat(F.lit("'"), name, F.lit("'")))
-        return F.concat(
-            F.lit("{'location': ["), num(F.get(p["location"], 0)), F.lit(", "), num(F.get(p["location"], 1)),
-            F.lit("], 'player': {'id': "), p["player"]["id"].cast("string"),
-            F.lit(", 'name': "), quoted,
-            F.lit("}, 'position': {'id': "), p["position"]["id"].cast("string"),
-            F.lit(", 'name': '"), p["position"]["name"],
-            F.lit("'}, 'teammate': "), F.when(p["teammate"], F.lit("True")).otherwise(F.lit("False")),
-            F.lit("}"))
-    return F.concat(F.lit("["), F.array_join(F.transform(players, one), ", "), F.lit("]"))
+    frame schema: renders the landed text form (single-quoted keys, Python
+    booleans) from ``to_json`` with literal replacements, so no per-player
+    lambda runs.  Used by the test binding; real frames arrive as text."""
+    t = F.to_json(players)
+    for key in ("location", "player", "position", "teammate", "id", "name"):
+        t = F.replace(t, F.lit(f'"{key}":'), F.lit(f"'{key}': "))
+    t = F.replace(t, F.lit("'teammate': true"), F.lit("'teammate': True"))
+    t = F.replace(t, F.lit("'teammate': false"), F.lit("'teammate': False"))
+    return F.replace(t, F.lit("},{"), F.lit("}, {"))
