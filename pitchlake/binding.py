@@ -133,7 +133,9 @@ def _frame_players() -> Column:
 
 def events_view(spark: SparkSession, sf_dir: str, with_frames: bool = True) -> DataFrame:
     """Bound football events of one test scale (reads ``events.parquet``)."""
-    return bind_events(spark.read.parquet(f"{sf_dir}/events.parquet"), with_frames=with_frames)
+    from pitchlake.sources.readers import spread
+
+    return bind_events(spread(spark.read.parquet(f"{sf_dir}/events.parquet")), with_frames=with_frames)
 
 
 def oracle_with(sql_body: str, frames: bool = False) -> str:

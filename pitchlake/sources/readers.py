@@ -65,6 +65,18 @@ def read_table(spark: SparkSession, path, fmt: str = "parquet", schema: T.Struct
     return r.format(fmt).load(path)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` (default: the cluster's
+    parallelism) when the scan gives fewer splits than that, e.g. one small
+    file with a single row group.  A large table already has more splits
+    than cores and is returned unchanged, so this never adds a shuffle at
+    scale.  Counting splits plans the scan but runs no job."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
 def split_rejects(df: DataFrame, corrupt_col: str = "_corrupt_record"):
     """(good rows, rejected rows) of a permissive read (S8).  The frame is
     cached first: Spark refuses queries that touch only the corrupt column
