@@ -9,10 +9,11 @@ table with one row per (partition, group) pair.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.session import ensure_checkpoint_dir
+
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                 outs: list[str], partitions: int | None = None) -> DataFrame:
@@ -23,12 +24,14 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], values: list[s
     n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The partition id must be the same in both branches below (local sums
     # and piece totals).  Two separate range shuffles would each sample their
-    # own bounds, so the partitioned rows are persisted once and both
-    # branches read them.  A lost block is recomputed from the same shuffle
-    # dependency (same bounds), so the ids stay stable.
+    # own bounds, so the partitioned rows become one checkpointed dataset in
+    # the shared checkpoint folder: both branches read the same shuffle, and
+    # after the first job the rows come from reliable storage, so a lost
+    # executor cannot change an id.
+    ensure_checkpoint_dir(df.sparkSession)
     r = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + order])
            .withColumn("_pid", F.spark_partition_id())
-           .persist(StorageLevel.MEMORY_AND_DISK))
+           .checkpoint(eager=False))
     w = (Window.partitionBy("_pid", *keys).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.withColumns({f"_loc{i}": F.sum(v).over(w) for i, v in enumerate(values)})

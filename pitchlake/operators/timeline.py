@@ -63,36 +63,55 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     before the first shot (W2, J10); ``goal`` is 0 on empty ticks (X22);
     ``time`` is the decimal clock (X19).
 
-    The grid is generated on the executors with ``sequence`` from one row per
-    (match, team); ticks that hold shots are removed with an anti join against
-    the distinct shot ticks; grid and shots are then unioned and a single
-    running sum (split across tasks for large groups) gives both the shot
-    totals and the forward fill.
+    The dense grid is never joined or shuffled.  Shot rows get their running
+    totals (split across tasks for large groups); the shot ticks of each
+    (match, team) - at most one per second of the clock, whatever the data
+    volume - get the total through that tick and the next shot tick; the
+    empty ticks in each gap are then generated on the executors with
+    ``sequence`` and carry the total of the gap's start.
     """
     shots = shots.filter(F.col("team").isNotNull())
     keys = ["match_id", "team"]
-    tick = ["match_id", "team", "minute", "second"]
-    s = shots.select(*tick, "id", goal_col, *xg_cols).withColumn("_kind", F.lit(0))
-    ends = _grid_ends(shots, pad)
-    ticks = F.sequence(F.lit(0), (F.col("_last") + 1) * 60 - 1)
-    grid = (ends.select(*keys, F.explode(ticks).alias("_t"))
-                .select(*keys,
-                        (F.col("_t") / 60).cast("int").alias("minute"),
-                        (F.col("_t") % 60).cast("int").alias("second"),
-                        F.lit(1).alias("_kind")))
-    grid = grid.join(s.select(*tick).distinct(), tick, "left_anti")
-    u = s.unionByName(grid, allowMissingColumns=True)
-    # grid rows carry null values, so the running sum over the union is the
-    # shot total on shot rows and the forward-filled total on empty ticks
-    u = running_sum(u, keys, ["minute", "second", "_kind", "id"], list(xg_cols), list(out_cols))
+    tick = F.col("minute") * 60 + F.col("second")
+    s = shots.select(*keys, "minute", "second", "id", goal_col, *xg_cols)
+    shot_rows = running_sum(s, keys, ["minute", "second", "id"], list(xg_cols), list(out_cols))
+
+    # One aggregate over the shots: xG per shot tick.  Everything after runs on
+    # at most one row per second of the clock per (match, team).
+    per_tick = s.groupBy(*keys, tick.alias("_t")).agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(xg_cols)])
+    last_min = F.max((F.col("_t") / 60).cast("int")).over(Window.partitionBy("match_id"))
+    stop = (F.when(last_min < 90, F.lit(90 + pad - 1)).otherwise(last_min + (pad - 1)) + 1) * 60
+    w = Window.partitionBy(*keys).orderBy("_t")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = per_tick.select(
+        *keys, "_t",
+        F.coalesce(F.lead("_t").over(w), stop).alias("_next"),
+        F.lag("_t").over(w).isNull().alias("_first"),
+        *[F.sum(f"_s{i}").over(upto).alias(f"_c{i}") for i in range(len(xg_cols))])
+    # gaps: after each shot tick up to the next one (its running total), and
+    # before the first shot tick of the group (total 0)
+    gap = F.struct(F.col("_t").alias("a"), F.col("_next").alias("b"),
+                   *[F.col(f"_c{i}").alias(f"c{i}") for i in range(len(xg_cols))])
+    head = F.struct(F.lit(-1).alias("a"), F.col("_t").alias("b"),
+                    *[F.lit(None).cast("double").alias(f"c{i}") for i in range(len(xg_cols))])
+    both = F.when(F.col("_first"), F.array(head, gap)).otherwise(F.array(gap))
+    gaps = steps.select(*keys, F.explode(both).alias("g")).filter(F.col("g.b") > F.col("g.a") + 1)
+    # Each gap expands to up to thousands of ticks.  Its input is small, so
+    # adaptive execution would pack it into very few partitions; spread it
+    # over the shuffle partitions first so the expansion runs in parallel.
+    gaps = gaps.repartition(int(shots.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "g.a")
+    gap_rows = gaps.select(*keys, *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
+                           F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
+    grid = gap_rows.select(*keys, (F.col("_g") / 60).cast("int").alias("minute"),
+                           (F.col("_g") % 60).cast("int").alias("second"), *out_cols)
+    u = shot_rows.unionByName(grid, allowMissingColumns=True)
     cols = {}
     for dst in out_cols:
         v = F.coalesce(F.col(dst), F.lit(0.0))
         cols[dst] = F.round(v, scale) if scale is not None else v
-    out = u.withColumns(cols)
-    return out.select("match_id", "team", "minute", "second", "id", *xg_cols,
-                      F.coalesce(F.col(goal_col), F.lit(0)).cast("int").alias(goal_col),
-                      *out_cols, decimal_clock().alias("time"))
+    return u.select("match_id", "team", "minute", "second", "id", *xg_cols,
+                    F.coalesce(F.col(goal_col), F.lit(0)).cast("int").alias(goal_col),
+                    *[cols[c].alias(c) for c in out_cols], decimal_clock().alias("time"))
 
 
 def stoppage_time(events: DataFrame, period: int = 1, regular_end: int = 45) -> DataFrame:
