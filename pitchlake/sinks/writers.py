@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.sources.readers import CSV_OPTIONS
 
@@ -31,7 +32,8 @@ def write_split(df: DataFrame, path: str, key: str = "competition", fmt: str = "
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """CSV with header and doubled-quote escaping (K1, K2).  Vector columns
     cannot go to CSV and are rejected."""
-    bad = [f.name for f in df.schema.fields if f.dataType.typeName() in ("vector", "udt", "array", "map", "struct")]
+    bad = [f.name for f in df.schema.fields
+           if isinstance(f.dataType, (T.UserDefinedType, T.ArrayType, T.MapType, T.StructType))]
     if bad:
         raise ValueError(f"columns not representable in CSV: {bad}")
     df.write.mode(mode).options(**CSV_OPTIONS).option("sep", sep).csv(path)
@@ -59,7 +61,7 @@ def materialise(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
 
 def drop_vectors(df: DataFrame) -> DataFrame:
     """Prediction table without ML vector columns, for CSV (K7)."""
-    keep = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("vector", "udt")]
+    keep = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.UserDefinedType)]
     return df.select(*keep)
 
 
