@@ -10,125 +10,87 @@ the equivalent relation ``FRAME_SQL``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.functions.frames import frame_text
 from pitchlake.schemas import EVENT_SCHEMA
 
-BINDING_SQL = """SELECT event_id AS id, CAST(floor(event_id/200e0) AS BIGINT) AS match_id,
-  concat('comp', CAST(floor(event_id/200e0)%5 AS INT)) AS competition,
-  CASE WHEN floor(event_id/200e0)%2=0 THEN '2014/2015' ELSE '2015/2016' END AS season,
-  CASE WHEN event_type IN ('purchase','error') THEN 'Shot' ELSE 'Pass' END AS type,
-  user_id AS player_id, CAST(user_id%2 AS INT) AS team_id,
-  CASE WHEN user_id%2=0 THEN 'home' ELSE 'away' END AS team,
-  concat('player', CAST(user_id AS STRING)) AS player,
-  CASE WHEN event_id%200<96 THEN 1 ELSE 2 END AS period,
-  CAST(floor(event_id%200/2e0) AS INT) AS minute, CAST(event_id*7%60 AS INT) AS second,
-  concat('[',CAST(60+event_id*7919%601/10e0 AS STRING),', ',CAST(event_id*104729%801/10e0 AS STRING),']') AS location,
-  60+event_id*7919%601/10e0 AS x, event_id*104729%801/10e0 AS y,
-  CASE WHEN event_type IN ('purchase','error') THEN concat('[120.0, ',CAST(event_id*31%801/10e0 AS STRING),CASE WHEN event_id%4=0 THEN ', 1.5]' ELSE ']' END) END AS shot_end_location,
-  CASE WHEN event_type IN ('purchase','error') THEN CASE event_id%23 WHEN 0 THEN 'Penalty' WHEN 1 THEN 'Free Kick' ELSE 'Open Play' END END AS shot_type,
-  CASE WHEN event_type IN ('purchase','error') THEN CASE (event_id*11+user_id)%7 WHEN 0 THEN 'Head' WHEN 1 THEN 'Left Foot' WHEN 2 THEN 'Left Foot' ELSE 'Right Foot' END END AS shot_body_part,
-  CASE WHEN event_type IN ('purchase','error') THEN NULL ELSE CASE (event_id*13+user_id)%5 WHEN 0 THEN 'Left Foot' WHEN 1 THEN 'Other' ELSE 'Right Foot' END END AS pass_body_part,
-  CASE WHEN event_type IN ('purchase','error') THEN CASE WHEN value>20 THEN 'Goal' ELSE 'Saved' END END AS shot_outcome,
-  CASE WHEN event_type IN ('purchase','error') THEN CASE event_id%8 WHEN 0 THEN 'Volley' WHEN 1 THEN 'Lob' ELSE 'Normal' END END AS shot_technique,
-  CASE event_id%10 WHEN 0 THEN 'Other' WHEN 1 THEN 'From Corner' WHEN 2 THEN 'From Throw In' ELSE 'Regular Play' END AS play_pattern,
-  CASE WHEN event_id%6=0 THEN true END AS under_pressure, CASE WHEN event_id%9=0 THEN true END AS shot_one_on_one,
-  CASE WHEN event_type IN ('purchase','error') THEN event_id*37%100/100e0 END AS shot_statsbomb_xg,
-  CASE WHEN event_type NOT IN ('purchase','error') THEN CASE event_id%5 WHEN 0 THEN event_id+1 WHEN 1 THEN event_id+1 WHEN 2 THEN event_id-1 END END AS pass_assisted_shot_id,
-  CASE WHEN event_type NOT IN ('purchase','error') THEN CASE event_id%4 WHEN 0 THEN 'Ground Pass' WHEN 1 THEN 'Low Pass' WHEN 2 THEN 'High Pass' END END AS pass_height,
-  CASE WHEN event_type NOT IN ('purchase','error') THEN event_id%300/10e0 END AS pass_length,
-  CASE WHEN event_type NOT IN ('purchase','error') THEN event_id%63/10e0-3.1e0 END AS pass_angle,
-  CAST(CASE WHEN event_type IN ('purchase','error') AND event_id%23<>0 THEN event_id%12 ELSE 0 END AS INT) AS n_frame
-FROM events"""
+# (column, expression): the mapping as SQL expressions that Spark SQL and
+# DuckDB both accept.  ``bind_events`` runs it with ``selectExpr``; the oracle
+# runs the same text as ``BINDING_SQL``.
+_SHOT = "event_type IN ('purchase','error')"
+BINDING = [
+    ("id", "event_id"),
+    ("match_id", "CAST(floor(event_id/200e0) AS BIGINT)"),
+    ("competition", "concat('comp', CAST(floor(event_id/200e0)%5 AS INT))"),
+    ("season", "CASE WHEN floor(event_id/200e0)%2=0 THEN '2014/2015' ELSE '2015/2016' END"),
+    ("type", f"CASE WHEN {_SHOT} THEN 'Shot' ELSE 'Pass' END"),
+    ("player_id", "user_id"),
+    ("team_id", "CAST(user_id%2 AS INT)"),
+    ("team", "CASE WHEN user_id%2=0 THEN 'home' ELSE 'away' END"),
+    ("player", "concat('player', CAST(user_id AS STRING))"),
+    ("period", "CASE WHEN event_id%200<96 THEN 1 ELSE 2 END"),
+    ("minute", "CAST(floor(event_id%200/2e0) AS INT)"),
+    ("second", "CAST(event_id*7%60 AS INT)"),
+    ("location", "concat('[',CAST(60+event_id*7919%601/10e0 AS STRING),', ',"
+                 "CAST(event_id*104729%801/10e0 AS STRING),']')"),
+    ("x", "60+event_id*7919%601/10e0"),
+    ("y", "event_id*104729%801/10e0"),
+    ("shot_end_location", f"CASE WHEN {_SHOT} THEN concat('[120.0, ',CAST(event_id*31%801/10e0 AS STRING),"
+                          "CASE WHEN event_id%4=0 THEN ', 1.5]' ELSE ']' END) END"),
+    ("shot_type", f"CASE WHEN {_SHOT} THEN CASE event_id%23 WHEN 0 THEN 'Penalty' WHEN 1 THEN 'Free Kick' "
+                  "ELSE 'Open Play' END END"),
+    ("shot_body_part", f"CASE WHEN {_SHOT} THEN CASE (event_id*11+user_id)%7 WHEN 0 THEN 'Head' "
+                       "WHEN 1 THEN 'Left Foot' WHEN 2 THEN 'Left Foot' ELSE 'Right Foot' END END"),
+    ("pass_body_part", f"CASE WHEN {_SHOT} THEN NULL ELSE CASE (event_id*13+user_id)%5 WHEN 0 THEN 'Left Foot' "
+                       "WHEN 1 THEN 'Other' ELSE 'Right Foot' END END"),
+    ("shot_outcome", f"CASE WHEN {_SHOT} THEN CASE WHEN value>20 THEN 'Goal' ELSE 'Saved' END END"),
+    ("shot_technique", f"CASE WHEN {_SHOT} THEN CASE event_id%8 WHEN 0 THEN 'Volley' WHEN 1 THEN 'Lob' "
+                       "ELSE 'Normal' END END"),
+    ("play_pattern", "CASE event_id%10 WHEN 0 THEN 'Other' WHEN 1 THEN 'From Corner' WHEN 2 THEN 'From Throw In' "
+                     "ELSE 'Regular Play' END"),
+    ("under_pressure", "CASE WHEN event_id%6=0 THEN true END"),
+    ("shot_one_on_one", "CASE WHEN event_id%9=0 THEN true END"),
+    ("shot_statsbomb_xg", f"CASE WHEN {_SHOT} THEN event_id*37%100/100e0 END"),
+    ("pass_assisted_shot_id", f"CASE WHEN NOT {_SHOT} THEN CASE event_id%5 WHEN 0 THEN event_id+1 "
+                              "WHEN 1 THEN event_id+1 WHEN 2 THEN event_id-1 END END"),
+    ("pass_height", f"CASE WHEN NOT {_SHOT} THEN CASE event_id%4 WHEN 0 THEN 'Ground Pass' WHEN 1 THEN 'Low Pass' "
+                    "WHEN 2 THEN 'High Pass' END END"),
+    ("pass_length", f"CASE WHEN NOT {_SHOT} THEN event_id%300/10e0 END"),
+    ("pass_angle", f"CASE WHEN NOT {_SHOT} THEN event_id%63/10e0-3.1e0 END"),
+    ("n_frame", f"CAST(CASE WHEN {_SHOT} AND event_id%23<>0 THEN event_id%12 ELSE 0 END AS INT)"),
+]
+
+BINDING_SQL = "SELECT " + ",\n  ".join(f"{e} AS {n}" for n, e in BINDING) + "\nFROM events"
 
 # One row per freeze-frame player of each shot (oracle side); ``b`` is the binding.
 FRAME_SQL = ("SELECT b.id, CAST(j AS INT) AS j, 100+(b.id*31+j*17)%201/10e0 AS px, "
              "(b.id*13+j*29)%801/10e0 AS py, (b.id+j)%2=0 AS teammate "
              "FROM b, unnest(range(b.n_frame)) AS e(j)")
 
-_SHOT_TYPES = ("purchase", "error")
-_NAMES = ("O'Neil", "Kanté", "Trueman")
-
-
-def _case(key: Column, pairs: list[tuple[int, str]], default=None) -> Column:
-    expr = None
-    for k, v in pairs:
-        expr = F.when(key == k, F.lit(v)) if expr is None else expr.when(key == k, F.lit(v))
-    return expr.otherwise(F.lit(default)) if default is not None else expr
+# Frame players of a shot (Spark side), rendered to text by ``frame_text``.
+_FRAME_PLAYERS = (
+    "transform(sequence(0, n_frame - 1), j -> named_struct("
+    "'location', array(100 + (id*31 + j*17) % 201 / 10e0, (id*13 + j*29) % 801 / 10e0), "
+    "'player', named_struct('id', CAST(id*100 + j AS BIGINT), "
+    "'name', element_at(array(\"O'Neil\", 'Kanté', 'Trueman'), CAST(j % 3 + 1 AS INT))), "
+    "'position', named_struct('id', CAST(j AS INT), "
+    "'name', CASE WHEN j = 0 THEN 'Goalkeeper' ELSE 'Center Back' END), "
+    "'teammate', (id + j) % 2 = 0))")
 
 
 def bind_events(events: DataFrame, with_frames: bool = True) -> DataFrame:
     """Map ``events(event_id, ts, user_id, event_type, value, props)`` to the
-    football event columns.  Row count and partitioning are those of the
+    football event columns, plus typed nulls for the event columns the
+    mapping does not produce.  Row count and partitioning are those of the
     input: a narrow projection, no shuffle."""
-    e, u = F.col("event_id"), F.col("user_id")
-    shot = F.col("event_type").isin(*_SHOT_TYPES)
-    match = F.floor(e / 200.0)
-    x = F.lit(60) + (e * 7919 % 601) / 10.0
-    y = (e * 104729 % 801) / 10.0
-    end_y = (e * 31 % 801) / 10.0
-    cols = {
-        "id": e,
-        "match_id": match.cast("bigint"),
-        "competition": F.concat(F.lit("comp"), (match % 5).cast("int").cast("string")),
-        "season": F.when(match % 2 == 0, F.lit("2014/2015")).otherwise(F.lit("2015/2016")),
-        "type": F.when(shot, F.lit("Shot")).otherwise(F.lit("Pass")),
-        "player_id": u,
-        "team_id": (u % 2).cast("int"),
-        "team": F.when(u % 2 == 0, F.lit("home")).otherwise(F.lit("away")),
-        "player": F.concat(F.lit("player"), u.cast("string")),
-        "period": F.when(e % 200 < 96, F.lit(1)).otherwise(F.lit(2)),
-        "minute": F.floor((e % 200) / 2.0).cast("int"),
-        "second": (e * 7 % 60).cast("int"),
-        "location": F.concat(F.lit("["), x.cast("string"), F.lit(", "), y.cast("string"), F.lit("]")),
-        "x": x,
-        "y": y,
-        "shot_end_location": F.when(shot, F.concat(
-            F.lit("[120.0, "), end_y.cast("string"),
-            F.when(e % 4 == 0, F.lit(", 1.5]")).otherwise(F.lit("]")))),
-        "shot_type": F.when(shot, _case(e % 23, [(0, "Penalty"), (1, "Free Kick")], "Open Play")),
-        "shot_body_part": F.when(shot, _case((e * 11 + u) % 7, [(0, "Head"), (1, "Left Foot"),
-                                                                 (2, "Left Foot")], "Right Foot")),
-        "pass_body_part": F.when(~shot, _case((e * 13 + u) % 5, [(0, "Left Foot"), (1, "Other")],
-                                              "Right Foot")),
-        "shot_outcome": F.when(shot, F.when(F.col("value") > 20, F.lit("Goal")).otherwise(F.lit("Saved"))),
-        "shot_technique": F.when(shot, _case(e % 8, [(0, "Volley"), (1, "Lob")], "Normal")),
-        "play_pattern": _case(e % 10, [(0, "Other"), (1, "From Corner"), (2, "From Throw In")],
-                              "Regular Play"),
-        "under_pressure": F.when(e % 6 == 0, F.lit(True)),
-        "shot_one_on_one": F.when(e % 9 == 0, F.lit(True)),
-        "shot_statsbomb_xg": F.when(shot, (e * 37 % 100) / 100.0),
-        "pass_assisted_shot_id": F.when(~shot, F.when(e % 5 <= 1, e + 1).when(e % 5 == 2, e - 1)),
-        "pass_height": F.when(~shot, _case(e % 4, [(0, "Ground Pass"), (1, "Low Pass"), (2, "High Pass")])),
-        "pass_length": F.when(~shot, (e % 300) / 10.0),
-        "pass_angle": F.when(~shot, (e % 63) / 10.0 - 3.1),
-        "n_frame": F.when(shot & (e % 23 != 0), e % 12).otherwise(F.lit(0)).cast("int"),
-    }
-    df = events.select(*[c.alias(n) for n, c in cols.items()])
-    if with_frames:
-        df = df.withColumn("shot_freeze_frame", F.when(F.col("n_frame") > 0, frame_text(_frame_players())))
-    present = set(df.columns)
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields if f.name not in present]
-    return df.select("*", *missing)
-
-
-def _frame_players() -> Column:
-    i = F.col("id")
-
-    def player(j):
-        return F.struct(
-            F.array(F.lit(100) + ((i * 31 + j * 17) % 201) / 10.0, ((i * 13 + j * 29) % 801) / 10.0).alias("location"),
-            F.struct((i * 100 + j).cast("long").alias("id"),
-                     F.element_at(F.array(*[F.lit(n) for n in _NAMES]), (j % 3 + 1).cast("int")).alias("name"))
-             .alias("player"),
-            F.struct(j.cast("int").alias("id"),
-                     F.when(j == 0, F.lit("Goalkeeper")).otherwise(F.lit("Center Back")).alias("name"))
-             .alias("position"),
-            ((i + j) % 2 == 0).alias("teammate"))
-
-    return F.transform(F.sequence(F.lit(0).cast("bigint"), (F.col("n_frame") - 1).cast("bigint")), player)
+    names = {n for n, _ in BINDING}
+    missing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+               for f in EVENT_SCHEMA.fields if f.name not in names and f.name != "shot_freeze_frame"]
+    df = events.selectExpr(*[f"{e} AS {n}" for n, e in BINDING], *missing)
+    frame = frame_text(F.expr(_FRAME_PLAYERS)) if with_frames else F.lit(None).cast("string")
+    return df.withColumn("shot_freeze_frame", F.when(F.col("n_frame") > 0, frame))
 
 
 def events_view(spark: SparkSession, sf_dir: str, with_frames: bool = True) -> DataFrame:

@@ -3,21 +3,37 @@ boolean flags (X16), vendor label (X17) - one projection each."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.encode import flag, one_hot, vendor_label
 from pitchlake.schemas import BOOL_TO_INT, DUMMIES
 
 
-def create_dummies(df: DataFrame, dummies: dict | None = None, drop_source: bool = True) -> DataFrame:
+def dummy_columns(dummies: dict | None = None) -> dict[str, Column]:
+    """One-hot columns of every mapped category, plus ``header``."""
     dummies = DUMMIES if dummies is None else dummies
+    cols = {name: one_hot(source, value) for source, mapping in dummies.items() for value, name in mapping.items()}
+    cols["header"] = one_hot("shot_body_part", "Head")
+    return cols
+
+
+def flag_columns(columns: list[str], penalty_forces_one_on_one: bool = True) -> dict[str, Column]:
+    """Nullable booleans as 0/1 (X16); ``goal`` comes from the outcome and a
+    penalty counts as one-on-one."""
     cols = {}
-    for source, mapping in dummies.items():
-        for value, name in mapping.items():
-            cols[name] = one_hot(source, value)
+    for c in columns:
+        src = F.col("shot_outcome") == "Goal" if c == "goal" else F.col(c)
+        cols[c] = flag(src)
+    if penalty_forces_one_on_one and "shot_one_on_one" in cols:
+        cols["shot_one_on_one"] = F.when(F.col("shot_type") == "Penalty", 1).otherwise(cols["shot_one_on_one"])
+    return cols
+
+
+def create_dummies(df: DataFrame, dummies: dict | None = None, drop_source: bool = True) -> DataFrame:
+    dummies = DUMMIES if dummies is None else dummies
+    cols = dummy_columns(dummies)
     cols["goal"] = F.col("shot_outcome") == "Goal"
-    cols["header"] = one_hot("shot_body_part", "Head")
     out = df.withColumns(cols)
     if drop_source:
         out = out.drop(*dummies.keys(), "shot_body_part")

@@ -51,15 +51,17 @@ def players_inside_area(shots: DataFrame, missing_frame: str = "null",
     removed (``'drop'``)."""
     if missing_frame not in ("null", "zero", "drop"):
         raise ValueError("missing_frame must be 'null', 'zero' or 'drop'")
-    df = shots if "frame" in shots.columns else with_frame(shots)
-    df = df.withColumn("_whole", shot_triangle_area("shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2))
+    parsed = {} if "frame" in shots.columns else {"frame": parse_frame("shot_freeze_frame")}
+    parsed["_whole"] = shot_triangle_area("shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2)
+    df = shots.withColumns(parsed)
     count = players_in_triangle("frame", "shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2,
                                 whole="_whole")
     value = F.when(F.col("shot_type") == "Penalty", F.lit(1)).otherwise(count)
     if missing_frame == "zero":
         value = F.coalesce(value, F.lit(0))
-    df = df.withColumn("players_inside_area", value)
+    drop = {"_whole"} | (set() if keep_frame else {"frame"})
+    df = df.select(*[c for c in df.columns if c not in drop and c != "players_inside_area"],
+                   value.alias("players_inside_area"))
     if missing_frame == "drop":
         df = df.filter(F.col("players_inside_area").isNotNull())
-    df = df.drop("_whole")
-    return df if keep_frame else df.drop("frame")
+    return df

@@ -4,7 +4,10 @@ columns (then ``team_id``).
 One lazy plan, no action: season filter, shot-or-assist filter and column
 pruning reach the scan; two shuffles at most (the foot aggregate, which
 adaptive execution broadcasts when small, and the assist join); no Python
-worker anywhere in the plan.
+worker anywhere in the plan.  The row-level features are gathered into as
+few projections as possible (shot point and frame count before the joins,
+everything else in one final projection), which keeps both the plan and its
+construction small.
 """
 
 from __future__ import annotations
@@ -13,12 +16,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.operators.assists import assisting_passes, attach_assist
-from pitchlake.operators.encode import bool_to_int, create_dummies, with_vendor_label
+from pitchlake.functions.encode import flag, used_preferred_foot, vendor_label
+from pitchlake.operators.assists import assisting_passes
+from pitchlake.operators.encode import dummy_columns, flag_columns
 from pitchlake.operators.frames import players_inside_area
-from pitchlake.operators.players import attach_preferred_foot, preferred_foot_table
-from pitchlake.operators.spatial import spatial
-from pitchlake.schemas import EVENTS, GOAL_X, GOAL_Y1, GOAL_Y2, VARIABLES
+from pitchlake.operators.players import preferred_foot_table
+from pitchlake.operators.spatial import geometry_columns, point_columns
+from pitchlake.schemas import (BOOLEAN_INPUTS, EVENTS, GOAL_X, GOAL_Y1, GOAL_Y2, PASS_ANGLE_MISSING,
+                               PASS_COLUMNS, PASS_HEIGHT_MISSING, PASS_LENGTH_MISSING, VARIABLES)
 
 
 def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
@@ -29,6 +34,25 @@ def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
     return df.select(*keep)
 
 
+def _feature_columns(geometry: dict) -> dict:
+    """Every output column that is a per-row expression of the joined shot."""
+    pass_flags = [c for c in PASS_COLUMNS if c not in ("pass_assisted_shot_id", "pass_height",
+                                                        "pass_length", "pass_angle")]
+    shot_flags = [c for c in BOOLEAN_INPUTS if c not in pass_flags]
+    cols = dict(geometry)
+    cols["preferred_foot_shot"] = flag(used_preferred_foot("preferred_foot", "shot_body_part"))
+    cols.update(dummy_columns())
+    cols.update(flag_columns(shot_flags + ["goal"] + pass_flags))
+    cols.update({
+        "assisted": F.when(F.col("pass_assisted_shot_id").isNotNull(), 1).otherwise(0),
+        "pass_height": F.coalesce(F.col("pass_height"), F.lit(PASS_HEIGHT_MISSING)),
+        "pass_angle": F.coalesce(F.col("pass_angle"), F.lit(PASS_ANGLE_MISSING)),
+        "pass_length": F.coalesce(F.col("pass_length"), F.lit(PASS_LENGTH_MISSING)),
+        "sb_prediction": vendor_label("shot_statsbomb_xg"),
+    })
+    return cols
+
+
 def shot_features(events: DataFrame, season: str | None = None, *, usage: str = "filtered",
                   one_per_shot: bool = False, missing_frame: str = "null",
                   goal_x: float = GOAL_X, goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2,
@@ -50,17 +74,15 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
     feet = preferred_foot_table(usage_rows)
     passes = assisting_passes(ev, one_per_shot=one_per_shot)
 
-    shots = ev.filter(F.col("type") == "Shot")
-    shots = spatial(shots, goal_x, goal_y1, goal_y2)
-    shots = attach_preferred_foot(shots, feet)
+    # shot rows: parsed point, then the frame count (frames never leave their row)
+    shots = ev.filter(F.col("type") == "Shot").drop(*PASS_COLUMNS).withColumns(point_columns())
     shots = players_inside_area(shots, missing_frame, goal_x, goal_y1, goal_y2)
-    shots = attach_assist(shots, passes)
-    shots = create_dummies(shots)
-    shots = bool_to_int(shots)
-    shots = with_vendor_label(shots)
-    cols = list(VARIABLES if variables is None else variables)
-    cols += [c for c in extra if c in shots.columns and c not in cols]
-    out = shots.select(*cols)
+    joined = (shots.join(feet, "player_id", "left")
+                   .join(passes, F.col("id") == passes["pass_assisted_shot_id"], "left"))
+    cols = _feature_columns(geometry_columns(goal_x, goal_y1, goal_y2))
+    wanted = list(VARIABLES if variables is None else variables)
+    wanted += [c for c in extra if c in joined.columns and c not in wanted]
+    out = joined.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in wanted])
     if persist:
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
     return out
