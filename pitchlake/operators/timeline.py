@@ -45,15 +45,6 @@ def running_total(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("c
     return out
 
 
-def _grid_ends(shots: DataFrame, pad: int) -> DataFrame:
-    """(match, team, last grid minute).  The grid runs to minute 90+pad-1
-    when the match's last action is before 90, else to last + pad - 1."""
-    per_team = shots.groupBy("match_id", "team").agg(F.max("minute").alias("_tmax"))
-    mmax = F.max("_tmax").over(Window.partitionBy("match_id"))
-    last = F.when(mmax < 90, F.lit(90 + pad - 1)).otherwise(mmax + (pad - 1))
-    return per_team.select("match_id", "team", last.alias("_last"))
-
-
 def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("cxg",),
                        goal_col: str = "goal", pad: int = 1, scale: int | None = 6) -> DataFrame:
     """Per (match, team), one row per second of the game clock from 0:00 to

@@ -57,12 +57,13 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
                   one_per_shot: bool = False, missing_frame: str = "null",
                   goal_x: float = GOAL_X, goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2,
                   variables: list[str] | None = None, extra: tuple[str, ...] = ("team_id",),
-                  persist: bool = False) -> DataFrame:
+                  keep_frame: bool = False, persist: bool = False) -> DataFrame:
     """The full feature table.
 
     ``usage='filtered'`` computes preferred feet from the same filtered rows
     (published behaviour, D4); ``'all'`` from every pass and shot of ``events``.
-    ``one_per_shot`` and ``missing_frame`` are the D5/D8 options.
+    ``one_per_shot`` and ``missing_frame`` are the D5/D8 options;
+    ``keep_frame`` carries the parsed freeze frame as a ``frame`` column (P4).
     """
     ev = shots_or_assists(events, season)
     if usage == "filtered":
@@ -76,12 +77,14 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
 
     # shot rows: parsed point, then the frame count (frames never leave their row)
     shots = ev.filter(F.col("type") == "Shot").drop(*PASS_COLUMNS).withColumns(point_columns())
-    shots = players_inside_area(shots, missing_frame, goal_x, goal_y1, goal_y2)
+    shots = players_inside_area(shots, missing_frame, goal_x, goal_y1, goal_y2, keep_frame=keep_frame)
     joined = (shots.join(feet, "player_id", "left")
                    .join(passes, F.col("id") == passes["pass_assisted_shot_id"], "left"))
     cols = _feature_columns(geometry_columns(goal_x, goal_y1, goal_y2))
     wanted = list(VARIABLES if variables is None else variables)
     wanted += [c for c in extra if c in joined.columns and c not in wanted]
+    if keep_frame:
+        wanted.append("frame")
     out = joined.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in wanted])
     if persist:
         out = out.persist(StorageLevel.MEMORY_AND_DISK)

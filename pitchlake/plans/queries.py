@@ -22,7 +22,7 @@ from pitchlake.plans.oracle import binding_ctes, shots_ctes
 from pitchlake.plans.pipeline import shot_features, shots_or_assists
 from pitchlake.functions.encode import preferred_foot
 from pitchlake.schemas import BOOL_TO_INT, DUMMIES, FEATURES, FEATURES_NP
-from pitchlake.sinks.writers import write_csv, write_split
+from pitchlake.sinks.writers import write_batches, write_csv, write_parquet, write_split
 from pitchlake.session import scratch_dir
 from pitchlake.sources import readers
 
@@ -290,7 +290,9 @@ FROM b JOIN m ON b.match_id = m.match_id GROUP BY m.batch""")
 def match_batch(spark, sf):
     ev = _events(spark, sf, frames=False)
     matches = readers.match_batches(ev.select("match_id").distinct(), batch_size=10)
-    return (ev.join(matches.select("match_id", "batch"), "match_id")
+    path = scratch_dir(spark, "batches")
+    write_batches(ev.join(matches.select("match_id", "batch"), "match_id").select("batch", "match_id", "type"), path)
+    return (spark.read.parquet(path)
               .groupBy("batch")
               .agg(F.countDistinct("match_id").alias("matches"), F.count(F.lit(1)).alias("events"),
                    F.count_if(F.col("type") == "Shot").cast("bigint").alias("shots")))
@@ -546,8 +548,7 @@ SELECT s.id, s.shot_location_x, s.shot_location_y, s.shot_end_x, s.shot_end_y,
   CASE WHEN fr.teammate THEN 'teammate' ELSE 'opponent' END AS side
 FROM shots s JOIN fr ON fr.id = s.id""")
 def shot_picture(spark, sf):
-    ev = _events(spark, sf)
-    return explore.shot_picture(shot_features(ev), ev.filter(F.col("type") == "Shot"))
+    return explore.shot_picture(_shots(spark, sf, keep_frame=True))
 
 
 @register("random_shots")
@@ -648,6 +649,19 @@ def _train_and_score(spark, sf, model_type, features=None, **kw):
     return preds.select(*keep)
 
 
+def train_logistic(spark, sf):
+    """Logistic model; the predictions (vectors included) are written as
+    Parquet in the shared folder and read back, as the published notebook
+    did with CSV (K7, S14)."""
+    shots = _shots(spark, sf, missing_frame="zero")
+    train, test = ml.hash_split(shots)
+    preds = ml.score(ml.train(train, "logistic"), test)
+    path = scratch_dir(spark, "predictions")
+    write_parquet(preds.select("id", "goal", "shot_statsbomb_xg", "rawPrediction", "probability",
+                               "prediction", "xG"), path)
+    return spark.read.parquet(path).select("id", "goal", "shot_statsbomb_xg", "prediction", "xG")
+
+
 def _model_query(model_type, features=None, **kw):
     def q(spark, sf):
         return _train_and_score(spark, sf, model_type, features, **kw)
@@ -655,7 +669,7 @@ def _model_query(model_type, features=None, **kw):
     return q
 
 
-register("train_logistic")(_model_query("logistic"))
+register("train_logistic")(train_logistic)
 register("train_rf")(_model_query("rf", num_trees=20, seed=42))
 register("train_mlp")(_model_query("mlp", layers=[len(FEATURES), 8, 2], max_iter=50))
 register("train_gbt")(_model_query("gbt", max_iter=10, seed=42))

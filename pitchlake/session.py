@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once the datasets that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # PySpark 4 records the Python call site of every Column call for error
     # messages (a conf lookup and a stack walk per call); plans of a few
     # hundred expressions then take seconds to build.  Off by default here.
