@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.schemas import FRAME
 
@@ -23,22 +24,26 @@ _JSON_OPTIONS = {
 }
 
 
-def parse_frame(text: Column | str) -> Column:
+def parse_frame(text: Column | str, fields: tuple[str, ...] | None = None) -> Column:
+    """Typed frame; ``fields`` keeps only those player fields (the JSON
+    reader then builds less per player, e.g. ``("location",)`` for counts)."""
     c = F.col(text) if isinstance(text, str) else text
+    schema = FRAME
+    if fields is not None:
+        elem = FRAME.elementType
+        schema = T.ArrayType(T.StructType([f for f in elem.fields if f.name in fields]))
     j = F.replace(c, F.lit("'teammate': True"), F.lit("'teammate': true"))
     j = F.replace(j, F.lit("'teammate': False"), F.lit("'teammate': false"))
     j = F.replace(j, F.lit(": None"), F.lit(": null"))
-    return F.from_json(j, FRAME, _JSON_OPTIONS)
+    return F.from_json(j, schema, _JSON_OPTIONS)
 
 
 def frame_text(players: Column) -> Column:
     """Inverse of :func:`parse_frame` for an ``array<struct>`` built with the
     frame schema: renders the landed text form (single-quoted keys, Python
-    booleans) from ``to_json`` with literal replacements, so no per-player
-    lambda runs.  Used by the test binding; real frames arrive as text."""
-    t = F.to_json(players)
-    for key in ("location", "player", "position", "teammate", "id", "name"):
-        t = F.replace(t, F.lit(f'"{key}":'), F.lit(f"'{key}': "))
+    booleans) from ``to_json`` with one regular-expression pass for the keys
+    and two literal replacements, so no per-player lambda runs.  Used by the
+    test binding; real frames arrive as text."""
+    t = F.regexp_replace(F.to_json(players), r'"(location|player|position|teammate|id|name)":', "'$1': ")
     t = F.replace(t, F.lit("'teammate': true"), F.lit("'teammate': True"))
-    t = F.replace(t, F.lit("'teammate': false"), F.lit("'teammate': False"))
-    return F.replace(t, F.lit("},{"), F.lit("}, {"))
+    return F.replace(t, F.lit("'teammate': false"), F.lit("'teammate': False"))

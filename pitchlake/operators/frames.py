@@ -51,7 +51,11 @@ def players_inside_area(shots: DataFrame, missing_frame: str = "null",
     removed (``'drop'``)."""
     if missing_frame not in ("null", "zero", "drop"):
         raise ValueError("missing_frame must be 'null', 'zero' or 'drop'")
-    parsed = {} if "frame" in shots.columns else {"frame": parse_frame("shot_freeze_frame")}
+    if "frame" in shots.columns:
+        parsed = {}
+    else:
+        # only the location is needed for the count, unless the frame is kept
+        parsed = {"frame": parse_frame("shot_freeze_frame", None if keep_frame else ("location",))}
     parsed["_whole"] = shot_triangle_area("shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2)
     df = shots.withColumns(parsed)
     count = players_in_triangle("frame", "shot_location_x", "shot_location_y", goal_x, goal_y1, goal_y2,
