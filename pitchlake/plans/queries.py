@@ -292,8 +292,9 @@ def match_batch(spark, sf):
     matches = readers.match_batches(ev.select("match_id").distinct(), batch_size=10)
     path = scratch_dir(spark, "batches")
     write_batches(ev.join(matches.select("match_id", "batch"), "match_id").select("batch", "match_id", "type"), path)
+    # the partition column comes back with an inferred type: restore the long
     return (spark.read.parquet(path)
-              .groupBy("batch")
+              .groupBy(F.col("batch").cast("bigint").alias("batch"))
               .agg(F.countDistinct("match_id").alias("matches"), F.count(F.lit(1)).alias("events"),
                    F.count_if(F.col("type") == "Shot").cast("bigint").alias("shots")))
 
@@ -575,13 +576,13 @@ def running_total(spark, sf):
 
 @register("running_total_pair", shots_ctes() + """
 SELECT match_id, team, minute, second, id, shot_statsbomb_xg, goal,
-  round(sum(shot_statsbomb_xg) OVER w, 6) AS sb_cxg, round(sum(goal) OVER w, 6) AS cgoals
+  round(sum(shot_statsbomb_xg) OVER w, 6) AS sb_cxg, CAST(sum(goal) OVER w AS BIGINT) AS cgoals
 FROM shots WINDOW w AS (PARTITION BY match_id, team ORDER BY minute, second, id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def running_total_pair(spark, sf):
     s = _shots(spark, sf).select("match_id", "team", "minute", "second", "id", "shot_statsbomb_xg", "goal")
     out = timeline.running_total(s, ("shot_statsbomb_xg", "goal"), ("sb_cxg", "cgoals"))
-    return out.withColumn("cgoals", F.col("cgoals").cast("double"))
+    return out.withColumn("cgoals", F.col("cgoals").cast("bigint"))
 
 
 @register("tick_grid_timeline", shots_ctes() + """,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.sources.readers import CSV_OPTIONS
@@ -76,4 +75,4 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 __all__ = ["write_split", "write_csv", "write_parquet", "write_batches", "materialise",
-           "drop_vectors", "cut_lineage", "F"]
+           "drop_vectors", "cut_lineage"]

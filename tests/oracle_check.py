@@ -22,13 +22,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if EXACT else round(v, 6) + 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -70,7 +73,8 @@ if __name__ == "__main__":
     from pitchlake.session import get_spark
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    only = sys.argv[2].split(",") if len(sys.argv) > 2 else None
+    only = sys.argv[2].split(",") if len(sys.argv) > 2 and sys.argv[2] != "all" else None
+    EXACT = "--exact" in sys.argv
     spark = get_spark("local[8]", 8)
     con = duck(sf)
     sqls = oracle_sql()
