@@ -30,7 +30,8 @@ def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
     """F5 + F6 + F7: optional season, then shots and passes that assisted one."""
     df = events if season is None else events.filter(F.col("season") == season)
     df = df.filter((F.col("type") == "Shot") | F.col("pass_assisted_shot_id").isNotNull())
-    keep = [c for c in EVENTS if c in df.columns] + [c for c in ("team_id",) if c in df.columns]
+    # team_id for entity filters; frame when the frames were parsed at ingest
+    keep = [c for c in EVENTS if c in df.columns] + [c for c in ("team_id", "frame") if c in df.columns]
     return df.select(*keep)
 
 

@@ -604,6 +604,31 @@ def tick_grid_timeline(spark, sf):
     return timeline.tick_grid_timeline(_shots(spark, sf))
 
 
+@register("tick_grid_pair", shots_ctes() + """,
+t AS (SELECT match_id, team, minute, second, id, shot_statsbomb_xg, CAST(goal AS DOUBLE) AS goal_value, goal
+      FROM shots WHERE team IS NOT NULL),
+ends AS (SELECT DISTINCT match_id, team,
+           CASE WHEN max(minute) OVER (PARTITION BY match_id) < 90 THEN 91
+                ELSE max(minute) OVER (PARTITION BY match_id) + 1 END AS last
+         FROM t),
+grid AS (SELECT ends.match_id, ends.team, CAST(g.i // 60 AS INT) AS minute, CAST(g.i % 60 AS INT) AS second
+         FROM ends, unnest(range(0, (ends.last + 1) * 60)) AS g(i)),
+j AS (SELECT grid.match_id, grid.team, grid.minute, grid.second, t.id, t.shot_statsbomb_xg, t.goal_value, t.goal
+      FROM grid LEFT JOIN t ON grid.match_id = t.match_id AND grid.team = t.team
+        AND grid.minute = t.minute AND grid.second = t.second)
+SELECT match_id, team, minute, second, id, shot_statsbomb_xg, goal_value, CAST(coalesce(goal, 0) AS INT) AS goal,
+  round(coalesce(sum(shot_statsbomb_xg) OVER w, 0e0), 6) AS sb_cxg,
+  round(coalesce(sum(goal_value) OVER w, 0e0), 6) AS cgoals,
+  minute + round(second / 60e0, 2) AS time
+FROM j WINDOW w AS (PARTITION BY match_id, team ORDER BY minute, second, id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def tick_grid_pair(spark, sf):
+    """Two cumulative series on one grid (V9: vendor xG against a second
+    per-shot value, here the goals), grid to minute 91 or last + 1."""
+    s = _shots(spark, sf).withColumn("goal_value", F.col("goal").cast("double"))
+    return timeline.tick_grid_timeline(s, ("shot_statsbomb_xg", "goal_value"), ("sb_cxg", "cgoals"), pad=2)
+
+
 @register("stoppage_time", binding_ctes() + """
 SELECT match_id, minute AS last_minute, second AS last_second, round(minute + second/60e0 - 45, 2) AS stoppage
 FROM (SELECT match_id, minute, second, row_number() OVER (PARTITION BY match_id ORDER BY minute DESC, second DESC, id DESC) AS rn

@@ -98,3 +98,13 @@ def test_pipeline_metamorphic(spark, small_features):
     a = sorted(tuple(r) for r in shot_features(ev).select("id", "distance_to_goal", "assisted").collect())
     b = sorted(tuple(r) for r in small_features.select("id", "distance_to_goal", "assisted").collect())
     assert a == b
+
+
+def test_frames_parsed_at_ingest_give_same_features(spark, small_features):
+    from pitchlake.functions.frames import parse_frame
+
+    ev = events_view(spark, "/root/testdata/sf0.001")
+    typed = ev.withColumn("frame", parse_frame("shot_freeze_frame")).drop("shot_freeze_frame")
+    a = sorted(tuple(r) for r in shot_features(typed).select("id", "players_inside_area", "assisted").collect())
+    b = sorted(tuple(r) for r in small_features.select("id", "players_inside_area", "assisted").collect())
+    assert a == b
