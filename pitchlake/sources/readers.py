@@ -71,10 +71,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     file with a single row group.  A large table already has more splits
     than cores and is returned unchanged, so this never adds a shuffle at
     scale.  Counting splits plans the scan but runs no job."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without the RDD API keep the scan as is
+        return df
+    return df.repartition(n) if splits < n else df
 
 
 def split_rejects(df: DataFrame, corrupt_col: str = "_corrupt_record"):
