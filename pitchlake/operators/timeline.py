@@ -46,7 +46,8 @@ def running_total(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("c
 
 
 def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("cxg",),
-                       goal_col: str = "goal", pad: int = 1, scale: int | None = 6) -> DataFrame:
+                       goal_col: str = "goal", pad: int = 1, scale: int | None = 6,
+                       by_period: bool = False) -> DataFrame:
     """Per (match, team), one row per second of the game clock from 0:00 to
     the grid end, with the cumulative xG as of that tick (V8; ``pad=2`` and
     two columns give V9).  A tick holding shots is replaced by the shot rows
@@ -60,7 +61,12 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     volume - get the total through that tick and the next shot tick; the
     empty ticks in each gap are then generated on the executors with
     ``sequence`` and carry the total of the gap's start.
+
+    ``by_period=True`` (D6) orders by (period, minute, second) and gives each
+    period its own stretch of grid, see :func:`_tick_grid_by_period`.
     """
+    if by_period:
+        return _tick_grid_by_period(shots, list(xg_cols), list(out_cols), goal_col, pad, scale)
     shots = shots.filter(F.col("team").isNotNull())
     keys = ["match_id", "team"]
     tick = F.col("minute") * 60 + F.col("second")
@@ -105,6 +111,69 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
                     *[cols[c].alias(c) for c in out_cols], decimal_clock().alias("time"))
 
 
+def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[str], goal_col: str,
+                         pad: int, scale: int | None) -> DataFrame:
+    """Tick grid with ``period`` first in the clock order.  Each period of a
+    match covers the minutes from its first action (0 for the first period)
+    to its last action; the last period runs to minute 90+pad-1, or to its
+    last minute + pad - 1 when that is later.  Totals carry across periods.
+    Same construction as the default grid: shot rows get running totals,
+    and the empty ticks of each gap are generated from small per-tick and
+    per-segment tables (teams x periods per match)."""
+    keys = ["match_id", "team"]
+    n = len(xg_cols)
+    s = (shots.filter(F.col("team").isNotNull())
+              .select(*keys, "period", "minute", "second", "id", goal_col, *xg_cols))
+    shot_rows = running_sum(s, keys, ["period", "minute", "second", "id"], xg_cols, out_cols)
+
+    wm = Window.partitionBy("match_id")
+    per_mp = s.groupBy("match_id", "period").agg(F.min("minute").alias("_mn"), F.max("minute").alias("_mx"))
+    last_minute = F.when(F.col("period") == F.max("period").over(wm),
+                         F.when(F.col("_mx") < 90, F.lit(90 + pad - 1)).otherwise(F.col("_mx") + (pad - 1))) \
+                   .otherwise(F.col("_mx"))
+    seg = per_mp.select("match_id", "period",
+                        F.when(F.col("period") == F.min("period").over(wm), F.lit(0))
+                         .otherwise(F.col("_mn") * 60).alias("_a"),
+                        ((last_minute + 1) * 60).alias("_stop"))
+    segs = s.select(*keys).distinct().join(seg, "match_id")
+
+    tick = F.col("minute") * 60 + F.col("second")
+    per_tick = s.groupBy(*keys, "period", tick.alias("_t")).agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(xg_cols)])
+    w = Window.partitionBy(*keys).orderBy("period", "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wp = Window.partitionBy(*keys, "period").orderBy("_t")
+    steps = per_tick.select(*keys, "period", "_t", F.lead("_t").over(wp).alias("_nt"),
+                            *[F.sum(f"_s{i}").over(w).alias(f"_c{i}") for i in range(n)])
+    seg_stats = steps.groupBy(*keys, "period").agg(
+        F.min("_t").alias("_ft"),
+        F.max_by(F.struct(*[F.col(f"_c{i}").alias(f"c{i}") for i in range(n)]), F.col("_t")).alias("_ce"))
+    before = Window.partitionBy(*keys).orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    segs = segs.join(seg_stats, [*keys, "period"], "left").select(
+        *keys, "period", "_a", "_stop", "_ft",
+        *[F.last(F.col(f"_ce.c{i}"), ignorenulls=True).over(before).alias(f"_b{i}") for i in range(n)])
+    # head of each period: from its start to its first shot tick (or its end)
+    heads = segs.select(*keys, "period", F.struct(
+        (F.col("_a") - 1).alias("a"), F.coalesce("_ft", "_stop").alias("b"),
+        *[F.col(f"_b{i}").alias(f"c{i}") for i in range(n)]).alias("g"))
+    # after each shot tick: to the next shot tick of the period (or its end)
+    tails = steps.join(segs.select(*keys, "period", "_stop"), [*keys, "period"]).select(
+        *keys, "period", F.struct(F.col("_t").alias("a"), F.coalesce("_nt", "_stop").alias("b"),
+                                  *[F.col(f"_c{i}").alias(f"c{i}") for i in range(n)]).alias("g"))
+    gaps = heads.unionByName(tails).filter(F.col("g.b") > F.col("g.a") + 1)
+    gaps = gaps.repartition(int(shots.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "g.a")
+    gap_rows = gaps.select(*keys, "period", *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
+                           F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
+    grid = gap_rows.select(*keys, "period", (F.col("_g") / 60).cast("int").alias("minute"),
+                           (F.col("_g") % 60).cast("int").alias("second"), *out_cols)
+    u = shot_rows.unionByName(grid, allowMissingColumns=True)
+    cols = {}
+    for dst in out_cols:
+        v = F.coalesce(F.col(dst), F.lit(0.0))
+        cols[dst] = F.round(v, scale) if scale is not None else v
+    return u.select("match_id", "team", "period", "minute", "second", "id", *xg_cols,
+                    F.coalesce(F.col(goal_col), F.lit(0)).cast("int").alias(goal_col),
+                    *[cols[c].alias(c) for c in out_cols], decimal_clock().alias("time"))
+
+
 def stoppage_time(events: DataFrame, period: int = 1, regular_end: int = 45) -> DataFrame:
     """Added time of a half per match (V10): clock of the last action of the
     period (by minute, second, id: T6) minus the regular end, 2 dp (X20).

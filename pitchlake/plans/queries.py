@@ -629,6 +629,31 @@ def tick_grid_pair(spark, sf):
     return timeline.tick_grid_timeline(s, ("shot_statsbomb_xg", "goal_value"), ("sb_cxg", "cgoals"), pad=2)
 
 
+@register("tick_grid_by_period", shots_ctes() + """,
+t AS (SELECT match_id, team, period, minute, second, id, shot_statsbomb_xg, goal FROM shots WHERE team IS NOT NULL),
+mp AS (SELECT match_id, period, min(minute) AS mn, max(minute) AS mx FROM t GROUP BY match_id, period),
+seg AS (SELECT match_id, period,
+          CASE WHEN period = min(period) OVER (PARTITION BY match_id) THEN 0 ELSE mn * 60 END AS a,
+          (CASE WHEN period = max(period) OVER (PARTITION BY match_id)
+                THEN CASE WHEN mx < 90 THEN 90 ELSE mx END ELSE mx END + 1) * 60 AS stop
+        FROM mp),
+teams AS (SELECT DISTINCT match_id, team FROM t),
+ts AS (SELECT teams.match_id, teams.team, seg.period, seg.a, seg.stop FROM teams JOIN seg ON teams.match_id = seg.match_id),
+grid AS (SELECT ts.match_id, ts.team, ts.period, CAST(g.i // 60 AS INT) AS minute, CAST(g.i % 60 AS INT) AS second
+         FROM ts, unnest(range(ts.a, ts.stop)) AS g(i)),
+j AS (SELECT grid.match_id, grid.team, grid.period, grid.minute, grid.second, t.id, t.shot_statsbomb_xg, t.goal
+      FROM grid LEFT JOIN t ON grid.match_id = t.match_id AND grid.team = t.team AND grid.period = t.period
+        AND grid.minute = t.minute AND grid.second = t.second)
+SELECT match_id, team, period, minute, second, id, shot_statsbomb_xg, CAST(coalesce(goal, 0) AS INT) AS goal,
+  round(coalesce(sum(shot_statsbomb_xg) OVER (PARTITION BY match_id, team ORDER BY period, minute, second, id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0e0), 6) AS cxg,
+  minute + round(second / 60e0, 2) AS time
+FROM j""")
+def tick_grid_by_period(spark, sf):
+    """Tick grid with periods kept apart (D6 ``by_period``)."""
+    return timeline.tick_grid_timeline(_shots(spark, sf), by_period=True)
+
+
 @register("stoppage_time", binding_ctes() + """
 SELECT match_id, minute AS last_minute, second AS last_second, round(minute + second/60e0 - 45, 2) AS stoppage
 FROM (SELECT match_id, minute, second, row_number() OVER (PARTITION BY match_id ORDER BY minute DESC, second DESC, id DESC) AS rn

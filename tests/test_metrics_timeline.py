@@ -50,3 +50,37 @@ def test_bands_and_gxg(spark):
         [("p", "t", 2, 1.8, 0.2, "Overperformer")]
     with pytest.raises(ValueError):
         explore.goals_vs_expected(shots, "club")
+
+
+def test_tick_grid_by_period_brute_force(spark):
+    import pandas as pd
+
+    rows = [  # match 1: period 1 to 46:10, period 2 from 45:00 (overlapping minutes); team b only in period 2
+        (1, "a", 1, 3, 0, 1, 0.1, 0), (1, "a", 1, 46, 10, 2, 0.2, 1), (1, "a", 2, 45, 0, 3, 0.3, 0),
+        (1, "a", 2, 45, 0, 4, 0.05, 0), (1, "b", 2, 60, 30, 5, 0.4, 1), (1, "b", 2, 92, 1, 6, None, 0)]
+    cols = "match_id long, team string, period int, minute int, second int, id long, shot_statsbomb_xg double, goal int"
+    df = spark.createDataFrame(rows, cols)
+    got = timeline.tick_grid_timeline(df, by_period=True).toPandas()
+
+    shots = pd.DataFrame(rows, columns=["match_id", "team", "period", "minute", "second", "id", "xg", "goal"])
+    out = []
+    for (m, team), g in shots.groupby(["match_id", "team"]):
+        ms = shots[shots.match_id == m]
+        periods = sorted(ms.period.unique())
+        grid = []
+        for p in periods:
+            mp = ms[ms.period == p]
+            a = 0 if p == periods[0] else mp.minute.min() * 60
+            last = (max(90, mp.minute.max()) if p == periods[-1] else mp.minute.max())
+            grid += [(p, t // 60, t % 60) for t in range(a, (last + 1) * 60)]
+        gdf = pd.DataFrame(grid, columns=["period", "minute", "second"])
+        j = gdf.merge(g, on=["period", "minute", "second"], how="left").sort_values(
+            ["period", "minute", "second", "id"], na_position="first")
+        j["cxg"] = j.xg.fillna(0).cumsum().round(6)
+        j["team"] = team
+        out.append(j)
+    exp = pd.concat(out)
+    key = ["team", "period", "minute", "second"]
+    a = sorted(zip(*(got[c] for c in key), got.cxg.round(6)))
+    b = sorted(zip(*(exp[c] for c in key), exp.cxg))
+    assert len(a) == len(b) and a == b
