@@ -721,7 +721,7 @@ def _model_query(model_type, features=None, **kw):
 
 
 register("train_logistic")(train_logistic)
-register("train_rf")(_model_query("rf", num_trees=20, seed=42))
+register("train_rf")(_model_query("rf", seed=42))
 register("train_mlp")(_model_query("mlp", layers=[len(FEATURES), 8, 2], max_iter=50))
 register("train_gbt")(_model_query("gbt", max_iter=10, seed=42))
 register("train_dt")(_model_query("dt", seed=42))
