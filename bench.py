@@ -44,6 +44,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    # local mode: the driver JVM is the whole cluster; give it half the 32 GiB box
+    os.environ.setdefault("PITCHLAKE_DRIVER_MEMORY", "16g")
     from pitchlake.plans.queries import QUERIES
     from pitchlake.session import get_spark
 
