@@ -376,6 +376,27 @@ def csv_round_trip(spark, sf):
                                    F.coalesce(F.size("frame"), F.lit(0)).cast("int").alias("frame_players"))
 
 
+# ------------------------------------------------------------------ typed ingest of text frames
+
+@register("ingest_typed_frames", shots_ctes() + """
+SELECT match_id, count(*) AS shots, CAST(sum(players_inside_area) AS BIGINT) AS players_inside,
+  count(players_inside_area) AS shots_with_count
+FROM shots GROUP BY match_id""")
+def ingest_typed_frames(spark, sf):
+    """Events land as ';' CSV with text frames (S12); ingest reads them with
+    the declared schema, parses the frames once into the typed column and
+    writes Parquet; the feature pipeline then runs on the typed table."""
+    ev = _events(spark, sf)
+    base = scratch_dir(spark, "typed")
+    write_csv(ev, f"{base}/csv", sep=";")
+    typed = readers.read_events(spark, f"{base}/csv", ev.schema, fmt="csv", sep=";", parse_frames=True)
+    typed.write.parquet(f"{base}/parquet")
+    shots = shot_features(spark.read.parquet(f"{base}/parquet"))
+    return shots.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("shots"), F.sum("players_inside_area").cast("bigint").alias("players_inside"),
+        F.count("players_inside_area").alias("shots_with_count"))
+
+
 # ------------------------------------------------------------------ streaming ingest
 
 @register("stream_ingest", binding_ctes() + """

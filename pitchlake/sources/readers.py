@@ -169,13 +169,20 @@ def match_batch(matches: DataFrame, start: int, end: int, order_col: str = "matc
 
 
 def read_events(spark: SparkSession, path, schema: T.StructType, matches: DataFrame | None = None,
-                fmt: str = "parquet", corrupt_col: str | None = None) -> DataFrame:
+                fmt: str = "parquet", corrupt_col: str | None = None, sep: str = ",",
+                parse_frames: bool = False) -> DataFrame:
     """Events scan (S5): declared schema, conform (S6), optional semi join to
-    chosen matches and stamping of competition and season (J8)."""
-    df = read_table(spark, path, fmt, schema=schema, corrupt_col=corrupt_col)
+    chosen matches and stamping of competition and season (J8).
+    ``parse_frames`` turns the freeze-frame text into the typed ``frame``
+    column once, at ingest, so later queries read the typed array."""
+    from pitchlake.functions.frames import parse_frame
+
+    df = read_table(spark, path, fmt, schema=schema, corrupt_col=corrupt_col, sep=sep)
     if corrupt_col:
         df, _ = split_rejects(df, corrupt_col)
     df = conform(df, schema)
+    if parse_frames and "shot_freeze_frame" in df.columns:
+        df = df.withColumn("frame", parse_frame("shot_freeze_frame")).drop("shot_freeze_frame")
     if matches is not None:
         df = attach_match(df, matches)
     return df

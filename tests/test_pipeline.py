@@ -108,3 +108,16 @@ def test_frames_parsed_at_ingest_give_same_features(spark, small_features):
     a = sorted(tuple(r) for r in shot_features(typed).select("id", "players_inside_area", "assisted").collect())
     b = sorted(tuple(r) for r in small_features.select("id", "players_inside_area", "assisted").collect())
     assert a == b
+
+
+def test_season_filter_and_pruning_reach_the_scan(spark):
+    from pitchlake.session import scratch_dir
+
+    path = scratch_dir(spark, "t-landed-events")
+    events_view(spark, "/root/testdata/sf0.001").write.partitionBy("season").parquet(path)
+    df = shot_features(spark.read.parquet(path), season="2015/2016")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # partition pruning on season, and the 120-odd landed columns are not all read
+    assert "PartitionFilters: [isnotnull(season" in plan and "2015/2016" in plan
+    assert "props" not in plan and "n_frame" not in plan.split("ReadSchema")[1][:400]
+    assert df.count() > 0
