@@ -2,10 +2,10 @@
 
 The test tables hold no football data, so registered queries read events
 through a deterministic mapping of ``events`` (integer arithmetic only).  The
-Spark side is written with DataFrame expressions; ``BINDING_SQL`` is the same
-mapping as text for the DuckDB oracle.  Freeze frames are rendered on the
-Spark side as landed text (so the text parser is exercised); the oracle uses
-the equivalent relation ``FRAME_SQL``.
+mapping is one list of SQL expressions: Spark runs it with ``selectExpr`` and
+the DuckDB oracle runs the same text as ``BINDING_SQL``.  Freeze frames are
+rendered on the Spark side as landed text (so the library's text parser runs
+on every frame query); the oracle uses the equivalent relation ``FRAME_SQL``.
 """
 
 from __future__ import annotations
