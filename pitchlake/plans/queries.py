@@ -327,7 +327,11 @@ def lineup_flatten(spark, sf):
                   .groupBy("match_id", "team").agg(F.collect_list("p").alias("players")))
     lineups = per_team.groupBy("match_id").agg(
         F.map_from_entries(F.collect_list(F.struct("team", "players"))).alias("teams"))
-    return readers.flatten_lineups(lineups)
+    # land as JSON (one object per match with a team -> players map) and read
+    # back with the declared lineup schema (S3), then flatten
+    path = scratch_dir(spark, "lineups")
+    lineups.write.json(path)
+    return readers.read_lineups(spark, path).select("match_id", "team", "player_id", "player_name")
 
 
 # ------------------------------------------------------------------ A12, F15, A1, T2
