@@ -24,6 +24,9 @@ def duck(sf_dir: str):
 
 EXACT = False
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "timestamp": "TIMESTAMP"}
+
 
 def _norm(v):
     if v is None:
@@ -51,6 +54,10 @@ def compare(spark, name, fn, sql, sf_dir, con):
     ts = time.time() - t
     if sql is None:
         return {"name": name, "ok": None, "rows": len(s_rows), "sec": ts}
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    bad_types = {k: (v, d_types.get(k)) for k, v in s_types.items() if d_types.get(k) != v}
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
@@ -58,6 +65,9 @@ def compare(spark, name, fn, sql, sf_dir, con):
     if sorted(s_cols) != sorted(d_cols):
         info.update(ok=False, why=f"columns {sorted(s_cols)} vs {sorted(d_cols)}")
         return info
+    if bad_types:
+        info.update(ok=False, why=f"column types differ: {bad_types}")
+        return info
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
     if a != b:
         diff = next(((x, y) for x, y in zip(a, b) if x != y), None)
