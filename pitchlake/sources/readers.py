@@ -164,8 +164,11 @@ def match_batches(matches: DataFrame, batch_size: int = 500, order_col: str = "m
 
 
 def match_batch(matches: DataFrame, start: int, end: int, order_col: str = "match_id") -> DataFrame:
-    """Matches at positions [start, end) in ``order_col`` order."""
-    return matches.orderBy(order_col).offset(start).limit(max(0, end - start))
+    """Matches at positions [start, end) in ``order_col`` order (S7).  Uses
+    the distributed position, so a late batch of a large table does not make
+    every task keep ``end`` rows as an offset/limit top-k would."""
+    pos = positional_index(matches, order_col)
+    return pos.filter((F.col("pos") >= start) & (F.col("pos") < end)).drop("pos")
 
 
 def read_events(spark: SparkSession, path, schema: T.StructType, matches: DataFrame | None = None,
