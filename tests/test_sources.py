@@ -93,3 +93,18 @@ def test_stream_ingest_matches_batch(spark):
     out = run_ingest(spark, f"{base}/landed", f"{base}/sink", f"{base}/ckpt", schema, matches=matches)
     assert out.count() == 600
     assert {r.competition: r["count"] for r in out.groupBy("competition").count().collect()} == {"c0": 300, "c1": 300}
+
+
+def test_stream_ingest_restart_is_exactly_once(spark):
+    from pitchlake.streaming import run_ingest
+
+    base = scratch_dir(spark, "t-stream-restart")
+    ev = spark.range(300).select(F.col("id"), (F.col("id") % 6).alias("match_id"), F.lit("Pass").alias("type"))
+    ev.repartition(3, "match_id").write.parquet(f"{base}/landed")
+    schema = spark.read.parquet(f"{base}/landed").schema
+    args = (f"{base}/landed", f"{base}/sink", f"{base}/ckpt", schema)
+    assert run_ingest(spark, *args).count() == 300
+    assert run_ingest(spark, *args).count() == 300  # restart: nothing read twice
+    spark.range(300, 350).select(F.col("id"), F.lit(7).cast("long").alias("match_id"), F.lit("Shot").alias("type")) \
+        .write.mode("append").parquet(f"{base}/landed")
+    assert run_ingest(spark, *args).count() == 350  # only the new file is added
