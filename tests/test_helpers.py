@@ -40,3 +40,24 @@ def test_cut_lineage_and_materialise(spark):
     m = materialise(df)
     assert m.is_cached and m.count() == 1000
     m.unpersist()
+
+
+def test_error_guards(spark):
+    import pytest
+
+    from pitchlake.operators import explore, ml
+
+    with pytest.raises(ValueError, match="Unsupported model type"):
+        ml.make_estimator("xgboost")
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1)], "distance_to_goal double, goal int")
+    with pytest.raises(ValueError, match="Layers must be specified"):
+        ml.train(df, "mlp", features=["distance_to_goal"])
+    with pytest.raises(ValueError, match="No shot data"):
+        explore.require_rows(df.limit(0))
+    with pytest.raises(ValueError, match="Unknown type"):
+        explore.shot_distribution(df, ["goal"], t="heat")
+    model = ml.train(spark.createDataFrame([(float(i), i % 2) for i in range(20)],
+                                           "distance_to_goal double, goal int"),
+                     "nb", features=["distance_to_goal"])
+    with pytest.raises(ValueError, match="does not support feature importances"):
+        ml.feature_importance(model, spark)
