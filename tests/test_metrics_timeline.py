@@ -84,3 +84,17 @@ def test_tick_grid_by_period_brute_force(spark):
     a = sorted(zip(*(got[c] for c in key), got.cxg.round(6)))
     b = sorted(zip(*(exp[c] for c in key), exp.cxg))
     assert len(a) == len(b) and a == b
+
+
+def test_correlation_pairs_match_ml_matrix(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(500).select((F.col("id") % 17).cast("double").alias("a"),
+                                 ((F.col("id") * 7) % 23).cast("double").alias("b"),
+                                 (F.col("id") % 17 * 2 + (F.col("id") % 3)).cast("double").alias("c"))
+    feats = ["a", "b", "c"]
+    pairs = {(r.col_a, r.col_b): r.r for r in explore.correlation_pairs(df, feats).collect()}
+    m = explore.correlation_matrix(df, feats).first()["corr"].toArray()
+    for i, x in enumerate(feats):
+        for j, y in enumerate(feats):
+            assert pairs[(x, y)] == pytest.approx(m[i][j], abs=1e-6)
