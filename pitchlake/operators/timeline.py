@@ -174,6 +174,16 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
                     *[cols[c].alias(c) for c in out_cols], decimal_clock().alias("time"))
 
 
+def timeline_extent(timeline: DataFrame, value_col: str = "cxg", floor: float = 1.0) -> DataFrame:
+    """Per match: the last minute, the number of teams and the largest
+    cumulative value floored at ``floor`` (A13: what sizes the published
+    timeline's axes).  One partial aggregate."""
+    return timeline.groupBy("match_id").agg(
+        F.max("minute").alias("last_minute"),
+        F.countDistinct("team").alias("teams"),
+        F.greatest(F.lit(floor), F.max(value_col)).alias("y_max"))
+
+
 def stoppage_time(events: DataFrame, period: int = 1, regular_end: int = 45) -> DataFrame:
     """Added time of a half per match (V10): clock of the last action of the
     period (by minute, second, id: T6) minus the regular end, 2 dp (X20).

@@ -679,6 +679,16 @@ def tick_grid_by_period(spark, sf):
     return timeline.tick_grid_timeline(_shots(spark, sf), by_period=True)
 
 
+@register("timeline_extent", shots_ctes() + """
+SELECT match_id, max(minute) AS last_minute, count(DISTINCT team) AS teams, greatest(1e0, max(cxg)) AS y_max
+FROM (SELECT match_id, team, minute, round(sum(shot_statsbomb_xg) OVER (PARTITION BY match_id, team
+        ORDER BY minute, second, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cxg FROM shots) r
+GROUP BY match_id""")
+def timeline_extent(spark, sf):
+    s = _shots(spark, sf).select("match_id", "team", "minute", "second", "id", "shot_statsbomb_xg")
+    return timeline.timeline_extent(timeline.running_total(s))
+
+
 @register("stoppage_time", binding_ctes() + """
 SELECT match_id, minute AS last_minute, second AS last_second, round(minute + second/60e0 - 45, 2) AS stoppage
 FROM (SELECT match_id, minute, second, row_number() OVER (PARTITION BY match_id ORDER BY minute DESC, second DESC, id DESC) AS rn
