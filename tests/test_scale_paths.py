@@ -60,3 +60,14 @@ def test_running_total_ends_at_group_total(spark):
     tot = shots.groupBy("match_id", "team").agg(F.round(F.sum("shot_statsbomb_xg"), 6).alias("tot"))
     bad = last.join(tot, ["match_id", "team"]).filter(F.abs(F.col("end") - F.col("tot")) > 1e-6)
     assert bad.count() == 0
+
+
+def test_running_total_by_period_prefix_equals_window(spark):
+    from pitchlake.operators import timeline
+
+    shots = shot_features(events_view(spark, "/root/testdata/sf0.001")) \
+        .select("match_id", "team", "period", "minute", "second", "id", "shot_statsbomb_xg").dropDuplicates(["id"])
+    a = timeline.running_total(shots, by_period=True, method="prefix")
+    b = timeline.running_total(shots, by_period=True, method="window").withColumnRenamed("cxg", "w")
+    bad = a.join(b.select("id", "w"), "id").filter(~F.col("cxg").eqNullSafe(F.col("w")))
+    assert a.count() == shots.count() and bad.count() == 0
