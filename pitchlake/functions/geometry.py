@@ -70,21 +70,6 @@ def triangle_area(x1, y1, x2, y2, x3, y3) -> Column:
     return F.abs(x1 * (y2 - y3) + x2 * (y3 - y1) + x3 * (y1 - y2)) / 2.0
 
 
-def in_shot_triangle(px: Column, py: Column, sx: Column, sy: Column,
-                     goal_x: float = GOAL_X, goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2,
-                     rtol: float = 1e-10, atol: float = 1e-8) -> Column:
-    """Point (px, py) inside or on the triangle shot-post-post.
-
-    Inside when the three sub-triangle areas add up to the whole one, within
-    ``atol + rtol * sum`` (numpy ``isclose`` semantics); edges and vertices count.
-    """
-    whole = triangle_area(sx, sy, goal_x, goal_y1, goal_x, goal_y2)
-    parts = (triangle_area(sx, sy, goal_x, goal_y1, px, py)
-             + triangle_area(sx, sy, goal_x, goal_y2, px, py)
-             + triangle_area(px, py, goal_x, goal_y2, goal_x, goal_y1))
-    return F.abs(whole - parts) <= F.lit(atol) + F.lit(rtol) * F.abs(parts)
-
-
 def shot_triangle_area(sx: ColumnLike, sy: ColumnLike, goal_x: float = GOAL_X,
                        goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2) -> Column:
     """Area of the triangle shot-post-post."""
@@ -97,10 +82,10 @@ def players_in_triangle(frame: ColumnLike, sx: ColumnLike, sy: ColumnLike,
     """Number of frame players inside the shot triangle (X10); both teams and
     the keeper count.  Null frame -> null, empty frame -> 0.
 
-    Same test as :func:`in_shot_triangle`, arranged for the interpreted
-    lambda evaluation of higher-order functions: the player point is read
-    once, the three sub-areas are summed in one ``transform`` and compared
-    in a second pass.  Pass ``whole`` as a column (the shot's triangle area)
+    A player is inside, or on an edge (X9), when the three sub-triangle areas
+    add up to the whole one within ``1e-8 + 1e-10 * sum``.  The player point is
+    read once, the sub-areas are summed in one ``transform`` and compared in a
+    second pass.  Pass ``whole`` as a column (the shot's triangle area)
     to keep it out of the per-player loop."""
     frame, sx, sy = _c(frame), _c(sx), _c(sy)
     whole = shot_triangle_area(sx, sy, goal_x, goal_y1, goal_y2) if whole is None else _c(whole)

@@ -3,7 +3,7 @@ codes (X12) and defaults for unassisted shots (X13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.encode import pass_height_code
@@ -29,15 +29,26 @@ def assisting_passes(events: DataFrame, one_per_shot: bool = False) -> DataFrame
 
 
 def attach_assist(shots: DataFrame, passes: DataFrame) -> DataFrame:
-    """Left join shot ``id`` = pass ``pass_assisted_shot_id``.  Two passes
-    naming one shot give two rows, as published (D5 default).  Shuffle join on
-    the shot id: both sides grow with the data, neither is broadcast; ids are
-    unique per shot so the key cannot be hot."""
+    """The shots with the columns of the passes that set them up."""
+    out = join_assist(shots, passes)
+    return out.withColumns(assist_columns()).drop("pass_assisted_shot_id")
+
+
+def join_assist(shots: DataFrame, passes: DataFrame) -> DataFrame:
+    """Left join shot ``id`` = pass ``pass_assisted_shot_id`` (J4).  Two
+    passes naming one shot give two rows, as published (D5 default).  Both
+    sides grow with the data, neither is broadcast.  Shot ids are unique; a
+    shot named by very many passes yields as many rows, and ``one_per_shot``
+    is the pre-aggregated way for such data."""
     base = shots.drop(*[c for c in PASS_COLUMNS if c in shots.columns])
-    out = base.join(passes, base["id"] == passes["pass_assisted_shot_id"], "left")
-    return out.withColumns({
+    return base.join(passes, base["id"] == passes["pass_assisted_shot_id"], "left")
+
+
+def assist_columns() -> dict[str, Column]:
+    """The assist columns of a joined shot, with values for no assist."""
+    return {
         "assisted": F.when(F.col("pass_assisted_shot_id").isNotNull(), 1).otherwise(0),
         "pass_height": F.coalesce(F.col("pass_height"), F.lit(PASS_HEIGHT_MISSING)),
         "pass_angle": F.coalesce(F.col("pass_angle"), F.lit(PASS_ANGLE_MISSING)),
         "pass_length": F.coalesce(F.col("pass_length"), F.lit(PASS_LENGTH_MISSING)),
-    }).drop("pass_assisted_shot_id")
+    }

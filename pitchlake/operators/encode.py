@@ -18,22 +18,22 @@ def dummy_columns(dummies: dict | None = None) -> dict[str, Column]:
     return cols
 
 
-def flag_columns(columns: list[str], penalty_forces_one_on_one: bool = True) -> dict[str, Column]:
+def flag_columns(columns: list[str], penalty: Column | None = None) -> dict[str, Column]:
     """Nullable booleans as 0/1 (X16); ``goal`` comes from the outcome and a
-    penalty counts as one-on-one."""
+    ``penalty`` (default: by ``shot_type``) counts as one-on-one."""
     cols = {}
     for c in columns:
         src = F.col("shot_outcome") == "Goal" if c == "goal" else F.col(c)
         cols[c] = flag(src)
-    if penalty_forces_one_on_one and "shot_one_on_one" in cols:
-        cols["shot_one_on_one"] = F.when(F.col("shot_type") == "Penalty", 1).otherwise(cols["shot_one_on_one"])
+    if "shot_one_on_one" in cols:
+        penalty = F.col("shot_type") == "Penalty" if penalty is None else penalty
+        cols["shot_one_on_one"] = F.when(penalty, 1).otherwise(cols["shot_one_on_one"])
     return cols
 
 
 def create_dummies(df: DataFrame, dummies: dict | None = None, drop_source: bool = True) -> DataFrame:
     dummies = DUMMIES if dummies is None else dummies
-    cols = dummy_columns(dummies)
-    cols["goal"] = F.col("shot_outcome") == "Goal"
+    cols = {**dummy_columns(dummies), "goal": F.col("shot_outcome") == "Goal"}
     out = df.withColumns(cols)
     if drop_source:
         out = out.drop(*dummies.keys(), "shot_body_part")
@@ -41,12 +41,10 @@ def create_dummies(df: DataFrame, dummies: dict | None = None, drop_source: bool
 
 
 def bool_to_int(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The flags of ``columns`` as 0/1; penalties are known by ``pk_type``
+    where the one-hot columns are there already."""
     columns = BOOL_TO_INT if columns is None else columns
-    out = df.withColumns({c: flag(c) for c in columns})
-    if "pk_type" in out.columns and "shot_one_on_one" in out.columns:
-        out = out.withColumn("shot_one_on_one",
-                             F.when(F.col("pk_type") == 1, 1).otherwise(F.col("shot_one_on_one")))
-    return out
+    return df.withColumns(flag_columns(columns, F.col("pk_type") == 1 if "pk_type" in df.columns else None))
 
 
 def with_vendor_label(df: DataFrame, xg_col: str = "shot_statsbomb_xg", out: str = "sb_prediction") -> DataFrame:

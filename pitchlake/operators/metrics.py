@@ -54,18 +54,18 @@ def classification_metrics(df: DataFrame, actual: str = "goal", predicted: str =
 
 
 def regression_metrics(df: DataFrame, actual: str = "shot_statsbomb_xg", predicted: str = "xG") -> DataFrame:
-    """MSE, RMSE, MAE (5 dp) and R2 x 100 (2 dp) in one pass: the sums and
-    sums of squares are combined map-side, so no second scan for the mean."""
+    """MSE, RMSE, MAE (5 dp) and R2 x 100 (2 dp) in one pass: the total sum
+    of squares comes from the population variance, whose merge is stable for
+    many rows and large means."""
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     valid = df.filter(a.isNotNull() & p.isNotNull())
     s = valid.agg(F.count(F.lit(1)).alias("n"),
                   F.sum((a - p) * (a - p)).alias("sse"),
                   F.sum(F.abs(a - p)).alias("sae"),
-                  F.sum(a).alias("sa"),
-                  F.sum(a * a).alias("saa"))
+                  F.var_pop(a).alias("var"))
     n = F.col("n").cast("double")
     mse = F.col("sse") / n
-    sst = F.col("saa") - F.col("sa") * F.col("sa") / n
+    sst = F.col("var") * n
     r2 = F.when(sst > 0, 1 - F.col("sse") / sst)
     return s.select(F.round(mse, 5).alias("mse"), F.round(F.sqrt(mse), 5).alias("rmse"),
                     F.round(F.col("sae") / n, 5).alias("mae"), F.round(r2 * 100, 2).alias("r2"))
@@ -78,19 +78,21 @@ def model_evaluation(df: DataFrame, result_col: str, prediction_col: str,
         return classification_metrics(df, result_col, prediction_col)
     if model_type == REGRESSION:
         return regression_metrics(df, result_col, prediction_col)
-    raise ValueError("Invalid model_type. Choose from ['classification', 'regression']")
+    raise ValueError(f"model_type must be {CLASSIFICATION!r} or {REGRESSION!r}, not {model_type!r}")
 
 
 def confusion_table(df: DataFrame, actual: str = "goal", predicted: str = "prediction",
                     values: tuple = (0, 1)) -> DataFrame:
-    """Contingency table (A8, V2): one row per actual value, one typed count
-    column per predicted value.  The pivot values are given, so Spark does
-    not run a job to discover them."""
-    t = (df.groupBy(F.col(actual).alias(actual))
-           .pivot(predicted, list(values))
-           .agg(F.count(F.lit(1))))
-    return t.na.fill(0, [str(v) for v in values]).select(
-        F.col(actual), *[F.col(str(v)).cast("bigint").alias(f"{predicted}_{v}") for v in values])
+    """Contingency table (A8, V2): one row per actual value (null too), one
+    count column per listed predicted value, one for all others and one for
+    nulls, so that every row is counted.  The values are given, so no job has
+    to find them."""
+    p = F.col(predicted)
+    listed = p.isin(*values)
+    return df.groupBy(actual).agg(
+        *[F.count_if(p == v).cast("bigint").alias(f"{predicted}_{v}") for v in values],
+        F.count_if(p.isNotNull() & ~listed).cast("bigint").alias(f"{predicted}_other"),
+        F.count_if(p.isNull()).cast("bigint").alias(f"{predicted}_null"))
 
 
 def auc_roc(predictions: DataFrame, label_col: str = "goal", raw_col: str = "rawPrediction",

@@ -22,10 +22,11 @@ MODELS = ("logistic", "rf", "mlp", "gbt", "dt", "svm", "nb")
 
 
 def assembler(features: list[str] | None = None, out: str = "features_vector",
-              handle_invalid: str = "skip") -> VectorAssembler:
-    """M1.  ``handle_invalid='skip'`` drops rows with a null feature (a shot
-    without a frame has a null ``players_inside_area``); ``'error'`` is the
-    published default and fails on such rows."""
+              handle_invalid: str = "error") -> VectorAssembler:
+    """M1.  A null feature is an error (published; a shot without a frame has
+    a null ``players_inside_area``, see the ``missing_frame`` option of the
+    pipeline).  ``handle_invalid='skip'`` leaves such rows out, from training
+    and from scoring, and ``'keep'`` carries them as NaN: both must be asked for."""
     return VectorAssembler(inputCols=list(FEATURES if features is None else features),
                            outputCol=out, handleInvalid=handle_invalid)
 
@@ -36,16 +37,26 @@ def random_split(df: DataFrame, train_size: float = 0.8, seed: int = 42):
 
 
 def hash_bucket(key: str = "id", seed: int = 42, buckets: int = 10000):
-    return F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(buckets))
+    """Bucket of a row from the first 32 bits of md5('key:seed'): any SQL
+    engine gives the same."""
+    text = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets
+
+
+def with_side(df: DataFrame, train_size: float = 0.8, key: str = "id", seed: int = 42, buckets: int = 10000,
+              out: str = "side") -> DataFrame:
+    """M2 as a column: ``train`` or ``test`` (one plan for both sides)."""
+    return df.withColumn(out, F.when(hash_bucket(key, seed, buckets) < int(round(train_size * buckets)), "train")
+                         .otherwise("test"))
 
 
 def hash_split(df: DataFrame, train_size: float = 0.8, key: str = "id", seed: int = 42,
                buckets: int = 10000):
     """M2, stable: a row's side depends on its key only, so repartitioning,
-    retries and lost executors never move a row between train and test."""
-    b = hash_bucket(key, seed, buckets)
-    cut = int(round(train_size * buckets))
-    return df.filter(b < cut), df.filter(b >= cut)
+    retries and lost executors never move a row between train and test.
+    Write or persist ``df`` first if both sides are used: each runs its plan."""
+    sided = with_side(df, train_size, key, seed, buckets, "_side")
+    return tuple(sided.filter(F.col("_side") == s).drop("_side") for s in ("train", "test"))
 
 
 def make_estimator(model_type: str = "logistic", label_col: str = "goal",
@@ -60,7 +71,7 @@ def make_estimator(model_type: str = "logistic", label_col: str = "goal",
                                       numTrees=num_trees or 100, **kw)
     if model_type == "mlp":
         if layers is None:
-            raise ValueError("Layers must be specified for MLP model")
+            raise ValueError("an MLP needs its layer sizes")
         return MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col,
                                               maxIter=max_iter, layers=layers, blockSize=128, seed=1234)
     if model_type == "gbt":
@@ -73,15 +84,15 @@ def make_estimator(model_type: str = "logistic", label_col: str = "goal",
         return LinearSVC(featuresCol=features_col, labelCol=label_col, maxIter=max_iter)
     if model_type == "nb":
         return NaiveBayes(featuresCol=features_col, labelCol=label_col, modelType="multinomial")
-    raise ValueError(f"Unsupported model type: {model_type}")
+    raise ValueError(f"no such model: {model_type!r}; known are {', '.join(MODELS)}")
 
 
 def train(train_df: DataFrame, model_type: str = "logistic", features: list[str] | None = None,
-          label_col: str = "goal", handle_invalid: str = "skip", cache: bool = True, **kw) -> PipelineModel:
+          label_col: str = "goal", handle_invalid: str = "error", cache: bool = True, **kw) -> PipelineModel:
     """Assembler + estimator fitted as one pipeline (eager)."""
     feats = list(FEATURES if features is None else features)
     if model_type == "mlp" and kw.get("layers") is None:
-        raise ValueError("Layers must be specified for MLP model")
+        raise ValueError("an MLP needs its layer sizes")
     est = make_estimator(model_type, label_col=label_col, **kw)
     pipe = Pipeline(stages=[assembler(feats, handle_invalid=handle_invalid), est])
     if not cache:
@@ -126,7 +137,7 @@ def feature_importance(model: PipelineModel, spark=None) -> DataFrame:
     elif hasattr(m, "coefficients"):
         values = m.coefficients.toArray().tolist()
     else:
-        raise ValueError("The model does not support feature importances or coefficients.")
+        raise ValueError(f"{type(m).__name__} has neither importances nor coefficients")
     if len(values) != len(names):
         raise ValueError("feature count does not match the model")
     from pyspark.sql import SparkSession

@@ -1,10 +1,12 @@
 """Running sums that stay parallel when one group is huge.
 
-A window ``partitionBy(keys).orderBy(order)`` puts every row of a group in
-one task.  Here the rows are range-partitioned on ``keys + order`` (so a hot
-group is cut into many partitions), each partition computes its own running
-sums, and the sum of all earlier partitions of the same group is added from a
-table with one row per (partition, group) pair.
+A window ``partitionBy(keys).orderBy(order)`` puts every row of a group in one
+task.  Here the rows are first summed per tick (the leading order columns, a
+game-clock second), with map-side partial sums; the window runs over that
+small table, at most one row per tick and group; its totals before each tick
+are joined back, and only the rows of one tick are ordered among themselves.
+A hot group is therefore spread over its ticks.  Nothing runs while the plan
+is built.
 """
 
 from __future__ import annotations
@@ -12,40 +14,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.session import ensure_checkpoint_dir
 
-
-def running_sum(df: DataFrame, keys: list[str], order: list[str], values: list[str],
-                outs: list[str], partitions: int | None = None) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], ticks: list[str], tie: list[str], values: list[str],
+                outs: list[str]) -> DataFrame:
     """Adds ``outs[i] = sum(values[i])`` over rows of the same ``keys`` up to
-    and including the current row in ``order`` (nulls ignored; null until the
-    first non-null value, like SQL ``SUM`` over a ROWS frame).  ``order`` must
-    make rows unique within a group for a deterministic result."""
-    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The partition id must be the same in both branches below (local sums
-    # and piece totals).  Two separate range shuffles would each sample their
-    # own bounds, so the partitioned rows become one checkpointed dataset in
-    # the shared checkpoint folder: both branches read the same shuffle, and
-    # after the first job the rows come from reliable storage, so a lost
-    # executor cannot change an id.
-    ensure_checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in keys + order])
-           .withColumn("_pid", F.spark_partition_id())
-           .checkpoint(eager=False))
-    w = (Window.partitionBy("_pid", *keys).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = r.withColumns({f"_loc{i}": F.sum(v).over(w) for i, v in enumerate(values)})
-    # Totals of each (partition, group) piece: at most partitions + groups rows.
-    pieces = r.groupBy("_pid", *keys).agg(*[F.sum(v).alias(f"_tot{i}") for i, v in enumerate(values)])
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select("_pid", *keys, *[F.sum(f"_tot{i}").over(before).alias(f"_off{i}")
-                                             for i in range(len(values))])
-    joined = local.join(offsets, ["_pid", *keys], "left")
+    and including the current row in (``ticks``, ``tie``) order (nulls
+    ignored; null until the first non-null value, like SQL ``SUM`` over a ROWS
+    frame).  Null keys and ticks form groups like any value; ``tie`` must make
+    rows unique within a tick for a deterministic result."""
+    # a struct is never null, so null keys meet in the join; the join and the
+    # window within a tick share one exchange
+    rows = df.withColumn("_tick", F.struct(*keys, *ticks))
+    per = rows.groupBy("_tick").agg(*[F.sum(v).alias(f"_tot{i}") for i, v in enumerate(values)])
+    before = (Window.partitionBy(*[F.col(f"_tick.{k}") for k in keys]).orderBy(*[F.col(f"_tick.{t}") for t in ticks])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per.select("_tick", *[F.sum(f"_tot{i}").over(before).alias(f"_off{i}") for i in range(len(values))])
+    within = Window.partitionBy("_tick").orderBy(*tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.join(offsets, "_tick").withColumns(
+        {f"_loc{i}": F.sum(v).over(within) for i, v in enumerate(values)})
     cols = {}
     for i, o in enumerate(outs):
         loc, off = F.col(f"_loc{i}"), F.col(f"_off{i}")
         # null + null stays null (nothing seen yet); otherwise nulls count as 0
         cols[o] = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
             F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
-    drop = ["_pid"] + [f"_loc{i}" for i in range(len(values))] + [f"_off{i}" for i in range(len(values))]
+    drop = ["_tick"] + [f"_loc{i}" for i in range(len(values))] + [f"_off{i}" for i in range(len(values))]
     return joined.withColumns(cols).drop(*drop)

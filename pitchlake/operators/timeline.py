@@ -2,8 +2,9 @@
 
 All matches are answered in one job; the published per-match driver loop
 with pandas merge and forward fill becomes a union with a tick grid
-generated on the executors and one running sum that is split across tasks
-when a (match, team) group is large.
+generated on the executors and one running sum that is split by ticks
+when a (match, team) group is large.  Rows without a match or team have no
+timeline.
 """
 
 from __future__ import annotations
@@ -29,15 +30,16 @@ def running_total(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("c
     """Running sum of each ``xg_cols`` per (match, team) in game-clock order
     (W1; several columns share one pass, W3).  ``id`` breaks ties, D6.
 
-    ``method='prefix'`` (default) splits a large (match, team) group over many
-    tasks (:func:`running_sum`); ``'window'`` is the single-window form, one
-    task per group."""
-    keys, order = ["match_id", "team"], _order(by_period)
+    ``method='prefix'`` (default) splits a large (match, team) group by its
+    ticks (:func:`running_sum`); ``'window'`` is the single-window form, one
+    task per group.  The result has no order of its own; see
+    :func:`in_clock_order`."""
+    keys, ticks = ["match_id", "team"], _order(by_period)[:-1]
     if method == "window":
         w = running_window(by_period)
         out = shots.withColumns({dst: F.sum(src).over(w) for src, dst in zip(xg_cols, out_cols)})
     elif method == "prefix":
-        out = running_sum(shots, keys, order, list(xg_cols), list(out_cols))
+        out = running_sum(shots, keys, ticks, ["id"], list(xg_cols), list(out_cols))
     else:
         raise ValueError("method must be 'prefix' or 'window'")
     if scale is not None:
@@ -67,11 +69,11 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     """
     if by_period:
         return _tick_grid_by_period(shots, list(xg_cols), list(out_cols), goal_col, pad, scale)
-    shots = shots.filter(F.col("team").isNotNull())
+    shots = shots.filter(F.col("team").isNotNull() & F.col("match_id").isNotNull())
     keys = ["match_id", "team"]
     tick = F.col("minute") * 60 + F.col("second")
     s = shots.select(*keys, "minute", "second", "id", goal_col, *xg_cols)
-    shot_rows = running_sum(s, keys, ["minute", "second", "id"], list(xg_cols), list(out_cols))
+    shot_rows = running_sum(s, keys, ["minute", "second"], ["id"], list(xg_cols), list(out_cols))
 
     # One aggregate over the shots: xG per shot tick.  Everything after runs on
     # at most one row per second of the clock per (match, team).
@@ -93,10 +95,9 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
                     *[F.lit(None).cast("double").alias(f"c{i}") for i in range(len(xg_cols))])
     both = F.when(F.col("_first"), F.array(head, gap)).otherwise(F.array(gap))
     gaps = steps.select(*keys, F.explode(both).alias("g")).filter(F.col("g.b") > F.col("g.a") + 1)
-    # Each gap expands to up to thousands of ticks.  Its input is small, so
-    # adaptive execution would pack it into very few partitions; spread it
-    # over the shuffle partitions first so the expansion runs in parallel.
-    gaps = gaps.repartition(int(shots.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "g.a")
+    # Each gap expands to up to thousands of ticks: deal the gaps out first,
+    # so that the expansion runs in parallel.
+    gaps = gaps.repartition(*keys, "g.a")
     gap_rows = gaps.select(*keys, *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
                            F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
     grid = gap_rows.select(*keys, (F.col("_g") / 60).cast("int").alias("minute"),
@@ -122,9 +123,9 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
     per-segment tables (teams x periods per match)."""
     keys = ["match_id", "team"]
     n = len(xg_cols)
-    s = (shots.filter(F.col("team").isNotNull())
+    s = (shots.filter(F.col("team").isNotNull() & F.col("match_id").isNotNull())
               .select(*keys, "period", "minute", "second", "id", goal_col, *xg_cols))
-    shot_rows = running_sum(s, keys, ["period", "minute", "second", "id"], xg_cols, out_cols)
+    shot_rows = running_sum(s, keys, ["period", "minute", "second"], ["id"], xg_cols, out_cols)
 
     wm = Window.partitionBy("match_id")
     per_mp = s.groupBy("match_id", "period").agg(F.min("minute").alias("_mn"), F.max("minute").alias("_mx"))
@@ -159,7 +160,7 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
         *keys, "period", F.struct(F.col("_t").alias("a"), F.coalesce("_nt", "_stop").alias("b"),
                                   *[F.col(f"_c{i}").alias(f"c{i}") for i in range(n)]).alias("g"))
     gaps = heads.unionByName(tails).filter(F.col("g.b") > F.col("g.a") + 1)
-    gaps = gaps.repartition(int(shots.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "g.a")
+    gaps = gaps.repartition(*keys, "g.a")
     gap_rows = gaps.select(*keys, "period", *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
                            F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
     grid = gap_rows.select(*keys, "period", (F.col("_g") / 60).cast("int").alias("minute"),
@@ -174,6 +175,12 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
                     *[cols[c].alias(c) for c in out_cols], decimal_clock().alias("time"))
 
 
+def in_clock_order(timeline: DataFrame, by_period: bool = False) -> DataFrame:
+    """The timeline sorted by match, team and clock (T5): a range exchange, so
+    the order holds over all partitions of the result."""
+    return timeline.orderBy("match_id", "team", *_order(by_period))
+
+
 def timeline_extent(timeline: DataFrame, value_col: str = "cxg", floor: float = 1.0) -> DataFrame:
     """Per match: the last minute, the number of teams and the largest
     cumulative value floored at ``floor`` (A13: what sizes the published

@@ -8,6 +8,9 @@ text is only ever executed by the external checker, never by this library.
 from __future__ import annotations
 
 from pitchlake.binding import BINDING_SQL, FRAME_SQL
+from pitchlake.schemas import PASS_FLAGS
+
+_PASS_FLAGS_SQL = ", ".join(PASS_FLAGS)
 
 _TRI_WHOLE = "abs(s.x*(36e0-44e0) + 120e0*(44e0-s.y) + 120e0*(s.y-36e0))/2e0"
 _TRI_PARTS = ("(abs(s.x*(36e0-fr.py) + 120e0*(fr.py-s.y) + fr.px*(s.y-36e0))/2e0"
@@ -38,15 +41,17 @@ SHOT_COLUMNS_SQL = """s.id, s.player, s.player_id, s.match_id, s.team, s.period,
   CASE WHEN s.shot_technique='Backheel' THEN 1 ELSE 0 END AS backheel_technique,
   CASE WHEN s.shot_technique='Diving Header' THEN 1 ELSE 0 END AS diving_h_technique,
   coalesce(CAST(s.under_pressure AS INT),0) AS under_pressure,
-  0 AS shot_aerial_won, 0 AS shot_first_time,
+  coalesce(CAST(s.shot_aerial_won AS INT),0) AS shot_aerial_won,
+  coalesce(CAST(s.shot_first_time AS INT),0) AS shot_first_time,
   CASE WHEN s.shot_type='Penalty' THEN 1 ELSE coalesce(CAST(s.shot_one_on_one AS INT),0) END AS shot_one_on_one,
-  0 AS shot_open_goal, 0 AS shot_follows_dribble,
-  CASE WHEN s.shot_type='Penalty' THEN 1 WHEN s.n_frame>0 THEN CAST(coalesce(i.n,0) AS INT) END AS players_inside_area,
+  coalesce(CAST(s.shot_open_goal AS INT),0) AS shot_open_goal,
+  coalesce(CAST(s.shot_follows_dribble AS INT),0) AS shot_follows_dribble,
+  CASE WHEN s.shot_type='Penalty' THEN 1 WHEN s.n_frame>0 THEN CAST(coalesce(i.n,0) AS INT)
+       WHEN s.empty_frame THEN 0 END AS players_inside_area,
   CASE WHEN p.pass_assisted_shot_id IS NOT NULL THEN 1 ELSE 0 END AS assisted,
   coalesce(p.pass_height,-1) AS pass_height, coalesce(p.pass_length,0e0) AS pass_length,
   coalesce(p.pass_angle,4e0) AS pass_angle,
-  0 AS pass_aerial_won, 0 AS pass_cross, 0 AS pass_cut_back, 0 AS pass_switch, 0 AS pass_through_ball,
-  0 AS pass_inswinging, 0 AS pass_outswinging, 0 AS pass_straight, 0 AS pass_no_touch,
+  """ + ", ".join(f"coalesce(CAST(p.{c} AS INT),0) AS {c}" for c in PASS_FLAGS) + """,
   s.shot_outcome, s.shot_end_location, 120e0 AS shot_end_x, s.id*31%801/10e0 AS shot_end_y,
   CASE WHEN s.shot_statsbomb_xg >= 0.5e0 THEN 1 ELSE 0 END AS sb_prediction,
   s.shot_statsbomb_xg, CASE WHEN s.shot_outcome='Goal' THEN 1 ELSE 0 END AS goal, s.team_id"""
@@ -58,13 +63,13 @@ def shots_ctes(season: str | None = None, one_per_shot: bool = False) -> str:
     if one_per_shot:
         pa = ("pa AS (SELECT * FROM (SELECT pass_assisted_shot_id, "
               "CASE pass_height WHEN 'Ground Pass' THEN 0 WHEN 'Low Pass' THEN 1 ELSE 2 END AS pass_height, "
-              "pass_length, pass_angle, row_number() OVER (PARTITION BY pass_assisted_shot_id "
+              f"pass_length, pass_angle, {_PASS_FLAGS_SQL}, row_number() OVER (PARTITION BY pass_assisted_shot_id "
               "ORDER BY period DESC, minute DESC, second DESC, id DESC) AS rn FROM ev "
               "WHERE pass_assisted_shot_id IS NOT NULL) WHERE rn = 1)")
     else:
         pa = ("pa AS (SELECT pass_assisted_shot_id, "
               "CASE pass_height WHEN 'Ground Pass' THEN 0 WHEN 'Low Pass' THEN 1 ELSE 2 END AS pass_height, "
-              "pass_length, pass_angle FROM ev WHERE pass_assisted_shot_id IS NOT NULL)")
+              f"pass_length, pass_angle, {_PASS_FLAGS_SQL} FROM ev WHERE pass_assisted_shot_id IS NOT NULL)")
     return f"""WITH b AS ({BINDING_SQL}),
 fr AS ({FRAME_SQL}),
 ev AS (SELECT * FROM b WHERE (type='Shot' OR pass_assisted_shot_id IS NOT NULL){season_cond}),

@@ -17,13 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions.encode import flag, used_preferred_foot, vendor_label
-from pitchlake.operators.assists import assisting_passes
+from pitchlake.operators.assists import assist_columns, assisting_passes, join_assist
 from pitchlake.operators.encode import dummy_columns, flag_columns
 from pitchlake.operators.frames import players_inside_area
 from pitchlake.operators.players import preferred_foot_table
 from pitchlake.operators.spatial import geometry_columns, point_columns
-from pitchlake.schemas import (BOOLEAN_INPUTS, EVENTS, GOAL_X, GOAL_Y1, GOAL_Y2, PASS_ANGLE_MISSING,
-                               PASS_COLUMNS, PASS_HEIGHT_MISSING, PASS_LENGTH_MISSING, VARIABLES)
+from pitchlake.schemas import BOOLEAN_INPUTS, EVENTS, GOAL_X, GOAL_Y1, GOAL_Y2, PASS_COLUMNS, VARIABLES
 
 
 def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
@@ -37,20 +36,12 @@ def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
 
 def _feature_columns(geometry: dict) -> dict:
     """Every output column that is a per-row expression of the joined shot."""
-    pass_flags = [c for c in PASS_COLUMNS if c not in ("pass_assisted_shot_id", "pass_height",
-                                                        "pass_length", "pass_angle")]
-    shot_flags = [c for c in BOOLEAN_INPUTS if c not in pass_flags]
     cols = dict(geometry)
     cols["preferred_foot_shot"] = flag(used_preferred_foot("preferred_foot", "shot_body_part"))
     cols.update(dummy_columns())
-    cols.update(flag_columns(shot_flags + ["goal"] + pass_flags))
-    cols.update({
-        "assisted": F.when(F.col("pass_assisted_shot_id").isNotNull(), 1).otherwise(0),
-        "pass_height": F.coalesce(F.col("pass_height"), F.lit(PASS_HEIGHT_MISSING)),
-        "pass_angle": F.coalesce(F.col("pass_angle"), F.lit(PASS_ANGLE_MISSING)),
-        "pass_length": F.coalesce(F.col("pass_length"), F.lit(PASS_LENGTH_MISSING)),
-        "sb_prediction": vendor_label("shot_statsbomb_xg"),
-    })
+    cols.update(flag_columns([*BOOLEAN_INPUTS, "goal"]))
+    cols.update(assist_columns())
+    cols["sb_prediction"] = vendor_label("shot_statsbomb_xg")
     return cols
 
 
@@ -79,8 +70,7 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
     # shot rows: parsed point, then the frame count (frames never leave their row)
     shots = ev.filter(F.col("type") == "Shot").drop(*PASS_COLUMNS).withColumns(point_columns())
     shots = players_inside_area(shots, missing_frame, goal_x, goal_y1, goal_y2, keep_frame=keep_frame)
-    joined = (shots.join(feet, "player_id", "left")
-                   .join(passes, F.col("id") == passes["pass_assisted_shot_id"], "left"))
+    joined = join_assist(shots.join(feet, "player_id", "left"), passes)
     cols = _feature_columns(geometry_columns(goal_x, goal_y1, goal_y2))
     wanted = list(VARIABLES if variables is None else variables)
     wanted += [c for c in extra if c in joined.columns and c not in wanted]

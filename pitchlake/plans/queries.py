@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.binding import events_view
+from pitchlake.binding import BINDING, events_view
 from pitchlake.operators import explore, metrics, ml, timeline
 from pitchlake.operators.assists import assisting_passes, attach_assist
 from pitchlake.operators.encode import bool_to_int, create_dummies, with_vendor_label
@@ -21,7 +21,8 @@ from pitchlake.operators.spatial import spatial
 from pitchlake.plans.oracle import binding_ctes, shots_ctes
 from pitchlake.plans.pipeline import shot_features, shots_or_assists
 from pitchlake.functions.encode import preferred_foot
-from pitchlake.schemas import BOOL_TO_INT, DUMMIES, FEATURES, FEATURES_NP
+from pitchlake.schemas import (BOOL_TO_INT, COMPETITION_SCHEMA, DUMMIES, EVENT_SCHEMA, FEATURES, FEATURES_NP,
+                               MATCH_SCHEMA)
 from pitchlake.sinks.writers import write_batches, write_csv, write_parquet, write_split
 from pitchlake.session import scratch_dir
 from pitchlake.sources import readers
@@ -149,15 +150,9 @@ def landed_scan(spark, sf):
     _competitions(ev).write.mode("overwrite").json(f"{base}/competitions")
     _matches(ev).write.mode("overwrite").parquet(f"{base}/matches")
     ev.drop("competition", "season").write.mode("overwrite").parquet(f"{base}/events")
-    comp_schema = T.StructType([T.StructField("competition_id", T.IntegerType()),
-                                T.StructField("season_id", T.IntegerType()),
-                                T.StructField("competition_name", T.StringType()),
-                                T.StructField("competition_gender", T.StringType()),
-                                T.StructField("season_name", T.StringType()),
-                                T.StructField("competition_youth", T.BooleanType()),
-                                T.StructField("match_updated", T.StringType())])
-    comps = readers.filter_competitions(readers.read_table(spark, f"{base}/competitions", "json", comp_schema))
-    matches = readers.matches_for(readers.read_table(spark, f"{base}/matches"), comps)
+    comps = readers.filter_competitions(readers.read_table(spark, f"{base}/competitions", "json", COMPETITION_SCHEMA))
+    matches = readers.matches_for(
+        readers.read_table(spark, f"{base}/matches", schema=MATCH_SCHEMA), comps)
     events = readers.attach_match(readers.read_table(spark, f"{base}/events"), matches)
     return events.groupBy("match_id", "competition", "season").agg(
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("type") == "Shot").cast("bigint").alias("shots"))
@@ -250,7 +245,12 @@ _FLAG_COLS = [c for c in BOOL_TO_INT if c not in ("preferred_foot_shot", "goal")
 
 
 @register("bool_flags", shots_ctes() + """
-SELECT DISTINCT id, """ + ", ".join(_FLAG_COLS) + """, pk_type, sb_prediction FROM shots""")
+SELECT id, """ + ", ".join(
+    f"CASE WHEN shot_type='Penalty' THEN 1 ELSE coalesce(CAST({c} AS INT), 0) END AS {c}" if c == "shot_one_on_one"
+    else f"coalesce(CAST({c} AS INT), 0) AS {c}" for c in _FLAG_COLS) + """,
+  CASE WHEN shot_type='Penalty' THEN 1 ELSE 0 END AS pk_type,
+  CASE WHEN shot_statsbomb_xg >= 0.5e0 THEN 1 ELSE 0 END AS sb_prediction
+FROM ev WHERE type='Shot'""")
 def bool_flags(spark, sf):
     ev = _events(spark, sf, frames=False).filter(F.col("type") == "Shot")
     out = with_vendor_label(bool_to_int(create_dummies(ev), _FLAG_COLS))
@@ -266,30 +266,34 @@ def shot_features_q(spark, sf):
 
 # ------------------------------------------------------------------ S6, S10 conform
 
-@register("conform_schema", binding_ctes() + """
-SELECT CAST(id AS VARCHAR) AS id, match_id, type, shot_statsbomb_xg, CAST(NULL AS BOOLEAN) AS shot_aerial_won,
-  CAST(minute AS BIGINT) AS minute FROM b""")
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+_CONFORM_MISSING = ("shot_aerial_won", "pass_height")
+
+
+def _conform_sql() -> str:
+    bound = {n for n, _ in BINDING} - set(_CONFORM_MISSING)
+    cols = [f'CAST({f.name if f.name in bound else "NULL"} AS {_DUCK_TYPES[f.dataType.simpleString()]}) AS "{f.name}"'
+            for f in EVENT_SCHEMA.fields]
+    return binding_ctes() + "SELECT " + ", ".join(cols) + " FROM b"
+
+
+@register("conform_schema", _conform_sql())
 def conform_schema(spark, sf):
-    ev = _events(spark, sf, frames=False).drop("shot_aerial_won")
-    readers.require_columns(ev, ["id", "match_id", "type"])
-    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("match_id", T.LongType()),
-                           T.StructField("type", T.StringType()),
-                           T.StructField("shot_statsbomb_xg", T.DoubleType()),
-                           T.StructField("shot_aerial_won", T.BooleanType()),
-                           T.StructField("minute", T.LongType())])
-    return readers.conform(ev, schema)
+    """All declared event columns, from a table with some missing and some extra."""
+    ev = _events(spark, sf, frames=False).drop(*_CONFORM_MISSING).withColumn("vendor_extra", F.lit("x"))
+    return readers.conform(readers.require_columns(ev, ["id", "match_id", "type"]), EVENT_SCHEMA)
 
 
 # ------------------------------------------------------------------ S7, W4, J5, F15
 
 @register("match_batch", binding_ctes() + """,
-m AS (SELECT match_id, (row_number() OVER (ORDER BY match_id) - 1) // 10 AS batch FROM (SELECT DISTINCT match_id FROM b) d)
+m AS (SELECT match_id, (row_number() OVER (ORDER BY match_id) - 1) // 10 AS batch FROM (SELECT DISTINCT match_id FROM b WHERE match_id IS NOT NULL) d)
 SELECT m.batch, count(DISTINCT b.match_id) AS matches, count(*) AS events,
   count(*) FILTER (WHERE b.type='Shot') AS shots
 FROM b JOIN m ON b.match_id = m.match_id GROUP BY m.batch""")
 def match_batch(spark, sf):
     ev = _events(spark, sf, frames=False)
-    matches = readers.match_batches(ev.select("match_id").distinct(), batch_size=10)
+    matches = readers.match_batches(ev.filter("match_id IS NOT NULL").select("match_id").distinct(), batch_size=10)
     path = scratch_dir(spark, "batches")
     write_batches(ev.join(matches.select("match_id", "batch"), "match_id").select("batch", "match_id", "type"), path)
     # the partition column comes back with an inferred type: restore the long
@@ -317,9 +321,16 @@ def attach_match_q(spark, sf):
 # ------------------------------------------------------------------ S4, U2 lineups
 
 @register("lineup_flatten", binding_ctes() + """
-SELECT DISTINCT match_id, team, player_id, player AS player_name FROM b""")
+SELECT DISTINCT match_id, team, player_id, player AS player_name FROM b WHERE team IS NOT NULL""")
 def lineup_flatten(spark, sf):
-    ev = _events(spark, sf, frames=False)
+    path = scratch_dir(spark, "lineups")
+    _land_lineups(_events(spark, sf, frames=False), path)
+    return readers.read_lineups(spark, path).select("match_id", "team", "player_id", "player_name")
+
+
+def _land_lineups(ev: DataFrame, path: str) -> None:
+    """Land team sheets as JSON, one object per match with a team -> players map."""
+    ev = ev.filter("team IS NOT NULL")
     # distinct first: a team sheet is a few dozen players however many events
     # a match has, so the collected arrays stay small
     per_team = (ev.select("match_id", "team", F.struct("player_id", F.col("player").alias("player_name")).alias("p"))
@@ -327,11 +338,89 @@ def lineup_flatten(spark, sf):
                   .groupBy("match_id", "team").agg(F.collect_list("p").alias("players")))
     lineups = per_team.groupBy("match_id").agg(
         F.map_from_entries(F.collect_list(F.struct("team", "players"))).alias("teams"))
-    # land as JSON (one object per match with a team -> players map) and read
-    # back with the declared lineup schema (S3), then flatten
-    path = scratch_dir(spark, "lineups")
     lineups.write.json(path)
-    return readers.read_lineups(spark, path).select("match_id", "team", "player_id", "player_name")
+
+
+# ------------------------------------------------------------------ S3, S9, J5, K4, K5 rows of chosen matches
+
+_KEPT_SQL = """,
+kept AS (SELECT * FROM comps WHERE competition_gender='male' AND season_name > '2014'
+  AND competition_name NOT IN ('Indian Super league', 'Major League Soccer')),
+m AS (SELECT DISTINCT match_id, competition, season FROM b JOIN kept
+  ON CAST(regexp_extract(b.competition, '(\\d+)$', 1) AS INT) = kept.competition_id
+  AND CASE WHEN b.season='2014/2015' THEN 1 ELSE 2 END = kept.season_id WHERE match_id IS NOT NULL)
+"""
+
+
+def _chosen_matches(ev: DataFrame) -> DataFrame:
+    return readers.matches_for(_matches(ev), readers.filter_competitions(_competitions(ev)))
+
+
+@register("matches_rows", binding_ctes() + ", " + _COMPS_SQL + _KEPT_SQL + """
+SELECT id, match_id, type FROM b WHERE match_id IN (SELECT match_id FROM m)""")
+def matches_rows(spark, sf):
+    """Events of the chosen matches, unstamped."""
+    ev = _events(spark, sf, frames=False)
+    return readers.rows_of_matches(ev, _chosen_matches(ev)).select("id", "match_id", "type")
+
+
+@register("frames_split", binding_ctes(frames=True) + ", " + _COMPS_SQL + _KEPT_SQL + """
+SELECT m.competition, count(*) AS players, count(DISTINCT b.id) AS shots, count(DISTINCT b.match_id) AS matches
+FROM fr JOIN b ON b.id = fr.id JOIN m ON m.match_id = b.match_id AND m.competition = b.competition
+WHERE b.type='Shot' AND b.shot_type <> 'Penalty' GROUP BY m.competition""")
+def frames_split(spark, sf):
+    """A landed frames table (one row per frame player), the rows of chosen
+    matches, split by competition; competitions without frames give no folder
+    (S9, J5, K4, K6)."""
+    ev = _events(spark, sf)
+    base = scratch_dir(spark, "frames")
+    shots = ev.filter(F.col("type") == "Shot")
+    frame_players(shots).join(shots.select("id", "match_id"), "id").write.parquet(f"{base}/landed")
+    matches = _chosen_matches(ev)
+    frames = readers.rows_of_matches(readers.read_table(spark, f"{base}/landed"), matches)
+    stamped = readers.attach_match(frames, matches, cols=("competition",))
+    write_split(stamped, f"{base}/split", key="competition", max_records_per_file=50_000)
+    return spark.read.parquet(f"{base}/split").groupBy("competition").agg(
+        F.count(F.lit(1)).alias("players"), F.countDistinct("id").alias("shots"),
+        F.countDistinct("match_id").alias("matches"))
+
+
+@register("lineups_split", binding_ctes() + ", " + _COMPS_SQL + _KEPT_SQL + """
+SELECT m.competition, count(*) AS rows, count(DISTINCT l.match_id) AS matches, CAST(1 AS BIGINT) AS files
+FROM (SELECT DISTINCT match_id, team, player_id, player FROM b WHERE team IS NOT NULL) l
+JOIN m ON m.match_id = l.match_id GROUP BY m.competition""")
+def lineups_split(spark, sf):
+    """Lineups of the chosen matches, split by competition, one file each (S3,
+    J5, K5, K6)."""
+    ev = _events(spark, sf, frames=False)
+    base = scratch_dir(spark, "lineups")
+    _land_lineups(ev, f"{base}/landed")
+    matches = _chosen_matches(ev)
+    rows = readers.rows_of_matches(readers.read_lineups(spark, f"{base}/landed"), matches)
+    write_split(readers.attach_match(rows, matches, cols=("competition",)), f"{base}/split", one_file=True)
+    back = spark.read.parquet(f"{base}/split").select("*", F.col("_metadata.file_path").alias("file"))
+    return back.groupBy("competition").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("match_id").alias("matches"),
+                                           F.countDistinct("file").alias("files"))
+
+
+# ------------------------------------------------------------------ S8 rejects
+
+@register("reject_rows", binding_ctes() + """
+SELECT CASE WHEN id%50=7 THEN 'rejected' ELSE 'good' END AS kind, count(*) AS rows,
+  CAST(sum(CASE WHEN id%50=7 THEN 0 ELSE id END) AS BIGINT) AS ids FROM b GROUP BY 1""")
+def reject_rows(spark, sf):
+    """Land events as JSON lines, some cut off; both sides of the read."""
+    ev = _events(spark, sf, frames=False).select("id", "match_id", "type", "minute")
+    path = scratch_dir(spark, "rejects")
+    line = F.to_json(F.struct("id", "match_id", "type", "minute"))
+    ev.select(F.when(F.col("id") % 50 == 7, F.expr("substring(" + "to_json(struct(id, match_id, type, minute))" + ", 1, 20)"))
+              .otherwise(line)).write.text(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("match_id", T.LongType()),
+                           T.StructField("type", T.StringType()), T.StructField("minute", T.IntegerType())])
+    good, bad = readers.read_events_checked(spark, path, schema)
+    both = good.select(F.lit("good").alias("kind"), "id").unionByName(
+        bad.select(F.lit("rejected").alias("kind"), F.lit(0).cast("bigint").alias("id")))
+    return both.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
 
 
 # ------------------------------------------------------------------ A12, F15, A1, T2
@@ -380,6 +469,23 @@ def csv_round_trip(spark, sf):
                                    F.coalesce(F.size("frame"), F.lit(0)).cast("int").alias("frame_players"))
 
 
+@register("csv_comma", """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders""")
+def csv_comma(spark, sf):
+    """Comma CSV written and read with a declared schema."""
+    o = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    path = scratch_dir(spark, "comma")
+    write_csv(o, path, sep=",")
+    return readers.read_table(spark, path, "csv", schema=o.schema, sep=",")
+
+
+@register("persisted_counts", shots_ctes() + "SELECT team, count(*) AS shots FROM shots GROUP BY team")
+def persisted_counts(spark, sf):
+    """The feature table persisted and filled once, then read (K8)."""
+    return _shots(spark, sf, persist=True).groupBy("team").agg(F.count(F.lit(1)).alias("shots"))
+
+
 # ------------------------------------------------------------------ typed ingest of text frames
 
 @register("ingest_typed_frames", shots_ctes() + """
@@ -406,19 +512,20 @@ def ingest_typed_frames(spark, sf):
 @register("stream_ingest", binding_ctes() + """
 SELECT competition, season, count(*) AS events, CAST(count(*) FILTER (WHERE type='Shot') AS BIGINT) AS shots,
   count(DISTINCT match_id) AS matches
-FROM b GROUP BY competition, season""")
+FROM b WHERE match_id IS NOT NULL GROUP BY competition, season""")
 def stream_ingest(spark, sf):
-    """Land the events as several files, ingest them with a file stream one
-    file per trigger, and summarise the sink table."""
+    """Land the events as several files, ingest them with a file stream, two
+    files per trigger, and summarise the sink table."""
     from pitchlake.streaming import run_ingest
 
     ev = _events(spark, sf, frames=False)
     base = scratch_dir(spark, "stream")
     landed = f"{base}/landed"
     ev.drop("competition", "season").repartition(5, "match_id").write.parquet(landed)
-    matches = ev.select("match_id", "competition", "season").distinct()
+    matches = ev.filter("match_id IS NOT NULL").select("match_id", "competition", "season").distinct()
     schema = spark.read.parquet(landed).schema
-    out = run_ingest(spark, landed, f"{base}/sink", f"{base}/checkpoint", schema, matches=matches)
+    out = run_ingest(spark, landed, f"{base}/sink", f"{base}/checkpoint", schema, matches=matches,
+                     files_per_trigger=2)
     return out.groupBy("competition", "season").agg(
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("type") == "Shot").cast("bigint").alias("shots"),
         F.countDistinct("match_id").alias("matches"))
@@ -481,16 +588,28 @@ def confusion_labels(spark, sf):
 
 @register("confusion_table", shots_ctes() + """
 SELECT goal, CAST(count(*) FILTER (WHERE sb_prediction=0) AS BIGINT) AS sb_prediction_0,
-  CAST(count(*) FILTER (WHERE sb_prediction=1) AS BIGINT) AS sb_prediction_1
+  CAST(count(*) FILTER (WHERE sb_prediction=1) AS BIGINT) AS sb_prediction_1,
+  CAST(0 AS BIGINT) AS sb_prediction_other, CAST(0 AS BIGINT) AS sb_prediction_null
 FROM shots GROUP BY goal""")
 def confusion_table(spark, sf):
     return metrics.confusion_table(_shots(spark, sf), "goal", "sb_prediction")
 
 
+@register("confusion_table_open", shots_ctes() + """
+SELECT goal, CAST(count(*) FILTER (WHERE players_inside_area=0) AS BIGINT) AS players_inside_area_0,
+  CAST(count(*) FILTER (WHERE players_inside_area=1) AS BIGINT) AS players_inside_area_1,
+  CAST(count(*) FILTER (WHERE players_inside_area NOT IN (0, 1)) AS BIGINT) AS players_inside_area_other,
+  CAST(count(*) FILTER (WHERE players_inside_area IS NULL) AS BIGINT) AS players_inside_area_null
+FROM shots GROUP BY goal""")
+def confusion_table_open(spark, sf):
+    """Values that are not listed, and nulls, are counted too."""
+    return metrics.confusion_table(_shots(spark, sf), "goal", "players_inside_area")
+
+
 @register("regression_metrics", shots_ctes() + """
 SELECT round(sse/n, 5) AS mse, round(sqrt(sse/n), 5) AS rmse, round(sae/n, 5) AS mae,
-  round(CASE WHEN saa - sa*sa/n > 0 THEN 1 - sse/(saa - sa*sa/n) END * 100, 2) AS r2
-FROM (SELECT CAST(count(*) AS DOUBLE) AS n, sum((a-p)*(a-p)) AS sse, sum(abs(a-p)) AS sae, sum(a) AS sa, sum(a*a) AS saa
+  round(CASE WHEN va > 0 THEN 1 - sse/(va*n) END * 100, 2) AS r2
+FROM (SELECT CAST(count(*) AS DOUBLE) AS n, sum((a-p)*(a-p)) AS sse, sum(abs(a-p)) AS sae, var_pop(a) AS va
       FROM (SELECT CAST(goal AS DOUBLE) AS a, shot_statsbomb_xg AS p FROM shots) x
       WHERE a IS NOT NULL AND p IS NOT NULL) s""")
 def regression_metrics(spark, sf):
@@ -515,32 +634,34 @@ def error_histogram(spark, sf):
 @register("goal_heatmap", shots_ctes() + """,
 c AS (SELECT CAST(least(49, floor(shot_location_x / (120e0/50))) AS INT) AS x_bin,
              CAST(least(49, floor(shot_location_y / (80e0/50))) AS INT) AS y_bin, count(*) AS n
-      FROM shots WHERE goal = 1 AND shot_location_x IS NOT NULL AND shot_location_y IS NOT NULL GROUP BY 1, 2)
+      FROM shots WHERE goal = 1 AND shot_location_x BETWEEN 0 AND 120 AND shot_location_y BETWEEN 0 AND 80 GROUP BY 1, 2)
 SELECT CAST(g.i // 50 AS INT) AS x_bin, CAST(g.i % 50 AS INT) AS y_bin, CAST(coalesce(c.n, 0) AS BIGINT) AS goals
 FROM (SELECT range AS i FROM range(0, 2500)) g LEFT JOIN c ON c.x_bin = g.i // 50 AND c.y_bin = g.i % 50""")
 def goal_heatmap(spark, sf):
     return explore.goal_heatmap(_shots(spark, sf))
 
 
-_CORR_FEATURES = ["distance_to_goal", "shot_angle", "players_inside_area", "assisted", "pass_length",
-                  "pass_angle", "header", "preferred_foot_shot", "shot_statsbomb_xg", "goal"]
+_CORR_FEATURES = [*FEATURES, "shot_statsbomb_xg", "goal"]
 
 
 def _corr_sql() -> str:
-    rows = []
-    for i, a in enumerate(_CORR_FEATURES):
-        for j, b in enumerate(_CORR_FEATURES):
-            if i == j:
-                rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, 1e0 AS r")
-            else:
-                x, y = (a, b) if i < j else (b, a)
-                rows.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({x}, {y}), 6) AS r FROM shots")
-    return shots_ctes() + "\n UNION ALL ".join(rows)
+    n = len(_CORR_FEATURES)
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
+    aggs = ", ".join(f"round(corr({_CORR_FEATURES[i]}, {_CORR_FEATURES[j]}), 6) AS p{i}_{j}" for i, j in pairs)
+    cells = ", ".join(
+        f"{{'col_a': '{a}', 'col_b': '{b}', 'r': " + ("1e0" if i == j else f"p{min(i, j)}_{max(i, j)}") + "}"
+        for i, a in enumerate(_CORR_FEATURES) for j, b in enumerate(_CORR_FEATURES))
+    return shots_ctes() + f""",
+known AS (SELECT *, coalesce(players_inside_area, 0) AS pia FROM shots WHERE distance_to_goal IS NOT NULL),
+one AS (SELECT {aggs.replace("players_inside_area", "pia")} FROM known)
+SELECT u.col_a, u.col_b, CASE WHEN isnan(u.r) THEN NULL ELSE u.r END AS r FROM (SELECT unnest([{cells}]) AS u FROM one)"""
 
 
 @register("correlation_pairs", _corr_sql())
 def correlation_pairs(spark, sf):
-    return explore.correlation_pairs(_shots(spark, sf), _CORR_FEATURES)
+    """All model inputs and both targets, over the shots whose point parses."""
+    known = _shots(spark, sf, missing_frame="zero").filter("distance_to_goal IS NOT NULL")
+    return explore.correlation_pairs(known)
 
 
 # ------------------------------------------------------------------ V5 F11-F13
@@ -566,6 +687,29 @@ def entity_shots(spark, sf):
     return explore.shot_distribution(s, cols, val="goal", t="goal")
 
 
+def _entity_query(name: str, sql: str, **kw):
+    @register(name, shots_ctes() + f"SELECT id, team_id, match_id, player_id FROM shots WHERE {sql}")
+    def q(spark, sf):
+        return explore.entity_filter(_shots(spark, sf), **kw).select("id", "team_id", "match_id", "player_id")
+    return q
+
+
+_entity_query("team_shots", "team_id = 1", team_id=1)
+_entity_query("match_shots", "match_id = 3", match_id=3)
+
+@register("player_shots", shots_ctes() + """
+SELECT id, team_id, match_id, player_id FROM shots WHERE player_id = 7""")
+def player_shots(spark, sf):
+    return explore.entity_filter(_shots(spark, sf), player_id=7).select("id", "team_id", "match_id", "player_id")
+
+
+@register("one_shot_picture", shots_ctes() + """
+SELECT s.id, fr.px AS x, fr.py AS y FROM shots s JOIN fr ON fr.id = s.id WHERE s.id = 83""")
+def one_shot_picture(spark, sf):
+    """Point lookup of a single shot."""
+    return explore.shot_picture(_shots(spark, sf, keep_frame=True), shot_id=83).select("id", "x", "y")
+
+
 @register("shot_picture", shots_ctes() + """
 SELECT s.id, s.shot_location_x, s.shot_location_y, s.shot_end_x, s.shot_end_y,
   CASE WHEN s.goal = 1 THEN 'goal' ELSE 'no_goal' END AS shot_class, round(s.shot_statsbomb_xg, 2) AS xg,
@@ -577,12 +721,15 @@ def shot_picture(spark, sf):
     return explore.shot_picture(_shots(spark, sf, keep_frame=True))
 
 
-@register("random_shots")
+@register("random_shots", shots_ctes(one_per_shot=True) + """
+SELECT * FROM shots ORDER BY md5(CAST(id AS VARCHAR) || ':7'), id LIMIT 25""")
 def random_shots(spark, sf):
-    return explore.random_rows(_shots(spark, sf), 25, seed=7)
+    return explore.random_rows(_shots(spark, sf, one_per_shot=True), 25, seed=7)
 
 
-@register("random_match")
+@register("random_match", shots_ctes() + """
+SELECT * FROM shots WHERE match_id = (SELECT match_id FROM shots WHERE match_id IS NOT NULL
+  ORDER BY md5(CAST(id AS VARCHAR) || ':7'), id LIMIT 1)""")
 def random_match(spark, sf):
     return explore.random_match(_shots(spark, sf), seed=7)
 
@@ -611,7 +758,7 @@ def running_total_pair(spark, sf):
 
 
 @register("tick_grid_timeline", shots_ctes() + """,
-t AS (SELECT match_id, team, minute, second, id, shot_statsbomb_xg, goal FROM shots WHERE team IS NOT NULL),
+t AS (SELECT match_id, team, minute, second, id, shot_statsbomb_xg, goal FROM shots WHERE team IS NOT NULL AND match_id IS NOT NULL),
 ends AS (SELECT DISTINCT match_id, team,
            CASE WHEN max(minute) OVER (PARTITION BY match_id) < 90 THEN 90 ELSE max(minute) OVER (PARTITION BY match_id) END AS last
          FROM t),
@@ -631,7 +778,7 @@ def tick_grid_timeline(spark, sf):
 
 @register("tick_grid_pair", shots_ctes() + """,
 t AS (SELECT match_id, team, minute, second, id, shot_statsbomb_xg, CAST(goal AS DOUBLE) AS goal_value, goal
-      FROM shots WHERE team IS NOT NULL),
+      FROM shots WHERE team IS NOT NULL AND match_id IS NOT NULL),
 ends AS (SELECT DISTINCT match_id, team,
            CASE WHEN max(minute) OVER (PARTITION BY match_id) < 90 THEN 91
                 ELSE max(minute) OVER (PARTITION BY match_id) + 1 END AS last
@@ -655,7 +802,7 @@ def tick_grid_pair(spark, sf):
 
 
 @register("tick_grid_by_period", shots_ctes() + """,
-t AS (SELECT match_id, team, period, minute, second, id, shot_statsbomb_xg, goal FROM shots WHERE team IS NOT NULL),
+t AS (SELECT match_id, team, period, minute, second, id, shot_statsbomb_xg, goal FROM shots WHERE team IS NOT NULL AND match_id IS NOT NULL),
 mp AS (SELECT match_id, period, min(minute) AS mn, max(minute) AS mx FROM t GROUP BY match_id, period),
 seg AS (SELECT match_id, period,
           CASE WHEN period = min(period) OVER (PARTITION BY match_id) THEN 0 ELSE mn * 60 END AS a,
@@ -679,6 +826,25 @@ def tick_grid_by_period(spark, sf):
     return timeline.tick_grid_timeline(_shots(spark, sf), by_period=True)
 
 
+@register("timeline_in_order", shots_ctes(one_per_shot=True) + """
+SELECT match_id, team, id, round(sum(shot_statsbomb_xg) OVER (PARTITION BY match_id, team ORDER BY minute, second, id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cxg,
+  row_number() OVER (ORDER BY match_id NULLS FIRST, team NULLS FIRST, minute, second, id) AS position
+FROM shots""")
+def timeline_in_order(spark, sf):
+    """The ordered timeline (T5), its place read off the sorted partitions:
+    position within the partition plus the rows of earlier ones."""
+    s = _shots(spark, sf, one_per_shot=True).select("match_id", "team", "minute", "second", "id", "shot_statsbomb_xg")
+    path = scratch_dir(spark, "ordered")
+    ordered = timeline.in_clock_order(timeline.running_total(s))
+    ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    before = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).select(
+        "_p", (F.sum("n").over(Window.orderBy("_p")) - F.col("n")).alias("before"))  # a row per partition
+    return rows.join(before, "_p").select(
+        "match_id", "team", "id", "cxg", (F.col("before") + F.col("_i").bitwiseAND((1 << 33) - 1) + 1).alias("position"))
+
+
 @register("timeline_extent", shots_ctes() + """
 SELECT match_id, max(minute) AS last_minute, count(DISTINCT team) AS teams, greatest(1e0, max(cxg)) AS y_max
 FROM (SELECT match_id, team, minute, round(sum(shot_statsbomb_xg) OVER (PARTITION BY match_id, team
@@ -706,77 +872,123 @@ def match_clock(spark, sf):
 
 # ------------------------------------------------------------------ M2 splits
 
-@register("hash_split")
+_SIDE_SQL = "CASE WHEN ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END"
+
+
+@register("hash_split", shots_ctes() + f"SELECT id, goal, {_SIDE_SQL} AS side FROM shots")
 def hash_split(spark, sf):
-    s = _shots(spark, sf).select("id", "goal")
-    train, test = ml.hash_split(s)
-    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return ml.with_side(_shots(spark, sf).select("id", "goal"))
 
 
-@register("hash_split_md5", shots_ctes() + """
-SELECT id, CASE WHEN ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS side
-FROM shots""")
-def hash_split_md5(spark, sf):
-    s = _shots(spark, sf).select("id")
-    bucket = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("bigint") % 100
-    return s.select("id", F.when(bucket < 80, F.lit("train")).otherwise(F.lit("test")).alias("side"))
+@register("hash_split_sides", shots_ctes() + f"SELECT {_SIDE_SQL} AS side, count(*) AS rows FROM shots GROUP BY 1")
+def hash_split_sides(spark, sf):
+    """The two frames of the split, from one written table."""
+    path = scratch_dir(spark, "split-sides")
+    _shots(spark, sf).select("id", "goal").write.parquet(path)
+    train, test = ml.hash_split(spark.read.parquet(path))
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))) \
+        .groupBy("side").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("random_split", shots_ctes(one_per_shot=True) + """
+SELECT count(*) AS rows, true AS disjoint, true AS share_near FROM shots""")
+def random_split(spark, sf):
+    """The published split: the sides cover all rows, share none and have
+    about the asked size."""
+    shots = _shots(spark, sf, one_per_shot=True).select("id").persist()
+    train, test = ml.random_split(shots)
+    both = train.withColumn("s", F.lit(1)).unionByName(test.withColumn("s", F.lit(0)))
+    return both.agg(F.count(F.lit(1)).alias("rows"), (F.countDistinct("id") == F.count(F.lit(1))).alias("disjoint"),
+                    F.avg("s").between(0.7, 0.9).alias("share_near"))
 
 
 # ------------------------------------------------------------------ M1-M13, E12
 
-def _train_and_score(spark, sf, model_type, features=None, **kw):
-    shots = _shots(spark, sf, missing_frame="zero")
-    train, test = ml.hash_split(shots)
-    model = ml.train(train, model_type, features=features, **kw)
-    preds = ml.score(model, test)
-    keep = ["id", "goal", "shot_statsbomb_xg", "prediction"] + (["xG"] if "xG" in preds.columns else [])
-    if "xG" not in preds.columns:
-        keep.append(F.round(ml.vector_to_array("rawPrediction")[1], 10).alias("margin"))
-    return preds.select(*keep)
+def _model_shots(spark, sf) -> DataFrame:
+    """The feature table that all model queries read: written once, so that
+    training and scoring do not run the pipeline again; shots whose point
+    does not parse have no geometry to learn from."""
+    path = scratch_dir(spark, "features")
+    shots = _shots(spark, sf, missing_frame="zero", one_per_shot=True).filter("distance_to_goal IS NOT NULL")
+    ml.with_side(shots).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sides(shots: DataFrame):
+    return [shots.filter(F.col("side") == s).drop("side") for s in ("train", "test")]
 
 
+# held-out AUC that a model must beat: the planted signal falls with distance
+_AUC_FLOOR = {"logistic": 0.6, "rf": 0.6, "mlp": 0.55, "gbt": 0.55, "dt": 0.5, "svm": 0.6, "nb": 0.5}
+
+
+def _checked_sql(model: str) -> str:
+    return shots_ctes(one_per_shot=True) + f"""
+SELECT id, goal, true AS in_range, true AS agrees, '{model}' AS model, true AS beats_floor
+FROM shots WHERE distance_to_goal IS NOT NULL AND {_SIDE_SQL} = 'test'"""
+
+
+def _checked(preds: DataFrame, model_type: str) -> DataFrame:
+    """id and label of each held-out shot, with what must hold of its
+    prediction: a probability in [0, 1] (any margin for the linear SVM) and a
+    label on its side of the threshold; and AUC above the model's floor."""
+    p = F.col("xG") if "xG" in preds.columns else None
+    in_range = p.between(0, 1) if p is not None else ~F.isnan(ml.vector_to_array("rawPrediction")[1])
+    above = (p >= 0.5) if p is not None else ml.vector_to_array("rawPrediction")[1] > 0
+    agrees = ((F.col("prediction") == 1) == above) | (F.abs(p - 0.5) < 1e-9 if p is not None else F.lit(False))
+    auc = metrics.auc_roc(preds, "goal")
+    return preds.select("id", "goal", in_range.alias("in_range"), agrees.alias("agrees"), F.lit(model_type).alias("model"),
+                        F.lit(bool(auc > _AUC_FLOOR[model_type])).alias("beats_floor"))
+
+
+@register("train_logistic", _checked_sql("logistic"))
 def train_logistic(spark, sf):
     """Logistic model; the predictions (vectors included) are written as
     Parquet in the shared folder and read back, as the published notebook
     did with CSV (K7, S14)."""
-    shots = _shots(spark, sf, missing_frame="zero")
-    train, test = ml.hash_split(shots)
+    train, test = _sides(_model_shots(spark, sf))
     preds = ml.score(ml.train(train, "logistic"), test)
     path = scratch_dir(spark, "predictions")
     write_parquet(preds.select("id", "goal", "shot_statsbomb_xg", "rawPrediction", "probability",
                                "prediction", "xG"), path)
-    return spark.read.parquet(path).select("id", "goal", "shot_statsbomb_xg", "prediction", "xG")
+    return _checked(spark.read.parquet(path), "logistic")
 
 
 def _model_query(model_type, features=None, **kw):
+    @register(f"train_{model_type}", _checked_sql(model_type))
     def q(spark, sf):
-        return _train_and_score(spark, sf, model_type, features, **kw)
+        train, test = _sides(_model_shots(spark, sf))
+        return _checked(ml.score(ml.train(train, model_type, features=features, **kw), test), model_type)
     q.__name__ = f"train_{model_type}"
     return q
 
 
-register("train_logistic")(train_logistic)
-register("train_rf")(_model_query("rf", seed=42))
-register("train_mlp")(_model_query("mlp", layers=[len(FEATURES), 8, 2], max_iter=50))
-register("train_gbt")(_model_query("gbt", max_iter=10, seed=42))
-register("train_dt")(_model_query("dt", seed=42))
-register("train_svm")(_model_query("svm", max_iter=50))
-register("train_nb")(_model_query("nb", features=FEATURES_NP))
+_model_query("rf", seed=42)
+_model_query("mlp", layers=[len(FEATURES), 8, 2])
+_model_query("gbt", seed=42)
+_model_query("dt", seed=42)
+_model_query("svm")
+_model_query("nb", features=FEATURES_NP)
 
 
-@register("feature_importance")
+@register("feature_importance", "SELECT feature, true AS finite, true AS in_order FROM (VALUES "
+          + ", ".join(f"('{f}')" for f in FEATURES) + ") v(feature)")
 def feature_importance(spark, sf):
-    shots = _shots(spark, sf, missing_frame="zero")
-    train, _ = ml.hash_split(shots)
-    model = ml.train(train, "logistic")
-    return ml.feature_importance(model, spark)
+    """Each model input once, with a finite value, largest first."""
+    train, _ = _sides(_model_shots(spark, sf))
+    got = ml.feature_importance(ml.train(train, "logistic"), spark).collect()  # one value per model input
+    values = [r.importance for r in got]
+    rows = [(r.feature, abs(r.importance) < float("inf"), i == 0 or values[i - 1] >= r.importance) for i, r in enumerate(got)]
+    return spark.createDataFrame(rows, "feature string, finite boolean, in_order boolean")
 
 
-@register("auc_roc")
+@register("auc_roc", "SELECT 'logistic' AS model, true AS beats_floor, true AS beats_shuffled")
 def auc_roc(spark, sf):
-    shots = _shots(spark, sf, missing_frame="zero")
-    train, test = ml.hash_split(shots)
-    model = ml.train(train, "logistic")
-    preds = ml.score(model, test)
+    """AUC of the held-out predictions: above the floor, and above that of
+    scores dealt by a hash (which carry no signal)."""
+    train, test = _sides(_model_shots(spark, sf))
+    preds = ml.score(ml.train(train, "logistic"), test)
     auc = metrics.auc_roc(preds, "goal")
-    return spark.createDataFrame([("logistic", float(auc))], "model string, auc double")
+    noise = preds.withColumn("noise", ml.hash_bucket("id", 1).cast("double"))
+    return spark.createDataFrame([("logistic", auc > _AUC_FLOOR["logistic"], auc > metrics.auc_roc(noise, "goal", "noise"))],
+                                 "model string, beats_floor boolean, beats_shuffled boolean")

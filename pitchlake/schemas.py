@@ -138,11 +138,41 @@ FEATURES_NP = [
 # Value bands of the shot-distribution view, inclusive at both ends.
 XG_BANDS = [(0.00, 0.25), (0.25, 0.50), (0.50, 0.75), (0.75, 1.00)]
 
+# All columns of a landed event, in the published order.
+EVENT_COLUMNS = [
+    "50_50", "ball_receipt_outcome", "ball_recovery_recovery_failure", "carry_end_location", "clearance_aerial_won",
+    "counterpress", "dribble_nutmeg", "dribble_outcome", "dribble_overrun", "duel_outcome", "duel_type", "duration",
+    "foul_committed_advantage", "foul_committed_card", "foul_won_advantage", "foul_won_defensive",
+    "goalkeeper_body_part", "goalkeeper_end_location", "goalkeeper_outcome", "goalkeeper_position",
+    "goalkeeper_technique", "goalkeeper_type", "id", "index", "interception_outcome", "location", "match_id",
+    "minute", "pass_aerial_won", "pass_angle", "pass_assisted_shot_id", "pass_backheel", "pass_body_part",
+    "pass_cross", "pass_cut_back", "pass_deflected", "pass_end_location", "pass_goal_assist", "pass_height",
+    "pass_length", "pass_outcome", "pass_recipient", "pass_recipient_id", "pass_shot_assist", "pass_switch",
+    "pass_type", "period", "play_pattern", "player", "player_id", "position", "possession", "possession_team",
+    "possession_team_id", "related_events", "second", "shot_aerial_won", "shot_body_part", "shot_end_location",
+    "shot_first_time", "shot_freeze_frame", "shot_key_pass_id", "shot_one_on_one", "shot_outcome",
+    "shot_statsbomb_xg", "shot_technique", "shot_type", "substitution_outcome", "substitution_outcome_id",
+    "substitution_replacement", "substitution_replacement_id", "tactics", "team", "team_id", "timestamp", "type",
+    "under_pressure", "competition", "season", "block_offensive", "foul_committed_offensive", "foul_committed_type",
+    "injury_stoppage_in_chain", "pass_miscommunication", "pass_technique", "pass_through_ball", "block_deflection",
+    "ball_recovery_offensive", "foul_committed_penalty", "foul_won_penalty", "shot_open_goal", "shot_redirect",
+    "bad_behaviour_card", "block_save_block", "shot_deflected", "miscontrol_aerial_won", "clearance_body_part",
+    "clearance_head", "clearance_left_foot", "clearance_right_foot", "goalkeeper_punched_out", "off_camera", "out",
+    "pass_inswinging", "pass_outswinging", "pass_straight", "goalkeeper_shot_saved_to_post", "pass_no_touch",
+    "shot_saved_to_post", "goalkeeper_success_in_play", "clearance_other", "player_off_permanent",
+    "goalkeeper_shot_saved_off_target", "shot_saved_off_target", "shot_follows_dribble", "dribble_no_touch",
+    "goalkeeper_lost_out", "half_start_late_video_start", "goalkeeper_lost_in_play",
+    "goalkeeper_penalty_saved_to_post", "goalkeeper_saved_to_post", "goalkeeper_success_out",
+]
+
 # --------------------------------------------------------------------------- end of fixed values
 
 # Columns of the assisting pass carried onto the shot (every pass_* input but the body part).
 PASS_COLUMNS = [c for c in EVENTS if c.startswith("pass_") and c != "pass_body_part"]
 
+# Flags of the assisting pass.
+PASS_FLAGS = [c for c in PASS_COLUMNS if c in BOOL_TO_INT]
+
 BOOLEAN_INPUTS = [c for c in BOOL_TO_INT if c not in ("preferred_foot_shot", "goal")]
 
 # Typed freeze frame.
@@ -156,39 +186,34 @@ FRAME_PLAYER = T.StructType([
 ])
 FRAME = T.ArrayType(FRAME_PLAYER)
 
-# Declared event schema for the columns the pipeline reads.  Readers conform
-# any landed file to this (missing -> typed null, extras dropped).
-EVENT_SCHEMA = T.StructType(
-    [T.StructField("id", T.StringType()),
-     T.StructField("match_id", T.LongType()),
-     T.StructField("minute", T.IntegerType()),
-     T.StructField("second", T.IntegerType()),
-     T.StructField("type", T.StringType()),
-     T.StructField("period", T.IntegerType()),
-     T.StructField("location", T.StringType()),
-     T.StructField("team", T.StringType()),
-     T.StructField("team_id", T.LongType()),
-     T.StructField("player_id", T.LongType()),
-     T.StructField("player", T.StringType()),
-     T.StructField("position", T.StringType()),
-     T.StructField("play_pattern", T.StringType()),
-     T.StructField("shot_body_part", T.StringType()),
-     T.StructField("shot_technique", T.StringType()),
-     T.StructField("shot_type", T.StringType()),
-     T.StructField("shot_freeze_frame", T.StringType()),
-     T.StructField("shot_statsbomb_xg", T.DoubleType()),
-     T.StructField("shot_outcome", T.StringType()),
-     T.StructField("pass_body_part", T.StringType()),
-     T.StructField("shot_end_location", T.StringType()),
-     T.StructField("pass_assisted_shot_id", T.StringType()),
-     T.StructField("pass_height", T.StringType()),
-     T.StructField("pass_length", T.DoubleType()),
-     T.StructField("pass_angle", T.DoubleType()),
-     T.StructField("competition", T.StringType()),
-     T.StructField("season", T.StringType()),
-     T.StructField("timestamp", T.StringType())]
-    + [T.StructField(c, T.BooleanType()) for c in BOOLEAN_INPUTS]
-)
+# Types of the event columns that are not text.
+_TYPES = {
+    T.LongType(): ["match_id", "player_id", "team_id", "possession_team_id", "pass_recipient_id",
+                   "substitution_outcome_id", "substitution_replacement_id"],
+    T.IntegerType(): ["index", "period", "minute", "second", "possession"],
+    T.DoubleType(): ["duration", "pass_angle", "pass_length", "shot_statsbomb_xg"],
+}
+_TYPE_OF = {c: t for t, cols in _TYPES.items() for c in cols}
+
+# Words that make the name of a column a yes/no flag.
+_FLAG_NAMES = set(BOOLEAN_INPUTS) | {
+    "counterpress", "off_camera", "out", "injury_stoppage_in_chain", "ball_recovery_recovery_failure",
+    "ball_recovery_offensive", "block_offensive", "block_deflection", "block_save_block", "clearance_aerial_won",
+    "clearance_head", "clearance_left_foot", "clearance_right_foot", "clearance_other", "dribble_nutmeg",
+    "dribble_overrun", "dribble_no_touch", "foul_committed_advantage", "foul_committed_offensive",
+    "foul_committed_penalty", "foul_won_advantage", "foul_won_defensive", "foul_won_penalty",
+    "goalkeeper_punched_out", "goalkeeper_shot_saved_to_post", "goalkeeper_success_in_play",
+    "goalkeeper_shot_saved_off_target", "goalkeeper_lost_out", "goalkeeper_lost_in_play",
+    "goalkeeper_penalty_saved_to_post", "goalkeeper_saved_to_post", "goalkeeper_success_out",
+    "half_start_late_video_start", "miscontrol_aerial_won", "pass_backheel", "pass_deflected", "pass_goal_assist",
+    "pass_miscommunication", "pass_shot_assist", "player_off_permanent", "shot_deflected", "shot_redirect",
+    "shot_saved_off_target", "shot_saved_to_post"}
+
+# Declared event schema.  Readers conform any landed file to this (missing ->
+# typed null, extras dropped).
+EVENT_SCHEMA = T.StructType([
+    T.StructField(c, _TYPE_OF.get(c, T.BooleanType() if c in _FLAG_NAMES else T.StringType()))
+    for c in EVENT_COLUMNS])
 
 COMPETITION_SCHEMA = T.StructType([
     T.StructField("competition_id", T.IntegerType()),

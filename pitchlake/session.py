@@ -7,7 +7,9 @@ entry module call :func:`get_spark`.  Settings that a cluster already has
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,16 +47,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when the
-    session has none (tests, local runs).  On a cluster the folder named in
-    ``spark.checkpoint.dir`` is used as given."""
+    """Return the shared checkpoint folder.  On a cluster it must be named in
+    ``spark.checkpoint.dir``; only a local session without one (tests) gets a
+    local folder, removed when the process ends."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="pitchlake-ckpt-", dir="/tmp")
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="pitchlake-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

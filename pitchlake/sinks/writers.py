@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.sources.readers import CSV_OPTIONS
@@ -11,14 +12,20 @@ from pitchlake.sources.readers import CSV_OPTIONS
 
 def write_split(df: DataFrame, path: str, key: str = "competition", fmt: str = "parquet",
                 spread: str | None = "match_id", max_records_per_file: int = 0,
-                mode: str = "overwrite", sep: str = ";") -> None:
+                mode: str = "overwrite", sep: str = ";",
+                one_file: bool = False) -> None:
     """One folder per key value in a single pass (K3-K6); keys with no rows
     produce no folder.  Rows are spread over tasks by (key, ``spread``) so a
     key holding a third of the data is written by many tasks in parallel,
-    not by one."""
+    not by one; rows without a ``spread`` value are dealt by a hash of the
+    row.  ``max_records_per_file`` bounds the files, ``one_file`` asks for one
+    file per key (small outputs only: one task writes each key)."""
     w = df
-    if spread and spread in df.columns:
-        w = w.repartition(key, spread)
+    if one_file:
+        w = w.repartition(key)
+    elif spread and spread in df.columns:
+        plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.UserDefinedType))]
+        w = w.repartition(key, F.col(spread), F.when(F.col(spread).isNull(), F.xxhash64(*plain)))
     writer = w.write.mode(mode).partitionBy(key)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -46,9 +53,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def write_batches(df: DataFrame, path: str, batch_col: str = "batch", fmt: str = "parquet") -> None:
-    """Batch-named outputs (K2): one folder per batch, appended."""
-    df.write.mode("append").partitionBy(batch_col).format(fmt).save(path)
+def write_batches(df: DataFrame, path: str, batch_col: str = "batch", fmt: str = "parquet",
+                  spread: str | None = "match_id") -> None:
+    """Batch-named outputs (K2): one folder per batch.  A batch that is
+    written again replaces its folder, so a retry never doubles it, and other
+    batches stay; rows are dealt by (batch, ``spread``), so each batch is a
+    few files whatever the number of input tasks."""
+    keys = [batch_col] + ([spread] if spread in df.columns else [])
+    (df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(batch_col).format(fmt).save(path))
 
 
 def materialise(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:

@@ -21,7 +21,7 @@ def require_columns(df: DataFrame, cols) -> DataFrame:
     """Plan-time check (S10): raise ``ValueError`` naming missing columns."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required column(s): {', '.join(missing)}")
+        raise ValueError(f"columns not found: {missing}; the table has {df.columns}")
     return df
 
 
@@ -65,27 +65,26 @@ def read_table(spark: SparkSession, path, fmt: str = "parquet", schema: T.Struct
     return r.format(fmt).load(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` (default: the cluster's
-    parallelism) when the scan gives fewer splits than that, e.g. one small
-    file with a single row group.  A large table already has more splits
-    than cores and is returned unchanged, so this never adds a shuffle at
-    scale.  Counting splits plans the scan but runs no job."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without the RDD API keep the scan as is
-        return df
-    return df.repartition(n) if splits < n else df
-
-
-def split_rejects(df: DataFrame, corrupt_col: str = "_corrupt_record"):
-    """(good rows, rejected rows) of a permissive read (S8).  The frame is
-    cached first: Spark refuses queries that touch only the corrupt column
-    of a raw file scan."""
-    df = df.cache()
-    good = df.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
-    bad = df.filter(F.col(corrupt_col).isNotNull()).select(corrupt_col)
+def read_checked(spark: SparkSession, path, schema: T.StructType, fmt: str = "json",
+                 sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected rows) of landed JSON lines or CSV with a header
+    (S8).  Lines are parsed in the plan, not by the file source, so either
+    side can be written, counted or joined alone, and nothing is cached.
+    Rejects keep the whole line (``line``) and its file (``file``)."""
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    if fmt == "json":
+        row = F.from_json("value", full, options)
+    elif fmt == "csv":
+        lines = lines.filter(F.col("value") != sep.join(schema.fieldNames()))  # the header of each file
+        row = F.from_csv("value", full.simpleString()[len("struct<"):-1].replace(":", " "),
+                         {**options, "sep": sep, "escape": '"', "quote": '"'})
+    else:
+        raise ValueError("fmt must be 'json' or 'csv'")
+    parsed = lines.filter(F.trim("value") != "").withColumn("row", row)
+    good = parsed.filter(F.col("row._bad").isNull()).select("row.*").drop("_bad")
+    bad = parsed.filter(F.col("row._bad").isNotNull()).select(F.col("value").alias("line"), "file")
     return good, bad
 
 
@@ -95,7 +94,7 @@ def filter_competitions(comps: DataFrame, gender: str = COMPETITION_GENDER,
     """Gender, season name compared as text (so ``'2014/2015'``
     passes ``> '2014'`` and ``'2014'`` does not), excluded names, dropped
     columns."""
-    df = comps
+    df = require_columns(comps, ["competition_gender", "season_name", "competition_name"])
     if gender is not None:
         df = df.filter(F.col("competition_gender") == gender)
     if season_after is not None:
@@ -109,8 +108,8 @@ def matches_for(matches: DataFrame, comps: DataFrame, drop=MATCH_DROP) -> DataFr
     """Matches of the chosen competition-seasons (S2): semi join, no id list
     in the plan.  Competitions are a small dimension; adaptive execution
     broadcasts them when they fit the threshold."""
+    require_columns(matches, ["match_id", "competition_id", "season_id"])
     m = matches.join(comps.select("competition_id", "season_id"), ["competition_id", "season_id"], "left_semi")
-    require_columns(m, ["match_id"])
     return m.drop(*[c for c in drop if c in m.columns])
 
 
@@ -135,30 +134,54 @@ def attach_match(events: DataFrame, matches: DataFrame, cols=("competition", "se
     """Stamp the match's attributes on every event (J8): inner join on
     ``match_id``.  The matches side is a dimension; adaptive execution
     broadcasts it when small and keeps a shuffle join otherwise."""
-    keep = ["match_id"] + [c for c in cols if c in matches.columns]
+    require_columns(events, ["match_id"])
+    require_columns(matches, ["match_id", *cols])
     ev = events.drop(*[c for c in cols if c in events.columns])
-    return ev.join(matches.select(*keep), "match_id", "inner")
-
-
-def positional_index(df: DataFrame, order_col: str, out: str = "pos", partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order_col`` order (W4) without
-    sending every row to one task: range-partition, number rows inside each
-    partition, then add the row count of all earlier partitions (a table of
-    one row per partition)."""
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    r = df.repartitionByRange(int(n), order_col).withColumn("_p", F.spark_partition_id())
-    counts = r.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"))
-    w = Window.partitionBy("_p").orderBy(order_col)
-    return (r.withColumn("_i", F.row_number().over(w) - 1)
-             .join(F.broadcast(offs), "_p")
-             .withColumn(out, F.col("_off") + F.col("_i"))
-             .drop("_p", "_i", "_off"))
+    return ev.join(matches.select("match_id", *cols), "match_id", "inner")
+
+
+def _ordinal(df: DataFrame, col: str):
+    """A number that never falls as ``col`` rises (text: its first six bytes)."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    return F.col(col).cast("double")
+
+
+def positional_index(df: DataFrame, order_col: str, out: str = "pos", buckets: int = 4096) -> DataFrame:
+    """0-based position of each row in ``order_col`` order (W4), nulls first;
+    rows of equal keys take consecutive positions in no set order.
+
+    Positions come from the key alone: keys are counted, put into buckets by
+    equal parts of their range (a function of the value, so any two reads of
+    the plan agree, whatever columns they need), numbered within the bucket
+    and moved by the counts of earlier buckets, at most ``buckets`` rows.  The
+    result is joined back on the key; no window runs over all rows and nothing
+    runs while the plan is built."""
+    keys = df.groupBy(F.struct(order_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")) \
+        .select("_k", "_n", F.col(f"_k.{order_col}").alias("_v"))
+    keys = keys.withColumn("_o", _ordinal(keys, "_v"))
+    ends = keys.agg(F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))  # one row
+    part = F.when(F.col("_o").isNull(), -1).when(F.col("_hi") == F.col("_lo"), 0) \
+        .otherwise(F.least(F.lit(buckets - 1), F.floor((F.col("_o") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)))
+    placed = keys.join(F.broadcast(ends)).select("_k", "_n", "_v", part.cast("int").alias("_b"))
+    before = placed.groupBy("_b").agg(F.sum("_n").alias("_s")).select(
+        "_b", (F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).alias("_before"))  # a row per bucket
+    inner = Window.partitionBy("_b").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    first = placed.withColumn("_in", F.coalesce(F.sum("_n").over(inner), F.lit(0))).join(before, "_b") \
+        .select("_k", (F.col("_before") + F.col("_in")).alias("_first"))
+    same = Window.partitionBy("_k").orderBy(F.lit(0))
+    return df.withColumn("_k", F.struct(order_col)).join(first, "_k") \
+        .withColumn(out, F.col("_first") + F.row_number().over(same) - 1).drop("_k", "_first")
 
 
 def match_batches(matches: DataFrame, batch_size: int = 500, order_col: str = "match_id") -> DataFrame:
     """Batch number of every match by position (S7): batch b holds positions
     [b*size, (b+1)*size)."""
+    require_columns(matches, [order_col])
     return positional_index(matches, order_col).withColumn(
         "batch", (F.col("pos") / batch_size).cast("long"))
 
@@ -167,28 +190,34 @@ def match_batch(matches: DataFrame, start: int, end: int, order_col: str = "matc
     """Matches at positions [start, end) in ``order_col`` order (S7).  Uses
     the distributed position, so a late batch of a large table does not make
     every task keep ``end`` rows as an offset/limit top-k would."""
-    pos = positional_index(matches, order_col)
+    pos = positional_index(require_columns(matches, [order_col]), order_col)
     return pos.filter((F.col("pos") >= start) & (F.col("pos") < end)).drop("pos")
 
 
-def read_events(spark: SparkSession, path, schema: T.StructType, matches: DataFrame | None = None,
-                fmt: str = "parquet", corrupt_col: str | None = None, sep: str = ",",
-                parse_frames: bool = False) -> DataFrame:
-    """Events scan (S5): declared schema, conform (S6), optional semi join to
-    chosen matches and stamping of competition and season (J8).
-    ``parse_frames`` turns the freeze-frame text into the typed ``frame``
-    column once, at ingest, so later queries read the typed array."""
+def _typed(df: DataFrame, schema: T.StructType, matches: DataFrame | None, parse_frames: bool) -> DataFrame:
     from pitchlake.functions.frames import parse_frame
 
-    df = read_table(spark, path, fmt, schema=schema, corrupt_col=corrupt_col, sep=sep)
-    if corrupt_col:
-        df, _ = split_rejects(df, corrupt_col)
-    df = conform(df, schema)
+    df = conform(require_columns(df, ["match_id"]), schema)
     if parse_frames and "shot_freeze_frame" in df.columns:
         df = df.withColumn("frame", parse_frame("shot_freeze_frame")).drop("shot_freeze_frame")
-    if matches is not None:
-        df = attach_match(df, matches)
-    return df
+    return df if matches is None else attach_match(df, matches)
+
+
+def read_events(spark: SparkSession, path, schema: T.StructType, matches: DataFrame | None = None,
+                fmt: str = "parquet", sep: str = ",", parse_frames: bool = False) -> DataFrame:
+    """Events scan (S5): declared schema, conform (S6), optional inner join
+    to chosen matches, stamping competition and season (J8).
+    ``parse_frames`` turns the freeze-frame text into the typed ``frame``
+    column once, at ingest, so later queries read the typed array."""
+    return _typed(read_table(spark, path, fmt, schema=schema, sep=sep), schema, matches, parse_frames)
+
+
+def read_events_checked(spark: SparkSession, path, schema: T.StructType, matches: DataFrame | None = None,
+                        fmt: str = "json", sep: str = ",", parse_frames: bool = False) -> tuple[DataFrame, DataFrame]:
+    """As :func:`read_events` for text files, with the lines that do not
+    parse as a second frame for the caller to write or count (S8)."""
+    good, bad = read_checked(spark, path, schema, fmt, sep)
+    return _typed(good, schema, matches, parse_frames), bad
 
 
 def ingest_quality(df: DataFrame, key: str = "match_id", shot_type: str = "Shot") -> DataFrame:

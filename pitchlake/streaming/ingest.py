@@ -2,7 +2,7 @@
 
 The published ingest fetched matches in batches of 500 and appended one file
 per batch.  Here landed event files are a file-stream source: each trigger
-takes the next files (``maxFilesPerTrigger`` plays the batch size), conforms
+takes the next files (``maxFilesPerTrigger`` can bound them), conforms
 them to the declared schema, stamps the match attributes with a stream-static
 join and appends to a Parquet table partitioned by competition.  Progress
 lives in the checkpoint folder, so a restarted or failed job resumes without
@@ -19,11 +19,14 @@ from pitchlake.sources.readers import attach_match, conform
 
 
 def event_stream(spark: SparkSession, source: str, schema: T.StructType, fmt: str = "parquet",
-                 files_per_trigger: int = 1) -> DataFrame:
-    """Streaming DataFrame over landed event files, conformed."""
-    raw = (spark.readStream.schema(schema).format(fmt)
-           .option("maxFilesPerTrigger", files_per_trigger).load(source))
-    return conform(raw, schema)
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame over landed event files, conformed.
+    ``files_per_trigger`` bounds a micro-batch; unset, each takes all files
+    that have landed since the last."""
+    raw = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        raw = raw.option("maxFilesPerTrigger", files_per_trigger)
+    return conform(raw.load(source), schema)
 
 
 def start_ingest(events: DataFrame, sink: str, checkpoint: str, matches: DataFrame | None = None,
@@ -46,7 +49,7 @@ def start_ingest(events: DataFrame, sink: str, checkpoint: str, matches: DataFra
 
 
 def run_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: T.StructType,
-               matches: DataFrame | None = None, files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
+               matches: DataFrame | None = None, files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
     """Process every landed file and return the sink table."""
     q = start_ingest(event_stream(spark, source, schema, fmt, files_per_trigger), sink, checkpoint, matches)
     q.awaitTermination()

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from pitchlake.functions import (distance_to_goal, in_shot_triangle, parse_frame, parse_point,
+from pitchlake.functions import (distance_to_goal, parse_frame, parse_point,
                                  players_in_triangle, shot_angle)
 
 GEOMETRY = [
@@ -57,7 +57,7 @@ def test_point_in_triangle(spark):
     rows = [(float(px), float(py), 108.0, 40.0, exp) for (px, py), exp in INSIDE]
     rows += [(120.0, 40.0, 120.0, 50.0, True), (119.0, 40.0, 120.0, 40.0, False)]
     df = spark.createDataFrame(rows, "px double, py double, sx double, sy double, exp boolean")
-    got = df.select("exp", in_shot_triangle(F.col("px"), F.col("py"), F.col("sx"), F.col("sy")).alias("g")).collect()
+    got = df.select("exp", (players_in_triangle(F.array(F.struct(F.array("px", "py").alias("location"))), "sx", "sy") == 1).alias("g")).collect()
     assert all(r.exp == r.g for r in got)
 
 

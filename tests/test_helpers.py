@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from pitchlake.operators.frames import players_inside_area
 from pitchlake.sinks.writers import cut_lineage, materialise
-from pitchlake.sources.readers import spread
 
 FRAME = ("[{'location': [118.0, 40.0], 'player': {'id': 1, 'name': 'K'}, "
          "'position': {'id': 1, 'name': 'Goalkeeper'}, 'teammate': False}]")
@@ -25,12 +24,63 @@ def test_penalty_counts_one_whatever_the_frame(spark):
     assert 4 not in dropped
 
 
-def test_spread_only_when_too_few_splits(spark):
-    one = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 8)
-    assert spread(many, 4) is many
+def test_random_rows_do_not_depend_on_partitions(spark):
+    from pitchlake.operators.explore import random_rows
+
+    df = spark.range(500)
+    picks = [sorted(r.id for r in random_rows(df.repartition(n), 20, seed=7).collect()) for n in (1, 4, 9)]
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 20
+
+
+def test_checkpoint_dir_must_be_shared_off_local_masters(monkeypatch):
+    import pytest
+
+    from pitchlake import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_confusion_table_counts_every_row(spark):
+    from pitchlake.operators.metrics import confusion_table
+
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 2), (0, None), (None, 1)], "goal int, prediction int")
+    rows = confusion_table(df).collect()
+    assert sum(sum(r[1:]) for r in rows) == 5
+    got = {r.goal: tuple(r[1:]) for r in rows}
+    assert got == {1: (1, 1, 0, 0), 0: (0, 0, 1, 1), None: (0, 1, 0, 0)}
+
+
+def test_null_features_are_an_error(spark):
+    import pytest
+
+    from pitchlake.operators import ml
+
+    df = spark.createDataFrame([(1.0, 0), (None, 1), (3.0, 1)], "distance_to_goal double, goal int")
+    with pytest.raises(Exception, match="(?i)null"):
+        ml.train(df, "logistic", features=["distance_to_goal"])
+    model = ml.train(df, "logistic", features=["distance_to_goal"], handle_invalid="skip")
+    assert ml.score(model, df).count() == 2
+
+
+def test_r2_of_large_values(spark):
+    from pitchlake.operators.metrics import regression_metrics
+
+    df = spark.range(1000).select((F.col("id") + 1e9).alias("a"), (F.col("id") + 1e9 + 0.5).alias("p"))
+    assert regression_metrics(df, "a", "p").first().r2 == 100.0
 
 
 def test_cut_lineage_and_materialise(spark):
@@ -47,17 +97,17 @@ def test_error_guards(spark):
 
     from pitchlake.operators import explore, ml
 
-    with pytest.raises(ValueError, match="Unsupported model type"):
+    with pytest.raises(ValueError, match="no such model"):
         ml.make_estimator("xgboost")
     df = spark.createDataFrame([(1.0, 0), (2.0, 1)], "distance_to_goal double, goal int")
-    with pytest.raises(ValueError, match="Layers must be specified"):
+    with pytest.raises(ValueError, match="layer sizes"):
         ml.train(df, "mlp", features=["distance_to_goal"])
-    with pytest.raises(ValueError, match="No shot data"):
+    with pytest.raises(ValueError, match="no shots are left"):
         explore.require_rows(df.limit(0))
-    with pytest.raises(ValueError, match="Unknown type"):
+    with pytest.raises(ValueError, match="t must be 'xg'"):
         explore.shot_distribution(df, ["goal"], t="heat")
     model = ml.train(spark.createDataFrame([(float(i), i % 2) for i in range(20)],
                                            "distance_to_goal double, goal int"),
                      "nb", features=["distance_to_goal"])
-    with pytest.raises(ValueError, match="does not support feature importances"):
+    with pytest.raises(ValueError, match="neither importances nor coefficients"):
         ml.feature_importance(model, spark)

@@ -1,16 +1,18 @@
-"""Every registered query with an oracle matches DuckDB on sf0.001, and the
-rest run and return rows."""
+"""Every registered query of the feature and model operators has an oracle
+and matches DuckDB on sf0.001."""
 
 import pytest
 
 from oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
+# a player's shots and the pairs of one shot can be none in the smallest table
+EMPTY_AT_SMALL_SCALE = {"player_shots", "one_shot_picture", "match_shots", "goals_vs_expected_player"}
 
 
 def _names():
-    from __spark_entry__ import queries
-    return list(queries())
+    from pitchlake.plans.queries import QUERIES
+    return list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -23,8 +25,8 @@ def test_query_matches_oracle(spark, con, name):
     from __spark_entry__ import oracle_sql, queries
 
     r = compare(spark, name, queries()[name], oracle_sql().get(name), SF, con)
-    assert r.get("ok") is not False, r
-    assert r["rows"] >= 0
+    assert r.get("ok") is True, r
+    assert r["rows"] > 0 or name in EMPTY_AT_SMALL_SCALE
 
 
 def test_entry(spark):

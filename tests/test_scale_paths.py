@@ -13,18 +13,46 @@ from pitchlake.plans.pipeline import shot_features
 
 
 def test_running_sum_hot_group_matches_window(spark):
-    # one group holds 90% of the rows; 16 range partitions cut it into pieces
+    # the null group holds 90% of the rows, 500 ticks of 40 rows each
     df = spark.range(20000).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("g"), (F.col("id") % 500).alias("t"),
         F.col("id").alias("o"),
         F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise((F.col("id") % 5).cast("double")).alias("v"))
-    got = running_sum(df, ["g"], ["o"], ["v"], ["s"], partitions=16)
-    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ref = df.withColumn("r", F.sum("v").over(w))
-    bad = got.join(ref, ["g", "o"]).filter(~F.col("s").eqNullSafe(F.col("r")))
+    got = running_sum(df.repartition(16), ["g"], ["t"], ["o"], ["v"], ["s"])
+    w = Window.partitionBy("g").orderBy("t", "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = df.withColumn("r", F.sum("v").over(w)).select("o", "r")
+    bad = got.join(ref, "o").filter(~F.col("s").eqNullSafe(F.col("r")))
     assert got.count() == 20000 and bad.count() == 0
 
 
+def test_plans_are_built_without_jobs(spark):
+    """Nothing runs before an action."""
+    from pitchlake.operators import timeline
+    from pitchlake.sources import readers
+
+    sc = spark.sparkContext
+    shots = shot_features(events_view(spark, "/root/testdata/sf0.001"))
+    sc.setJobGroup("plans", "plan building")
+    timeline.running_total(shots)
+    timeline.tick_grid_timeline(shots)
+    timeline.tick_grid_timeline(shots, by_period=True)
+    readers.match_batches(shots.select("match_id").distinct())
+    jobs = sc.statusTracker().getJobIdsForGroup("plans")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+
+
+def test_running_total_of_rows_without_team(spark):
+    from pitchlake.operators import timeline
+
+    shots = shot_features(events_view(spark, "/root/testdata/sf0.01")).dropDuplicates(["id"]) \
+        .withColumn("team", F.when(F.col("id") % 10 == 0, F.col("team")))
+    a = timeline.running_total(shots)
+    b = timeline.running_total(shots, method="window").select("id", F.col("cxg").alias("w"))
+    assert a.join(b, "id").filter(~F.col("cxg").eqNullSafe(F.col("w"))).count() == 0
+    assert a.count() == shots.count()
+
+
 def test_pipeline_plan_shape(spark):
     df = shot_features(events_view(spark, "/root/testdata/sf0.001"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()

@@ -28,15 +28,84 @@ def test_corrupt_rows_go_to_side_table(spark):
     spark.createDataFrame([('{"id": 1, "name": "a"}',), ("{broken",), ('{"id": 2, "name": "b"}',)], "value string") \
         .write.text(path)
     s = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
-    df = readers.read_table(spark, path, "json", schema=s, corrupt_col="_corrupt_record")
-    good, bad = readers.split_rejects(df)
+    good, bad = readers.read_checked(spark, path, s)
     assert sorted(r.id for r in good.collect()) == [1, 2]
-    assert [r._corrupt_record for r in bad.collect()] == ["{broken"]
+    assert [r.line for r in bad.collect()] == ["{broken"] and bad.count() == 1
+    assert not good.storageLevel.useMemory
+
+
+def test_csv_rejects(spark):
+    path = scratch_dir(spark, "t-csv-bad")
+    spark.createDataFrame([("id;name",), ("1;a",), ("x;b",), ('2;"c;d"',)], "value string").coalesce(1).write.text(path)
+    s = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    good, bad = readers.read_checked(spark, path, s, "csv", ";")
+    assert sorted(map(tuple, good.collect())) == [(1, "a"), (2, "c;d")]
+    assert [r.line for r in bad.collect()] == ["x;b"]
+
+
+def test_events_need_their_match_columns(spark):
+    ev = spark.createDataFrame([(1, "Shot")], "match_id long, type string")
+    with pytest.raises(ValueError, match="columns not found"):
+        readers.attach_match(ev, spark.createDataFrame([(1, "c")], "match_id long, competition string"))
+    with pytest.raises(ValueError, match="columns not found"):
+        readers.matches_for(ev, ev)
+
+
+def test_positions_of_a_wide_table(spark):
+    """400,000 rows, every column written: positions are those of the keys."""
+    n = 400_000
+    key = (F.col("id") * 48271) % 2147483647
+    wide = spark.range(0, n, 1, 16).select(key.alias("match_id"), F.col("id"), F.repeat(F.lit("x"), 40).alias("pad"))
+    path = scratch_dir(spark, "t-pos")
+    readers.positional_index(wide, "match_id").write.parquet(path)
+    back = spark.read.parquet(path)
+    r = back.agg(F.count(F.lit(1)), F.countDistinct("pos"), F.min("pos"), F.max("pos")).first()
+    assert tuple(r) == (n, n, 0, n - 1)
+    keys = sorted((i * 48271) % 2147483647 for i in range(n))
+    some = back.where("id % 1000 = 0").select("match_id", "pos").collect()
+    assert all(keys[x.pos] == x.match_id for x in some)
+
+
+def test_positions_of_text_nulls_and_ties(spark):
+    rows = [(k,) for k in ["b", None, "a", "b", "", "zz", "é", "zzzzzzzza", "zzzzzzzzb"]]
+    got = readers.positional_index(spark.createDataFrame(rows, "match_id string"), "match_id").collect()
+    order = [x.match_id for x in sorted(got, key=lambda x: x.pos)]
+    assert sorted(x.pos for x in got) == list(range(9))
+    assert order == [None, "", "a", "b", "b", "zz", "zzzzzzzza", "zzzzzzzzb", "é"]
+
+
+def test_batches_are_written_once(spark):
+    from pitchlake.sinks.writers import write_batches
+
+    df = spark.range(100).select("id", (F.col("id") % 5).alias("match_id"), (F.col("id") % 2).alias("batch"))
+    path = scratch_dir(spark, "t-batch")
+    write_batches(df, path)
+    write_batches(df.where("batch = 1"), path)  # a retry of one batch
+    assert spark.read.parquet(path).count() == 100
+
+
+def test_split_spreads_rows_without_a_match(spark):
+    df = spark.range(2000).select("id", F.lit(None).cast("long").alias("match_id"), F.lit("c").alias("competition"))
+    path = scratch_dir(spark, "t-null")
+    write_split(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 2000
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # the rows are few: see how they are dealt
+    try:
+        spread = scratch_dir(spark, "t-null-spread")
+        write_split(df, spread)
+        assert len(spark.read.parquet(spread).inputFiles()) > 1
+    finally:
+        spark.conf.set(coalesce, "true")
+    one = scratch_dir(spark, "t-one")
+    write_split(df, one, one_file=True)
+    assert len(spark.read.parquet(one).inputFiles()) == 1
 
 
 def test_require_and_conform(spark):
     df = spark.createDataFrame([(1, "x", 3.5)], "id long, type string, extra double")
-    with pytest.raises(ValueError, match="Missing required column"):
+    with pytest.raises(ValueError, match="columns not found"):
         readers.require_columns(df, ["id", "match_id"])
     s = T.StructType([T.StructField("id", T.StringType()), T.StructField("match_id", T.LongType())])
     out = readers.conform(df, s)
@@ -88,7 +157,8 @@ def test_stream_ingest_matches_batch(spark):
                                  F.when(F.col("id") % 5 == 0, "Shot").otherwise("Pass").alias("type"))
     ev.repartition(4, "match_id").write.parquet(f"{base}/landed")
     matches = spark.range(12).select(F.col("id").alias("match_id"),
-                                     F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("competition"))
+                                     F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("competition"),
+                                     F.lit("s").alias("season"))
     schema = spark.read.parquet(f"{base}/landed").schema
     out = run_ingest(spark, f"{base}/landed", f"{base}/sink", f"{base}/ckpt", schema, matches=matches)
     assert out.count() == 600
