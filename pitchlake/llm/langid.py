@@ -183,7 +183,7 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE, families: dict[s
     return predictions(rows, model, ["doc_id", "held_out"])
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, per_language: int = PER_LANGUAGE) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.3, per_language: int = PER_LANGUAGE) -> DataFrame:
     """The documents whose language can be told: ``und`` and scores below
     ``min_score`` go.  Columns are unchanged."""
     model = fit(docs, per_language)

@@ -63,6 +63,7 @@ def learned_spans(turns: Column) -> Column:
 
 def format_pairs(turns: DataFrame) -> DataFrame:
     """pair_id, n_prompt_turns, prompt, chosen, rejected, chosen_spans, rejected_spans."""
+    turns = turns.select("pair_id", "side", "turn", "role", "text")
     turn = F.struct("turn", "role", "text")
 
     def of(side: str) -> Column:
@@ -82,6 +83,7 @@ def segments(turns: DataFrame) -> DataFrame:
     """The same rendering as rows pair_id, part ('prompt', 'chosen',
     'rejected'), turn, masked, rendered; no conversation is gathered.  Turn
     numbers must be distinct within a side."""
+    turns = turns.select("pair_id", "side", "turn", "role", "text")
     by_turn = turns.groupBy("pair_id", "turn").agg(
         *[F.max(F.when(F.col("side") == s, F.struct("role", "text"))).alias(s) for s in ("chosen", "rejected")])
     first = by_turn.groupBy("pair_id").agg(
@@ -101,6 +103,7 @@ def stale_answer_pairs(conversations: DataFrame) -> DataFrame:
     ends, instead of the last assistant turn, with the assistant turn before
     it (an empty answer where there is none).  Conversations without an
     assistant turn give no pair."""
+    conversations = conversations.select("conv_id", "turn", "role", "text")
     said = F.when(F.col("role") == LEARNED_ROLE, F.struct("turn", "text"))
     ends = conversations.groupBy("conv_id").agg(F.max(said).alias("last")).where("last is not null")
     with_last = conversations.join(ends, "conv_id")

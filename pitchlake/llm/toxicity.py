@@ -58,7 +58,7 @@ class Model:
 def sample(docs: DataFrame, graded: DataFrame, per_grade: int) -> DataFrame:
     """doc_id, grade, words of at most ``per_grade`` learnable texts a grade."""
     order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = graded.where("doc_id is not null and grade is not null").where(~held_out()).distinct() \
+    chosen = graded.select("doc_id", "grade").where("doc_id is not null and grade is not null").where(~held_out()).distinct() \
         .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_grade).drop("r")
     low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     found = F.regexp_extract_all(low, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
