@@ -13,11 +13,12 @@ and b are the lengths, and similarity L / (a + b - L).  At 0.8 or more no
 match can lie outside the band, so the band costs nothing.
 
 Work: texts of the same words are one class from the start (grouped by a
-fingerprint).  In a bucket each member is compared with a hub, in a few
-rounds with a new hub of those left over, and at last the members outside the
-hub's class with all they are not yet in one class with.  So every pair in a
-bucket is either verified or already in one class, without all pairs of a
-group of copies.  Classes are connected components, found by Spark joins.
+fingerprint).  In a bucket each member is compared with a hub, the member that
+shares most sketches with others.  Members that do not reach it are compared
+with those others that still can be near to them by what each adds to the hub
+(:func:`stray_pairs`).  So every pair in a bucket is verified, in one class
+already or shown to be too far apart, without all pairs of a group of copies.
+Classes are connected components, found by Spark joins.
 
 Texts of one to four words are one shingle.  Texts without words are copies of
 equal texts only; null texts and null doc_ids are classes of their own; ties
@@ -41,7 +42,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
-HUB_ROUNDS = 2
 COLUMN_BLOCK = 1 << 13
 
 _rng = np.random.default_rng(611)
@@ -148,6 +148,75 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         .mapInArrow(check, "a long, b long")
 
 
+def close(n, m, similarity: float):
+    """Whether texts of so many k-mers can reach the similarity."""
+    return F.least(n, m) >= similarity * F.greatest(n, m)
+
+
+def pair(x, y):
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+
+def deltas(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """hub, rep, common (k-mers that both have), added (k-mers the hub lacks)."""
+    def compare(batches):
+        for b in batches:
+            common, added, last, own = [], [], None, None
+            for x, y in zip(b.column("text_h"), b.column("text_r")):
+                x = x.as_py()
+                if x != last:
+                    last, own = x, labelled(x)
+                k = labelled(y.as_py())
+                new = k[~np.isin(k, own, assume_unique=True)]
+                common.append(len(k) - len(new))
+                added.append(new.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("hub"), b.column("rep"), pa.array(common, pa.int32()), pa.array(added, pa.list_(pa.int64()))],
+                names=["hub", "rep", "common", "added"])
+
+    h = texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("text_h"))
+    r = texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("text_r"))
+    return members.select("hub", "rep").join(r, "rep").join(h, "hub").select("hub", "rep", "text_h", "text_r") \
+        .mapInArrow(compare, "hub long, rep long, common int, added array<long>")
+
+
+def stray_pairs(groups: DataFrame, root: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) to verify besides those of the hubs.
+
+    Members of the hub's class need no more links to one another.  A stray,
+    a member outside it, must be held against all others, but most cannot
+    reach the similarity: texts x and y have at most D = (1 - s) / (1 + s) *
+    (|x| + |y|) k-mers that only one of them has.  Let x lack d and add e k-mers
+    compared with the hub.  If x and y share no added k-mer, then they differ in
+    at least d_x + e_x + |y| - |hub| k-mers.  So y either shares an added k-mer
+    with the stray (an equality join, counted and held against the bound) or
+    is short enough (a join on its length)."""
+    node = root.select(F.col("node").alias("rep"), F.col("root").alias("class"))
+    of_hub = root.select(F.col("node").alias("hub"), F.col("root").alias("h_class"))
+    own = groups.join(node, "rep", "left").join(of_hub, "hub", "left").select(
+        "hub", "h_n", "rep", "n", F.coalesce("class", "rep").alias("class"), F.coalesce("h_class", "hub").alias("h_class")) \
+        .withColumn("stray", F.col("class") != F.col("h_class"))
+    mixed = own.groupBy("hub").agg(F.count(F.lit(1)).alias("size"), F.max("stray").alias("some")).where("some and size > 2").select("hub")
+    own = written(own.where("rep != hub").join(mixed, "hub"), "near-mixed")
+    seen = written(own.join(deltas(own, texts), ["hub", "rep"]).withColumns({
+        "lacks": F.col("h_n") - F.col("common"), "differs": F.col("h_n") + F.col("n") - 2 * F.col("common")}), "near-deltas")
+    limit = (1 - similarity) / (1 + similarity)
+    cols = ["hub", "rep", "n", "class", "stray", "lacks", "differs"]
+    all_ = seen.select(*cols, F.explode("added").alias("kmer"))
+    x = all_.where("stray").select("hub", "kmer", *[F.col(c).alias(f"x_{c}") for c in cols[1:]])
+    apart = (F.col("class") != F.col("x_class")) & (~F.col("stray") | (F.col("x_rep") < F.col("rep"))) & close("n", "x_n", similarity)
+    both = all_.join(x, ["hub", "kmer"]).where(apart) \
+        .groupBy("hub", "rep", "x_rep", "n", "x_n", "lacks", "x_lacks", "differs", "x_differs").agg(F.count(F.lit(1)).alias("shared")) \
+        .where(F.col("differs") + F.col("x_differs") - 2 * F.col("shared") - 2 * F.least("lacks", "x_lacks") <= limit * (F.col("n") + F.col("x_n")) + 1e-9)
+    # n with differs + n - h_n <= limit * (x_n + n)
+    most = F.floor((limit * F.col("n") + F.col("h_n") - F.col("differs")) / (1 - limit) + 1e-9)
+    low, high = F.ceil(similarity * F.col("n") - 1e-9), F.least(most, F.floor(F.col("n") / similarity + 1e-9))
+    short = seen.where("stray").where(low <= high).select(
+        "hub", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("n"), F.col("rep").alias("x_rep"), F.col("class").alias("x_class"), F.col("n").alias("x_n"))
+    near = seen.select(*cols).join(short, ["hub", "n"]).where(apart)
+    return both.select(*pair("rep", "x_rep")).unionByName(near.select(*pair("rep", "x_rep"))).distinct()
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """node, root (the least node of its component) of every node with a link.
 
@@ -162,7 +231,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     for _ in range(rounds if before[0] else 1):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = written(small.where("u != v").distinct(), "links")
@@ -177,8 +246,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         roots.select("node", F.col("node").alias("root")))
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, length: int = LENGTH,
-                 hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, length: int = LENGTH) -> DataFrame:
     """doc_id, class_id (least doc_id of the class), copy_of (least doc_id of
     the same words), one row for each input row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -188,50 +256,25 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
                      .select("f1", "f2", F.col("r.doc_id").alias("rep"), "r.n", "r.keys"), "near-representatives")
     reps = chosen.select("f1", "f2", "rep")
     members = chosen.select("rep", "n", F.posexplode("keys").alias("band", "key"))
-    counted = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("rep", "band").alias("h"), "rep", "n")).alias("hub")) \
-        .where("size > 1")
-    buckets = written(members.join(counted, ["band", "key"]).select("band", "key", "rep", "n", "hub"), "near-buckets")
-    # pairs can only reach the similarity if their lengths are that close
-    close = F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n")
-    asked = buckets.where(close).where("rep != hub.rep") \
-        .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
-    asked = written(asked, "near-pairs")
-    used = buckets.select("rep").distinct()
-    texts = written(docs.join(used.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    counted = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(members.join(counted, ["band", "key"]), "near-shared")
+    # the text that others of a family were made from shares most sketches
+    # with most of them: the hub of a bucket is the member met most often
+    met = shared.groupBy("rep").agg(F.sum("size").alias("met"))
+    buckets = written(shared.join(met, "rep").select("band", "key", "rep", "n", "met"), "near-buckets")
+    first = buckets.groupBy("band", "key").agg(F.max(F.struct("met", (-F.col("rep")).alias("least"), "rep", "n")).alias("hub"))
+    # hub, h_n, rep, n: a group for each hub, of all that meet it in a bucket
+    groups = written(buckets.join(first, ["band", "key"]).select(
+        F.col("hub.rep").alias("hub"), F.col("hub.n").alias("h_n"), "rep", "n").distinct(), "near-groups")
+    asked = groups.where("rep != hub").where(close("n", "h_n", similarity)).select(*pair("rep", "hub")).distinct()
+    used = groups.select(F.col("rep").alias("doc_id")).distinct()
+    texts = written(docs.join(used, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
     links = written(verified(asked, texts, similarity), "near-links")
     root = components(links)
-
-    for turn in range(hub_rounds):
-        last = turn == hub_rounds - 1
-        own = buckets.drop("hub").join(root, F.col("rep") == F.col("node"), "left") \
-            .select("band", "key", "rep", "n", F.coalesce("root", "rep").alias("root"))
-        # buckets that still hold several classes
-        open_ = own.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")) \
-            .where("lo != hi and size > 2").select("band", "key")
-        own = written(own.join(open_, ["band", "key"]), "near-open")
-        by_class = own.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("rep", "band", F.lit(turn)).alias("h"), "rep", "n")).alias("hub"))
-        main = by_class.groupBy("band", "key").agg(F.max(F.struct("size", "root")).alias("main")).select("band", "key", F.col("main.root").alias("main"))
-        stray = own.join(main, ["band", "key"]).where("root != main")
-        if last:
-            hubs = stray.select("band", "key", F.col("rep").alias("h_rep"), F.col("n").alias("h_n"), F.col("root").alias("h_root"), "main")
-        else:
-            hubs = by_class.join(main, ["band", "key"]).where("root != main") \
-                .select("band", "key", F.col("hub.rep").alias("h_rep"), F.col("hub.n").alias("h_n"), F.col("root").alias("h_root"), "main") \
-                .groupBy("band", "key", "main").agg(F.min(F.struct("h_rep", "h_n", "h_root")).alias("x")) \
-                .select("band", "key", "main", "x.*")
-        pairs = own.join(hubs, ["band", "key"]).where("root != h_root") \
-            .where(F.least("n", "h_n") >= similarity * F.greatest("n", "h_n"))
-        if last:  # two strays meet once
-            pairs = pairs.where("root = main or rep < h_rep")
-        more = pairs.select(F.least("rep", "h_rep").alias("a"), F.greatest("rep", "h_rep").alias("b")).distinct() \
-            .join(asked, ["a", "b"], "left_anti")
-        more = written(more, "near-pairs")
-        if more.limit(1).count() == 0:
-            continue
-        asked = asked.unionByName(more)
-        found = written(verified(more, texts, similarity), "near-links")
-        links = links.unionByName(found)
-        root = components(links)
+    more = written(stray_pairs(groups, root, texts, similarity).join(asked, ["a", "b"], "left_anti"), "near-pairs")
+    found = written(verified(more, texts, similarity), "near-links")
+    # a star for each class so far, and the new links
+    root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
     of_rep = reps.join(root, F.col("rep") == F.col("node"), "left") \
         .select("f1", "f2", "rep", F.coalesce("root", "rep").alias("class_id"))
@@ -245,8 +288,9 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, sketches: int =
     """One document of each class: that with the least doc_id (one row of it,
     if it is repeated).  Columns are unchanged; rows of null doc_id stay."""
     classes = near_classes(docs, similarity, sketches, length)
+    row = "_row" + "_" * max(len(c) for c in docs.columns)  # no column has this name
     gone = classes.where("doc_id != class_id").select(F.col("doc_id").alias("doc_id")).distinct()
     order = Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.xxhash64("text"))
     kept = docs.join(gone.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_anti")
-    known = kept.where("doc_id is not null").withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
+    known = kept.where("doc_id is not null").withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
     return known.unionByName(kept.where("doc_id is null"))
