@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import mix, shingles, words, written
+from pitchlake.llm.common import POWERS, mix, shingles, words, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
-COLUMN_BLOCK = 1 << 13
+CELLS = 1 << 15
 
 _rng = np.random.default_rng(611)
 SEEDS = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -68,24 +68,28 @@ def labelled(text: str | None, n: int = SHINGLE) -> np.ndarray:
 
 def sketch(kmers: np.ndarray, sketches: int = SKETCHES, length: int = LENGTH) -> np.ndarray:
     """One key for each sketch: its least k-mers in text order."""
-    seeds = SEEDS[:sketches, None]
-    least = place = None
-    for at in range(0, len(kmers), COLUMN_BLOCK):  # bounded memory for long texts
-        part = kmers[at:at + COLUMN_BLOCK]
-        h = (part[None, :] ^ seeds) * np.uint64(0x9E3779B97F4A7C15)
+    n = len(kmers)
+    place = np.broadcast_to(np.arange(n), (sketches, n)) if n <= length else np.zeros((sketches, length), np.int64)
+    # few hashes are low enough to matter; where a sketch has too few of them, all are looked at
+    low = np.uint64(min((1 << 64) - 1, (2 * length + 10 << 64) // max(n, 1)))
+    step = min(sketches, max(1, CELLS // max(n, 1)))
+    for first in range(0, sketches if n > length else 0, step):
+        h = kmers[None, :] ^ SEEDS[first:min(sketches, first + step), None]
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-        p = np.broadcast_to(np.arange(at, at + len(part)), h.shape)
-        if least is not None:
-            h, p = np.concatenate([least, h], axis=1), np.concatenate([place, p], axis=1)
-        if h.shape[1] > length:
-            low = np.argpartition(h, length - 1, axis=1)[:, :length]
-            h, p = np.take_along_axis(h, low, axis=1), np.take_along_axis(p, low, axis=1)
-        least, place = h, p
+        at = np.flatnonzero(h.ravel() < low)
+        row = at // n
+        count = np.bincount(row, minlength=len(h))
+        if count.min() < length:
+            place[first:first + step] = np.argpartition(h, length - 1, axis=1)[:, :length]
+            continue
+        start = np.cumsum(count) - count
+        few = np.full((len(h), int(count.max())), (1 << 64) - 1, dtype=np.uint64)
+        few[row, np.arange(len(at)) - start[row]] = h.ravel()[at]
+        least = np.argpartition(few, length - 1, axis=1)[:, :length]
+        place[first:first + step] = (at - row * n)[start[:, None] + least]
     in_order = np.sort(place, axis=1)
-    key = np.zeros(sketches, dtype=np.uint64)
-    for c in range(in_order.shape[1]):
-        key = mix(key * np.uint64(31) + kmers[in_order[:, c]])
-    return key
+    return mix((mix(kmers)[in_order] * POWERS.upto(in_order.shape[1])[0]).sum(axis=1, dtype=np.uint64))
 
 
 def alignment(a: np.ndarray, b: np.ndarray) -> float:
