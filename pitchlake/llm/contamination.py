@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import LOWER, shingles, words
+from pitchlake.llm.common import LOWER, shingles, words, written
 
 WINDOW = 10
 MAX_BROADCAST = 2_000_000
 
-HIT_SCHEMA = "doc_id long, n_words long, hits array<struct<first:int,last:int>>, items array<string>"
+HIT_SCHEMA = "doc_id long, row long, n_words long, hits array<struct<first:int,last:int>>, items array<string>"
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -103,6 +103,11 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """Per document: doc_id, n_words, hits (merged ranges of hit word
     positions), items (sorted ids of the items with occurring windows)."""
     spark, parts = docs.sparkSession, window_parts(benchmark, window, max_broadcast)
+    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if len(parts) > 1:  # rows of several scans meet by a number that is written with them
+        rows_ = written(rows_.withColumn("row", F.monotonically_increasing_id()), "contamination-rows")
+    else:
+        rows_ = rows_.withColumn("row", F.lit(0).cast("long"))
     out = None
     for rows in parts:
         shared = spark.sparkContext.broadcast(rows)
@@ -117,20 +122,20 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     hits.append([{"first": x, "last": y} for x, y in r])
                     items.append(sorted(i))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array(n, pa.int64()),
+                    [b.column("doc_id"), b.column("row"), pa.array(n, pa.int64()),
                      pa.array(hits, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                     pa.array(items, pa.list_(pa.string()))], names=["doc_id", "n_words", "hits", "items"])
+                     pa.array(items, pa.list_(pa.string()))], names=["doc_id", "row", "n_words", "hits", "items"])
 
-        one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-            .mapInArrow(scan, HIT_SCHEMA)
+        one = rows_.mapInArrow(scan, HIT_SCHEMA)
         out = one if out is None else out.unionByName(one)
     if len(parts) == 1:
-        return out
-    # a document's hits of all parts meet: at most one row a part
-    return out.groupBy("doc_id").agg(
+        return out.drop("row")
+    # a row's hits of all parts meet: one row a part
+    return out.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         merge_ranges(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
 
 
 def merge_ranges(col):

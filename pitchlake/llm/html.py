@@ -32,10 +32,10 @@ SHARE = 0.3
 # fixed values: element groups of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-BLOCK = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt
-    fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu
-    nav noscript ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul""".split())
-ENDS_P = BLOCK - frozenset("br button iframe noscript option select textarea td th tr tbody thead tfoot caption body html".split())
+BLOCK = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt
+    fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
+    nav ol p pre section summary table tbody td tfoot th thead title tr ul""".split())
+ENDS_P = BLOCK - frozenset("br td th tr tbody thead tfoot caption body html".split())
 CLOSES = {
     "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "option": ("option", "select"),
     "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"),

@@ -86,7 +86,7 @@ class OneVersusOne:
 
     def __init__(self, classes: list[str], machines: list[tuple[np.ndarray, float]]):
         self.classes, self.pairs = classes, list(combinations(range(len(classes)), 2))
-        self.weights = np.array([w for w, _ in machines]).reshape(len(machines), -1)
+        self.weights = np.array([w for w, _ in machines]).reshape(len(machines), 1 << BITS)
         self.bias = np.array([b for _, b in machines])
 
     def predict(self, at: np.ndarray, x: np.ndarray) -> tuple[str, float]:
