@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchlake.session import ensure_checkpoint_dir
@@ -49,6 +48,20 @@ def held_out() -> "F.Column":
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def sample_by_class(rows: DataFrame, label: str, bound: int) -> DataFrame:
+    """At most ``bound`` rows of (doc_id, ``label``) for each label, those of
+    the least hash of doc_id.  The labels are counted first, so that only a few
+    times ``bound`` rows of a label meet in one task, whatever its size."""
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}  # one per label
+    if not counts:
+        return rows
+    part = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (4 * bound + 100) / n))])
+    h = F.xxhash64("doc_id")
+    low = rows.where(h / F.lit(2.0**64) + 0.5 <= F.element_at(part, F.col(label)))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(h, "doc_id"))
+    return low.withColumn("rank", rank).where(F.col("rank") <= bound).drop("rank")
+
+
 # ---------------------------------------------------------------- bytes and words
 
 # fixed values: lower-casing touches A-Z only; word bytes are 0-9, a-z and
@@ -58,7 +71,6 @@ LOWER[65:91] += 32
 WORD_BYTE = np.zeros(256, dtype=np.uint8)
 WORD_BYTE[48:58] = WORD_BYTE[97:123] = WORD_BYTE[128:] = 1
 
-WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SEGMENT = 1 << 20
 
 _rng = np.random.default_rng(20240607)

@@ -23,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import held_out
+from pitchlake.llm.common import held_out, sample_by_class
 
 PER_LANGUAGE = 800
 BITS = 13
@@ -116,10 +116,8 @@ class Model:
 
 def sample(docs: DataFrame, per_language: int) -> DataFrame:
     """label, features of at most ``per_language`` learnable rows a language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = docs.where("lang is not null and text is not null").where(~held_out()) \
-        .select("doc_id", "lang", F.row_number().over(order).alias("r")).where(F.col("r") <= per_language) \
-        .select("doc_id", F.col("lang").alias("label")).distinct()
+    known = docs.where("lang is not null and text is not null").where(~held_out()).select("doc_id", F.col("lang").alias("label"))
+    chosen = sample_by_class(known, "label", per_language).distinct()
     # bounded: per_language rows for each language
     texts = docs.where("text is not null").select("doc_id", "text", "lang") \
         .join(F.broadcast(chosen), "doc_id").where("lang = label").select("label", "text")
@@ -128,7 +126,9 @@ def sample(docs: DataFrame, per_language: int) -> DataFrame:
         f = features(text)
         return None if f is None else Vectors.sparse(1 << BITS, f[0], f[1])
 
-    return texts.select("label", F.udf(vector, VectorUDT())("text").alias("features")).where("features is not null")
+    # not deterministic for the optimiser, so that it runs once a row and after the join
+    made = F.udf(vector, VectorUDT()).asNondeterministic()
+    return texts.select("label", made("text").alias("features")).where("features is not null")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, families: dict[str, str] = FAMILIES,

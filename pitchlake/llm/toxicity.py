@@ -3,18 +3,18 @@
 P(grade > k) = logistic(w . x - theta_k): one weight vector shared by all
 thresholds, x the presence of vocabulary features in the whole text: words,
 and beginnings of four to six characters of longer words, which stand for the
-many forms of one stem.  The fit is
-Spark's logistic regression over one row per labelled text and threshold
-(the row's target is "grade > k", its threshold an indicator feature), which
-is the all-threshold form of the model; an L1 penalty keeps the weights
-sparse, so that long clean texts do not add up to a toxic one.  Rows weigh
-so that grade 0 and the rest count alike.
+many forms of one stem.  The fit is Spark's logistic regression over one row
+per labelled text and threshold (the row's target is "grade > k", its threshold
+an indicator feature), which is the all-threshold form of the model; an L1
+penalty keeps the weights sparse, so that long clean texts do not add up to a
+toxic one.  Rows weigh so that grade 0 and the rest count alike.
 
 The vocabulary is learned: at most ``vocabulary`` features that are commoner
 above grade 0, by a G-test of at least ``evidence``; without any, every text
-has the same odds.  The fit uses at most ``per_grade`` texts of
-each grade, chosen by a hash of doc_id outside the held-out fold.  Expected severity is the sum of P(grade > k); the
-predicted grade is the number of thresholds with P of one half or more.
+has the same odds.  The fit uses at most ``per_grade`` texts of each grade,
+chosen by a hash of doc_id outside the held-out fold.  Expected severity is the
+sum of P(grade > k); the predicted grade is the number of thresholds with P of
+one half or more.
 
 Null and empty texts have no words and get the grade of an empty text; rows
 without a label are predicted all the same; without labels, or with one grade
@@ -30,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import held_out
+from pitchlake.llm.common import held_out, sample_by_class
 
 PER_GRADE = 3000
 VOCABULARY = 4096
@@ -71,9 +71,8 @@ class Model:
 
 def sample(docs: DataFrame, graded: DataFrame, per_grade: int) -> DataFrame:
     """grade, features of at most ``per_grade`` learnable texts a grade."""
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = graded.select("doc_id", "grade").where("doc_id is not null and grade is not null").where(~held_out()).distinct() \
-        .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_grade).drop("r")
+    known = graded.select("doc_id", "grade").where("doc_id is not null and grade is not null").where(~held_out()).distinct()
+    chosen = sample_by_class(known, "grade", per_grade)
     # bounded: per_grade rows a grade
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(chosen), "doc_id").select("grade", "text")
