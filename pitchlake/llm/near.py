@@ -43,6 +43,7 @@ SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
 CELLS = 1 << 15
+FREQUENT, PART = 8, 16
 
 _rng = np.random.default_rng(611)
 SEEDS = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -194,7 +195,9 @@ def stray_pairs(groups: DataFrame, root: DataFrame, texts: DataFrame, similarity
     compared with the hub.  If x and y share no added k-mer, then they differ in
     at least d_x + e_x + |y| - |hub| k-mers.  So y either shares an added k-mer
     with the stray (an equality join, counted and held against the bound) or
-    is short enough (a join on its length)."""
+    is near enough by these counts alone (a join on the counts).  Of added
+    k-mers that a good part of a group has, all are taken to be shared, which
+    keeps the bound a bound and their rows out of the join."""
     node = root.select(F.col("node").alias("rep"), F.col("root").alias("class"))
     of_hub = root.select(F.col("node").alias("hub"), F.col("root").alias("h_class"))
     own = groups.join(node, "rep", "left").join(of_hub, "hub", "left").select(
@@ -205,19 +208,38 @@ def stray_pairs(groups: DataFrame, root: DataFrame, texts: DataFrame, similarity
     seen = written(own.join(deltas(own, texts), ["hub", "rep"]).withColumns({
         "lacks": F.col("h_n") - F.col("common"), "differs": F.col("h_n") + F.col("n") - 2 * F.col("common")}), "near-deltas")
     limit = (1 - similarity) / (1 + similarity)
-    cols = ["hub", "rep", "n", "class", "stray", "lacks", "differs"]
-    all_ = seen.select(*cols, F.explode("added").alias("kmer"))
-    x = all_.where("stray").select("hub", "kmer", *[F.col(c).alias(f"x_{c}") for c in cols[1:]])
-    apart = (F.col("class") != F.col("x_class")) & (~F.col("stray") | (F.col("x_rep") < F.col("rep"))) & close("n", "x_n", similarity)
-    both = all_.join(x, ["hub", "kmer"]).where(apart) \
-        .groupBy("hub", "rep", "x_rep", "n", "x_n", "lacks", "x_lacks", "differs", "x_differs").agg(F.count(F.lit(1)).alias("shared")) \
-        .where(F.col("differs") + F.col("x_differs") - 2 * F.col("shared") - 2 * F.least("lacks", "x_lacks") <= limit * (F.col("n") + F.col("x_n")) + 1e-9)
-    # n with differs + n - h_n <= limit * (x_n + n)
-    most = F.floor((limit * F.col("n") + F.col("h_n") - F.col("differs")) / (1 - limit) + 1e-9)
+    added = seen.select("hub", "rep", F.explode("added").alias("kmer"))
+    # k-mers that a good part of a group adds are what the hub lacks of their
+    # common text; they are counted, not joined
+    size = seen.groupBy("hub").agg(F.count(F.lit(1)).alias("size"))
+    common = written(added.groupBy("hub", "kmer").agg(F.count(F.lit(1)).alias("times")).where(F.col("times") >= FREQUENT)
+                     .join(size, "hub").where(F.col("times") * PART >= F.col("size")).select("hub", "kmer"), "near-common")
+    often = added.join(common, ["hub", "kmer"]).groupBy("hub", "rep").agg(F.count(F.lit(1)).alias("often"))
+    known = written(seen.drop("added", "common").join(often, ["hub", "rep"], "left").fillna(0, ["often"]), "near-known")
+    cols = ["rep", "n", "class", "stray", "lacks", "differs", "often"]
+    x_cols = [F.col(c).alias(f"x_{c}") for c in cols]
+
+    def within(shared):
+        """Whether y and x can reach the similarity if they share so many rarer added k-mers."""
+        least = F.col("differs") + F.col("x_differs") - 2 * F.least("lacks", "x_lacks") - 2 * F.least("often", "x_often") - 2 * shared
+        return (least <= limit * (F.col("n") + F.col("x_n")) + 1e-9) & close("n", "x_n", similarity)
+
+    apart = (F.col("class") != F.col("x_class")) & (~F.col("stray") | (F.col("x_rep") < F.col("rep")))
+    rare = added.join(common, ["hub", "kmer"], "left_anti")
+    own = rare.join(known, ["hub", "rep"])
+    x = own.where("stray").select("hub", "kmer", *x_cols)
+    both = own.join(x, ["hub", "kmer"]).where(apart) \
+        .groupBy("hub", *cols, *[f"x_{c}" for c in cols]).agg(F.count(F.lit(1)).alias("shared")).where(within(F.col("shared")))
+    # without a rarer one: kinds of members, few for each hub, are held against kinds of strays
+    kind = ["n", "lacks", "differs", "often"]
+    kinds = known.select("hub", *kind).distinct()
+    most = F.floor((limit * F.col("n") + F.col("h_n") + 2 * F.col("often") - F.col("differs")) / (1 - limit) + 1e-9)
     low, high = F.ceil(similarity * F.col("n") - 1e-9), F.least(most, F.floor(F.col("n") / similarity + 1e-9))
-    short = seen.where("stray").where(low <= high).select(
-        "hub", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("n"), F.col("rep").alias("x_rep"), F.col("class").alias("x_class"), F.col("n").alias("x_n"))
-    near = seen.select(*cols).join(short, ["hub", "n"]).where(apart)
+    reach = known.where("stray").select("hub", "h_n", *kind).distinct().where(low <= high).select(
+        "hub", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("n"), *[F.col(c).alias(f"x_{c}") for c in kind])
+    x = known.where("stray").select("hub", *x_cols)
+    near = kinds.join(reach, ["hub", "n"]).where(within(F.lit(0))) \
+        .join(x, ["hub", *[f"x_{c}" for c in kind]]).join(known, ["hub", *kind]).where(apart)
     return both.select(*pair("rep", "x_rep")).unionByName(near.select(*pair("rep", "x_rep"))).distinct()
 
 
