@@ -294,7 +294,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
         F.col("hub.rep").alias("hub"), F.col("hub.n").alias("h_n"), "rep", "n").distinct(), "near-groups")
     asked = groups.where("rep != hub").where(close("n", "h_n", similarity)).select(*pair("rep", "hub")).distinct()
     used = groups.select(F.col("rep").alias("doc_id")).distinct()
-    texts = written(docs.join(used, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    # the same join at every size: the texts move once
+    texts = written(docs.join(used.hint("shuffle_merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
     links = written(verified(asked, texts, similarity), "near-links")
     root = components(links)
     more = written(stray_pairs(groups, root, texts, similarity).join(asked, ["a", "b"], "left_anti"), "near-pairs")
