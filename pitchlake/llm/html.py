@@ -1,16 +1,18 @@
 """HTML main text with site template removal (operator 9).
 
 Every page is parsed into a tree of elements.  Each block element is hashed
-with all that is in it; Spark counts, for each host, the pages on which a hash
-occurs.  A subtree found on at least ``min_pages`` pages and ``share`` of the
-pages of its host belongs to the site's template and is deleted, unless it
+with all that is in it; Spark counts, for each host, the distinct pages on which
+a hash occurs: pages whose text is the same before any template is deleted are
+one page, so copies of an article are no template.  A subtree found on at least
+``min_pages`` distinct pages and ``share`` of those of its host belongs to the
+site's template and is deleted, unless it
 holds the article itself.  What the markup names as something other than the
 article (navigation, adverts, forms, comments, ...) goes too, and of what is
 left the article (or main) elements are kept, or the whole body without them.
 
 Null and empty pages, and pages without an article text, give an empty text; a
 null url is a host of its own; broken markup is read like browsers do
-(implied ends, raw script text, unclosed tags); repeated pages all count and
+(implied ends, raw script text, unclosed tags); repeated pages count once and
 keep their rows; other columns are ignored.
 """
 
@@ -167,17 +169,24 @@ def number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def subtree_hashes(html: str | None) -> list[int]:
-    """Distinct hashes of the block subtrees that could be template."""
+def subtree_hashes(html: str | None) -> tuple[int, list[int]]:
+    """What tells distinct pages apart, a hash of the text with nothing deleted
+    as template, and the distinct hashes of the block subtrees that could be
+    template."""
     nodes = parse(html or "")
     summarise(nodes)
-    return sorted({number(x.hash) for x in nodes[1:] if x.tag in BLOCK and x.text and not x.main})
+    content = blake2b(kept_text(nodes, set()).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return number(content), sorted({number(x.hash) for x in nodes[1:] if x.tag in BLOCK and x.text and not x.main})
 
 
 def main_text(html: str | None, template: set[int]) -> str:
     """The text of the article; ``template`` holds the subtree hashes to delete."""
     nodes = parse(html or "")
     summarise(nodes)
+    return kept_text(nodes, template)
+
+
+def kept_text(nodes: list[Node], template: set[int]) -> str:
     dropped = set()
     for x in nodes[1:]:  # parents come first
         inside = id(x.parent) in dropped
@@ -249,19 +258,20 @@ def host() -> "F.Column":
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """host, hashes: the subtree hashes of each site's template.  A hash is in
-    it on ``share`` of the host's pages, which bounds the list of a host."""
+    it on ``share`` of the host's distinct pages, which bounds the list of a host."""
     def hashes(batches):
         for b in batches:
+            found = [subtree_hashes(h.as_py()) for h in b.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("host"), pa.array([subtree_hashes(h.as_py()) for h in b.column("html")], pa.list_(pa.int64()))],
-                names=["host", "hashes"])
+                [b.column("host"), pa.array([c for c, _ in found], pa.int64()),
+                 pa.array([h for _, h in found], pa.list_(pa.int64()))], names=["host", "content", "hashes"])
 
-    # pages of the same host meet as counts only, summed in each task first;
-    # hash 0 stands for the page itself
+    # distinct in each task and over all tasks first, then counted, so pages of
+    # the same host meet as counts only; hash 0 stands for the page itself
     rows = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")) \
-        .mapInArrow(hashes, "host string, hashes array<long>")
-    counts = rows.select("host", F.explode(F.concat(F.array(F.lit(0).cast("long")), "hashes")).alias("hash")) \
-        .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+        .mapInArrow(hashes, "host string, content long, hashes array<long>")
+    counts = rows.select("host", "content", F.explode(F.concat(F.array(F.lit(0).cast("long")), "hashes")).alias("hash")) \
+        .groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= min_pages)
     counts = written(counts, "page-subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     return counts.where("hash != 0").join(total, "host").where(F.col("n") >= share * F.col("pages")) \

@@ -482,6 +482,22 @@ def test_site_templates(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    """12 of the 30 pages of a host are one article under other addresses."""
+    rng = random.Random(21)
+
+    def article():
+        return f"<h1>{prose(rng, 5)}</h1><h2>{prose(rng, 4)}</h2><p>{prose(rng, 30)}</p><ul><li>{prose(rng, 6)}</li></ul><p>{prose(rng, 30)}</p>"
+
+    copied, rows, want = article(), [], {}
+    for i in range(30):
+        body = copied if i < 12 else article()
+        rows.append((i, f"http://h.example.org/a?print={i}", page(f"<div>Site of texts</div><article>{body}<p>Read on here</p></article><div>print {i}</div>")))
+        want[i] = " ".join(re.sub("<[^>]*>", " ", body).split())
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == want
+
+
 # ------------------------------------------------------------------ op1, op10
 
 def languages(rng, n):
