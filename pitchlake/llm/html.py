@@ -10,6 +10,14 @@ holds the article itself.  What the markup names as something other than the
 article (navigation, adverts, forms, comments, ...) goes too, and of what is
 left the article (or main) elements are kept, or the whole body without them.
 
+A class or id names something else only by a whole name of it, words of layout
+aside (``share-buttons``, not ``social-history``), and ids of headings name
+nothing.  An article so named stays where no other root has a text and it has an h1, most
+of the page's text or all that is left, and another
+element where it holds most of the page's text and an h1 if there is one.
+Articles without an h1 that hold less than half of the text of main, or of the
+body, are teasers; then that text is kept.
+
 Null and empty pages, and pages without an article text, give an empty text; a
 null url is a host of its own; broken markup is read like browsers do
 (implied ends, raw script text, unclosed tags); repeated pages count once and
@@ -19,6 +27,7 @@ keep their rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
 
@@ -54,7 +63,12 @@ HINTS = frozenset("""ad ads adv advert adverts advertisement advertising adsense
     subscribe subscription signup login sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs
     footer masthead topbar comment comments commentlist disqus replies respond share sharing social related
     recommended recommendations widget widgets toolbar pagination pager skip""".split())
-KEPT_ROOTS = frozenset("html body article main".split())
+# words that say where or in what shape something is; a name may have them beside those of HINTS
+LAYOUT = frozenset("""area aside bar bars block blocks body bottom box boxes button buttons center column container
+    div entries form frame group header icon icons inner item items label left line link links list lists module outer pane
+    panel post posts right row section site slot slots space spot tab tabs text title top unit units wrap wrapper x
+    article articles stories story""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -63,10 +77,10 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "mark", "named", "hash", "main", "text")
+    __slots__ = ("tag", "parent", "parts", "mark", "off", "named", "hash", "main", "text", "size", "head")
 
-    def __init__(self, tag: str, parent, named: bool, mark: str):
-        self.tag, self.parent, self.named, self.mark = tag, parent, named, mark
+    def __init__(self, tag: str, parent, off: bool, named: bool, mark: str):
+        self.tag, self.parent, self.off, self.named, self.mark = tag, parent, off, named, mark
         self.parts: list = []  # texts and nodes, in page order
 
 
@@ -77,24 +91,32 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def names_other(tag: str, raw: str) -> tuple[bool, str]:
-    """Whether tag and attributes name something other than the article, and
-    what of the attributes counts for the hash."""
+@lru_cache(1 << 14)
+def is_hint(name: str) -> bool:
+    """Whether a class or id, as a whole, names something other than the article."""
+    found = [w for w in SPLIT.split(CAMEL.sub(" ", name).lower()) if w and not w[0].isdigit()]
+    return not HINTS.isdisjoint(found) and all(w in HINTS or w in LAYOUT for w in found)
+
+
+def names_other(tag: str, raw: str) -> tuple[bool, bool, str]:
+    """Whether the element is none of the article by its tag, role or being
+    hidden, whether its class or id names something else, and what of the
+    attributes counts for the hash."""
     if not raw.strip(" /\n\t\r"):
-        return tag in DROPPED, ""
+        return tag in DROPPED, False, ""
     a = attributes(raw)
     own = " ".join([a.get("class", ""), a.get("id", "")])
-    if tag in KEPT_ROOTS and tag != "article":
-        return False, own
-    hinted = not HINTS.isdisjoint(SPLIT.split(CAMEL.sub(" ", own).lower()))
+    if tag in ("html", "body", "main"):
+        return False, False, own
+    hinted = any(is_hint(x) for x in (a.get("class", "") if tag in HEADINGS else own).split())
     hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" \
         or "display:none" in a.get("style", "").lower().replace(" ", "")
-    return tag in DROPPED or hinted or hidden or a.get("role", "").lower() in DROPPED_ROLES, own
+    return tag in DROPPED or hidden or a.get("role", "").lower() in DROPPED_ROLES, hinted, own
 
 
 def parse(html: str) -> list[Node]:
     """The elements in page order; the first is the root."""
-    root = Node("", None, False, "")
+    root = Node("", None, False, False, "")
     nodes, top, at, n = [root], root, 0, len(html)
 
     def close(stop: frozenset[str], scope: frozenset[str]):
@@ -126,7 +148,7 @@ def parse(html: str) -> list[Node]:
             if x is not root:
                 top = x.parent
             elif tag in ("p", "br"):
-                top.parts.append(Node("br", top, False, ""))
+                top.parts.append(Node("br", top, False, False, ""))
             continue
         if tag in ENDS_P:
             close(frozenset(("p",)), frozenset(("td", "th", "table", "button", "object", "caption", "div", "article", "section")))
@@ -134,8 +156,7 @@ def parse(html: str) -> list[Node]:
             close(*CLOSES[tag])
             if tag in ("tr", "tbody", "thead", "tfoot"):
                 close(*CLOSES[tag])
-        named, mark = names_other(tag, m[3])
-        node = Node(tag, top, named, mark)
+        node = Node(tag, top, *names_other(tag, m[3]))
         top.parts.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -149,18 +170,24 @@ def parse(html: str) -> list[Node]:
 
 
 def summarise(nodes: list[Node]) -> None:
-    """Hash of every subtree, and whether it holds the article."""
+    """Hash of every subtree, whether it holds the article, how long its text
+    is and whether an h1 is in it, both without what is none of the article."""
     for x in reversed(nodes):  # children come after their parents
         h = blake2b(f"{x.tag} {x.mark}\0".encode("utf-8", "surrogatepass"), digest_size=8)
         x.main, x.text = x.tag in ("article", "main", "h1"), False
+        x.size, x.head = 0, x.tag == "h1"
         for p in x.parts:
             if isinstance(p, str):
                 t = " ".join(unescape(p).split())
                 x.text |= bool(t)
+                x.size += len(t)
                 h.update(t.encode("utf-8", "surrogatepass"))
             elif p.tag != "br":
                 x.main |= p.main
                 x.text |= p.text
+                if not (p.off or p.tag == "header" and outside(p)):
+                    x.size += p.size
+                    x.head |= p.head
                 h.update(p.hash)
         x.hash = h.digest()
 
@@ -187,19 +214,47 @@ def main_text(html: str | None, template: set[int]) -> str:
 
 
 def kept_text(nodes: list[Node], template: set[int]) -> str:
-    dropped = set()
+    dropped = drop(nodes, template, set())
+    named = [x for x in nodes if x.tag == "article" and x.named]
+    if named:
+        heads = dropped | {id(x) for x in nodes if x.tag == "h1"}
+        if not any(texts(x, heads) for x in nodes[1:] if x.tag in ("article", "main") and id(x) not in heads):
+            rest = texts(nodes[0], dropped)
+            spared = {id(x) for x in named if not rest or x.head or 2 * x.size > nodes[0].size}
+            dropped = drop(nodes, template, spared)
+    kept = [x for x in nodes[1:] if x.tag in ("article", "main") and id(x) not in dropped]
+    roots = outermost([x for x in kept if x.tag == "article"])
+    own = {id(x) for x in roots}
+    wider = outermost([x for x in kept if x.tag == "main"]) or nodes[:1]
+    blocks = [b for r in roots for b in texts(r, dropped)]
+    if not any(y.tag == "h1" and id(y) not in dropped and own & {id(z) for z in ancestors(y)} for y in nodes):  # they may be teasers
+        around = [b for r in wider for b in texts(r, dropped)]
+        if 2 * sum(map(len, blocks)) < sum(map(len, around)):
+            blocks = around
+    return " ".join(blocks)
+
+
+def drop(nodes: list[Node], template: set[int], spared: set[int]) -> set[int]:
+    """The elements that are none of the article.  ``spared`` articles stay
+    whatever their class names."""
+    dropped, page = set(), nodes[0]
     for x in nodes[1:]:  # parents come first
         inside = id(x.parent) in dropped
-        header = x.tag == "header" and not any(y.tag in ("article", "main") for y in ancestors(x))
-        other = x.named and not (x.main and x.tag not in ("article", *DROPPED) and holds_article(x))
+        header = x.tag == "header" and outside(x)
+        rescued = x.main and x.tag not in ("article", *DROPPED) and holds_article(x)
+        if x.tag == "article":
+            named = x.named and id(x) not in spared
+        else:
+            named = x.named and not rescued and not (2 * x.size > page.size and (x.head or not page.head))
+        other = x.off and not rescued or named
         if inside or header or other or (template and not x.main and x.tag in BLOCK and number(x.hash) in template):
             dropped.add(id(x))
-    kept = [x for x in nodes[1:] if x.tag in ("article", "main") and id(x) not in dropped]
-    roots = [x for x in kept if x.tag == "article"] or kept
-    inner = {id(x) for x in roots}
-    roots = [x for x in roots if not any(id(y) in inner for y in ancestors(x))]
-    blocks = [b for r in (roots or nodes[:1]) for b in texts(r, dropped)]
-    return " ".join(blocks)
+    return dropped
+
+
+def outermost(found: list[Node]) -> list[Node]:
+    inner = {id(x) for x in found}
+    return [x for x in found if not any(id(y) in inner for y in ancestors(x))]
 
 
 def ancestors(x: Node):
@@ -208,13 +263,18 @@ def ancestors(x: Node):
         yield x
 
 
+def outside(x: Node) -> bool:
+    """Whether the element is in no article or main."""
+    return not any(y.tag in ("article", "main") for y in ancestors(x))
+
+
 def holds_article(x: Node) -> bool:
     stack = [x]
     while stack:
         y = stack.pop()
         for p in y.parts:
             if not isinstance(p, str):
-                if p.tag in ("article", "main") and not p.named:
+                if p.tag in ("article", "main") and not p.off and not p.named:
                     return True
                 stack.append(p)
     return False

@@ -460,6 +460,30 @@ def test_html_cases():
     assert html.main_text(page(deep), set()) == "deep"
 
 
+LONG = "many words that make up most of the text of this page " * 3
+NAMED_CASES = [
+    ("<article class='post comments-open'><h1>A</h1><p>kept</p></article>", "A kept"),
+    ("<article class='has-sidebar'><p>kept</p></article>", "kept"),
+    ("<article class='post social'><p>kept</p></article>", "kept"),
+    ("<main><h1>A</h1><article class='promo'><p>kept</p></article></main>", "kept"),
+    ("<div class='content with-sidebar'><h1>A</h1><p>kept</p></div>", "A kept"),
+    (f"<div class='widget'><h1>A</h1><p>{LONG}</p></div><p>more</p>", f"A {LONG}more"),
+    ("<article><h2 id='social-history'>Past</h2><section id='related-work'><p>x</p></section><p class='notice-period'>y</p></article>", "Past x y"),
+    ("<article><h2 id='comments'>Remarks</h2><p>x</p></article>", "Remarks x"),
+    (f"<main><h1>A</h1><p>{LONG}</p><article><h2>Next</h2></article></main>", f"A {LONG}Next"),
+    (f"<div><h1>A</h1><p>{LONG}</p></div><article><h2>Next</h2></article>", f"A {LONG}Next"),
+    (f"<main><article><h1>A</h1><p>kept</p></article><p>{LONG}</p></main>", "A kept"),
+    (f"<div><h1>A</h1><p>kept</p></div><div id='comments'><p>{LONG}</p></div>", "A kept"),
+    ("<div><p>the text</p></div><article class='comment'>c1</article><article class='comment'>c2</article>", "the text"),
+    ("<article><p>in</p><div class='ad-300x250'>buy</div><ul class='related-posts'><li>r</ul><div class='commentForm'>c</div></article>", "in"),
+]
+
+
+def test_html_names():
+    for body, text in NAMED_CASES:
+        assert html.main_text(page(body), set()) == text, body
+
+
 def test_site_templates(spark):
     rng = random.Random(1)
     rows, want = [], {}
