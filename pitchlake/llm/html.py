@@ -5,8 +5,10 @@ with all that is in it; Spark counts, for each host, the distinct pages on which
 a hash occurs: pages whose text is the same before any template is deleted are
 one page, so copies of an article are no template.  A subtree found on at least
 ``min_pages`` distinct pages and ``share`` of those of its host belongs to the
-site's template and is deleted, unless it
-holds the article itself.  What the markup names as something other than the
+site's template and is deleted, unless it holds an article or main element.  So
+is one of ``LONG`` characters or more without an h1 on ``MANY`` distinct pages and
+``FEW`` of those of its host: menus of a section, notices or adverts of a pool.
+Shorter ones, such as headings and cells, recur in articles too.  What the markup names as something other than the
 article (navigation, adverts, forms, comments, ...) goes too, and of what is
 left the article (or main) elements are kept, or the whole body without them.
 
@@ -39,6 +41,8 @@ from pitchlake.llm.common import written
 
 MIN_PAGES = 10
 SHARE = 0.3
+MANY, FEW, LONG = 100, 0.001, 30
+HOST_LIST = 1_000
 
 # fixed values: element groups of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,7 +81,7 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "mark", "off", "named", "hash", "main", "text", "size", "head")
+    __slots__ = ("tag", "parent", "parts", "mark", "off", "named", "hash", "main", "core", "text", "size", "head")
 
     def __init__(self, tag: str, parent, off: bool, named: bool, mark: str):
         self.tag, self.parent, self.off, self.named, self.mark = tag, parent, off, named, mark
@@ -175,7 +179,7 @@ def summarise(nodes: list[Node]) -> None:
     for x in reversed(nodes):  # children come after their parents
         h = blake2b(f"{x.tag} {x.mark}\0".encode("utf-8", "surrogatepass"), digest_size=8)
         x.main, x.text = x.tag in ("article", "main", "h1"), False
-        x.size, x.head = 0, x.tag == "h1"
+        x.size, x.head, x.core = 0, x.tag == "h1", x.tag in ("article", "main")
         for p in x.parts:
             if isinstance(p, str):
                 t = " ".join(unescape(p).split())
@@ -184,6 +188,7 @@ def summarise(nodes: list[Node]) -> None:
                 h.update(t.encode("utf-8", "surrogatepass"))
             elif p.tag != "br":
                 x.main |= p.main
+                x.core |= p.core
                 x.text |= p.text
                 if not (p.off or p.tag == "header" and outside(p)):
                     x.size += p.size
@@ -196,6 +201,11 @@ def number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def block_number(x: Node) -> int:
+    """The hash of a subtree; odd where it is long enough to be template by ``MANY``."""
+    return number(x.hash) & ~1 | (x.size >= LONG and not (x.main or x.head))
+
+
 def subtree_hashes(html: str | None) -> tuple[int, list[int]]:
     """What tells distinct pages apart, a hash of the text with nothing deleted
     as template, and the distinct hashes of the block subtrees that could be
@@ -203,7 +213,7 @@ def subtree_hashes(html: str | None) -> tuple[int, list[int]]:
     nodes = parse(html or "")
     summarise(nodes)
     content = blake2b(kept_text(nodes, set()).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    return number(content), sorted({number(x.hash) for x in nodes[1:] if x.tag in BLOCK and x.text and not x.main})
+    return number(content), sorted({block_number(x) for x in nodes[1:] if x.tag in BLOCK and x.text and not x.core})
 
 
 def main_text(html: str | None, template: set[int]) -> str:
@@ -247,7 +257,7 @@ def drop(nodes: list[Node], template: set[int], spared: set[int]) -> set[int]:
         else:
             named = x.named and not rescued and not (2 * x.size > page.size and (x.head or not page.head))
         other = x.off and not rescued or named
-        if inside or header or other or (template and not x.main and x.tag in BLOCK and number(x.hash) in template):
+        if inside or header or other or (template and not x.core and x.tag in BLOCK and block_number(x) in template):
             dropped.add(id(x))
     return dropped
 
@@ -316,33 +326,51 @@ def host() -> "F.Column":
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """host, hashes: the subtree hashes of each site's template.  A hash is in
-    it on ``share`` of the host's distinct pages, which bounds the list of a host."""
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """host, page (md5 of the markup), content, hashes of every page."""
     def hashes(batches):
         for b in batches:
             found = [subtree_hashes(h.as_py()) for h in b.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("host"), pa.array([c for c, _ in found], pa.int64()),
-                 pa.array([h for _, h in found], pa.list_(pa.int64()))], names=["host", "content", "hashes"])
+                [b.column("host"), b.column("page"), pa.array([c for c, _ in found], pa.int64()),
+                 pa.array([h for _, h in found], pa.list_(pa.int64()))], names=["host", "page", "content", "hashes"])
+
+    return pages.select(host().alias("host"), markup().alias("page"), F.col("html").cast("string").alias("html")) \
+        .mapInArrow(hashes, "host string, page binary, content long, hashes array<long>")
+
 
+def markup() -> "F.Column":
+    return F.unhex(F.md5(F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")))
+
+
+def site_templates(rows: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """host, hash: the subtrees of each site's template; ``rows`` are those of
+    :func:`page_subtrees`."""
     # distinct in each task and over all tasks first, then counted, so pages of
     # the same host meet as counts only; hash 0 stands for the page itself
-    rows = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")) \
-        .mapInArrow(hashes, "host string, content long, hashes array<long>")
     counts = rows.select("host", "content", F.explode(F.concat(F.array(F.lit(0).cast("long")), "hashes")).alias("hash")) \
         .groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= min_pages)
-    counts = written(counts, "page-subtrees")
+    counts = written(counts, "page-subtree-counts")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    return counts.where("hash != 0").join(total, "host").where(F.col("n") >= share * F.col("pages")) \
-        .groupBy("host").agg(F.collect_list("hash").alias("hashes"))
-
-
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
-    templates = written(site_templates(pages, min_pages, share), "site-templates")
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host().alias("host")) \
-        .join(templates, "host", "left").select("page_id", "url", "html", "hashes")
+    long = F.col("hash").bitwiseAND(F.lit(1).cast("long")) == 1
+    return counts.where("hash != 0").join(total, "host").where(
+        (F.col("n") >= share * F.col("pages")) | long & (F.col("n") >= MANY) & (F.col("n") >= FEW * F.col("pages"))) \
+        .select("host", "hash")
+
+
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, host_list: int = HOST_LIST) -> DataFrame:
+    """page_id, url, text, n_chars of every page.  The template of a host goes
+    with each of its pages up to ``host_list`` subtrees; of a larger one each
+    page gets only those that are on it, by joins."""
+    subtrees = written(page_subtrees(pages), "page-subtrees")
+    templates = written(site_templates(subtrees, min_pages, share), "site-templates")
+    large = written(templates.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > host_list).select("host"), "large-hosts")
+    of_host = written(templates.join(large, "host", "left_anti").groupBy("host").agg(F.collect_list("hash").alias("of_host")), "host-templates")
+    of_page = written(subtrees.join(large, "host", "left_semi").select("host", "page", F.explode("hashes").alias("hash"))
+                      .join(templates, ["host", "hash"]).groupBy("host", "page").agg(F.collect_set("hash").alias("of_page")), "page-templates")
+    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host().alias("host"), markup().alias("page")) \
+        .join(of_host, "host", "left").join(of_page, ["host", "page"], "left") \
+        .select("page_id", "url", "html", F.coalesce("of_host", "of_page").alias("hashes"))
     schema = rows.select("page_id", "url", F.lit("").alias("text")).schema
 
     def texts_of(batches):
