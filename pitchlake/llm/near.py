@@ -6,6 +6,9 @@ of its earlier occurrences, which makes them distinct.  A sketch takes the
 share a sketch with a probability that grows with the share of k-mers that
 they have in common in the same order, so moved text counts against them.
 There are ``sketches`` of them, and texts that share one are candidates.
+Sketches of short texts are too few k-mers to agree by chance, so texts of up to
+``SHORT`` k-mers are candidates also if they share one of their least k-mers, as
+any two that can reach the similarity do.
 
 Candidates are verified by banded alignment of their labelled k-mers: the
 longest common subsequence L with positions at most (a + b) / 9 apart, where a
@@ -42,6 +45,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 LENGTH = 5
+SHORT = 40
 CELLS = 1 << 15
 FREQUENT, PART = 8, 16
 
@@ -93,6 +97,15 @@ def sketch(kmers: np.ndarray, sketches: int = SKETCHES, length: int = LENGTH) ->
     return mix((mix(kmers)[in_order] * POWERS.upto(in_order.shape[1])[0]).sum(axis=1, dtype=np.uint64))
 
 
+def least_kmers(kmers: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Keys of the k-mers of least hash of a short text: as many as leave fewer
+    of the others than any text that reaches the similarity shares with it."""
+    n = len(kmers)
+    if n > SHORT:
+        return np.zeros(0, dtype=np.uint64)
+    return np.sort(mix(kmers))[:n - max(1, int(np.ceil(similarity * n - 1e-9))) + 1]
+
+
 def alignment(a: np.ndarray, b: np.ndarray) -> float:
     """L / (a + b - L) of the banded longest common subsequence of two arrays
     without repeated values; exact where it is 0.8 or more."""
@@ -111,8 +124,9 @@ def alignment(a: np.ndarray, b: np.ndarray) -> float:
     return len(tails) / (len(a) + len(b) - len(tails))
 
 
-def fingerprints(docs: DataFrame, sketches: int, length: int) -> DataFrame:
-    """doc_id, f1, f2 (of the word sequence), n (k-mers), keys (of the sketches)."""
+def fingerprints(docs: DataFrame, sketches: int, length: int, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, f1, f2 (of the word sequence), n (k-mers), keys (of the sketches,
+    then of the least k-mers of a short text)."""
     def of(batches):
         for b in batches:
             f1, f2, n, keys = [], [], [], []
@@ -126,7 +140,8 @@ def fingerprints(docs: DataFrame, sketches: int, length: int) -> DataFrame:
                 f1.append(int(mix(np.add.reduce(mix(w + np.arange(len(f), dtype=np.uint64)), keepdims=True))[0].view(np.int64)))
                 f2.append(int(mix(np.bitwise_xor.reduce(mix(w ^ np.uint64(0x5851F42D4C957F2D)), keepdims=True) + np.uint64(len(f)))[0].view(np.int64)))
                 n.append(len(k))
-                keys.append(sketch(k, sketches, length).view(np.int64) if len(k) else np.zeros(0, np.int64))
+                keys.append(np.concatenate([sketch(k, sketches, length), least_kmers(k, similarity)]).view(np.int64) if len(k)
+                            else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(n, pa.int32()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "f1", "f2", "n", "keys"])
@@ -276,12 +291,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
     """doc_id, class_id (least doc_id of the class), copy_of (least doc_id of
     the same words), one row for each input row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = written(fingerprints(docs, sketches, length), "near-prints")
+    prints = written(fingerprints(docs, sketches, length, similarity), "near-prints")
     # the keys of one representative stand for all its copies
     chosen = written(prints.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "keys")).alias("r"))
                      .select("f1", "f2", F.col("r.doc_id").alias("rep"), "r.n", "r.keys"), "near-representatives")
     reps = chosen.select("f1", "f2", "rep")
-    members = chosen.select("rep", "n", F.posexplode("keys").alias("band", "key"))
+    members = chosen.select("rep", "n", F.posexplode("keys").alias("band", "key")) \
+        .withColumn("band", F.least("band", F.lit(sketches)))  # the least k-mers are one band
     counted = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = written(members.join(counted, ["band", "key"]), "near-shared")
     # the text that others of a family were made from shares most sketches

@@ -298,6 +298,32 @@ def test_near_duplicates_of_a_star(spark):
     assert got == plain_classes(rows)
 
 
+def test_near_duplicates_of_short_texts(spark):
+    """Texts of 8 words and more with a word more before or behind, or both."""
+    rng = random.Random(31)
+    rows = []
+    for n in [8] * 30 + [9, 10, 11, 12, 13, 16, 20, 24, 28, 36, 43] * 4:
+        w = [f"{rng.choice(WORDS)}{rng.randrange(10**6)}" for _ in range(n)]
+        for t in (w, w + ["more"], ["also"] + w, ["also"] + w + ["more"]):
+            rows.append((len(rows), " ".join(t)))
+    common = "one very common line that many short texts have"
+    rows += [(len(rows) + i, f"{common} {prose(rng, rng.randint(1, 12))}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near.near_classes(df).collect()}
+    assert got == plain_classes(rows)
+    assert got[1] == 0 and got[2] == 0  # 4 of 5 shingles
+
+
+def test_least_kmers_of_any_near_pair_meet():
+    rng = np.random.default_rng(7)
+    for _ in range(3000):
+        k = rng.integers(0, 2**63, 60, dtype=np.uint64)
+        a, cut, more = int(rng.integers(1, 41)), int(rng.integers(0, 6)), int(rng.integers(0, 6))
+        x, y = k[:a], np.concatenate([k[min(cut, a - 1):a], k[50:50 + more]])
+        if len(y) <= near.SHORT and near.alignment(x, y) >= 0.8:
+            assert np.isin(near.least_kmers(x), near.least_kmers(y)).any()
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(1000, 1000 + i) for i in range(1, 50)]
