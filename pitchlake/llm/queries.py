@@ -54,7 +54,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_rows(read(spark, sf_dir, "documents"))
+    return sharding.shard_rows(read(spark, sf_dir, "documents"), split_equal=True)
 
 
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:

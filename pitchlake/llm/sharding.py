@@ -1,11 +1,13 @@
 """Histogram-sort sharding (operator 4), DataFrame functions only.
 
-Law ``bytes``: shards of nearly equal bytes, and rows of equal text always in
-one shard.  Rows are ordered by a 64-bit hash of their text; the shard
+Law ``bytes``: shards of nearly equal bytes.  By default rows of equal text are
+always in one shard, which no splitter cuts; with ``split_equal`` a splitter can
+fall between them, by a hash of doc_id, so that a text with a third of all bytes
+fills its share of shards like any other.  Rows are ordered by a 64-bit hash of their text; the shard
 boundaries (splitters) are found by counting: candidate keys (probes) are laid
 into the bracket around every splitter, one aggregation counts the exact bytes
 below each probe, the brackets shrink, and this repeats until each splitter is
-within ``tolerance`` of its share or no second row is left in its bracket.  Only
+within ``tolerance`` of its share or no second key is left in its bracket.  Only
 then are rows exchanged, once, already narrow (no texts).
 
 Slots number the rows of a shard without gaps.  A shard is cut into bins of
@@ -28,37 +30,50 @@ SHARDS = 8
 TOLERANCE = 0.002
 PROBES = 32
 ROWS_PER_BIN = 1_000_000
-LOW, HIGH = -(1 << 63), 1 << 63
+# a splitter is key * WIDE + place, where place tells rows of equal text apart
+WIDE = 1 << 64
+LOW, HIGH = -(1 << 63) * WIDE, (1 << 63) * WIDE
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, size (UTF-8 bytes + 1), text_crc32 and key; no text."""
+    """doc_id, size (UTF-8 bytes + 1), text_crc32, key and place; no text."""
     raw = F.col("text").cast("string").cast("binary")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(raw), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
-        F.xxhash64("text", F.lit(1)).alias("key"))
+        F.xxhash64("text", F.lit(1)).alias("key"),
+        F.xxhash64(F.col("doc_id").cast("long"), F.lit(2)).alias("place"))
 
 
-def interval(key: Column, bounds: list[int], first: int = 0) -> Column:
-    """Number of bounds that are <= key, as a balanced tree of comparisons."""
+def below(bound: int) -> Column:
+    """Whether a row is before a bound."""
+    key, place = F.col("key"), bound % WIDE
+    if not place:
+        return key < F.lit(bound // WIDE)
+    return (key < F.lit(bound // WIDE)) | (key == F.lit(bound // WIDE)) & (F.col("place") < F.lit(place - (1 << 63)))
+
+
+def interval(bounds: list[int], first: int = 0) -> Column:
+    """Number of bounds that are <= the row, as a balanced tree of comparisons."""
     if not bounds:
         return F.lit(first)
     m = len(bounds) // 2
-    return F.when(key < F.lit(bounds[m]), interval(key, bounds[:m], first)) \
-        .otherwise(interval(key, bounds[m + 1:], first + m + 1))
+    return F.when(below(bounds[m]), interval(bounds[:m], first)) \
+        .otherwise(interval(bounds[m + 1:], first + m + 1))
 
 
-def probes_between(low: int, high: int, n: int) -> list[int]:
-    """At most ``n`` keys evenly laid strictly between two keys."""
-    width = high - low
-    return sorted({low + width * i // (n + 1) for i in range(1, n + 1)} - {low, high})
+def probes_between(low: int, high: int, n: int, unit: int = WIDE) -> list[int]:
+    """At most ``n`` multiples of ``unit`` evenly laid strictly between two."""
+    low, high = low // unit, high // unit
+    return sorted(unit * p for p in {low + (high - low) * i // (n + 1) for i in range(1, n + 1)} - {low, high})
 
 
-def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, probes: int = PROBES) -> list[int]:
-    """The first key of every shard but the first.  What reaches the driver
+def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, probes: int = PROBES,
+              split_equal: bool = False) -> list[int]:
+    """The first row, key * WIDE + place, of every shard but the first.  What reaches the driver
     is one count per probe: at most ``probes`` per splitter and round."""
+    unit = 1 if split_equal else WIDE
     total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     goal = [total * i / shards for i in range(1, shards)]
     # a bracket: the key, the exact bytes and the rows below it, at either end
@@ -66,8 +81,8 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
     done: dict[int, int] = {}
     while total and len(done) < shards - 1:
         asked = sorted({p for i, (a, b) in bracket.items() if i not in done
-                        for p in probes_between(a[0], b[0], probes)})
-        counts = {r[0]: r[1:] for r in rows.groupBy(interval(F.col("key"), asked).alias("i"))
+                        for p in probes_between(a[0], b[0], probes, unit)})
+        counts = {r[0]: r[1:] for r in rows.groupBy(interval(asked).alias("i"))
                   .agg(F.sum("size"), F.count(F.lit(1))).collect()} if asked else {}
         size, number, known = 0, 0, []
         for i, p in enumerate(asked):
@@ -86,21 +101,21 @@ def splitters(rows: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANC
                     b = x
             bracket[i] = (a, b)
             near = min((a, b), key=lambda x: abs(x[1] - goal[i]))
-            settled = b[2] - a[2] <= 1 or not probes_between(a[0], b[0], probes)
+            settled = b[2] - a[2] <= 1 or not probes_between(a[0], b[0], probes, unit)
             if settled or abs(near[1] - goal[i]) <= tolerance * total / shards:
                 done[i] = near[0]
-    # a hot key wider than a shard leaves some splitters equal: those shards stay empty
+    # a key wider than a shard that is not split leaves some splitters equal: those shards stay empty
     return sorted(done.get(i, HIGH) for i in range(shards - 1))
 
 
 def shard_rows(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
-               probes: int = PROBES, rows_per_bin: int = ROWS_PER_BIN) -> DataFrame:
+               probes: int = PROBES, rows_per_bin: int = ROWS_PER_BIN, split_equal: bool = False) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law)."""
     rows = written(sized_rows(docs), "shard-keys")
-    cuts = [c for c in splitters(rows, shards, tolerance, probes)]
+    cuts = [c for c in splitters(rows, shards, tolerance, probes, split_equal)]
     inside = [c for c in cuts if LOW < c < HIGH]
     # cuts at either end of the key space bound empty shards
-    shard = interval(F.col("key"), inside, sum(c <= LOW for c in cuts)) if inside \
+    shard = interval(inside, sum(c <= LOW for c in cuts)) if inside \
         else F.lit(sum(c <= LOW for c in cuts))
     slices = max(1, -(-rows.count() // rows_per_bin))
     bin_key = F.floor((F.col("key") / F.lit(2.0**64) + 0.5) * slices).cast("long")

@@ -152,6 +152,26 @@ def test_sharding_evens_out_bytes_and_takes_hot_and_empty(spark):
     assert sharding.shard_rows(df.limit(0)).count() == 0
 
 
+def test_sharding_query_splits_a_text_with_a_third_of_the_bytes(spark, tmp_path):
+    from pitchlake.llm import queries
+
+    rng = random.Random(17)
+    rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(4000)]
+    hot = "the same words " * 12
+    n = sum(len(t.encode()) + 1 for _, t in rows) // 2 // (len(hot) + 1)
+    rows += [(10_000 + i, hot) for i in range(n)] + [(5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op4_shard(spark, str(tmp_path)).collect()
+    size, slots = Counter(), defaultdict(list)
+    for r in out:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(size.values()) / 8
+    assert len(out) == len(rows) and Counter(r.doc_id for r in out) == Counter(d for d, _ in rows)
+    assert len(size) == 8 and max(abs(v - mean) for v in size.values()) < 0.02 * mean
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_sharding_stays_in_the_jvm(docs):
     plan = sharding.shard_rows(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
