@@ -102,14 +102,14 @@ def stale_answer_pairs(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations: chosen is the conversation; rejected
     ends, instead of the last assistant turn, with the assistant turn before
     it (an empty answer where there is none).  Conversations without an
-    assistant turn give no pair."""
+    assistant turn give no pair; turns of a null conv_id are one conversation."""
     conversations = conversations.select("conv_id", "turn", "role", "text")
     said = F.when(F.col("role") == LEARNED_ROLE, F.struct("turn", "text"))
-    ends = conversations.groupBy("conv_id").agg(F.max(said).alias("last")).where("last is not null")
-    with_last = conversations.join(ends, "conv_id")
-    stale = with_last.groupBy("conv_id").agg(
+    ends = conversations.groupBy(F.col("conv_id").alias("of")).agg(F.max(said).alias("last")).where("last is not null")
+    with_last = conversations.join(ends, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    stale = with_last.groupBy(F.col("conv_id").alias("of")).agg(
         F.max(F.when((F.col("role") == LEARNED_ROLE) & (F.col("turn") < F.col("last.turn")), F.struct("turn", "text"))).alias("stale"))
-    rows = with_last.join(stale, "conv_id")
+    rows = with_last.join(stale, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
     replaced = (F.col("role") == LEARNED_ROLE) & (F.col("turn") == F.col("last.turn")) & F.col("text").eqNullSafe(F.col("last.text"))
     return rows.select("conv_id", "turn", "role", "text", "last", "stale", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))).alias("side")) \
         .where("side = 'chosen' or turn <= last.turn") \

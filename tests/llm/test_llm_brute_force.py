@@ -216,6 +216,14 @@ def test_stale_answer_pairs(spark):
     assert got[3].rejected == "<|im_start|>assistant\n<|im_end|>\n"
 
 
+def test_stale_answer_pairs_of_a_null_conversation(spark):
+    conv = [(None, 0, "user", "q"), (None, 1, "assistant", "first"), (None, 2, "assistant", "second"), (1, 0, "assistant", "alone")]
+    df = spark.createDataFrame(conv, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r.pair_id: r for r in preference.format_pairs(preference.stale_answer_pairs(df)).collect()}
+    assert set(got) == {None, 1} and got[None].n_prompt_turns == 2
+    assert "second" in got[None].chosen and "first" in got[None].rejected
+
+
 # ------------------------------------------------------------------ op6
 
 def plain_classes(rows, similarity=0.8):
