@@ -13,7 +13,9 @@ queries among all rows give the distance within which a share ``target`` of
 true neighbours lies.  The index is kept in blocks of ``block`` rows; queries
 come in blocks too, each pair of blocks is one unit of work, and each unit
 returns the k best of its block for each of its queries, so that a value with
-a third of all rows is spread over all blocks.  Sample, calibration queries
+a third of all rows is spread over all blocks.  Queries that find fewer
+than k rows within the radius go through the same blocks again with a larger
+one, up to all bits, so each query gets k rows if there are so many.  Sample, calibration queries
 and blocks are bounded whatever the input.
 
 Vectors that are null, zero, of another length than most, or that hold null or
@@ -187,7 +189,7 @@ def search(embeddings: DataFrame, every: int = EVERY, k: int = K, sample: int =
     is_query = F.col("vec_id") % every == 0
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
-    shared = rows.sparkSession.sparkContext.broadcast(learned)
+    shared = rows.sparkSession.sparkContext.broadcast(learned[0])
 
     def units(side, own: int, other: int, salt: int):
         """Rows of a side with the block pairs that they are part of."""
@@ -197,10 +199,10 @@ def search(embeddings: DataFrame, every: int = EVERY, k: int = K, sample: int =
         return side.select("vec_id", "v", at.alias("b"), others.alias("o")).select(unit.alias("unit"), "vec_id", "v")
 
     index = units(rows, blocks, query_blocks, 1)
-    queries = units(rows.where(is_query), query_blocks, blocks, 2)
+    codes, radius = learned
 
-    def retrieve(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        codes, radius = shared.value
+    def retrieve(radius: int, left: pa.Table, right: pa.Table) -> pa.Table:
+        codes = shared.value
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if left.num_rows and right.num_rows:
             ids, x = left.column("vec_id").to_numpy(), matrix(left.column("v").combine_chunks())
@@ -215,6 +217,24 @@ def search(embeddings: DataFrame, every: int = EVERY, k: int = K, sample: int =
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
 
-    found = index.groupBy("unit").cogroup(queries.groupBy("unit")).applyInArrow(retrieve, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+    def nearest(asked: DataFrame, radius: int) -> DataFrame:
+        queries = units(asked, query_blocks, blocks, 2)
+        found = index.groupBy("unit").cogroup(queries.groupBy("unit")) \
+            .applyInArrow(lambda key, left, right: retrieve(radius, left, right), schema)
+        top = found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+        return written(top, "ann-nearest")
+
+    asked, out = rows.where(is_query), None
+    while True:
+        top = nearest(asked, radius)
+        full = top.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id")).distinct()
+        short = asked.join(full, "vec_id", "left_anti")
+        last = radius >= codes.bits or short.isEmpty()
+        # a query without k rows is asked again, and its rows are those of its last pass
+        done = top if last else top.join(full.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi").select(top.columns)
+        out = done if out is None else out.unionByName(done)
+        if last:
+            return out
+        asked, radius = written(short, "ann-short"), min(codes.bits, max(2 * radius, radius + 8))

@@ -473,6 +473,23 @@ def test_nearest_neighbours(spark):
     assert [(r.query_id, r.rank, r.vec_id) for r in ann.search(few).collect()] == [(0, 1, 1)]
 
 
+def test_nearest_neighbours_of_outliers_beside_dense_clusters(spark):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(4, 24))
+    x = centres[rng.integers(0, 4, 2000)] + rng.normal(size=(2000, 24)) * 1e-3
+    x[::50] = rng.normal(size=(40, 24))  # the queries are the outliers
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = defaultdict(list)
+    for r in sorted(ann.search(df, block=512, query_block=16).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.rank, r.vec_id))
+    assert set(got) == set(range(0, 2000, 50))
+    for q, found in got.items():
+        assert [r for r, _ in found] == [1, 2, 3, 4, 5] and len({i for _, i in found} - {q}) == 5
+    four = df.where("vec_id in (0, 1, 2, 3)")  # fewer than k candidates: all of them
+    assert sorted((r.rank, r.vec_id) for r in ann.search(four).collect())[0][0] == 1
+    assert {r.vec_id for r in ann.search(four).collect()} == {1, 2, 3}
+
+
 def test_multi_index_retrieves_every_code_in_the_radius():
     rng = np.random.default_rng(5)
     codes = rng.integers(0, 1 << 16, (3000, 3), dtype=np.uint16)
