@@ -16,7 +16,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import ann, bpe, contamination, html, langid, near, preference, repeats, sharding, toxicity
+from pitchlake.llm import (
+    ann, bpe, contamination, fingerprints, html, langid, near, preference, repeats, sharding, toxicity)
 from pitchlake.llm.common import read
 
 _shipped: set[str] = set()
@@ -88,7 +89,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(docs, model)
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_langid, op2_ann, op3_decontaminate, op4_shard, op5_preference, op6_near_duplicates, op7_bpe, op8_repeats,
-    op9_html, op10_toxicity)}
-ORACLE = {"op3_decontaminate": contamination.ORACLE, "op5_preference": preference.ORACLE}
+    op9_html, op10_toxicity, op12_fingerprints)}
+ORACLE = {"op3_decontaminate": contamination.ORACLE, "op5_preference": preference.ORACLE,
+          "op12_fingerprints": fingerprints.ORACLE}
