@@ -2,7 +2,7 @@
 
 Each applies its operator with production parameters to the whole table.
 op2 is approximate, op1 and op10 are learned, op6 is defined by its sketches,
-op7 needs the merge ranks, op8 compares all byte windows and op9 parses
+op7 and op11 need vocabularies, op8 compares all byte windows and op9 parses
 markup: these have no SQL and are tested against brute force, round trips and
 held-out labels instead.
 """
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import (
-    ann, bpe, contamination, fingerprints, html, langid, near, preference, repeats, sharding, toxicity)
+    alignment, ann, bpe, collocations, contamination, fingerprints, html, langid, near, preference, repeats, sharding,
+    toxicity)
 from pitchlake.llm.common import read
 
 _shipped: set[str] = set()
@@ -89,12 +90,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(docs, model)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(read(ship(spark), sf_dir, "documents"))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(read(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(ship(spark), sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_langid, op2_ann, op3_decontaminate, op4_shard, op5_preference, op6_near_duplicates, op7_bpe, op8_repeats,
-    op9_html, op10_toxicity, op12_fingerprints)}
+    op9_html, op10_toxicity, op11_alignment, op12_fingerprints, op13_collocations)}
 ORACLE = {"op3_decontaminate": contamination.ORACLE, "op5_preference": preference.ORACLE,
-          "op12_fingerprints": fingerprints.ORACLE}
+          "op12_fingerprints": fingerprints.ORACLE, "op13_collocations": collocations.ORACLE}
