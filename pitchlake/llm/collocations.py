@@ -42,9 +42,9 @@ SCALE = 2_000_000
 COVER = 80  # per cent of a phrase's occurrences that make a longer one hide it
 WORDS = 1_000_000
 PHRASES = 2_000_000
-SEGMENT = 1 << 22
-IDS = 1 << 21
-DISTINCT = 400_000
+SEGMENT = 1 << 20
+IDS = 1 << 19
+DISTINCT = 200_000
 
 # fixed values: lower-casing touches A-Z only; these bytes end a piece
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
