@@ -16,10 +16,11 @@ pairs as the product of the vocabularies; they go back to the documents in
 parts by A id, each of at most ``PAIRS`` pairs (and one A id more), so a task
 holds one bounded part at a time whatever the corpus.
 
-Long texts are encoded in pieces that start at a single space between two ASCII
-letters, where neither tokenizer joins anything: A's pattern starts a match
-there, and B has no piece with a space behind another character (checked when
-the model is loaded; else texts stay whole).
+Texts are encoded in pieces cut before every space that follows another
+character: A's pattern never goes on into such a space, and B has no piece with
+a space behind another character (checked when the model is loaded; else texts
+stay whole).  Each worker encodes a piece once and remembers up to ``KNOWN`` of
+them.
 
 Texts that are null or empty, or whose joined token bytes differ from
 space + text, have no tokens: zeros and ''.  Repeated rows are kept, and each
@@ -43,12 +44,14 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import written
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-PIECE = 1 << 18
 PAIRS = 4_000_000
 SLICE = 1 << 21
 LINKS = 1 << 22
 
-SEAM = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+KNOWN = 500_000
+
+# Python's white space holds that of the tokenizers; a last space stays where it is, as B gives nothing for no text
+SEAM = re.compile(r"(?<=\S) (?=[\s\S])")
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "pairs binary, times binary")
 
@@ -89,31 +92,57 @@ class Tokenizers:
         self.width = n
         self.signed = [b"%d%s" % (i, s) for s in (b",", b"|", b";") for i in range(n)]
 
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        # of the known pieces: ids of all one after another, where each starts, whether its bytes add up
+        self.ids = [np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)]
+        self.start = [np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)]
+        self.exact = np.zeros(0, dtype=bool)
+
     def pieces(self, text: str) -> list[str]:
         """Parts of a text; a space belongs before each but the first."""
-        if not self.cuttable:
-            return [text]
-        out, at = [], 0
-        while len(text) - at > PIECE and (m := SEAM.search(text, at + PIECE)):
-            out.append(text[at:m.start()])
-            at = m.end()
-        return [*out, text[at:]]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """A's and B's ids of every text."""
-        parts = [self.pieces(t) for t in texts]
+        return SEAM.split(text) if self.cuttable else [text]
+
+    def learn(self, pieces: list[str]) -> None:
+        raw = [b" " + p.encode() for p in pieces]
+        exact = np.ones(len(pieces), dtype=bool)
+        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        b = self.b.encode(pieces, num_threads=1)
+        width = np.array([len(r) for r in raw])
+        for k, (found, value, length) in enumerate(((a, self.bytes_a, self.length_a), (b, self.bytes_b, self.length_b))):
+            ids = np.array([x for i in found for x in i], dtype=np.int64)
+            edge = np.concatenate([[0], np.cumsum([len(i) for i in found], dtype=np.int64)])
+            total = np.concatenate([[0], np.cumsum(length[ids])])[edge]
+            # every piece as long as its text and all bytes equal: so is each piece; else they are looked at one by one
+            if (np.diff(total) != width).any() or b"".join([value[x] for x in ids.tolist()]) != b"".join(raw):
+                exact &= [b"".join([value[x] for x in i]) == r for i, r in zip(found, raw)]
+            self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + edge[1:]])
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+        self.exact = np.concatenate([self.exact, exact])
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A's ids of all texts, where each text's start, and the same for B;
+        none for empty texts and for those whose joined bytes differ."""
+        parts = [self.pieces(t) if t else [] for t in texts]
         flat = [p for ps in parts for p in ps]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        b = self.b.encode(flat, num_threads=1)
-        if len(flat) == len(texts):
-            return a, b
-        at, out_a, out_b = 0, [], []
-        for ps in parts:
-            k = at + len(ps)
-            out_a.append([i for x in a[at:k] for i in x])
-            out_b.append([i for x in b[at:k] for i in x])
-            at = k
-        return out_a, out_b
+        if len(self.known) > KNOWN:
+            self.forget()
+        if new := [p for p in dict.fromkeys(flat) if p not in self.known]:
+            self.learn(new)
+        piece = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        doc = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+        good = np.bincount(doc, weights=~self.exact[piece], minlength=len(texts)) == 0
+        piece, doc = piece[good[doc]], doc[good[doc]]
+        out = []
+        for ids, start in zip(self.ids, self.start):
+            n = start[piece + 1] - start[piece]
+            end = np.cumsum(n)
+            out.append(ids[np.repeat(start[piece] - (end - n), n) + np.arange(end[-1] if len(end) else 0)])
+            out.append(np.concatenate([[0], np.cumsum(np.bincount(doc, weights=n, minlength=len(texts)).astype(np.int64))]))
+        return tuple(out)
 
 
 @lru_cache(maxsize=1)
@@ -228,13 +257,7 @@ def unpacked(raw, n: int | None = None) -> np.ndarray:
 
 def align(texts: list[str | None], t: Tokenizers) -> dict[str, list]:
     """The columns of ``ALIGNED`` (but doc_id) for some texts."""
-    a, b = t.encode([x or "" for x in texts])
-    good = np.array([bool(x) and b"".join(itemgetter(*i, i[0])(t.bytes_a)[:-1]) == (raw := b" " + x.encode())
-                     and b"".join(itemgetter(*j, j[0])(t.bytes_b)[:-1]) == raw if x and i and j else False
-                     for x, i, j in zip(texts, a, b)])
-    a, b = [x if ok else [] for x, ok in zip(a, good)], [x if ok else [] for x, ok in zip(b, good)]
-    first_a, first_b = (np.cumsum([0, *map(len, x)]) for x in (a, b))
-    ids_a, ids_b = (np.concatenate([np.array(i, dtype=np.int64) for i in x] or [np.zeros(0, dtype=np.int64)]) for x in (a, b))
+    ids_a, first_a, ids_b, first_b = t.encode([x or "" for x in texts])
     # both lists of a document add up to the same bytes, so that ends go on increasing from one to the next
     ends_a, ends_b = np.cumsum(t.length_a[ids_a]), np.cumsum(t.length_b[ids_b])
     at_a, at_b = common_ends(ends_a, first_a, ends_b, first_b)

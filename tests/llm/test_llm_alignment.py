@@ -88,14 +88,20 @@ def test_no_documents_and_no_tokens(spark):
     assert alignment.report(docs.limit(0)).count() == 0
 
 
-def test_pieces_of_long_texts_encode_like_the_whole(monkeypatch):
-    t = alignment.tokenizers_of(public_tokenizers.path(alignment.MODEL_A), public_tokenizers.path(alignment.MODEL_B))
+def test_texts_in_pieces_encode_like_the_whole(monkeypatch):
+    a, b = (public_tokenizers.path(x) for x in (alignment.MODEL_A, alignment.MODEL_B))
+    cut, whole = alignment.Tokenizers(a, b), alignment.Tokenizers(a, b)
+    assert cut.cuttable
+    whole.cuttable = False
+    rng = random.Random(6)
     texts = [x for x in [r[1] for r in small_docs()] + odd_texts() if x]
-    whole = t.encode(texts)
-    for size in (1, 7, 100):
-        monkeypatch.setattr(alignment, "PIECE", size)
-        assert t.encode(texts) == whole
-    assert len(t.pieces(texts[0])) > 5
+    texts += ["".join(rng.choice("ab 'st.\n\t  \u00a0\u2003\x1c1é日▁") for _ in range(60)) for _ in range(400)]
+    want = [x.tolist() for x in whole.encode(texts)]
+    monkeypatch.setattr(alignment, "KNOWN", 500)
+    for part in (texts, texts[:7], texts):
+        got = [x.tolist() for x in cut.encode(part)]
+        assert got == (want if part is texts else [x.tolist() for x in whole.encode(part)])
+    assert len(cut.pieces(texts[0])) > 5
 
 
 def test_links_in_blocks_and_wide_groups(monkeypatch):
