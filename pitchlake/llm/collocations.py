@@ -45,6 +45,8 @@ PHRASES = 2_000_000
 SEGMENT = 1 << 20
 IDS = 1 << 19
 DISTINCT = 200_000
+KEYS = 1 << 20
+NO_WORD = 0xFFFFFFFF
 
 # fixed values: lower-casing touches A-Z only; these bytes end a piece
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
@@ -251,14 +253,40 @@ class Trie:
         return self.value[state] if n >= self.depth else np.full(n, -1, dtype=np.int32)
 
 
-def counted(blocks: DataFrame, tries: list, k: int, propose: bool) -> DataFrame:
-    """phrase, word, n: with a null word the occurrences of a trie's phrase; with
-    a word, those of the phrase followed by it where the k-1 words that end with
-    it are a phrase of the tries as well."""
+def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+    return key[new], np.add.reduceat(n, new) if len(new) else n
+
+
+def counted(blocks: DataFrame, tries: list, k: int, propose: bool, least: int) -> DataFrame:
+    """phrase, word, n: with word -1 the occurrences of a trie's phrase; else, if
+    at least ``least``, those of the phrase followed by the word where the k-1
+    words that end with it are a phrase of the tries as well.
+
+    Counts travel as sorted arrays of keys (phrase << 32 | word) and counts, dealt
+    by a hash of the key after each task has summed its own."""
+    deals = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.count() // 8)
+
     def run(batches):
+        keys, counts, size = [], [], 0
         for batch in batches:
             for raw in batch.column("ids"):
-                yield from block(np.frombuffer(raw.as_buffer(), dtype=np.int32))
+                for key, n in block(np.frombuffer(raw.as_buffer(), dtype=np.int32)):
+                    keys.append(key)
+                    counts.append(n)
+                    size += len(key)
+                if size > KEYS:
+                    key, n = summed(keys, counts)
+                    keys, counts, size = [key], [n], len(key)
+                    if size > KEYS // 2:
+                        yield dealt(key, n)
+                        keys, counts, size = [], [], 0
+        if keys:
+            yield dealt(*summed(keys, counts))
 
     def block(ids):
         part, local = np.full(len(ids) + 1, -1, dtype=np.int32), np.zeros(len(ids), dtype=np.int64)
@@ -267,34 +295,66 @@ def counted(blocks: DataFrame, tries: list, k: int, propose: bool) -> DataFrame:
             hit = at >= 0
             n = np.bincount(at[hit], minlength=len(names))
             some = np.flatnonzero(n)
-            yield rows(names[some], None, n[some])
+            yield names[some] << 32 | NO_WORD, n[some]
             part[:-1][hit], local[hit] = p, at[hit]
         if not propose:
             return
         go_on = (part[:-1] >= 0) & (part[1:] >= 0)
         for p, (_, names) in enumerate(each(tries)):
             at = np.flatnonzero(go_on & (part[:-1] == p))
-            key, n = np.unique(local[at] << 32 | ids[at + k - 1], return_counts=True)
-            yield rows(names[key >> 32], key & 0xFFFFFFFF, n)
-
-    def rows(phrase, word, n):
-        word = pa.nulls(len(phrase), pa.int32()) if word is None else pa.array(word, pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(phrase, pa.int64()), word, pa.array(n, pa.int64())], names=["phrase", "word", "n"])
-
-    return blocks.mapInArrow(run, "phrase long, word int, n long").groupBy("phrase", "word").agg(F.sum("n").alias("n"))
+            yield np.unique(names[local[at]] << 32 | ids[at + k - 1], return_counts=True)
+
+    def dealt(key, n):
+        to = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(deals)
+        order = np.argsort(to, kind="stable")
+        key, n, to = key[order], n[order].astype(np.int64), to[order]
+        edge = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else np.zeros(1, dtype=np.int64)
+        spans = list(zip(edge.tolist(), edge[1:].tolist()))
+        return pa.RecordBatch.from_arrays([pa.array([int(to[i]) for i, _ in spans], pa.int32()),
+                                           pa.array([key[i:j].tobytes() for i, j in spans], pa.binary()),
+                                           pa.array([n[i:j].tobytes() for i, j in spans], pa.binary())], names=["deal", "keys", "counts"])
+
+    def total(batches):
+        keys, counts, size = [], [], 0
+        for batch in batches:
+            for key, n in zip(batch.column("keys"), batch.column("counts")):
+                keys.append(np.frombuffer(key.as_buffer(), dtype=np.int64))
+                counts.append(np.frombuffer(n.as_buffer(), dtype=np.int64))
+                size += len(keys[-1])
+                if size > 2 * KEYS:
+                    key, n = summed(keys, counts)
+                    keys, counts, size = [key], [n], 0
+        if keys:
+            key, n = summed(keys, counts)
+            word = key & 0xFFFFFFFF
+            keep = (word == NO_WORD) | (n >= least)
+            word = np.where(word == NO_WORD, -1, word)[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep] >> 32), pa.array(word, pa.int32()), pa.array(n[keep])], names=["phrase", "word", "n"])
+
+    return blocks.mapInArrow(run, "deal int, keys binary, counts binary").repartition(deals, "deal") \
+        .mapInArrow(total, "phrase long, word int, n long")
+
+
+def numbered(grams: DataFrame, phrases: int) -> tuple[DataFrame, int]:
+    """part, id, words with ids that are dense over all parts, and the number of parts."""
+    grams = written(grams, "candidates")
+    parts = max(1, -(-grams.count() // phrases))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("words")) - 1
+    out = grams.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(parts)).cast("int")) \
+        .select("part", (rank.cast("long") * parts + F.col("part")).alias("id"), "words")
+    return written(out, "numbered-candidates"), parts
 
 
-def broadcast_tries(grams: DataFrame, phrases: int) -> list:
-    """Tries of the phrases (id, words) with their ids, in parts by a hash."""
+def broadcast_tries(grams: DataFrame, parts: int) -> list:
+    """A trie of the phrases of each part, with their ids."""
     sc = grams.sparkSession.sparkContext
-    parts = max(1, -(-grams.count() // phrases))
     out = []
     for p in range(parts):
-        table = grams.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == p).select("id", "words").toArrow().combine_chunks()
+        table = grams.where(F.col("part") == p).select("id", "words").toArrow().combine_chunks()
         if table.num_rows:
             words = table.column("words").combine_chunks()
             flat = (words.values if isinstance(words, pa.ListArray) else pa.concat_arrays([c.values for c in words.chunks])).to_numpy()
-            out.append(sc.broadcast((Trie(flat.reshape(table.num_rows, -1)), table.column("id").to_numpy())))
+            out.append(sc.broadcast((Trie(flat.reshape(table.num_rows, -1)), table.column("id").to_numpy().astype(np.int64))))
     return out
 
 
@@ -306,23 +366,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, w
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     vocab, parts = vocabulary(counts, least, words)
     blocks = written(id_blocks(docs, vocab, parts), "id-blocks")
-    grams = vocab.select(F.col("id").cast("long").alias("id"), F.array("id").alias("words"))
+    grams = vocab.select("part", F.col("id").cast("long").alias("id"), F.array("id").alias("words"))
     found = vocab.select(F.array("id").alias("words"), "n")
     for k in range(2, longest + 2):
-        tries = broadcast_tries(grams, phrases)
+        tries = broadcast_tries(grams, parts)
         if not tries:
             break
-        both = written(counted(blocks, tries, k, k <= longest).where((F.col("n") >= least) | F.col("word").isNull()), f"phrases-{k}")
+        both = written(counted(blocks, tries, k, k <= longest, least), f"phrases-{k}")
         for t in tries:
             t.unpersist()
+        named = both.join(grams.select("id", "words"), F.col("phrase") == F.col("id"))
         if k > 2:
-            found = found.unionByName(grams.join(both.where("word is null and n >= %d" % least), grams["id"] == both["phrase"])
-                                      .select("words", "n"))
+            found = found.unionByName(named.where((F.col("word") < 0) & (F.col("n") >= least)).select("words", "n"))
         if k <= longest:
-            grams = written(
-                both.where("word is not null").join(grams, F.col("phrase") == F.col("id"))
-                .select(F.concat("words", F.array("word")).alias("words"))
-                .withColumn("id", F.monotonically_increasing_id()), f"candidates-{k}")
+            grams, parts = numbered(named.where("word >= 0").select(F.concat("words", F.array("word")).alias("words")), phrases)
     return totals, vocab, written(found, "frequent-phrases")
 
 
