@@ -7,9 +7,11 @@ Every metric of one prediction table comes out of a single aggregate job
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators.prefix import in_order
+
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
 
@@ -102,3 +104,28 @@ def auc_roc(predictions: DataFrame, label_col: str = "goal", raw_col: str = "raw
 
     ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol=raw_col, metricName=metric)
     return ev.evaluate(predictions)
+
+
+def auc_rank(scores: DataFrame, label_col: str = "goal", score_col: str = "xG") -> DataFrame:
+    """AUC as a DataFrame (E12): one row ``auc, positives, negatives``.
+
+    It is the share of (positive, negative) pairs that the score puts in the
+    right order, ties counting half: the rank sum, exact, without the bins of
+    the ML evaluator.  Rows are summed per score first; the distinct scores are
+    put in order once (:func:`in_order`), each counts the negatives below it,
+    and no task sees all scores.  Rows with a null label or score do not count;
+    null without a positive or a negative."""
+    y, s = F.col(label_col), F.col(score_col).cast("double")
+    per = scores.filter(y.isin(0, 1) & s.isNotNull()).groupBy(s.alias("score")).agg(
+        F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y == 0).cast("bigint").alias("neg"))
+    rows = in_order(per, ["score"])
+    totals = rows.groupBy("_part").agg(F.sum("neg").alias("n"))
+    earlier = totals.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("earlier"))  # a row a partition
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = F.col("earlier") + F.sum("neg").over(within) - F.col("neg")
+    wide = "decimal(38,0)"
+    pairs = rows.join(earlier, "_part").select("pos", "neg", (F.col("pos").cast("decimal(18,0)") * (2 * below + F.col("neg")).cast("decimal(19,0)")).alias("u"))
+    sums = pairs.agg(F.sum("u").cast(wide).alias("u"), F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
+                     F.coalesce(F.sum("neg"), F.lit(0)).alias("negatives"))
+    p, n = F.col("positives").cast("double"), F.col("negatives").cast("double")
+    return sums.select(F.when((p > 0) & (n > 0), F.col("u").cast("double") / (2 * p * n)).alias("auc"), "positives", "negatives")

@@ -145,3 +145,41 @@ def feature_importance(model: PipelineModel, spark=None) -> DataFrame:
     spark = spark or SparkSession.getActiveSession()
     rows = [(n, float(v)) for n, v in zip(names, values)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
+
+
+def moment_check(predictions: DataFrame, features: list[str], label_col: str = "goal", prob_col: str = "xG",
+                 tolerance: float = 1e-3) -> DataFrame:
+    """Certificate of a fitted logistic model on its own training rows: at the
+    maximum of the likelihood the gradient vanishes, that is, every feature has
+    the same mean weighted by the predicted probability as by the label.  One
+    aggregate; a row ``feature, observed, fitted, holds`` for each feature and for
+    the intercept (``1``).  ``tolerance`` is relative to the feature's scale."""
+    p, y = F.col(prob_col).cast("double"), F.col(label_col).cast("double")
+    terms = {"1": F.lit(1.0), **{f: F.col(f).cast("double") for f in features}}
+    sums = predictions.agg(*[F.avg(e * x).alias(f"{k}{i}") for i, x in enumerate(terms.values()) for k, e in (("y", y), ("p", p))],
+                           *[F.sqrt(F.avg(x * x)).alias(f"s{i}") for i, x in enumerate(terms.values())])
+    row = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"y{i}").alias("observed"), F.col(f"p{i}").alias("fitted"),
+                             F.col(f"s{i}").alias("scale")) for i, f in enumerate(terms)])
+    return sums.select(F.inline(row)).select("feature", "observed", "fitted",
+                                             (F.abs(F.col("observed") - F.col("fitted")) <= tolerance * F.col("scale")).alias("holds"))
+
+
+def naive_bayes_table(model: PipelineModel, spark=None) -> DataFrame:
+    """The fitted log probabilities of a multinomial naive Bayes model:
+    ``label, feature, log_probability`` (feature ``1``: the class prior)."""
+    from pyspark.sql import SparkSession
+
+    spark = spark or SparkSession.getActiveSession()
+    names, m = model.stages[0].getInputCols(), model.stages[-1]
+    theta, prior = m.theta.toArray(), m.pi.toArray()
+    rows = [(int(k), f, float(v)) for k in range(theta.shape[0]) for f, v in zip(["1", *names], [prior[k], *theta[k]])]
+    return spark.createDataFrame(rows, "label int, feature string, log_probability double")
+
+
+def leaf_check(predictions: DataFrame, label_col: str = "goal", prob_col: str = "xG", tolerance: float = 1e-9) -> DataFrame:
+    """Certificate of a fitted decision tree on its own training rows: in each
+    leaf the predicted probability is the share of positives.  Leaves of equal
+    probability are one row: ``probability, rows, holds``."""
+    return predictions.groupBy(F.col(prob_col).alias("probability")).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(F.col(label_col).cast("double")).alias("share")) \
+        .select("probability", "rows", (F.abs(F.col("share") - F.col("probability")) <= tolerance).alias("holds"))

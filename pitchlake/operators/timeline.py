@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.functions.geometry import decimal_clock
-from pitchlake.operators.prefix import running_sum
+from pitchlake.operators.prefix import add_running_sums, dealt_by_tick, running_sum, tick_sums
 
 
 def _order(by_period: bool) -> list[str]:
@@ -57,8 +57,8 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     before the first shot (W2, J10); ``goal`` is 0 on empty ticks (X22);
     ``time`` is the decimal clock (X19).
 
-    The dense grid is never joined or shuffled.  Shot rows get their running
-    totals (split across tasks for large groups); the shot ticks of each
+    The dense grid is never joined or shuffled.  Shot rows are exchanged once,
+    by tick, and get their running totals; the shot ticks of each
     (match, team) - at most one per second of the clock, whatever the data
     volume - get the total through that tick and the next shot tick; the
     empty ticks in each gap are then generated on the executors with
@@ -73,11 +73,14 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
     keys = ["match_id", "team"]
     tick = F.col("minute") * 60 + F.col("second")
     s = shots.select(*keys, "minute", "second", "id", goal_col, *xg_cols)
-    shot_rows = running_sum(s, keys, ["minute", "second"], ["id"], list(xg_cols), list(out_cols))
-
-    # One aggregate over the shots: xG per shot tick.  Everything after runs on
-    # at most one row per second of the clock per (match, team).
-    per_tick = s.groupBy(*keys, tick.alias("_t")).agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(xg_cols)])
+    dealt = dealt_by_tick(s, keys, ["minute", "second"])
+    sums = tick_sums(dealt, list(xg_cols))
+    shot_rows = add_running_sums(dealt, sums, keys, ["minute", "second"], ["id"], list(xg_cols), list(out_cols))
+
+    # xG per shot tick, from the same exchange.  Everything after runs on at
+    # most one row per second of the clock per (match, team).
+    per_tick = sums.select("_tick.*", *[F.col(f"_tot{i}").alias(f"_s{i}") for i in range(len(xg_cols))]) \
+        .withColumn("_t", tick)
     last_min = F.max((F.col("_t") / 60).cast("int")).over(Window.partitionBy("match_id"))
     stop = (F.when(last_min < 90, F.lit(90 + pad - 1)).otherwise(last_min + (pad - 1)) + 1) * 60
     w = Window.partitionBy(*keys).orderBy("_t")
@@ -125,10 +128,16 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
     n = len(xg_cols)
     s = (shots.filter(F.col("team").isNotNull() & F.col("match_id").isNotNull())
               .select(*keys, "period", "minute", "second", "id", goal_col, *xg_cols))
-    shot_rows = running_sum(s, keys, ["period", "minute", "second"], ["id"], xg_cols, out_cols)
+    ticks = ["period", "minute", "second"]
+    dealt = dealt_by_tick(s, keys, ticks)
+    sums = tick_sums(dealt, xg_cols)
+    shot_rows = add_running_sums(dealt, sums, keys, ticks, ["id"], xg_cols, out_cols)
+    # one row per shot tick; segments and teams are read off it as well
+    per_tick = sums.select("_tick.*", *[F.col(f"_tot{i}").alias(f"_s{i}") for i in range(n)]) \
+        .withColumn("_t", F.col("minute") * 60 + F.col("second"))
 
     wm = Window.partitionBy("match_id")
-    per_mp = s.groupBy("match_id", "period").agg(F.min("minute").alias("_mn"), F.max("minute").alias("_mx"))
+    per_mp = per_tick.groupBy("match_id", "period").agg(F.min("minute").alias("_mn"), F.max("minute").alias("_mx"))
     last_minute = F.when(F.col("period") == F.max("period").over(wm),
                          F.when(F.col("_mx") < 90, F.lit(90 + pad - 1)).otherwise(F.col("_mx") + (pad - 1))) \
                    .otherwise(F.col("_mx"))
@@ -136,10 +145,8 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
                         F.when(F.col("period") == F.min("period").over(wm), F.lit(0))
                          .otherwise(F.col("_mn") * 60).alias("_a"),
                         ((last_minute + 1) * 60).alias("_stop"))
-    segs = s.select(*keys).distinct().join(seg, "match_id")
+    segs = per_tick.select(*keys).distinct().join(seg, "match_id")
 
-    tick = F.col("minute") * 60 + F.col("second")
-    per_tick = s.groupBy(*keys, "period", tick.alias("_t")).agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(xg_cols)])
     w = Window.partitionBy(*keys).orderBy("period", "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wp = Window.partitionBy(*keys, "period").orderBy("_t")
     steps = per_tick.select(*keys, "period", "_t", F.lead("_t").over(wp).alias("_nt"),

@@ -12,7 +12,6 @@ construction small.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,8 @@ from pitchlake.operators.encode import dummy_columns, flag_columns
 from pitchlake.operators.frames import players_inside_area
 from pitchlake.operators.players import preferred_foot_table
 from pitchlake.operators.spatial import geometry_columns, point_columns
+from pitchlake.session import scratch_dir
+from pitchlake.sinks.writers import kept
 from pitchlake.schemas import BOOLEAN_INPUTS, EVENTS, GOAL_X, GOAL_Y1, GOAL_Y2, PASS_COLUMNS, VARIABLES
 
 
@@ -34,6 +35,13 @@ def shots_or_assists(events: DataFrame, season: str | None = None) -> DataFrame:
     return df.select(*keep)
 
 
+def staged_rows(events: DataFrame, season: str | None = None) -> DataFrame:
+    """The shots and assisting passes with the columns that the pipeline reads,
+    written once.  Of millions of events a few per cent are left; foot usage,
+    assists and shots then read this narrow table, and the events are scanned once."""
+    return kept(shots_or_assists(events, season), scratch_dir(events.sparkSession, "shots-or-assists"))
+
+
 def _feature_columns(geometry: dict) -> dict:
     """Every output column that is a per-row expression of the joined shot."""
     cols = dict(geometry)
@@ -49,15 +57,20 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
                   one_per_shot: bool = False, missing_frame: str = "null",
                   goal_x: float = GOAL_X, goal_y1: float = GOAL_Y1, goal_y2: float = GOAL_Y2,
                   variables: list[str] | None = None, extra: tuple[str, ...] = ("team_id",),
-                  keep_frame: bool = False, persist: bool = False) -> DataFrame:
+                  keep_frame: bool = False, staged: bool = False) -> DataFrame:
     """The full feature table.
 
     ``usage='filtered'`` computes preferred feet from the same filtered rows
     (published behaviour, D4); ``'all'`` from every pass and shot of ``events``.
     ``one_per_shot`` and ``missing_frame`` are the D5/D8 options;
     ``keep_frame`` carries the parsed freeze frame as a ``frame`` column (P4).
+    ``staged`` writes the narrow rows first (:func:`staged_rows`), so that the
+    events are scanned once and not by each of the three branches; this runs
+    when called.
     """
-    ev = shots_or_assists(events, season)
+    if staged and usage != "filtered":
+        raise ValueError("usage='all' needs all events: it cannot be staged")
+    ev = staged_rows(events, season) if staged else shots_or_assists(events, season)
     if usage == "filtered":
         usage_rows = ev
     elif usage == "all":
@@ -76,7 +89,4 @@ def shot_features(events: DataFrame, season: str | None = None, *, usage: str =
     wanted += [c for c in extra if c in joined.columns and c not in wanted]
     if keep_frame:
         wanted.append("frame")
-    out = joined.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in wanted])
-    if persist:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    return out
+    return joined.select(*[cols[c].alias(c) if c in cols else F.col(c) for c in wanted])

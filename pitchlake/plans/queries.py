@@ -23,7 +23,7 @@ from pitchlake.plans.pipeline import shot_features, shots_or_assists
 from pitchlake.functions.encode import preferred_foot
 from pitchlake.schemas import (BOOL_TO_INT, COMPETITION_SCHEMA, DUMMIES, EVENT_SCHEMA, FEATURES, FEATURES_NP,
                                MATCH_SCHEMA)
-from pitchlake.sinks.writers import write_batches, write_csv, write_parquet, write_split
+from pitchlake.sinks.writers import held, kept, write_batches, write_bucketed, write_csv, write_parquet, write_split
 from pitchlake.session import scratch_dir
 from pitchlake.sources import readers
 
@@ -225,6 +225,45 @@ def assist_latest(spark, sf):
     return out.select("id", "assisted", "pass_height", "pass_length", "pass_angle")
 
 
+_ASSIST_MATCH = shots_ctes() + """
+SELECT s.id, CASE WHEN p.id IS NOT NULL THEN 1 ELSE 0 END AS assisted,
+  CASE WHEN p.id IS NULL THEN -1 ELSE CASE p.pass_height WHEN 'Ground Pass' THEN 0 WHEN 'Low Pass' THEN 1 ELSE 2 END END AS pass_height,
+  coalesce(p.pass_length, 0e0) AS pass_length, coalesce(p.pass_angle, 4e0) AS pass_angle
+FROM ev s LEFT JOIN ev p ON p.pass_assisted_shot_id = s.id AND p.match_id = s.match_id WHERE s.type = 'Shot'"""
+
+
+@register("assist_bucketed", _ASSIST_MATCH)
+def assist_bucketed(spark, sf):
+    """Shots and assisting passes as two tables bucketed by match and shot,
+    joined on both without an exchange (J4)."""
+    ev = shots_or_assists(_events(spark, sf, frames=False))
+    base = scratch_dir(spark, "bucketed")
+    name = base.rsplit("-", 1)[1]
+    shots = write_bucketed(ev.filter(F.col("type") == "Shot").select("id", "match_id", "type"), f"shots_{name}", f"{base}/shots",
+                           ["match_id", "id"], 16)
+    passes = write_bucketed(assisting_passes(ev, with_match=True), f"passes_{name}", f"{base}/passes",
+                            ["match_id", "pass_assisted_shot_id"], 16)
+    out = attach_assist(shots, passes, same_match=True)
+    return out.select("id", "assisted", "pass_height", "pass_length", "pass_angle")
+
+
+@register("assist_split", shots_ctes() + """,
+hot AS (SELECT min(id) AS h FROM ev WHERE type = 'Shot'),
+pp AS (SELECT CASE WHEN p.id % 3 = 0 THEN hot.h ELSE p.pass_assisted_shot_id END AS shot, p.pass_length
+       FROM ev p CROSS JOIN hot WHERE p.pass_assisted_shot_id IS NOT NULL)
+SELECT s.id, count(pp.shot) AS passes, round(coalesce(sum(pp.pass_length), 0), 3) AS length
+FROM ev s LEFT JOIN pp ON pp.shot = s.id WHERE s.type = 'Shot' GROUP BY s.id""")
+def assist_split(spark, sf):
+    """One shot named by a third of all passes: they are dealt to parts."""
+    ev = shots_or_assists(_events(spark, sf, frames=False))
+    shots = ev.filter(F.col("type") == "Shot")
+    hot = shots.agg(F.min("id").alias("h"))
+    named = ev.filter(F.col("pass_assisted_shot_id").isNotNull()).crossJoin(hot)  # one row
+    passes = assisting_passes(named.withColumn("pass_assisted_shot_id", F.when(F.col("id") % 3 == 0, F.col("h")).otherwise(F.col("pass_assisted_shot_id"))))
+    out = attach_assist(shots.select("id", "match_id"), passes, split_above=50)
+    return out.groupBy("id").agg(F.sum(F.col("assisted").cast("bigint")).alias("passes"), F.round(F.sum("pass_length"), 3).alias("length"))
+
+
 # ------------------------------------------------------------------ P7 encoding
 
 _DUMMY_COLS = [c for m in DUMMIES.values() for c in m.values()]
@@ -264,6 +303,12 @@ def shot_features_q(spark, sf):
     return _shots(spark, sf)
 
 
+@register("shot_features_staged", shots_ctes() + "SELECT * FROM shots")
+def shot_features_staged(spark, sf):
+    """The feature table from one scan of the events."""
+    return _shots(spark, sf, staged=True)
+
+
 # ------------------------------------------------------------------ S6, S10 conform
 
 _DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
@@ -423,6 +468,93 @@ def reject_rows(spark, sf):
     return both.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
 
 
+def _drifting_units(ev: DataFrame, base: str) -> None:
+    """The events by match as three landed units: all 122 columns, 121 and 120,
+    with types that differ, as the seasons of a vendor do."""
+    unit = F.coalesce(F.col("match_id") % 3, F.lit(0))
+    rows = conformed = readers.conform(ev, EVENT_SCHEMA)
+    full = rows.filter(unit == 0)
+    other = conformed.filter(unit == 1).drop("shot_open_goal")
+    third = conformed.filter(unit == 2).drop("shot_open_goal", "pass_switch")
+    write_parquet(full, f"{base}/full")
+    write_parquet(other.withColumns({"minute": F.col("minute").cast("string"), "shot_statsbomb_xg": F.col("shot_statsbomb_xg").cast("string"),
+                                     "under_pressure": F.col("under_pressure").cast("string"), "team_id": F.col("team_id").cast("bigint")}),
+                  f"{base}/text")
+    write_parquet(third.withColumns({"second": F.col("second").cast("double"), "id": F.col("id").cast("string"),
+                                     "pass_length": F.col("pass_length").cast("decimal(12,4)")}).select(*reversed(third.columns)), f"{base}/narrow")
+
+
+def _drifting_sql() -> str:
+    bound = {n for n, _ in BINDING}
+    gone = {"shot_open_goal": "unit = 0", "pass_switch": "unit IN (0, 1)"}
+    cols = []
+    for f in EVENT_SCHEMA.fields:
+        value = f.name if f.name in bound else "NULL"
+        if f.name in gone and f.name in bound:
+            value = f"CASE WHEN {gone[f.name]} THEN {value} END"
+        cols.append(f'CAST({value} AS {_DUCK_TYPES[f.dataType.simpleString()]}) AS "{f.name}"')
+    return binding_ctes() + "SELECT " + ", ".join(cols) + " FROM (SELECT *, coalesce(match_id % 3, 0) AS unit FROM b)"
+
+
+@register("drifting_files", _drifting_sql())
+def drifting_files(spark, sf):
+    """Units of 122, 121 and 120 columns of differing types and order read as
+    one table of the declared columns (S6, U2)."""
+    base = scratch_dir(spark, "drifting")
+    _drifting_units(_events(spark, sf, frames=False), base)
+    return readers.read_drifting(spark, base, EVENT_SCHEMA)
+
+
+_DRIFT_TEXT = ["id", "match_id", "type", "minute", "second", "team", "player", "location", "shot_statsbomb_xg", "under_pressure"]
+
+
+@register("drifting_text_files", binding_ctes() + f"""
+SELECT 'csv' AS fmt, CAST(id AS VARCHAR) AS id, {", ".join(_DRIFT_TEXT[1:-1])}, CASE WHEN id % 2 = 0 THEN under_pressure END AS under_pressure FROM b
+UNION ALL SELECT 'json', CAST(id AS VARCHAR), {", ".join(_DRIFT_TEXT[1:-1])}, CASE WHEN id % 2 = 0 THEN under_pressure END FROM b""")
+def drifting_text_files(spark, sf):
+    """The same for CSV headers in differing order and for JSON records."""
+    ev = _events(spark, sf, frames=False).select(*_DRIFT_TEXT)
+    base = scratch_dir(spark, "drifting-text")
+    schema = T.StructType([f for n in _DRIFT_TEXT for f in EVENT_SCHEMA.fields if f.name == n])
+    one, two = ev.filter("id % 2 = 0"), ev.filter("id % 2 = 1").drop("under_pressure").withColumn("minute", F.col("minute").cast("double"))
+    for k, part in enumerate((one, two.select(*reversed(two.columns)))):
+        write_csv(part, f"{base}/csv/{k}", sep=";")
+        part.write.json(f"{base}/json/{k}")
+    back = [readers.read_drifting(spark, f"{base}/{fmt}", schema, fmt=fmt, sep=";").withColumn("fmt", F.lit(fmt)) for fmt in ("csv", "json")]
+    return back[0].unionByName(back[1]).select("fmt", *_DRIFT_TEXT)
+
+
+def _cut_off_copy(spark: SparkSession, source: str, target: str) -> None:
+    """Half of the first data file below a folder, as an aborted download leaves it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(conf)
+    part = next(f for f in fs.listStatus(path(source)) if f.getPath().getName().startswith("part-"))
+    read, write = fs.open(part.getPath()), fs.create(path(target))
+    jvm.org.apache.commons.io.IOUtils.copyLarge(read, write, 0, part.getLen() // 2)
+    write.close()
+    read.close()
+
+
+@register("quarantined_files", binding_ctes() + """
+SELECT 'good' AS kind, 4 AS files, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM b WHERE id % 5 <> 2
+UNION ALL SELECT 'no row could be read', 1, 0, 0""")
+def quarantined_files(spark, sf):
+    """Five landed files, one of them cut off: the rows of the others, and which
+    file could not be read (S8)."""
+    ev = _events(spark, sf, frames=False).select("id", "match_id", "type", "minute")
+    base = scratch_dir(spark, "quarantine")
+    for k in range(5):
+        ev.filter(F.col("id") % 5 == k).coalesce(1).write.parquet(f"{base}/{'whole' if k == 2 else f'landed/unit={k}'}")
+    _cut_off_copy(spark, f"{base}/whole", f"{base}/landed/unit=2/part-cut.parquet")
+    good, bad = readers.read_quarantined(spark, f"{base}/landed", ev.schema)
+    counts = good.select("id", F.col("_metadata.file_path").alias("file")).agg(
+        F.lit("good").alias("kind"), F.countDistinct("file").cast("int").alias("files"), F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+    listed = bad.filter("file LIKE '%.parquet'").groupBy(F.col("reason").alias("kind")).agg(
+        F.count(F.lit(1)).cast("int").alias("files"), F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("ids"))
+    return counts.unionByName(listed)
+
+
 # ------------------------------------------------------------------ A12, F15, A1, T2
 
 @register("ingest_quality", binding_ctes() + """
@@ -480,10 +612,15 @@ def csv_comma(spark, sf):
     return readers.read_table(spark, path, "csv", schema=o.schema, sep=",")
 
 
-@register("persisted_counts", shots_ctes() + "SELECT team, count(*) AS shots FROM shots GROUP BY team")
+@register("persisted_counts", shots_ctes() + """
+SELECT team, count(*) AS shots, (SELECT count(*) FROM shots) AS all_shots FROM shots GROUP BY team""")
 def persisted_counts(spark, sf):
-    """The feature table persisted and filled once, then read (K8)."""
-    return _shots(spark, sf, persist=True).groupBy("team").agg(F.count(F.lit(1)).alias("shots"))
+    """The feature table persisted, filled by the first read, read again by
+    another, and released when the result is written (K8)."""
+    with held(_shots(spark, sf)) as shots:
+        n = shots.count()
+        by_team = shots.groupBy("team").agg(F.count(F.lit(1)).alias("shots"))
+        return kept(by_team.withColumn("all_shots", F.lit(n).cast("bigint")), scratch_dir(spark, "by-team"))
 
 
 # ------------------------------------------------------------------ typed ingest of text frames
@@ -704,10 +841,10 @@ def player_shots(spark, sf):
 
 
 @register("one_shot_picture", shots_ctes() + """
-SELECT s.id, fr.px AS x, fr.py AS y FROM shots s JOIN fr ON fr.id = s.id WHERE s.id = 83""")
+SELECT s.id, fr.px AS x, fr.py AS y FROM shots s JOIN fr ON fr.id = s.id WHERE s.id = 9""")
 def one_shot_picture(spark, sf):
     """Point lookup of a single shot."""
-    return explore.shot_picture(_shots(spark, sf, keep_frame=True), shot_id=83).select("id", "x", "y")
+    return explore.shot_picture(_shots(spark, sf, keep_frame=True), shot_id=9).select("id", "x", "y")
 
 
 @register("shot_picture", shots_ctes() + """
@@ -734,6 +871,33 @@ def random_match(spark, sf):
     return explore.random_match(_shots(spark, sf), seed=7)
 
 
+_PLACE = "('0x' || substr(md5(CAST(id AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT"
+
+
+@register("sampled_shots", shots_ctes(one_per_shot=True) + f"SELECT * FROM shots WHERE {_PLACE.format(seed=11)} < {int(0.15 * 2**32)}")
+def sampled_shots(spark, sf):
+    """A share of the rows by a threshold on the key's hash."""
+    return explore.sample_fraction(_shots(spark, sf, one_per_shot=True), 0.15, seed=11)
+
+
+_TEAM_SHARES = {"home": 0.5, "away": 0.05}
+
+
+@register("sampled_by_team", shots_ctes(one_per_shot=True) + f"""
+SELECT id, team FROM shots WHERE {_PLACE.format(seed=5)} < CASE team WHEN 'home' THEN {int(0.5 * 2**32)} WHEN 'away' THEN {int(0.05 * 2**32)} END""")
+def sampled_by_team(spark, sf):
+    """A share for each stratum."""
+    return explore.sample_fraction(_shots(spark, sf, one_per_shot=True), _TEAM_SHARES, seed=5, by="team").select("id", "team")
+
+
+@register("random_match_uniform", shots_ctes() + """
+SELECT * FROM shots WHERE match_id = (SELECT match_id FROM shots WHERE match_id IS NOT NULL
+  ORDER BY md5(CAST(match_id AS VARCHAR) || ':3'), match_id LIMIT 1)""")
+def random_match_uniform(spark, sf):
+    """The draw in which every match has the same chance (T4)."""
+    return explore.random_match(_shots(spark, sf), seed=3, weighted=False)
+
+
 # ------------------------------------------------------------------ timelines
 
 @register("running_total", shots_ctes() + """
@@ -895,7 +1059,7 @@ SELECT count(*) AS rows, true AS disjoint, true AS share_near FROM shots""")
 def random_split(spark, sf):
     """The published split: the sides cover all rows, share none and have
     about the asked size."""
-    shots = _shots(spark, sf, one_per_shot=True).select("id").persist()
+    shots = kept(_shots(spark, sf, one_per_shot=True).select("id"), scratch_dir(spark, "split-rows"))
     train, test = ml.random_split(shots)
     both = train.withColumn("s", F.lit(1)).unionByName(test.withColumn("s", F.lit(0)))
     return both.agg(F.count(F.lit(1)).alias("rows"), (F.countDistinct("id") == F.count(F.lit(1))).alias("disjoint"),
@@ -919,7 +1083,7 @@ def _sides(shots: DataFrame):
 
 
 # held-out AUC that a model must beat: the planted signal falls with distance
-_AUC_FLOOR = {"logistic": 0.6, "rf": 0.6, "mlp": 0.55, "gbt": 0.55, "dt": 0.5, "svm": 0.6, "nb": 0.5}
+_AUC_FLOOR = {"logistic": 0.6, "rf": 0.6, "mlp": 0.55, "gbt": 0.55, "dt": 0.55, "svm": 0.6, "nb": 0.5}
 
 
 def _checked_sql(model: str) -> str:
@@ -982,7 +1146,89 @@ def feature_importance(spark, sf):
     return spark.createDataFrame(rows, "feature string, finite boolean, in_order boolean")
 
 
-@register("auc_roc", "SELECT 'logistic' AS model, true AS beats_floor, true AS beats_shuffled")
+_TRAIN_SQL = shots_ctes(one_per_shot=True) + f""",
+t AS (SELECT *, coalesce(players_inside_area, 0) AS pia, {_SIDE_SQL} AS side FROM shots WHERE distance_to_goal IS NOT NULL)"""
+
+
+def _inputs(features) -> str:
+    return ", ".join(f"CAST({'pia' if f == 'players_inside_area' else f} AS DOUBLE) AS {f}" for f in features)
+
+
+@register("logistic_moments", _TRAIN_SQL + f""",
+x AS (SELECT goal, CAST(1 AS DOUBLE) AS "1", {_inputs(FEATURES)} FROM t WHERE side = 'train'),
+l AS (UNPIVOT x ON "1", {", ".join(FEATURES)} INTO NAME feature VALUE v)
+SELECT feature, round(avg(goal * v), 6) AS observed, true AS fits FROM l GROUP BY feature""")
+def logistic_moments(spark, sf):
+    """The gradient of the fitted likelihood vanishes (M3): each feature's mean
+    over the goals, and that the model gives the same."""
+    train, _ = _sides(_model_shots(spark, sf))
+    fitted = ml.score(ml.train(train, "logistic"), train)
+    return ml.moment_check(fitted, FEATURES).select("feature", F.round("observed", 6).alias("observed"), F.col("holds").alias("fits"))
+
+
+def _nb_sql(where: str) -> str:
+    """Class priors and feature probabilities of a multinomial naive Bayes fit
+    with Laplace smoothing, by counting."""
+    return f""",
+x AS (SELECT goal AS label, {_inputs(FEATURES_NP)} FROM t WHERE {where}),
+l AS (UNPIVOT x ON {", ".join(FEATURES_NP)} INTO NAME feature VALUE v),
+f AS (SELECT label, feature, sum(v) AS s FROM l GROUP BY label, feature),
+nb AS (SELECT label, feature, ln((s + 1) / (sum(s) OVER (PARTITION BY label) + {len(FEATURES_NP)})) AS lp FROM f),
+pr AS (SELECT label, ln((count(*) + 1e0) / (sum(count(*)) OVER () + 2e0)) AS lp FROM x GROUP BY label)"""
+
+
+@register("naive_bayes_table", _TRAIN_SQL + _nb_sql("side = 'train'") + """
+SELECT label, feature, round(lp, 6) AS log_probability FROM nb
+UNION ALL SELECT label, '1', round(lp, 6) FROM pr""")
+def naive_bayes_table(spark, sf):
+    """Every fitted probability of the naive Bayes model against plain counts (M9)."""
+    train, _ = _sides(_model_shots(spark, sf))
+    return ml.naive_bayes_table(ml.train(train, "nb", features=FEATURES_NP), spark).select(
+        "label", "feature", F.round("log_probability", 6).alias("log_probability"))
+
+
+@register("model_metrics", _TRAIN_SQL + _nb_sql("side = 'train'") + f""",
+q AS (SELECT id, goal AS label, {_inputs(FEATURES_NP)} FROM t WHERE side = 'test'),
+ql AS (UNPIVOT q ON {", ".join(FEATURES_NP)} INTO NAME feature VALUE v),
+sc AS (SELECT ql.id, ql.label, nb.label AS k, sum(ql.v * nb.lp) + any_value(pr.lp) AS score
+       FROM ql JOIN nb ON nb.feature = ql.feature JOIN pr ON pr.label = nb.label GROUP BY ql.id, ql.label, nb.label),
+pd AS (SELECT id, label, arg_max(k, score) AS prediction FROM sc GROUP BY id, label)
+""" + _RATIOS_SQL.format(a="label", p="prediction", t="pd"))
+def model_metrics(spark, sf):
+    """All metrics of a trained model's held-out predictions (E1-E8): naive
+    Bayes, as SQL can score it too."""
+    train, test = _sides(_model_shots(spark, sf))
+    return metrics.model_evaluation(ml.score(ml.train(train, "nb", features=FEATURES_NP), test), "goal", "prediction")
+
+
+@register("tree_leaves", _TRAIN_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(goal) AS BIGINT) AS goals, true AS holds, true AS several FROM t WHERE side = 'train'""")
+def tree_leaves(spark, sf):
+    """Each leaf of the fitted tree predicts its share of goals (M7)."""
+    train, _ = _sides(_model_shots(spark, sf))
+    leaves = ml.leaf_check(ml.score(ml.train(train, "dt", seed=42), train))
+    return leaves.agg(F.sum("rows").alias("rows"), F.round(F.sum(F.col("rows") * F.col("probability"))).cast("bigint").alias("goals"),
+                      F.min("holds").alias("holds"), (F.count(F.lit(1)) > 2).alias("several"))
+
+
+def _auc_sql(name: str, score: str) -> str:
+    """The share of (goal, no goal) pairs in the right order, ties half, by ranks."""
+    return f"""SELECT '{name}' AS score, round((sum(r) FILTER (WHERE goal = 1) - p * (p + 1) / 2e0) / (p * n), 9) AS auc, p AS positives, n AS negatives
+FROM (SELECT goal, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2e0 AS r,
+        count(*) FILTER (WHERE goal = 1) OVER () AS p, count(*) FILTER (WHERE goal = 0) OVER () AS n
+      FROM (SELECT goal, {score} AS s FROM shots) WHERE s IS NOT NULL AND goal IS NOT NULL) GROUP BY p, n"""
+
+
+@register("auc_values", shots_ctes() + _auc_sql("vendor", "shot_statsbomb_xg") + " UNION ALL " + _auc_sql("nearness", "-distance_to_goal"))
+def auc_values(spark, sf):
+    """The AUC of two scores as rows."""
+    shots = _shots(spark, sf).withColumn("nearness", -F.col("distance_to_goal"))
+    parts = [metrics.auc_rank(shots, "goal", c).select(F.lit(name).alias("score"), F.round("auc", 9).alias("auc"), "positives", "negatives")
+             for name, c in (("vendor", "shot_statsbomb_xg"), ("nearness", "nearness"))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("auc_roc", "SELECT 'logistic' AS model, true AS beats_floor, true AS beats_shuffled, true AS equals_rank_sum")
 def auc_roc(spark, sf):
     """AUC of the held-out predictions: above the floor, and above that of
     scores dealt by a hash (which carry no signal)."""
@@ -990,5 +1236,6 @@ def auc_roc(spark, sf):
     preds = ml.score(ml.train(train, "logistic"), test)
     auc = metrics.auc_roc(preds, "goal")
     noise = preds.withColumn("noise", ml.hash_bucket("id", 1).cast("double"))
-    return spark.createDataFrame([("logistic", auc > _AUC_FLOOR["logistic"], auc > metrics.auc_roc(noise, "goal", "noise"))],
-                                 "model string, beats_floor boolean, beats_shuffled boolean")
+    exact = metrics.auc_rank(preds).first().auc  # the evaluator puts the scores into bins
+    return spark.createDataFrame([("logistic", auc > _AUC_FLOOR["logistic"], auc > metrics.auc_roc(noise, "goal", "noise"), abs(auc - exact) < 1e-3)],
+                                 "model string, beats_floor boolean, beats_shuffled boolean, equals_rank_sum boolean")

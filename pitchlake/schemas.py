@@ -260,3 +260,6 @@ LINEUP_SCHEMA = T.StructType([
     T.StructField("match_id", T.LongType()),
     T.StructField("teams", T.MapType(T.StringType(), T.ArrayType(LINEUP_PLAYER))),
 ])
+
+# CSV files as pandas writes them: quotes inside a field are doubled
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "false"}

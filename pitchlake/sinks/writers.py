@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.sources.readers import CSV_OPTIONS
+from pitchlake.schemas import CSV_OPTIONS
 
 
 def write_split(df: DataFrame, path: str, key: str = "competition", fmt: str = "parquet",
@@ -64,11 +66,33 @@ def write_batches(df: DataFrame, path: str, batch_col: str = "batch", fmt: str =
        .partitionBy(batch_col).format(fmt).save(path))
 
 
-def materialise(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Persist and fill the cache once (K8); the caller unpersists."""
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table of ``buckets`` buckets by ``keys``, sorted by them, at ``path``;
+    two such tables of as many buckets join on their keys without an exchange
+    (J4).  Rows are dealt by the same hash first, so that each bucket is one file."""
+    spark = df.sparkSession
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return spark.table(table)
+
+
+@contextmanager
+def held(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """The table persisted for as long as the block runs (K8) and released at
+    its end, also after an error; it fills when first read.  What leaves the
+    block must be written (:func:`kept`) or collected inside it, as a plan made
+    from a released table computes it anew."""
     out = df.persist(level)
-    out.count()
-    return out
+    try:
+        yield out
+    finally:
+        out.unpersist(blocking=True)
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet and read it back: a result that needs nothing of
+    what it was made from."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_vectors(df: DataFrame) -> DataFrame:
@@ -87,5 +111,5 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-__all__ = ["write_split", "write_csv", "write_parquet", "write_batches", "materialise",
+__all__ = ["write_split", "write_csv", "write_parquet", "write_batches", "write_bucketed", "held", "kept",
            "drop_vectors", "cut_lineage"]

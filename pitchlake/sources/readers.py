@@ -7,15 +7,16 @@ lists.  Any Hadoop file system URI works as a path (S13).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from multiprocessing.pool import ThreadPool
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.schemas import (COMPETITION_DROP, COMPETITION_GENDER, EXCLUDED_COMPETITIONS,
+from pitchlake.operators.prefix import positions
+from pitchlake.schemas import (COMPETITION_DROP, COMPETITION_GENDER, CSV_OPTIONS, EXCLUDED_COMPETITIONS,
                                LINEUP_SCHEMA, MATCH_DROP, SEASON_AFTER)
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "false"}
-
 
 def require_columns(df: DataFrame, cols) -> DataFrame:
     """Plan-time check (S10): raise ``ValueError`` naming missing columns."""
@@ -88,6 +89,86 @@ def read_checked(spark: SparkSession, path, schema: T.StructType, fmt: str = "js
     return good, bad
 
 
+def read_quarantined(spark: SparkSession, path, schema: T.StructType, fmt: str = "parquet",
+                     sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined files) of a folder in which whole files may be
+    unreadable (S8): such files are skipped, not fatal, and listed as ``file,
+    length, reason``.
+
+    The list is the folder's listing without the files that gave a row; neither
+    side reads a file's content for it (the listing has none, the row side asks
+    for no column), and nothing runs before an action.  A sound file without
+    rows is in the list too, as nothing could be read from it.  Of a file whose
+    damage lies behind readable rows, the rows before it are kept."""
+    good = read_table(spark, path, fmt, schema=schema, sep=sep, ignore_corrupt_files=True)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
+        .select(F.col("_metadata.file_path").alias("file"), "length")
+    gave = good.select(F.col("_metadata.file_path").alias("file")).distinct()
+    reason = F.when(F.col("length") == 0, F.lit("empty")).otherwise(F.lit("no row could be read"))
+    return good, listed.join(gave, "file", "left_anti").select("file", "length", reason.alias("reason"))
+
+
+def units_of(spark: SparkSession, path: str) -> list[str]:
+    """The landed units (a folder or a file each) right below a path, on any
+    file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName()[0] not in "._")
+
+
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """:func:`conform` for columns of any type: a value that does not fit the
+    declared one is null instead of an error, and numbers written as text count
+    as numbers (``'3.0'`` is the integer 3)."""
+    kind = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        c = F.lit(None) if f.name not in kind else F.col(f"`{f.name}`")
+        if f.name in kind and kind[f.name] != f.dataType:
+            if isinstance(kind[f.name], T.StringType) and isinstance(f.dataType, T.IntegralType):
+                c = c.try_cast("decimal(38,9)")
+            c = c.try_cast(f.dataType)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
+def read_drifting(spark: SparkSession, paths, schema: T.StructType, fmt: str = "parquet", sep: str = ",",
+                  threads: int = 16) -> DataFrame:
+    """One table from landed units whose columns differ in number, order and
+    type (S6, U2): every unit's own columns are resolved by name against the
+    declared schema, and the units are concatenated.
+
+    ``paths`` are units (a match or a batch each, written by one job) or a folder of
+    them.  Units are grouped by their columns as their own footer (Parquet) or
+    header (CSV) names them, one small read a unit; each group is one scan, so the
+    plan grows with the ways in which units differ, not with their number.  JSON
+    names the columns in every record: one scan, each value read as text and
+    turned into its declared type.  No type is guessed from data."""
+    units = [u for p in ([paths] if isinstance(paths, str) else paths) for u in units_of(spark, p)] \
+        if isinstance(paths, str) else list(paths)
+    if not units:
+        return spark.createDataFrame([], schema)
+    if fmt == "json":
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        return fitted(spark.read.schema(text).json(units), schema)
+
+    def columns(unit: str) -> T.StructType:
+        if fmt == "parquet":
+            return spark.read.parquet(unit).schema
+        return spark.read.options(**CSV_OPTIONS).option("sep", sep).csv(unit).schema  # the header; all text
+
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPool(threads) as pool:
+        for unit, found in zip(units, pool.map(columns, units)):
+            groups.setdefault(found.json(), (found, []))[1].append(unit)
+    out = None
+    for found, own in groups.values():
+        r = spark.read.schema(found)
+        part = fitted(r.parquet(*own) if fmt == "parquet" else r.options(**CSV_OPTIONS).option("sep", sep).csv(own), schema)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def filter_competitions(comps: DataFrame, gender: str = COMPETITION_GENDER,
                         season_after: str = SEASON_AFTER, exclude=EXCLUDED_COMPETITIONS,
                         drop=COMPETITION_DROP) -> DataFrame:
@@ -140,42 +221,13 @@ def attach_match(events: DataFrame, matches: DataFrame, cols=("competition", "se
     return ev.join(matches.select("match_id", *cols), "match_id", "inner")
 
 
-def _ordinal(df: DataFrame, col: str):
-    """A number that never falls as ``col`` rises (text: its first six bytes)."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
-    return F.col(col).cast("double")
-
-
-def positional_index(df: DataFrame, order_col: str, out: str = "pos", buckets: int = 4096) -> DataFrame:
+def positional_index(df: DataFrame, order_col: str, out: str = "pos") -> DataFrame:
     """0-based position of each row in ``order_col`` order (W4), nulls first;
-    rows of equal keys take consecutive positions in no set order.
-
-    Positions come from the key alone: keys are counted, put into buckets by
-    equal parts of their range (a function of the value, so any two reads of
-    the plan agree, whatever columns they need), numbered within the bucket
-    and moved by the counts of earlier buckets, at most ``buckets`` rows.  The
-    result is joined back on the key; no window runs over all rows and nothing
-    runs while the plan is built."""
-    keys = df.groupBy(F.struct(order_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n")) \
-        .select("_k", "_n", F.col(f"_k.{order_col}").alias("_v"))
-    keys = keys.withColumn("_o", _ordinal(keys, "_v"))
-    ends = keys.agg(F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))  # one row
-    part = F.when(F.col("_o").isNull(), -1).when(F.col("_hi") == F.col("_lo"), 0) \
-        .otherwise(F.least(F.lit(buckets - 1), F.floor((F.col("_o") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets)))
-    placed = keys.join(F.broadcast(ends)).select("_k", "_n", "_v", part.cast("int").alias("_b"))
-    before = placed.groupBy("_b").agg(F.sum("_n").alias("_s")).select(
-        "_b", (F.sum("_s").over(Window.orderBy("_b")) - F.col("_s")).alias("_before"))  # a row per bucket
-    inner = Window.partitionBy("_b").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    first = placed.withColumn("_in", F.coalesce(F.sum("_n").over(inner), F.lit(0))).join(before, "_b") \
-        .select("_k", (F.col("_before") + F.col("_in")).alias("_first"))
-    same = Window.partitionBy("_k").orderBy(F.lit(0))
-    return df.withColumn("_k", F.struct(order_col)).join(first, "_k") \
-        .withColumn(out, F.col("_first") + F.row_number().over(same) - 1).drop("_k", "_first")
+    rows of equal keys take consecutive positions in no set order.  The rows
+    are written once in key order and positions come from the counts of the
+    ranges (:func:`positions`): even tasks for any kind of key, one key of very
+    many rows included.  Runs when called."""
+    return positions(df, [order_col], out)
 
 
 def match_batches(matches: DataFrame, batch_size: int = 500, order_col: str = "match_id") -> DataFrame:

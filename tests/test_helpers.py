@@ -4,7 +4,7 @@ lineage cutting and persistence."""
 from pyspark.sql import functions as F
 
 from pitchlake.operators.frames import players_inside_area
-from pitchlake.sinks.writers import cut_lineage, materialise
+from pitchlake.sinks.writers import cut_lineage, held, kept
 
 FRAME = ("[{'location': [118.0, 40.0], 'player': {'id': 1, 'name': 'K'}, "
          "'position': {'id': 1, 'name': 'Goalkeeper'}, 'teammate': False}]")
@@ -83,13 +83,20 @@ def test_r2_of_large_values(spark):
     assert regression_metrics(df, "a", "p").first().r2 == 100.0
 
 
-def test_cut_lineage_and_materialise(spark):
+def test_cut_lineage_and_held_tables(spark, tmp_path):
+    import pytest
+
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     cut = cut_lineage(df)
     assert cut.count() == 1000 and "LogicalRDD" in cut._jdf.queryExecution().logical().toString()
-    m = materialise(df)
-    assert m.is_cached and m.count() == 1000
-    m.unpersist()
+    with held(df) as m:
+        assert m.is_cached and m.count() == 1000
+        out = kept(m.groupBy((F.col("x") % 3).alias("k")).count(), str(tmp_path / "out"))
+    assert not df.is_cached and out.count() == 3
+    with pytest.raises(RuntimeError):
+        with held(df):
+            raise RuntimeError
+    assert not df.is_cached
 
 
 def test_error_guards(spark):

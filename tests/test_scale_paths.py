@@ -27,8 +27,7 @@ def test_running_sum_hot_group_matches_window(spark):
 
 def test_plans_are_built_without_jobs(spark):
     """Nothing runs before an action."""
-    from pitchlake.operators import timeline
-    from pitchlake.sources import readers
+    from pitchlake.operators import explore, timeline
 
     sc = spark.sparkContext
     shots = shot_features(events_view(spark, "/root/testdata/sf0.001"))
@@ -36,7 +35,7 @@ def test_plans_are_built_without_jobs(spark):
     timeline.running_total(shots)
     timeline.tick_grid_timeline(shots)
     timeline.tick_grid_timeline(shots, by_period=True)
-    readers.match_batches(shots.select("match_id").distinct())
+    explore.correlation_pairs(shots)
     jobs = sc.statusTracker().getJobIdsForGroup("plans")
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) == 0
@@ -99,3 +98,89 @@ def test_running_total_by_period_prefix_equals_window(spark):
     b = timeline.running_total(shots, by_period=True, method="window").withColumnRenamed("cxg", "w")
     bad = a.join(b.select("id", "w"), "id").filter(~F.col("cxg").eqNullSafe(F.col("w")))
     assert a.count() == shots.count() and bad.count() == 0
+
+
+def executed(df):
+    """The plan that ran, reused exchanges as such."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_timelines_scan_the_shots_once(spark):
+    from pitchlake.operators import timeline
+
+    ev = events_view(spark, "/root/testdata/sf0.001", with_frames=False).select("match_id", "team", "period", "minute", "second", "id",
+                                                                               "shot_statsbomb_xg", "shot_outcome", "type")
+    shots = ev.filter("type = 'Shot'").withColumn("goal", (F.col("shot_outcome") == "Goal").cast("int"))
+    narrow = shots.select("match_id", "team", "minute", "second", "id", "shot_statsbomb_xg")
+    for df in (timeline.running_total(narrow), timeline.tick_grid_timeline(shots), timeline.tick_grid_timeline(shots, by_period=True),
+               timeline.timeline_extent(timeline.running_total(narrow))):
+        plan = executed(df)
+        assert plan.count("FileScan parquet") == 1 or plan.count("Scan parquet") == 1, plan
+
+
+def test_correlation_is_one_lazy_scan(spark):
+    from pitchlake.operators import explore
+
+    ev = events_view(spark, "/root/testdata/sf0.001", with_frames=False).filter("type = 'Shot'")
+    df = explore.correlation_pairs(ev.withColumn("x", F.col("minute") + F.col("second")), ["minute", "second", "x"])
+    plan = executed(df)
+    assert plan.count("Scan parquet") == 1 and df.count() == 9
+
+
+def test_correlation_of_nulls_constants_and_no_rows(spark):
+    import pytest
+
+    from pitchlake.operators import explore
+
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (4.0, None, 5.0), (3.0, 9.0, 5.0)], "a double, b double, c double")
+    got = {(r.col_a, r.col_b): r.r for r in explore.correlation_pairs(df, ["a", "c"]).collect()}
+    assert got == {("a", "a"): 1.0, ("a", "c"): None, ("c", "a"): None, ("c", "c"): 1.0}
+    with pytest.raises(Exception, match="a feature is null"):
+        explore.correlation_pairs(df, ["a", "b"]).collect()
+    skipped = {(r.col_a, r.col_b): r.r for r in explore.correlation_pairs(df, ["a", "b"], handle_invalid="skip").collect()}
+    assert skipped["a", "b"] == skipped["b", "a"] == round(df.dropna().corr("a", "b"), 6)
+    assert explore.correlation_pairs(df.limit(0), ["a"]).count() == 0
+
+
+def test_positions_of_awkward_keys_are_even(spark):
+    from pitchlake.operators.prefix import in_order
+    from pitchlake.sources import readers
+
+    n = 40_000
+    keys = {"text": F.concat(F.lit("match_0000000_"), F.format_string("%08d", F.col("id"))),
+            "outlier": F.when(F.col("id") == 7, F.lit(10**15)).otherwise(F.col("id")),
+            "hot": F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id"))}
+    for name, key in keys.items():
+        df = spark.range(n).select(key.alias("k")).repartition(8)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one range
+        try:
+            per = [r["count"] for r in in_order(df, ["k"]).groupBy("_part").count().collect()]
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert len(per) > 1 and max(per) < 3 * n / len(per), (name, per)
+        got = [(r.k, r.pos) for r in readers.positional_index(df, "k").orderBy("pos").collect()]
+        assert [p for _, p in got] == list(range(n))
+        assert [k for k, _ in got] == sorted((k for k, _ in got), key=lambda k: (k is not None, k))
+
+
+def test_auc_is_the_share_of_ordered_pairs(spark):
+    rows = [(int(i % 7 < 3), float(i * i % 11)) for i in range(150)] + [(None, 1.0), (1, None), (2, 3.0)]
+    got = metrics.auc_rank(spark.createDataFrame(rows, "goal int, xG double").repartition(5)).first()
+    pos, neg = ([s for y, s in rows if y == k and s is not None] for k in (1, 0))
+    want = sum((p > q) + (p == q) / 2 for p in pos for q in neg) / len(pos) / len(neg)
+    assert abs(got.auc - want) < 1e-12 and (got.positives, got.negatives) == (len(pos), len(neg))
+    one_class = metrics.auc_rank(spark.createDataFrame([(1, 0.5)], "goal int, xG double")).first()
+    assert one_class.auc is None and metrics.auc_rank(spark.createDataFrame([], "goal int, xG double")).first().positives == 0
+
+
+def test_fractions_nest_and_follow_the_strata(spark):
+    from pitchlake.operators import explore
+
+    df = spark.range(20_000).withColumn("team", F.when(F.col("id") % 4 == 0, "a").when(F.col("id") % 4 == 1, "b").when(F.col("id") % 4 == 2, "c"))
+    small, large = ({r.id for r in explore.sample_fraction(df.repartition(k), f).collect()} for k, f in ((3, 0.1), (7, 0.3)))
+    assert small < large and abs(len(small) - 2000) < 200
+    assert explore.sample_fraction(df, 1.0).count() == 20_000 and explore.sample_fraction(df, 0.0).count() == 0
+    by = {r.team: r["count"] for r in explore.sample_fraction(df, {"a": 1.0, "b": 0.2}, by="team").groupBy("team").count().collect()}
+    assert by["a"] == 5000 and abs(by["b"] - 1000) < 150 and set(by) == {"a", "b"}
