@@ -20,8 +20,9 @@ and blocks are bounded whatever the input.
 
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite components take no part.  Equal vectors are ranked by vec_id;
-repeated vec_ids are candidates of one another's queries like any other row
-but never of their own; an empty table gives no rows; a query without
+every row is a candidate of its own, but rows of a query's vec_id are none of
+its; a query row that is repeated asks once, and rows of one vec_id with other
+vectors ask each for themselves; an empty table gives no rows; a query without
 candidates has no rows; other columns are ignored.
 """
 
@@ -183,7 +184,7 @@ def search(embeddings: DataFrame, every: int = EVERY, k: int = K, sample: int =
     vec_id is divisible by ``every``, among all other rows."""
     rows = written(usable(embeddings), "ann-vectors")
     learned = learn(rows, sample, calibration, target, k)
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, query long, vec_id long, score double"
     if learned is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     is_query = F.col("vec_id") % every == 0
@@ -191,50 +192,53 @@ def search(embeddings: DataFrame, every: int = EVERY, k: int = K, sample: int =
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
     shared = rows.sparkSession.sparkContext.broadcast(learned[0])
 
-    def units(side, own: int, other: int, salt: int):
+    def units(side, own: int, other: int, salt: int, *more: str):
         """Rows of a side with the block pairs that they are part of."""
         at = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(own))
         others = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
         unit = F.col("o") * own + F.col("b") if salt == 1 else F.col("b") * other + F.col("o")
-        return side.select("vec_id", "v", at.alias("b"), others.alias("o")).select(unit.alias("unit"), "vec_id", "v")
+        return side.select("vec_id", "v", *more, at.alias("b"), others.alias("o")).select(unit.alias("unit"), "vec_id", "v", *more)
 
     index = units(rows, blocks, query_blocks, 1)
     codes, radius = learned
 
     def retrieve(radius: int, left: pa.Table, right: pa.Table) -> pa.Table:
         codes = shared.value
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
             ids, x = left.column("vec_id").to_numpy(), matrix(left.column("v").combine_chunks())
             qid, q = right.column("vec_id").to_numpy(), matrix(right.column("v").combine_chunks())
+            query = right.column("query").to_numpy()
             tables = MultiIndex(codes.encode(x), radius)
             for i, code in enumerate(codes.encode(q)):
                 r = tables.within(code)
                 r = r[ids[r] != qid[i]]
                 s = cosines(x[r], q[i])
                 top = best(ids[r], s, k)
-                out.append((np.full(len(top), qid[i]), ids[r][top], s[top]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_id": cols[0], "vec_id": cols[1], "score": cols[2]})
+                out.append((np.full(len(top), qid[i]), np.full(len(top), query[i]), ids[r][top], s[top]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        return pa.table({"query_id": cols[0], "query": cols[1], "vec_id": cols[2], "score": cols[3]})
 
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")).cast("int")
 
     def nearest(asked: DataFrame, radius: int) -> DataFrame:
-        queries = units(asked, query_blocks, blocks, 2)
+        queries = units(asked, query_blocks, blocks, 2, "query")
         found = index.groupBy("unit").cogroup(queries.groupBy("unit")) \
             .applyInArrow(lambda key, left, right: retrieve(radius, left, right), schema)
-        top = found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+        top = found.select("query_id", "query", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
         return written(top, "ann-nearest")
 
-    asked, out = rows.where(is_query), None
+    # distinct queries, numbered; the write keeps their numbers
+    asked = written(rows.where(is_query).distinct().withColumn("query", F.monotonically_increasing_id()), "ann-queries")
+    out = None
     while True:
         top = nearest(asked, radius)
-        full = top.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id")).distinct()
-        short = asked.join(full, "vec_id", "left_anti")
+        full = top.where(F.col("rank") == k).select("query").distinct()
+        short = asked.join(full, "query", "left_anti")
         last = radius >= codes.bits or short.isEmpty()
         # a query without k rows is asked again, and its rows are those of its last pass
-        done = top if last else top.join(full.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi").select(top.columns)
+        done = top if last else top.join(full, "query", "left_semi").select(top.columns)
         out = done if out is None else out.unionByName(done)
         if last:
-            return out
+            return out.drop("query")
         asked, radius = written(short, "ann-short"), min(codes.bits, max(2 * radius, radius + 8))

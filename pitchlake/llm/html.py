@@ -216,22 +216,23 @@ def subtree_hashes(html: str | None) -> tuple[int, list[int]]:
     return number(content), sorted({block_number(x) for x in nodes[1:] if x.tag in BLOCK and x.text and not x.core})
 
 
-def main_text(html: str | None, template: set[int]) -> str:
-    """The text of the article; ``template`` holds the subtree hashes to delete."""
+def main_text(html: str | None, template: set[int], common: set[int] | None = None) -> str:
+    """The text of the article; ``template`` holds the subtree hashes to delete
+    and ``common`` those of them that go inside an article too (all, if not given)."""
     nodes = parse(html or "")
     summarise(nodes)
-    return kept_text(nodes, template)
+    return kept_text(nodes, template, template if common is None else common)
 
 
-def kept_text(nodes: list[Node], template: set[int]) -> str:
-    dropped = drop(nodes, template, set())
+def kept_text(nodes: list[Node], template: set[int], common: set[int] = frozenset()) -> str:
+    dropped = drop(nodes, template, common, set())
     named = [x for x in nodes if x.tag == "article" and x.named]
     if named:
         heads = dropped | {id(x) for x in nodes if x.tag == "h1"}
         if not any(texts(x, heads) for x in nodes[1:] if x.tag in ("article", "main") and id(x) not in heads):
             rest = texts(nodes[0], dropped)
             spared = {id(x) for x in named if not rest or x.head or 2 * x.size > nodes[0].size}
-            dropped = drop(nodes, template, spared)
+            dropped = drop(nodes, template, common, spared)
     kept = [x for x in nodes[1:] if x.tag in ("article", "main") and id(x) not in dropped]
     roots = outermost([x for x in kept if x.tag == "article"])
     own = {id(x) for x in roots}
@@ -244,7 +245,7 @@ def kept_text(nodes: list[Node], template: set[int]) -> str:
     return " ".join(blocks)
 
 
-def drop(nodes: list[Node], template: set[int], spared: set[int]) -> set[int]:
+def drop(nodes: list[Node], template: set[int], common: set[int], spared: set[int]) -> set[int]:
     """The elements that are none of the article.  ``spared`` articles stay
     whatever their class names."""
     dropped, page = set(), nodes[0]
@@ -257,7 +258,8 @@ def drop(nodes: list[Node], template: set[int], spared: set[int]) -> set[int]:
         else:
             named = x.named and not rescued and not (2 * x.size > page.size and (x.head or not page.head))
         other = x.off and not rescued or named
-        if inside or header or other or (template and not x.core and x.tag in BLOCK and block_number(x) in template):
+        if inside or header or other or (template and not x.core and x.tag in BLOCK and (h := block_number(x)) in template
+                                         and (h in common or outside(x))):
             dropped.add(id(x))
     return dropped
 
@@ -344,8 +346,9 @@ def markup() -> "F.Column":
 
 
 def site_templates(rows: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """host, hash: the subtrees of each site's template; ``rows`` are those of
-    :func:`page_subtrees`."""
+    """host, hash, common: the subtrees of each site's template, and whether
+    they are on ``share`` of its pages, so that they go inside articles too;
+    ``rows`` are those of :func:`page_subtrees`."""
     # distinct in each task and over all tasks first, then counted, so pages of
     # the same host meet as counts only; hash 0 stands for the page itself
     counts = rows.select("host", "content", F.explode(F.concat(F.array(F.lit(0).cast("long")), "hashes")).alias("hash")) \
@@ -355,7 +358,7 @@ def site_templates(rows: DataFrame, min_pages: int = MIN_PAGES, share: float = S
     long = F.col("hash").bitwiseAND(F.lit(1).cast("long")) == 1
     return counts.where("hash != 0").join(total, "host").where(
         (F.col("n") >= share * F.col("pages")) | long & (F.col("n") >= MANY) & (F.col("n") >= FEW * F.col("pages"))) \
-        .select("host", "hash")
+        .select("host", "hash", (F.col("n") >= share * F.col("pages")).alias("common"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, host_list: int = HOST_LIST) -> DataFrame:
@@ -365,17 +368,21 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE,
     subtrees = written(page_subtrees(pages), "page-subtrees")
     templates = written(site_templates(subtrees, min_pages, share), "site-templates")
     large = written(templates.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > host_list).select("host"), "large-hosts")
-    of_host = written(templates.join(large, "host", "left_anti").groupBy("host").agg(F.collect_list("hash").alias("of_host")), "host-templates")
-    of_page = written(subtrees.join(large, "host", "left_semi").select("host", "page", F.explode("hashes").alias("hash"))
-                      .join(templates, ["host", "hash"]).groupBy("host", "page").agg(F.collect_set("hash").alias("of_page")), "page-templates")
+    both = [F.collect_list("hash").alias("hashes"), F.collect_list(F.when(F.col("common"), F.col("hash"))).alias("common")]
+    of_host = written(templates.join(large, "host", "left_anti").groupBy("host")
+                      .agg(F.struct(*both).alias("of_host")), "host-templates")
+    of_page = written(subtrees.join(large, "host", "left_semi").select("host", "page", F.explode("hashes").alias("hash")).distinct()
+                      .join(templates, ["host", "hash"]).groupBy("host", "page").agg(F.struct(*both).alias("of_page")), "page-templates")
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host().alias("host"), markup().alias("page")) \
         .join(of_host, "host", "left").join(of_page, ["host", "page"], "left") \
-        .select("page_id", "url", "html", F.coalesce("of_host", "of_page").alias("hashes"))
+        .select("page_id", "url", "html", F.coalesce("of_host", "of_page").alias("template")) \
+        .select("page_id", "url", "html", "template.hashes", "template.common")
     schema = rows.select("page_id", "url", F.lit("").alias("text")).schema
 
     def texts_of(batches):
         for b in batches:
-            out = [main_text(h.as_py(), set(t.as_py() or ())) for h, t in zip(b.column("html"), b.column("hashes"))]
+            out = [main_text(h.as_py(), set(t.as_py() or ()), set(c.as_py() or ()))
+                   for h, t, c in zip(b.column("html"), b.column("hashes"), b.column("common"))]
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())],
                                              names=["page_id", "url", "text"])
 

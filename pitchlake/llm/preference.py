@@ -11,9 +11,11 @@ A pair is one training example, so its turns meet in one row;
 :func:`segments` returns the same rendering as one row per turn, for
 conversations that should not be gathered.
 
-Null roles and texts render as empty; turns of the same number keep the order
-of role and text; a side without turns has an empty completion; pairs whose
-sides are equal have two empty completions; other columns are ignored.
+Null roles and texts render as empty; turns of the same number are in order of
+role and text, nulls first, and null turn numbers come first; repeated rows are
+turns of their own; a side without turns has an empty completion; pairs whose
+sides are equal have two empty completions; texts of any length are rendered
+whole; an empty table gives no pairs; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -100,27 +102,33 @@ def segments(turns: DataFrame) -> DataFrame:
 
 def stale_answer_pairs(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations: chosen is the conversation; rejected
-    ends, instead of the last assistant turn, with the assistant turn before
-    it (an empty answer where there is none).  Conversations without an
-    assistant turn give no pair; turns of a null conv_id are one conversation."""
-    conversations = conversations.select("conv_id", "turn", "role", "text")
-    said = F.when(F.col("role") == LEARNED_ROLE, F.struct("turn", "text"))
-    ends = conversations.groupBy(F.col("conv_id").alias("of")).agg(F.max(said).alias("last")).where("last is not null")
-    with_last = conversations.join(ends, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
-    stale = with_last.groupBy(F.col("conv_id").alias("of")).agg(
-        F.max(F.when((F.col("role") == LEARNED_ROLE) & (F.col("turn") < F.col("last.turn")), F.struct("turn", "text"))).alias("stale"))
-    rows = with_last.join(stale, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
-    replaced = (F.col("role") == LEARNED_ROLE) & (F.col("turn") == F.col("last.turn")) & F.col("text").eqNullSafe(F.col("last.text"))
+    ends with its last assistant turn, in which the text is that of the assistant
+    turn before it (empty where there is none).
+
+    The last turn is the largest turn number that an assistant row has; all
+    assistant rows of that number are replaced, and of several rows of the number
+    before it the largest text is taken (null is the least).  Rejected leaves out
+    rows without a turn number.  Conversations without a numbered assistant turn
+    give no pair, nor do turns of a null conv_id, which belong to none; repeated
+    rows are turns like others; an empty table gives no pairs; other columns are
+    ignored.  A pair is one row: its turns meet, however long they are."""
+    conversations = conversations.where("conv_id is not null").select("conv_id", "turn", "role", "text")
+    own = F.col("role") == LEARNED_ROLE
+    last = conversations.where(own).groupBy("conv_id").agg(F.max("turn").alias("last")).where("last is not null")
+    with_last = conversations.join(last, "conv_id")
+    stale = with_last.groupBy("conv_id").agg(F.max(F.when(own & (F.col("turn") < F.col("last")), F.struct("turn", "text"))).alias("stale"))
+    rows = with_last.join(stale, "conv_id")
+    replaced = own & (F.col("turn") == F.col("last"))
     return rows.select("conv_id", "turn", "role", "text", "last", "stale", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))).alias("side")) \
-        .where("side = 'chosen' or turn <= last.turn") \
+        .where("side = 'chosen' or turn <= last") \
         .select(F.col("conv_id").alias("pair_id"), "side", "turn", "role",
                 F.when((F.col("side") == "rejected") & replaced, F.coalesce("stale.text", F.lit("")))
                 .otherwise(F.col("text")).alias("text"))
 
 
 ORACLE = """
-with a as (select conv_id, list({'t': turn, 'r': role, 'x': text} order by turn, role, text) c,
-    max(case when role = 'assistant' then turn end) m from conversations group by 1),
+with a as (select conv_id, list({'t': turn, 'r': role, 'x': text} order by turn nulls first, role nulls first, text nulls first) c,
+    max(case when role = 'assistant' then turn end) m from conversations where conv_id is not null group by 1),
 s as (select conv_id, list_filter(c, lambda t: t.t <= m) c0, c, m,
     list_filter(c, lambda t: t.r = 'assistant' and t.t < m) old from a where m is not null),
 p as (select conv_id, c, list_transform(c0, lambda t: case when t.t = m and t.r = 'assistant'

@@ -216,12 +216,28 @@ def test_stale_answer_pairs(spark):
     assert got[3].rejected == "<|im_start|>assistant\n<|im_end|>\n"
 
 
-def test_stale_answer_pairs_of_a_null_conversation(spark):
-    conv = [(None, 0, "user", "q"), (None, 1, "assistant", "first"), (None, 2, "assistant", "second"), (1, 0, "assistant", "alone")]
+def test_stale_answer_pairs_of_null_conversations_and_equal_turns(spark, tmp_path):
+    import duckdb
+
+    from pitchlake.llm import queries
+
+    rng = random.Random(12)
+    conv = [(None, 0, "user", "q"), (None, 1, "assistant", "first"), (1, 0, "assistant", "alone")]
+    # equal turn numbers, null numbers, roles and texts, repeated rows
+    conv += [(i, rng.choice((None, 0, 1, 1, 2, 2, 3)), rng.choice(("user", "assistant", "assistant", None)), rng.choice((None, "", "a", "b é", "c")))
+             for i in range(2, 80) for _ in range(rng.randint(1, 7))]
+    conv += conv[10:14]
     df = spark.createDataFrame(conv, "conv_id long, turn long, role string, text string").repartition(3)
-    got = {r.pair_id: r for r in preference.format_pairs(preference.stale_answer_pairs(df)).collect()}
-    assert set(got) == {None, 1} and got[None].n_prompt_turns == 2
-    assert "second" in got[None].chosen and "first" in got[None].rejected
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = queries.op5_preference(spark, str(tmp_path))
+    cols = got.columns
+    want = con.execute(f"select {', '.join(cols)} from ({preference.ORACLE})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) > 50
+    assert None not in {r[0] for r in want}
+    df.limit(0).write.parquet(str(tmp_path / "none" / "conversations.parquet"))
+    assert queries.op5_preference(spark, str(tmp_path / "none")).count() == 0
 
 
 # ------------------------------------------------------------------ op6
@@ -490,6 +506,28 @@ def test_nearest_neighbours_of_outliers_beside_dense_clusters(spark):
     assert {r.vec_id for r in ann.search(four).collect()} == {1, 2, 3}
 
 
+def test_repeated_query_rows_ask_once(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [rows[50], rows[50], rows[7], (100, (-x[100]).tolist())]  # a query thrice, a candidate twice, another vector of a query
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = ann.search(df, block=64, query_block=3, target=1.0).collect()
+    ids, v = np.array([i for i, _ in rows]), np.array([e for _, e in rows])
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+
+    def plain(at):
+        s = np.where(ids == ids[at], -2, unit @ unit[at])
+        return ids[np.lexsort((ids, -np.round(s, 12)))[:5]].tolist()
+
+    of = defaultdict(list)
+    for r in got:
+        of[r.query_id].append((r.rank, r.vec_id))
+    assert sorted(of[50]) == list(enumerate(plain(50), 1))
+    assert sorted(of[100]) == sorted([*enumerate(plain(100), 1), *enumerate(plain(303), 1)])
+    assert all(len(x) == 5 for q, x in of.items() if q != 100)
+
+
 def test_multi_index_retrieves_every_code_in_the_radius():
     rng = np.random.default_rng(5)
     codes = rng.integers(0, 1 << 16, (3000, 3), dtype=np.uint16)
@@ -621,6 +659,21 @@ def test_blocks_on_a_small_share_of_many_pages_are_template(spark, host_list):
     assert got == {i: want[i] for i in got} and len(got) == 900
 
 
+def test_recurring_paragraphs_stay_in_articles(spark):
+    """A paragraph on a tenth of a host's pages is template beside the article
+    and text inside it; one on a third of them is template in both."""
+    rng = random.Random(31)
+    tenth, third = "This paragraph is on every tenth page", "This paragraph is on every third page"
+    rows, want = [], {}
+    for i in range(1500):
+        own = prose(rng, 12)
+        some = f"<p>{tenth}</p>" * (i % 10 == 0) + f"<p>{third}</p>" * (i % 3 == 0)
+        rows.append((i, f"http://big.example.org/{i}", page(f"<div>{some}</div><article><p>{own}</p>{some}</article>")))
+        want[i] = " ".join((own + f" {tenth}" * (i % 10 == 0)).split())
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == want
+
+
 # ------------------------------------------------------------------ op1, op10
 
 def languages(rng, n):
