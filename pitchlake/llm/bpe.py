@@ -12,7 +12,8 @@ pre-token longer than the overlap) its two chunks stay one piece.  Decoding
 concatenates the raw bytes of the ids.
 
 Null texts are empty texts; empty texts have no ids; repeated rows are kept;
-a text without any boundary is one piece, whatever its length.
+a text without any boundary is one piece, whatever its length; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 16
-OVERLAP = 1 << 11
+from pitchlake.llm.common import written
+
+CHUNK = 1 << 14
+OVERLAP = 1 << 10
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -80,47 +83,40 @@ def _with_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def chunks(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """doc, doc_id, k, last, start, chunk text: the overlapping chunks of every
-    long text.  ``doc`` tells rows of the same doc_id apart by their text."""
-    return docs.withColumn("doc", F.struct("doc_id", F.sha2("text", 256).alias("sha"))) \
-        .withColumn("n", F.ceil(F.char_length("text") / chunk).cast("int")) \
-        .select("doc", "text", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k")) \
-        .select("doc", "k", "n", (F.col("k") * chunk).alias("start"),
+def chunks(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
+    """row, k, n, start, part: the overlapping chunks of every text."""
+    return rows.withColumn("n", F.ceil(F.char_length("text") / chunk).cast("int")) \
+        .select("row", "text", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k")) \
+        .select("row", "k", "n", (F.col("k") * chunk).alias("start"),
                 F.expr(f"substring(text, k * {chunk} + 1, {chunk + overlap})").alias("part"))
 
 
 def stitches(parts: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """doc, cuts: the sorted stitch positions of each document."""
-    schema = parts.select("doc", F.lit(0).alias("seam"), F.array(F.lit(0)).alias("at")).schema
-
+    """row, cuts: the sorted stitch positions of each text."""
     def pretokenise(batches):
         for b in batches:
-            docs, seams, at = [], [], []
-            for doc, k, n, start, text in zip(*(b.column(c).to_pylist() for c in ("doc", "k", "n", "start", "part"))):
+            rows, seams, at = [], [], []
+            for row, k, n, start, text in zip(*(b.column(c).to_pylist() for c in ("row", "k", "n", "start", "part"))):
                 last = k == n - 1
                 if k:
-                    docs.append(doc)
+                    rows.append(row)
                     seams.append(k)
                     at.append(boundaries(text, start, start, start + overlap, last))
                 if not last:
-                    docs.append(doc)
+                    rows.append(row)
                     seams.append(k + 1)
                     at.append(boundaries(text, start, start + chunk, start + chunk + overlap, False))
-            if docs:
+            if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, b.column("doc").type), pa.array(seams, pa.int32()), pa.array(at, pa.list_(pa.int32()))],
-                    names=["doc", "seam", "at"])
+                    [pa.array(rows, pa.int64()), pa.array(seams, pa.int32()), pa.array(at, pa.list_(pa.int32()))],
+                    names=["row", "seam", "at"])
 
     # a seam has the lists of two chunks, each at most ``overlap`` long; a
-    # position that stands in both is common (copies of a row agree anyway)
-    found = parts.mapInArrow(pretokenise, schema)
-    common = found.select("doc", "seam", F.explode("at").alias("at"), F.lit(1).alias("one")) \
-        .groupBy("doc", "seam", "at").agg(F.count("one").alias("n"))
-    copies = found.groupBy("doc", "seam").agg(F.count(F.lit(1)).alias("rows"))
-    return common.join(copies, ["doc", "seam"]).where("n = rows") \
-        .groupBy("doc", "seam").agg(F.min("at").alias("cut")) \
-        .groupBy("doc").agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
+    # position that stands in both is common
+    return parts.mapInArrow(pretokenise, "row long, seam int, at array<int>") \
+        .select("row", "seam", F.explode("at").alias("at")).groupBy("row", "seam", "at").count().where("count = 2") \
+        .groupBy("row", "seam").agg(F.min("at").alias("cut")) \
+        .groupBy("row").agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
 
 
 def encode(docs: DataFrame, ranks_path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -136,34 +132,35 @@ def encode(docs: DataFrame, ranks_path: str | None = None, chunk: int = CHUNK, o
                                               pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     short = docs.where(F.char_length("text") <= chunk).mapInArrow(whole, ENCODED)
-    pieces = long_pieces(docs.where(F.char_length("text") > chunk), ranks_path, chunk, overlap)
-    long = pieces.groupBy("doc", "copy").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")) \
-        .select(F.col("doc.doc_id").alias("doc_id"), F.flatten(F.col("p.ids")).alias("ids"))
-    return short.unionByName(long)
+    return short.unionByName(joined(long_pieces(docs.where(F.char_length("text") > chunk), ranks_path, chunk, overlap)))
+
+
+def joined(pieces: DataFrame) -> DataFrame:
+    """doc_id, ids of each text from its pieces."""
+    return pieces.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")) \
+        .select("doc_id", F.flatten(F.col("p.ids")).alias("ids"))
 
 
 def long_pieces(docs: DataFrame, ranks_path: str, chunk: int, overlap: int) -> DataFrame:
-    """doc, copy, piece, ids for each piece of the long texts."""
-    keyed = docs.withColumn("doc", F.struct("doc_id", F.sha2("text", 256).alias("sha")))
-    cuts = stitches(chunks(docs, chunk, overlap), chunk, overlap)
-    cut = F.concat(F.array(F.lit(0)), F.coalesce("cuts", F.array().cast("array<int>")),
-                   F.array(F.char_length("text")))
-    rows = keyed.join(cuts, "doc", "left").withColumn("copy", F.monotonically_increasing_id()) \
-        .select("doc", "copy", "text", cut.alias("cut")) \
-        .select("doc", "copy", "text", "cut", F.posexplode(F.slice("cut", F.lit(1), F.size("cut") - 1)).alias("piece", "a")) \
-        .select("doc", "copy", "piece", F.expr("substring(text, a + 1, cut[piece + 1] - a)").alias("text"))
-    schema = rows.select("doc", "copy", "piece", F.array(F.lit(0)).alias("ids")).schema
+    """row, doc_id, piece, ids for each piece of the long texts."""
+    # written with their numbers: rows of one id and text stay apart, also where a lost task runs again
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "long-texts")
+    cuts = stitches(chunks(rows, chunk, overlap), chunk, overlap)
+    cut = F.concat(F.array(F.lit(0)), F.coalesce("cuts", F.array().cast("array<int>")), F.array(F.char_length("text")))
+    cut_rows = rows.join(cuts, "row", "left").select("row", "doc_id", "text", cut.alias("cut")) \
+        .select("row", "doc_id", "text", "cut", F.posexplode(F.slice("cut", F.lit(1), F.size("cut") - 1)).alias("piece", "a")) \
+        .select("row", "doc_id", "piece", F.expr("substring(text, a + 1, cut[piece + 1] - a)").alias("text"))
 
     def encode_pieces(batches):
         enc = encoder(ranks_path)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), b.column("copy"), b.column("piece"),
+                [b.column("row"), b.column("doc_id"), b.column("piece"),
                  pa.array([enc.encode_ordinary(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))],
-                names=["doc", "copy", "piece", "ids"])
+                names=["row", "doc_id", "piece", "ids"])
 
     # the pieces of one text are dealt out again, so that a huge one is shared by many tasks
-    return rows.repartition("doc", "piece").mapInArrow(encode_pieces, schema)
+    return cut_rows.repartition("row", "piece").mapInArrow(encode_pieces, "row long, doc_id long, piece int, ids array<int>")
 
 
 def report(docs: DataFrame, ranks_path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP,
@@ -187,17 +184,14 @@ def report(docs: DataFrame, ranks_path: str | None = None, chunk: int = CHUNK, o
             for s in (b.slice(i, 256) for i in range(0, len(b), 256)):
                 yield rows(s.column("doc_id"), [enc.encode_ordinary(t) for t in s.column("text").to_pylist()], enc)
 
-    def joined(batches):
+    def digested(batches):
         enc = encoder(ranks_path)
         for b in batches:
             for s in (b.slice(i, 1) for i in range(len(b))):
                 yield rows(s.column("doc_id"), s.column("ids").to_pylist(), enc)
 
     short = docs.where(F.char_length("text") <= chunk).mapInArrow(whole, schema)
-    pieces = long_pieces(docs.where(F.char_length("text") > chunk), ranks_path, chunk, overlap)
-    long = pieces.groupBy("doc", "copy").agg(F.array_sort(F.collect_list(F.struct("piece", "ids"))).alias("p")) \
-        .select(F.col("doc.doc_id").alias("doc_id"), F.flatten(F.col("p.ids")).alias("ids")) \
-        .mapInArrow(joined, schema)
+    long = joined(long_pieces(docs.where(F.char_length("text") > chunk), ranks_path, chunk, overlap)).mapInArrow(digested, schema)
     return short.unionByName(long)
 
 
