@@ -26,8 +26,8 @@ Classes are connected components, found by Spark joins.
 Texts of one to four words are one shingle.  Texts without words are copies of
 equal texts only; null texts and null doc_ids are classes of their own; ties
 go to the smaller doc_id; an empty table gives no rows; repeated rows keep
-theirs; doc_id is taken as the key of a text: of several texts under one
-doc_id, any one decides.  Extra columns are carried by :func:`keep_first` and ignored else.
+theirs; several texts under one doc_id are texts of their own, each with the
+class of its words.  Extra columns are carried by :func:`keep_first` and ignored else.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.llm.common import POWERS, mix, shingles, words, written
 
@@ -125,8 +126,8 @@ def alignment(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprints(docs: DataFrame, sketches: int, length: int, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, f1, f2 (of the word sequence), n (k-mers), keys (of the sketches,
-    then of the least k-mers of a short text)."""
+    """doc_id, print (of the text), f1, f2 (of the word sequence), n (k-mers),
+    keys (of the sketches, then of the least k-mers of a short text)."""
     def of(batches):
         for b in batches:
             f1, f2, n, keys = [], [], [], []
@@ -143,11 +144,11 @@ def fingerprints(docs: DataFrame, sketches: int, length: int, similarity: float
                 keys.append(np.concatenate([sketch(k, sketches, length), least_kmers(k, similarity)]).view(np.int64) if len(k)
                             else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(n, pa.int32()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "f1", "f2", "n", "keys"])
+                [b.column("doc_id"), b.column("print"), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(n, pa.int32()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "print", "f1", "f2", "n", "keys"])
 
-    return docs.where("doc_id is not null and text is not null").select("doc_id", "text") \
-        .mapInArrow(of, "doc_id long, f1 long, f2 long, n int, keys array<long>")
+    return docs.where("doc_id is not null and text is not null").select("doc_id", "text", F.xxhash64("text").alias("print")) \
+        .mapInArrow(of, "doc_id long, print long, f1 long, f2 long, n int, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -287,15 +288,15 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         roots.select("node", F.col("node").alias("root")))
 
 
-def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, length: int = LENGTH) -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), copy_of (least doc_id of
-    the same words), one row for each input row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def classified(docs: DataFrame, similarity: float, sketches: int, length: int) -> DataFrame:
+    """doc_id, print, class (a number), class_id, copy_of for every row with a
+    doc_id and a text.  Inside, a text goes by a number of its own (``rep``), as
+    several texts can have one doc_id; ``print`` tells those apart."""
     prints = written(fingerprints(docs, sketches, length, similarity), "near-prints")
-    # the keys of one representative stand for all its copies
-    chosen = written(prints.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n", "keys")).alias("r"))
-                     .select("f1", "f2", F.col("r.doc_id").alias("rep"), "r.n", "r.keys"), "near-representatives")
-    reps = chosen.select("f1", "f2", "rep")
+    # the keys of one representative stand for all its copies; the write keeps the numbers
+    chosen = written(prints.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "print", "n", "keys")).alias("r"))
+                     .select("f1", "f2", "r.doc_id", "r.print", "r.n", "r.keys").withColumn("rep", F.monotonically_increasing_id()),
+                     "near-representatives")
     members = chosen.select("rep", "n", F.posexplode("keys").alias("band", "key")) \
         .withColumn("band", F.least("band", F.lit(sketches)))  # the least k-mers are one band
     counted = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -309,9 +310,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
     groups = written(buckets.join(first, ["band", "key"]).select(
         F.col("hub.rep").alias("hub"), F.col("hub.n").alias("h_n"), "rep", "n").distinct(), "near-groups")
     asked = groups.where("rep != hub").where(close("n", "h_n", similarity)).select(*pair("rep", "hub")).distinct()
-    used = groups.select(F.col("rep").alias("doc_id")).distinct()
+    used = groups.select("rep").distinct().join(chosen.select("rep", "doc_id", "print"), "rep")
     # the same join at every size: the texts move once
-    texts = written(docs.join(used.hint("shuffle_merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    texts = written(docs.withColumn("print", F.xxhash64("text")).join(used.hint("shuffle_merge"), ["doc_id", "print"])
+                    .dropDuplicates(["doc_id", "print"]).select(F.col("rep").alias("doc_id"), "text"), "near-texts")
     links = written(verified(asked, texts, similarity), "near-links")
     root = components(links)
     more = written(stray_pairs(groups, root, texts, similarity).join(asked, ["a", "b"], "left_anti"), "near-pairs")
@@ -319,21 +321,37 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int
     # a star for each class so far, and the new links
     root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
-    of_rep = reps.join(root, F.col("rep") == F.col("node"), "left") \
-        .select("f1", "f2", "rep", F.coalesce("root", "rep").alias("class_id"))
-    of_doc = prints.select("doc_id", "f1", "f2").join(of_rep, ["f1", "f2"]).select("doc_id", "class_id", F.col("rep").alias("copy_of"))
+    of_rep = chosen.select("f1", "f2", "rep", F.col("doc_id").alias("copy_of")).join(root, F.col("rep") == F.col("node"), "left") \
+        .select("f1", "f2", "copy_of", F.coalesce("root", "rep").alias("class"))
+    least = of_rep.groupBy("class").agg(F.min("copy_of").alias("class_id"))
+    return prints.select("doc_id", "print", "f1", "f2").join(of_rep.join(least, "class"), ["f1", "f2"]) \
+        .select("doc_id", "print", "class", "class_id", "copy_of")
+
+
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, length: int = LENGTH) -> DataFrame:
+    """doc_id, class_id (least doc_id of the class), copy_of (least doc_id of
+    the same words), one row for each input row."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     alone = docs.where("doc_id is null or text is null").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"))
-    return of_doc.unionByName(alone)
+    return classified(docs, similarity, sketches, length).select("doc_id", "class_id", "copy_of").unionByName(alone)
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, length: int = LENGTH) -> DataFrame:
-    """One document of each class: that with the least doc_id (one row of it,
-    if it is repeated).  Columns are unchanged; rows of null doc_id stay."""
-    classes = near_classes(docs, similarity, sketches, length)
-    row = "_row" + "_" * max(len(c) for c in docs.columns)  # no column has this name
-    gone = classes.where("doc_id != class_id").select(F.col("doc_id").alias("doc_id")).distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").isNull(), F.xxhash64("text"))
-    kept = docs.join(gone.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "doc_id", "left_anti")
-    known = kept.where("doc_id is not null").withColumn(row, F.row_number().over(order)).where(F.col(row) == 1).drop(row)
-    return known.unionByName(kept.where("doc_id is null"))
+    """One document of each class: that with the least doc_id, of several texts
+    of this id that with the least hash, and one row of it, if it is repeated.
+    Texts of one id in different classes are documents of their own.  Columns
+    are unchanged; rows without a doc_id stay, of those without a text one an id."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    classes = classified(narrow, similarity, sketches, length)
+    first = classes.where("doc_id = class_id").groupBy("class").agg(F.min(F.struct("doc_id", "print")).alias("f")) \
+        .select(F.col("f.doc_id").alias("_id"), F.col("f.print").alias("_print"))
+    end = "_" * max(len(c) for c in docs.columns)  # no column ends so
+    plain = [f.name for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    own = docs.withColumn("row" + end, F.xxhash64(F.col("text").cast("string")))
+    order = Window.partitionBy("doc_id", "row" + end).orderBy(F.xxhash64(*plain))
+    kept = own.where("doc_id is not null and text is not null") \
+        .join(first.toDF("id" + end, "print" + end), (F.col("doc_id").cast("long") == F.col("id" + end)) & (F.col("row" + end) == F.col("print" + end)), "left_semi") \
+        .unionByName(own.where("doc_id is not null and text is null"))
+    known = kept.withColumn("nth" + end, F.row_number().over(order)).where(F.col("nth" + end) == 1).select(docs.columns)
+    return known.unionByName(docs.where("doc_id is null"))
