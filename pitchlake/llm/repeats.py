@@ -11,7 +11,7 @@ are removed.  The suffixes of the whole corpus are never held at once:
    have sample suffixes that tie; the sample's ranks (here: tied or not) tell
    in advance which suffixes can have a long tie.
 3. Only suffixes with a tied sample position in reach are sorted: by
-   fingerprints (64 + 16 bits) of their first ``length`` bytes, one range of
+   fingerprints (64 + 32 bits) of their first ``length`` bytes, one range of
    fingerprints (bucket) per group and ``passes`` ranges of buckets after one
    another, each pass freeing its shuffle files before the next.
 4. Ties mark positions, marked positions cover bytes.
@@ -163,7 +163,7 @@ def ties(sent: DataFrame) -> DataFrame:
     their order, whether another block has sent them too."""
     def sort_bucket(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("keys")]
-        checks = [np.frombuffer(x.as_buffer(), dtype=np.uint16) for x in table.column("checks")]
+        checks = [np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in table.column("checks")]
         found = tied(np.concatenate(keys), np.concatenate(checks))
         bits, at = [], 0
         for k in keys:
@@ -212,7 +212,7 @@ def send_samples(blocks: DataFrame, length: int, bits: int) -> DataFrame:
         for b in batches:
             for block, ends, data in zip(b.column("block"), b.column("ends"), b.column("data")):
                 _, keys, _, _ = sample_keys(np.frombuffer(data.as_buffer(), np.uint8), np.array(ends.as_py(), np.int64), length)
-                yield send(block.as_py(), keys, np.zeros(len(keys), np.uint16)[:len(keys)], bits, 0, 1 << bits)
+                yield send(block.as_py(), keys, np.zeros(len(keys), np.uint32), bits, 0, 1 << bits)
 
     return blocks.select("block", "ends", "data").mapInArrow(sampled, SENT)
 
@@ -267,7 +267,7 @@ def suffix_keys(data: np.ndarray, sizes: np.ndarray, length: int):
     the candidate suffixes; places are offsets in ``data``."""
     at = np.flatnonzero(valid_starts(np.cumsum(sizes), len(data), length))
     keys, first, place, number = np.unique(window_hashes(data, length)[at], return_index=True, return_inverse=True, return_counts=True)
-    checks = (window_hashes(data, length, second=True)[at[first]] >> np.uint64(48)).astype(np.uint16)
+    checks = (window_hashes(data, length, second=True)[at[first]] >> np.uint64(32)).astype(np.uint32)
     return at, keys, checks, place, number
 
 

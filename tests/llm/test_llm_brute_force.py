@@ -322,6 +322,19 @@ def test_near_duplicates(spark, docs):
     assert near.near_classes(lost).count() == 3 and near.keep_first(lost).count() == 3
 
 
+def test_several_texts_under_one_id(spark):
+    rng = random.Random(40)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    near_a = a + " more"
+    rows = [(1, a), (2, b), (2, near_a), (3, c), (3, c), (3, d), (4, d), (5, re.sub("[a-z]", lambda m: m[0].upper(), c)), (0, None), (0, b), (6, near_a), (6, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.class_id) for r in near.near_classes(df).collect())
+    # classes: {a, near_a} 1, {b} 0, {c} 3, {d} 3
+    assert got == Counter({(1, 1): 1, (2, 0): 1, (2, 1): 1, (3, 3): 3, (4, 3): 1, (5, 3): 1, (0, 0): 2, (6, 1): 2})
+    kept = near.keep_first(clashing(df)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (0, None), (0, b), (3, c), (3, d)], key=str)
+
+
 def test_near_duplicates_of_a_star(spark):
     """A centre with many leaves that are near to it and not to one another,
     and a chain: every link must be found."""
@@ -435,6 +448,16 @@ def test_repeats(docs, length, block, keys, passes):
     assert sorted(map(tuple, got.collect())) == plain_repeats(rows, length)
 
 
+def test_equal_keys_of_other_bytes_are_no_tie(docs, monkeypatch):
+    """With first hashes that collide for most windows the second ones decide."""
+    src = docs.where("n_chars < 3000").limit(40).cache()
+    rows = [(r.doc_id, (r.text or "").encode()) for r in src.collect()]
+    keys = np.array([5, 5, 5, 7, 7, 9], dtype=np.uint64)
+    checks = np.array([1, 2, 1, 1 << 20, (1 << 20) + (1 << 16), 3], dtype=np.uint32)
+    assert repeats.tied(keys, checks).tolist() == [True, False, True, False, False, False]
+    assert sorted(map(tuple, repeats.report(src, length=20, block_bytes=700, bucket_keys=40, passes=2).collect())) == plain_repeats(rows, 20)
+
+
 def test_repeats_keep_rows_and_columns(docs):
     out = repeats.remove_repeats(clashing(docs))
     assert out.columns == clashing(docs).columns and out.count() == docs.count()
