@@ -4,18 +4,20 @@ The benchmark's word windows become a set of hashes that every task holds;
 documents are scanned window by window against it, each hit is verified word
 by word, and the hit words give the spans to remove or the documents to drop.
 
-The set is broadcast only while it has at most ``max_broadcast`` windows.  A
-larger benchmark is cut into parts of that size and the documents are scanned
-against one part after another; the hits of all parts are put together, so
-the rows are the same either way.
-
-Null texts have no words and hit nothing; items without words have no
-windows; equal items all count; an empty benchmark hits nothing; columns
-besides the named ones are ignored.
+The set is broadcast in parts of at most ``max_broadcast`` windows (some 220 MB
+in a worker).  The driver holds one part at a time, the documents are scanned
+against one part after another, the hits of each are written before the next is
+collected, and those of all parts are put together; one part is the common case.
+
+Null texts have no words and hit nothing; texts of any length are scanned whole;
+items without words have no windows; equal items all count; repeated documents are
+rows of their own; an empty benchmark hits nothing and an empty table of documents
+gives no rows; columns besides the named ones are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pitchlake.llm.common import LOWER, shingles, words, written
 
 WINDOW = 10
-MAX_BROADCAST = 2_000_000
+MAX_BROADCAST = 300_000
 
 HIT_SCHEMA = "doc_id long, row long, n_words long, hits array<struct<first:int,last:int>>, items array<string>"
 
@@ -87,33 +89,38 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def window_parts(benchmark: DataFrame, window: int, max_broadcast: int) -> list[list[tuple[str, int, str]]]:
-    """The windows in parts of about ``max_broadcast``; one part if they are no more."""
+def window_parts(benchmark: DataFrame, window: int, max_broadcast: int):
+    """(number of parts, broadcast part) for each part of about ``max_broadcast``
+    windows, one collected after another.  The items of one window are dealt
+    out too, so a window that very many items have is in many parts."""
     found = benchmark_windows(benchmark, window)
-    n = found.count()
-    k = -(-n // max_broadcast)
-    if k <= 1:
-        return [[tuple(r) for r in found.collect()]]
-    part = F.pmod(F.xxhash64("gram"), F.lit(k))
-    return [[tuple(r) for r in found.where(part == i).collect()] for i in range(k)]
+    k = max(1, -(-found.count() // max_broadcast))
+    if k > 1:
+        found = written(found, "contamination-windows")
+    part = F.pmod(F.xxhash64("gram", "item_id"), F.lit(k))
+    for i in range(k):
+        yield k, found.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(r) for r in found.where(part == i).collect()]))
 
 
-def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                   max_broadcast: int = MAX_BROADCAST) -> DataFrame:
-    """Per document: doc_id, n_words, hits (merged ranges of hit word
-    positions), items (sorted ids of the items with occurring windows)."""
-    spark, parts = docs.sparkSession, window_parts(benchmark, window, max_broadcast)
-    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if len(parts) > 1:  # rows of several scans meet by a number that is written with them
-        rows_ = written(rows_.withColumn("row", F.monotonically_increasing_id()), "contamination-rows")
-    else:
-        rows_ = rows_.withColumn("row", F.lit(0).cast("long"))
-    out = None
-    for rows in parts:
-        shared = spark.sparkContext.broadcast(rows)
+_held: dict[str, "WindowSet"] = {}
 
+
+def window_set(shared) -> "WindowSet":
+    """The set of a broadcast part, made once in each worker; only the last is held."""
+    name, rows = shared.value
+    if name not in _held:
+        _held.clear()
+        _held[name] = WindowSet(rows)
+    return _held[name]
+
+
+def scan_parts(rows: DataFrame, benchmark: DataFrame, window: int, max_broadcast: int) -> DataFrame:
+    """row, doc_id, n_words, hits, items for rows of (row, doc_id, text), each
+    row number once: the hits of all parts together."""
+    out = None
+    for parts, shared in window_parts(benchmark, window, max_broadcast):
         def scan(batches, shared=shared):
-            sought = WindowSet(shared.value)
+            sought = window_set(shared)
             for b in batches:
                 n, hits, items = [], [], []
                 for t in b.column("text"):
@@ -126,16 +133,29 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                      pa.array(hits, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
                      pa.array(items, pa.list_(pa.string()))], names=["doc_id", "row", "n_words", "hits", "items"])
 
-        one = rows_.mapInArrow(scan, HIT_SCHEMA)
+        one = rows.mapInArrow(scan, HIT_SCHEMA)
+        if parts == 1:
+            return one
+        one = written(one, "contamination-hits")
+        shared.unpersist()
         out = one if out is None else out.unionByName(one)
-    if len(parts) == 1:
-        return out.drop("row")
     # a row's hits of all parts meet: one row a part
     return out.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
         merge_ranges(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("row")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
+def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """Per document: doc_id, n_words, hits (merged ranges of hit word
+    positions), items (sorted ids of the items with occurring windows)."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .withColumn("row", F.monotonically_increasing_id())
+    if benchmark_windows(benchmark, window).count() > max_broadcast:
+        rows = written(rows, "contamination-rows")  # rows of several scans meet by their number
+    return scan_parts(rows, benchmark, window, max_broadcast).drop("row")
 
 
 def merge_ranges(col):
@@ -164,51 +184,51 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """The documents without any hit, columns unchanged.  The verdict is made
     where the row is, so no text is shuffled."""
-    spark = docs.sparkSession
     out = docs
-    for rows in window_parts(benchmark, window, max_broadcast):
-        shared = spark.sparkContext.broadcast(rows)
-
+    for parts, shared in window_parts(benchmark, window, max_broadcast):
         def clean(batches, shared=shared):
-            sought = WindowSet(shared.value)
+            sought = window_set(shared)
             for b in batches:
                 keep = [not sought.scan((t.as_py() or "").encode())[1] for t in b.column("text")]
                 yield b.filter(pa.array(keep, pa.bool_()))
 
         out = out.mapInArrow(clean, out.schema)
+        if parts > 1:
+            out = written(out, "contamination-kept")
+            shared.unpersist()
     return out
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """All documents, with the hit words, and what stands between words of the
-    same hit range, cut out of ``text``."""
-    spark = docs.sparkSession
-    out = docs
-    at = docs.columns.index("text")
-    for rows in window_parts(benchmark, window, max_broadcast):
-        shared = spark.sparkContext.broadcast(rows)
-
-        def cut(batches, shared=shared):
-            sought = WindowSet(shared.value)
-            for b in batches:
-                texts = []
-                for t in b.column(at):
-                    text = t.as_py()
-                    raw = (text or "").encode()
-                    _, ranges, _ = sought.scan(raw)
-                    if ranges:
-                        starts, ends, _ = words(raw)
-                        kept, last = [], 0
-                        for x, y in ranges:
-                            kept.append(raw[last:starts[x]])
-                            last = ends[y - 1]
-                        text = b"".join([*kept, raw[last:]]).decode()
-                    texts.append(text)
-                yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
-
-        out = out.mapInArrow(cut, out.schema)
-    return out
+    same hit range, cut out of ``text``.  Hits are judged on the input, not on
+    what is left of it."""
+    end = "_" * max(len(c) for c in docs.columns)  # no column ends so
+    row, hits = "row" + end, "hits" + end
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "contamination-rows")
+    found = scan_parts(rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
+                       benchmark, window, max_broadcast).where("size(hits) > 0").select(F.col("row").alias(row), F.col("hits").alias(hits))
+    both = rows.join(found, row, "left").drop(row)
+    at, of = both.columns.index("text"), both.columns.index(hits)
+
+    def cut(batches):
+        for b in batches:
+            texts = []
+            for t, ranges in zip(b.column(at), b.column(of).to_pylist()):
+                text = t.as_py()
+                if ranges:
+                    raw = text.encode()
+                    starts, ends, _ = words(raw)
+                    kept, last = [], 0
+                    for r in ranges:
+                        kept.append(raw[last:starts[r["first"]]])
+                        last = ends[r["last"] - 1]
+                    text = b"".join([*kept, raw[last:]]).decode()
+                texts.append(text)
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns([hits])
+
+    return both.mapInArrow(cut, docs.schema)
 
 
 ORACLE = """

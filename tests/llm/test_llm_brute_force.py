@@ -105,6 +105,23 @@ def test_contamination(spark, docs, max_broadcast):
     assert contamination.report(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("max_broadcast", [1000, 2])
+def test_spans_are_judged_on_the_input(spark, max_broadcast):
+    """Overlapping windows in different parts all go, and nothing that only
+    meets because of a cut."""
+    w = [f"w{i}" for i in range(40)]
+    text = " ".join(w)
+    items = [(1, " ".join(w[5:15])), (2, " ".join(w[10:20])), (3, " ".join(w[0:5] + w[20:25])), (4, " ".join(w[5:15]))]
+    docs = clashing(spark.createDataFrame([(1, text), (2, None), (1, text), (3, "")], "doc_id long, text string"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = contamination.remove_spans(docs, bench, max_broadcast=max_broadcast)
+    assert out.columns == docs.columns
+    want = " ".join(w[:5]) + "  " + " ".join(w[20:])
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, want), (1, want), (2, None), (3, "")], key=str)
+    got = contamination.scan_documents(docs, bench, max_broadcast=max_broadcast).where("doc_id = 1").first()
+    assert got["items"] == ["1", "2", "4"] and [(h["first"], h["last"]) for h in got["hits"]] == [(5, 20)]
+
+
 def test_words_of_long_texts_match_the_pattern():
     from pitchlake.llm.common import words
 
