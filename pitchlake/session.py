@@ -11,6 +11,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,10 +67,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for written intermediates
-    (split outputs, round trips).  Shared storage, so it survives executor loss."""
-    import uuid
+_folders: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The session's own folder below the shared checkpoint dir, for written
+    intermediates.  It is removed when the session's JVM ends, as results may be
+    read from it until then."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{app}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _folders[app] = path
+    return _folders[app]
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in :func:`run_folder` for written intermediates (split
+    outputs, round trips).  Shared storage, so it survives executor loss."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -118,3 +118,22 @@ def test_error_guards(spark):
                      "nb", features=["distance_to_goal"])
     with pytest.raises(ValueError, match="neither importances nor coefficients"):
         ml.feature_importance(model, spark)
+
+
+def test_intermediates_are_gone_when_the_session_has_ended(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+            ".config('spark.checkpoint.dir', sys.argv[2]).getOrCreate()\n"
+            "from pitchlake.session import run_folder, scratch_dir\n"
+            "from pitchlake.sinks.writers import kept\n"
+            "print('ROWS', kept(spark.range(5), scratch_dir(spark, 'x')).count(), run_folder(spark))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code, root, str(tmp_path)], capture_output=True, text=True, timeout=120).stdout
+    said = out[out.index("ROWS"):].split()
+    assert said[1] == "5" and said[2].removeprefix("file:").startswith(str(tmp_path))
+    assert not os.path.exists(said[2].removeprefix("file:"))
