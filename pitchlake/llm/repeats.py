@@ -36,10 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.llm.common import BYTE_VALUE, POWERS, POWERS2, SEGMENT, mix, prefix_sums, written
+from pitchlake.llm.common import BYTE_VALUE, POWERS, POWERS2, mix, prefix_sums, written
 
 LENGTH = 200
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+SEGMENT = 1 << 19
 PASSES = 4
 BUCKET_KEYS = 1 << 20
 
@@ -66,16 +67,17 @@ def cover_positions(n: int, length: int) -> np.ndarray:
     return p[p < n]
 
 
-def window_hashes(data: np.ndarray, size: int, second: bool = False) -> np.ndarray:
-    """Hash of the ``size`` bytes at each position that has them; bounded memory."""
+def window_hashes(data: np.ndarray, size: int, at: np.ndarray, second: bool = False) -> np.ndarray:
+    """Hash of the ``size`` bytes at each of the sorted positions ``at``; bounded memory."""
     powers = POWERS2 if second else POWERS
-    out = np.zeros(max(0, len(data) - size + 1), dtype=np.uint64)
-    for at in range(0, len(out), SEGMENT):
-        part = data[at:at + SEGMENT + size - 1]
-        m = len(part) - size + 1
-        s = prefix_sums(BYTE_VALUE[part], powers)
-        _, down = powers.upto(m)
-        out[at:at + m] = mix((s[size:size + m] - s[:m]) * down)
+    out = np.zeros(len(at), dtype=np.uint64)
+    for first in range(0, len(data), SEGMENT):
+        i, j = np.searchsorted(at, [first, first + SEGMENT])
+        if i == j:
+            continue
+        s = prefix_sums(BYTE_VALUE[data[first:first + SEGMENT + size - 1]], powers)
+        p = at[i:j] - first
+        out[i:j] = mix((s[p + size] - s[p]) * powers.upto(len(s))[1][p])
     return out
 
 
@@ -203,7 +205,7 @@ def sample_keys(data: np.ndarray, ends: np.ndarray, length: int):
     size = length - v + 1
     at = cover_positions(max(0, len(data) - size + 1), length)
     at = at[valid_starts(ends, len(data), size)[at]]
-    keys, place, number = np.unique(window_hashes(data, size)[at], return_inverse=True, return_counts=True)
+    keys, place, number = np.unique(window_hashes(data, size, at), return_inverse=True, return_counts=True)
     return at, keys, place, number
 
 
@@ -266,8 +268,8 @@ def suffix_keys(data: np.ndarray, sizes: np.ndarray, length: int):
     """(places, sorted distinct keys, checks, place of each key, how often) of
     the candidate suffixes; places are offsets in ``data``."""
     at = np.flatnonzero(valid_starts(np.cumsum(sizes), len(data), length))
-    keys, first, place, number = np.unique(window_hashes(data, length)[at], return_index=True, return_inverse=True, return_counts=True)
-    checks = (window_hashes(data, length, second=True)[at[first]] >> np.uint64(32)).astype(np.uint32)
+    keys, first, place, number = np.unique(window_hashes(data, length, at), return_index=True, return_inverse=True, return_counts=True)
+    checks = (window_hashes(data, length, at, second=True)[first] >> np.uint64(32)).astype(np.uint32)
     return at, keys, checks, place, number
 
 
