@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchlake.session import ensure_checkpoint_dir
+from pitchlake.session import scratch_dir
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,9 +34,10 @@ def shuffle_cleanup(spark: SparkSession):
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write the rows as Parquet into the shared folder of
     ``spark.checkpoint.dir`` and read them back.  Any executor can read them,
-    so a lost one costs nothing, and the optimiser sees the written size."""
+    so a lost one costs nothing, and the optimiser sees the written size.  The
+    files go when the session ends."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_dir(spark, name)
     with shuffle_cleanup(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

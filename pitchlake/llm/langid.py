@@ -11,7 +11,10 @@ Score: probability of the family times that of the language in it, each from
 the logistic function of the margins.  Null texts and texts without a letter
 get ``und`` with score 0.  Without labelled rows every text is ``und``; with
 one language every text with a letter gets it, score 1.  Ties go to the first
-name.  Other columns are ignored.
+name.  Repeated rows are predicted each (and learned from once, as a doc_id is
+sampled once for each of its languages); long texts are read whole, block by
+block; an empty table gives no rows; other columns are ignored, or carried by
+:func:`keep_identified`.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pitchlake.llm.common import held_out, sample_by_class
 
 PER_LANGUAGE = 800
 BITS = 13
+BLOCK = 1 << 20
 SLOPE = 4.0
 UNDETERMINED = "und"
 
@@ -60,15 +64,14 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     if not codes.any():
         return None
     counts = np.zeros(1 << BITS, dtype=np.int64)
-    block = 1 << 20
-    for at in range(0, len(codes), block):
-        c = codes[max(0, at - 2):at + block]  # grams across blocks belong to the later one
-        seen = min(at, 2)
+    before, carried = True, np.zeros(0, dtype=np.uint64)  # what the block before left: a gap at its end, its last two codes
+    for at in range(0, len(codes), BLOCK):
+        c = codes[at:at + BLOCK]
         gap = c == 0
-        keep = ~gap
-        keep[1:] |= ~gap[:-1]
-        first = int(keep[:seen].sum())
-        c = c[keep] + np.uint64(1)
+        keep = ~gap | ~np.concatenate([[before], gap[:-1]])
+        before, first = bool(gap[-1]), len(carried)
+        c = np.concatenate([carried, c[keep] + np.uint64(1)])
+        carried = c[-2:]
         g = c
         for n in range(1, 4):
             if n > 1:

@@ -74,4 +74,39 @@ def test_entry_registers_all():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+
+
+def test_stages_take_empty_tables_repeated_rows_and_clashing_columns(spark, corpus, tmp_path):
+    from test_llm_brute_force import clashing
+
+    folder, rows, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    # empty documents, empty benchmark
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    # every row twice under the same id, and once more with names that operators use inside
+    twice = clashing(docs.unionByName(docs)).repartition(3)
+    kept = {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        twice = stage(spark, twice, folder)
+        assert twice.columns == clashing(docs).columns, name
+        kept[name] = [r.doc_id for r in twice.collect()]
+    # copies are predicted alike, then one row of each class is left
+    assert sorted(kept["language"]) == sorted(2 * list(set(kept["language"])))
+    assert len(kept["near_duplicates"]) == len(set(kept["near_duplicates"]))
+    assert sorted(kept["repeats"]) == sorted(kept["near_duplicates"])
+    out = corpus_pipeline.STAGES[4][1](spark, twice, folder)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(kept["decontamination"])
+
+
+def test_a_very_long_text_goes_through(spark, corpus, tmp_path):
+    folder, rows, _ = corpus
+    rng = random.Random(2)
+    long = " ".join(t for _, t, _ in languages(rng, 400) if t)
+    spark.createDataFrame([r for r in rows[:60]] + [(9000, long, "en", "s", len(long))], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    enc = bpe.encoder(public_tokenizers.path(bpe.RANKS))
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got[9000].ids == enc.encode_ordinary(long) and len(long) > 4 * bpe.CHUNK
