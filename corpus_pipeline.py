@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``.  ``n_chars`` follows the text where a
 stage changes it.
+
+Null and empty texts, and texts without a letter, have no language: the first
+stage rejects them, so no later one sees them, but where a later stage cuts a
+text to nothing the empty text goes on.  Texts of any length are read whole.
+Repeated rows are judged alike by the first stage and are one class of the
+second, which leaves the row of the least doc_id and one of its copies; rows
+without a doc_id are held against nothing and stay.  An empty table of
+documents gives no rows, an empty benchmark rejects none.  Other columns are
+carried up to the fourth stage, whatever their names; the last returns its own.
 """
 
 from __future__ import annotations
