@@ -216,7 +216,7 @@ def stray_pairs(groups: DataFrame, root: DataFrame, texts: DataFrame, similarity
     keeps the bound a bound and their rows out of the join."""
     node = root.select(F.col("node").alias("rep"), F.col("root").alias("class"))
     of_hub = root.select(F.col("node").alias("hub"), F.col("root").alias("h_class"))
-    own = groups.join(node, "rep", "left").join(of_hub, "hub", "left").select(
+    own = groups.join(node.hint("shuffle_merge"), "rep", "left").join(of_hub.hint("shuffle_merge"), "hub", "left").select(
         "hub", "h_n", "rep", "n", F.coalesce("class", "rep").alias("class"), F.coalesce("h_class", "hub").alias("h_class")) \
         .withColumn("stray", F.col("class") != F.col("h_class"))
     mixed = own.groupBy("hub").agg(F.count(F.lit(1)).alias("size"), F.max("stray").alias("some")).where("some and size > 2").select("hub")
@@ -310,7 +310,8 @@ def classified(docs: DataFrame, similarity: float, sketches: int, length: int) -
     groups = written(buckets.join(first, ["band", "key"]).select(
         F.col("hub.rep").alias("hub"), F.col("hub.n").alias("h_n"), "rep", "n").distinct(), "near-groups")
     asked = groups.where("rep != hub").where(close("n", "h_n", similarity)).select(*pair("rep", "hub")).distinct()
-    used = groups.select("rep").distinct().join(chosen.select("rep", "doc_id", "print"), "rep")
+    # tables of numbers are small as files and large in memory: none of these joins may broadcast by the file's size
+    used = groups.select("rep").distinct().hint("shuffle_merge").join(chosen.select("rep", "doc_id", "print"), "rep")
     # the same join at every size: the texts move once
     texts = written(docs.withColumn("print", F.xxhash64("text")).join(used.hint("shuffle_merge"), ["doc_id", "print"])
                     .dropDuplicates(["doc_id", "print"]).select(F.col("rep").alias("doc_id"), "text"), "near-texts")
@@ -321,10 +322,12 @@ def classified(docs: DataFrame, similarity: float, sketches: int, length: int) -
     # a star for each class so far, and the new links
     root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
-    of_rep = chosen.select("f1", "f2", "rep", F.col("doc_id").alias("copy_of")).join(root, F.col("rep") == F.col("node"), "left") \
+    of_rep = chosen.select("f1", "f2", "rep", F.col("doc_id").alias("copy_of")) \
+        .join(root.hint("shuffle_merge"), F.col("rep") == F.col("node"), "left") \
         .select("f1", "f2", "copy_of", F.coalesce("root", "rep").alias("class"))
     least = of_rep.groupBy("class").agg(F.min("copy_of").alias("class_id"))
-    return prints.select("doc_id", "print", "f1", "f2").join(of_rep.join(least, "class"), ["f1", "f2"]) \
+    named = of_rep.hint("shuffle_merge").join(least, "class")
+    return prints.select("doc_id", "print", "f1", "f2").join(named.hint("shuffle_merge"), ["f1", "f2"]) \
         .select("doc_id", "print", "class", "class_id", "copy_of")
 
 
@@ -351,7 +354,7 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, sketches: int =
     own = docs.withColumn("row" + end, F.xxhash64(F.col("text").cast("string")))
     order = Window.partitionBy("doc_id", "row" + end).orderBy(F.xxhash64(*plain))
     kept = own.where("doc_id is not null and text is not null") \
-        .join(first.toDF("id" + end, "print" + end), (F.col("doc_id").cast("long") == F.col("id" + end)) & (F.col("row" + end) == F.col("print" + end)), "left_semi") \
+        .join(first.toDF("id" + end, "print" + end).hint("shuffle_merge"), (F.col("doc_id").cast("long") == F.col("id" + end)) & (F.col("row" + end) == F.col("print" + end)), "left_semi") \
         .unionByName(own.where("doc_id is not null and text is null"))
     known = kept.withColumn("nth" + end, F.row_number().over(order)).where(F.col("nth" + end) == 1).select(docs.columns)
     return known.unionByName(docs.where("doc_id is null"))
