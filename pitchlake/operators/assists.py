@@ -57,7 +57,7 @@ def join_assist(shots: DataFrame, passes: DataFrame, same_match: bool = False,
             .select(*[F.col(c).alias(f"_hot_{c}") for c in key], F.ceil(F.col("_n") / split_above).cast("int").alias("_parts"))
         own = {"match_id": "_match" if same_match else None, "pass_assisted_shot_id": "pass_assisted_shot_id"}
         on_pass = [sides[own[c]] == named[f"_hot_{c}"] for c in key]
-        plain = [c for c in passes.columns if c not in key]
+        plain = [c for c in sides.columns if c not in ("_match", "pass_assisted_shot_id")]
         sides = sides.join(named, on_pass, "left").withColumn(
             "_part", F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*plain), F.col("_parts"))).otherwise(0).cast("int")) \
             .drop("_parts", *[f"_hot_{c}" for c in key])

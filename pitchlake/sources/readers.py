@@ -98,14 +98,14 @@ def read_quarantined(spark: SparkSession, path, schema: T.StructType, fmt: str =
     The list is the folder's listing without the files that gave a row; neither
     side reads a file's content for it (the listing has none, the row side asks
     for no column), and nothing runs before an action.  A sound file without
-    rows is in the list too, as nothing could be read from it.  Of a file whose
-    damage lies behind readable rows, the rows before it are kept."""
+    rows is in the list too, as nothing could be read from it; a file of no bytes
+    is not, as file scans leave those out.  Of a file whose damage lies behind
+    readable rows, the rows before it are kept."""
     good = read_table(spark, path, fmt, schema=schema, sep=sep, ignore_corrupt_files=True)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) \
         .select(F.col("_metadata.file_path").alias("file"), "length")
     gave = good.select(F.col("_metadata.file_path").alias("file")).distinct()
-    reason = F.when(F.col("length") == 0, F.lit("empty")).otherwise(F.lit("no row could be read"))
-    return good, listed.join(gave, "file", "left_anti").select("file", "length", reason.alias("reason"))
+    return good, listed.join(gave, "file", "left_anti").select("file", "length", F.lit("no row could be read").alias("reason"))
 
 
 def units_of(spark: SparkSession, path: str) -> list[str]:

@@ -184,3 +184,104 @@ def test_fractions_nest_and_follow_the_strata(spark):
     assert explore.sample_fraction(df, 1.0).count() == 20_000 and explore.sample_fraction(df, 0.0).count() == 0
     by = {r.team: r["count"] for r in explore.sample_fraction(df, {"a": 1.0, "b": 0.2}, by="team").groupBy("team").count().collect()}
     assert by["a"] == 5000 and abs(by["b"] - 1000) < 150 and set(by) == {"a", "b"}
+
+
+def test_bucketed_assist_join_has_no_exchange(spark):
+    from pitchlake.operators.assists import assisting_passes, attach_assist
+    from pitchlake.plans.pipeline import shots_or_assists
+    from pitchlake.session import scratch_dir
+    from pitchlake.sinks.writers import write_bucketed
+
+    ev = shots_or_assists(events_view(spark, "/root/testdata/sf0.01", with_frames=False))
+    base = scratch_dir(spark, "bucket-test")
+    shots = write_bucketed(ev.filter("type = 'Shot'").select("id", "match_id"), "test_shots", f"{base}/s", ["match_id", "id"], 4)
+    passes = write_bucketed(assisting_passes(ev, with_match=True), "test_passes", f"{base}/p", ["match_id", "pass_assisted_shot_id"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(attach_assist(shots, passes, same_match=True))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        plain = executed(attach_assist(ev.filter("type = 'Shot'").select("id", "match_id"), assisting_passes(ev, with_match=True), same_match=True))
+        assert plain.count("Exchange") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.sql("drop table test_shots")
+        spark.sql("drop table test_passes")
+
+
+def test_one_shot_named_by_a_third_of_the_passes(spark):
+    """Split or not, the rows are the same; split, no part holds more than some
+    times the bound."""
+    from pitchlake.operators.assists import join_assist
+    from pitchlake.schemas import PASS_COLUMNS
+
+    n, bound = 9000, 100
+    shots = spark.range(600).select("id", (F.col("id") % 7).alias("match_id"))
+    named = F.when(F.col("i") % 3 == 0, F.lit(5)).when(F.col("i") % 3 == 1, F.col("i") % 400)
+    passes = spark.range(n).withColumnRenamed("id", "i").select(
+        named.alias("pass_assisted_shot_id"), (named % 7).alias("match_id"),
+        *[F.col("i").cast("double").alias(c) if c == "pass_length" else F.lit(0).alias(c) for c in PASS_COLUMNS if c != "pass_assisted_shot_id"]) \
+        .filter("pass_assisted_shot_id is not null")
+    for same in (False, True):
+        a = join_assist(shots, passes, same_match=same).select("id", "pass_assisted_shot_id", "pass_length")
+        b = join_assist(shots, passes, same_match=same, split_above=bound).select("id", "pass_assisted_shot_id", "pass_length")
+        rows = sorted(map(tuple, a.collect()), key=str)
+        assert sorted(map(tuple, b.collect()), key=str) == rows and len(rows) == n * 2 // 3 + 600 - len({r[0] for r in rows if r[1] is not None})
+    empty = join_assist(shots, passes.limit(0), split_above=bound)
+    assert empty.count() == 600 and empty.filter("pass_assisted_shot_id is not null").count() == 0
+
+
+def test_staged_features_scan_the_events_once(spark, tmp_path):
+    import pytest
+
+    ev = events_view(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "events")
+    ev.write.parquet(path)
+    events = spark.read.parquet(path)
+    staged = shot_features(events, staged=True)
+    assert path not in staged._jdf.queryExecution().optimizedPlan().toString()
+    assert all("shots-or-assists" in f for f in staged.inputFiles())
+    whole = shot_features(events)
+    assert staged.exceptAll(whole).count() == 0 and whole.exceptAll(staged).count() == 0
+    with pytest.raises(ValueError):
+        shot_features(events, staged=True, usage="all")
+
+
+def test_drifting_units_of_odd_values(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from pitchlake.sources import readers
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("on", T.BooleanType()),
+                           T.StructField("name", T.StringType())])
+    base = str(tmp_path / "units")
+    spark.createDataFrame([(1, 2.5, True, "a")], schema).write.parquet(f"{base}/a")
+    spark.createDataFrame([("2", "no number", "true", 7), ("3.0", "1e2", "maybe", None), (None, "", None, 8)],
+                          "id string, x string, `on` string, name long").write.parquet(f"{base}/b")
+    spark.createDataFrame([(9.0, "extra")], "id double, other string").write.parquet(f"{base}/c")
+    got = sorted(map(tuple, readers.read_drifting(spark, base, schema).collect()), key=str)
+    assert got == sorted([(1, 2.5, True, "a"), (2, None, True, "7"), (3, 100.0, None, None), (None, None, None, "8"), (9, None, None, None)], key=str)
+    assert readers.read_drifting(spark, [], schema).count() == 0
+    same = readers.read_drifting(spark, [f"{base}/a", f"{base}/a"], schema)
+    assert same._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1  # one scan for units alike
+
+
+def test_quarantine_lists_what_gave_no_row(spark, tmp_path):
+    from pitchlake.sources import readers
+
+    folder = tmp_path / "landed"
+    for k in range(3):
+        spark.range(10 * k, 10 * k + 10).coalesce(1).write.parquet(str(folder / f"u{k}"))
+    whole = next(p for p in (folder / "u1").iterdir() if p.name.startswith("part-"))
+    data = whole.read_bytes()
+    for p in (folder / "u1").iterdir():
+        if p.name.startswith("."):
+            p.unlink()  # checksums of the files as they were
+    whole.write_bytes(data[:len(data) // 2])
+    (folder / "u2" / "part-other.parquet").write_bytes(b"PAR1 but no footer")
+    good, bad = readers.read_quarantined(spark, str(folder / "*"), spark.range(1).schema)
+    assert sorted(r.id for r in good.collect()) == [*range(10), *range(20, 30)]
+    got = {r.file.rsplit("/", 1)[1]: (r.length, r.reason) for r in bad.collect() if r.file.endswith(".parquet")}
+    assert got == {whole.name: (len(data) // 2, "no row could be read"), "part-other.parquet": (18, "no row could be read")}
