@@ -36,6 +36,7 @@ FRACTION = 1 / 8
 SHINGLE = 5
 DIGITS = 16
 ROWS_PER_RANGE = 50_000
+MAX_RANGES = 100_000
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -109,21 +110,20 @@ def containments(small: DataFrame, large: DataFrame, pairs: DataFrame) -> DataFr
 
 def range_ends(rows: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> list[int]:
     """Ids of the table that cut it into ranges of about equal counts, the
-    largest among them.  The driver sees one id a range."""
+    largest among them.  The driver sees one id a range, at most ``MAX_RANGES``;
+    beyond that the ranges grow, and the tasks that order them spill."""
     n, top = rows.agg(F.count(F.lit(1)), F.max("at")).first()
     if not n:
         return []
-    ranges = max(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // rows_per_range)
+    ranges = min(MAX_RANGES, max(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // rows_per_range))
     found = rows.agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
     return sorted({*found, top})
 
 
-def _below(ends: list[int], first: int = 0) -> Column:
-    """Number of ends below ``at``, as a balanced tree of comparisons."""
-    if not ends:
-        return F.lit(first)
-    m = len(ends) // 2
-    return F.when(F.col("at") <= F.lit(ends[m]), _below(ends[:m], first)).otherwise(_below(ends[m + 1:], first + m + 1))
+def _below(ends: Column, n: int) -> Column:
+    """Number of the ``n`` sorted ends below ``at``, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda found, step: F.when(F.get(ends, found + step - 1) < F.col("at"), found + step).otherwise(found))
 
 
 def followed(docs: DataFrame, ends: list[int]) -> DataFrame:
@@ -133,14 +133,14 @@ def followed(docs: DataFrame, ends: list[int]) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("at"),
                 F.md5(F.col("text").cast("binary")).alias("tie"))
-    own = _below(ends)
-    last = len(ends) - 1
+    known = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<bigint>")  # one literal, folded once
+    rows = rows.withColumn("range", _below(known, len(ends)))
     # the first row of a range, and after the last row of all the first one
-    above = F.when(F.col("at") == F.lit(ends[last]), F.lit(0)).otherwise(own + 1)
-    to = F.when(F.col("at").isin(ends), F.array(F.struct(own.alias("range"), F.lit(False).alias("guest")),
-                                                F.struct(above.alias("range"), F.lit(True).alias("guest")))) \
-        .otherwise(F.array(F.struct(own.alias("range"), F.lit(False).alias("guest"))))
-    return rows.select("*", F.inline(to))
+    above = F.when(F.col("range") == len(ends) - 1, F.lit(0)).otherwise(F.col("range") + 1)
+    own = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
+    to = F.when(F.get(known, F.col("range")) == F.col("at"), F.array(own, F.struct(above.alias("range"), F.lit(True).alias("guest")))) \
+        .otherwise(F.array(own))
+    return rows.select(*[c for c in rows.columns if c != "range"], F.inline(to))
 
 
 def report(docs: DataFrame, fraction: float = FRACTION, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
