@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from pitchlake.llm.common import written
 
-CHUNK = 1 << 14
-OVERLAP = 1 << 10
+CHUNK = 1 << 16
+OVERLAP = 1 << 11
 RANKS = "byte_bpe_50k.tiktoken"
 
 
