@@ -3,11 +3,10 @@ code with the operators but the fitted numbers."""
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from pitchlake.llm import langid, toxicity
 from test_llm_brute_force import clashing, languages, prose
 
@@ -95,11 +94,11 @@ def test_language_predictions_follow_the_machines(spark):
 
 
 def test_machines_separate_what_they_learned_from(spark):
-    """Each fitted machine has the hinge loss of a separating plane on its own rows."""
+    """The machines of a family tell apart the texts that they were fitted on."""
     rows = languages(random.Random(8), 300)
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit(df, per_language=40)
-    learned = [(t, lang) for d, t, lang in rows if not df.sparkSession.sql(f"select crc32(cast('{d}' as binary)) % 4 = 2").first()[0]][:60]
+    learned = [(t, lang) for d, t, lang in rows if zlib.crc32(str(d).encode()) % 4 != 2][:60]
     for family, one in model.languages.items():
         own = [(plain_features(t), lang) for t, lang in learned if model.family_of[lang] == family]
         if len(one.classes) > 1 and own:

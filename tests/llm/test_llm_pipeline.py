@@ -104,7 +104,7 @@ def test_stages_take_empty_tables_repeated_rows_and_clashing_columns(spark, corp
 def test_a_very_long_text_goes_through(spark, corpus, tmp_path):
     folder, rows, _ = corpus
     rng = random.Random(2)
-    long = " ".join(t for _, t, _ in languages(rng, 400) if t)
+    long = " ".join(t for _, t, _ in languages(rng, 1700) if t)
     spark.createDataFrame([r for r in rows[:60]] + [(9000, long, "en", "s", len(long))], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     enc = bpe.encoder(public_tokenizers.path(bpe.RANKS))
