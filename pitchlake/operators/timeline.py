@@ -47,6 +47,15 @@ def running_total(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("c
     return out
 
 
+def _dealt_gaps(gaps: DataFrame, keys: list[str]) -> DataFrame:
+    """The gaps dealt out over all of ``spark.sql.shuffle.partitions``.  A gap
+    is a few bytes and expands to up to thousands of ticks; without a number
+    adaptive execution merges the partitions by those bytes, and one task
+    expands nearly all of the grid."""
+    parts = int(gaps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return gaps.repartition(parts, *keys, "g.a")
+
+
 def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_cols=("cxg",),
                        goal_col: str = "goal", pad: int = 1, scale: int | None = 6,
                        by_period: bool = False) -> DataFrame:
@@ -98,10 +107,7 @@ def tick_grid_timeline(shots: DataFrame, xg_cols=("shot_statsbomb_xg",), out_col
                     *[F.lit(None).cast("double").alias(f"c{i}") for i in range(len(xg_cols))])
     both = F.when(F.col("_first"), F.array(head, gap)).otherwise(F.array(gap))
     gaps = steps.select(*keys, F.explode(both).alias("g")).filter(F.col("g.b") > F.col("g.a") + 1)
-    # Each gap expands to up to thousands of ticks: deal the gaps out first,
-    # so that the expansion runs in parallel.
-    gaps = gaps.repartition(*keys, "g.a")
-    gap_rows = gaps.select(*keys, *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
+    gap_rows = _dealt_gaps(gaps, keys).select(*keys, *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
                            F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
     grid = gap_rows.select(*keys, (F.col("_g") / 60).cast("int").alias("minute"),
                            (F.col("_g") % 60).cast("int").alias("second"), *out_cols)
@@ -167,8 +173,7 @@ def _tick_grid_by_period(shots: DataFrame, xg_cols: list[str], out_cols: list[st
         *keys, "period", F.struct(F.col("_t").alias("a"), F.coalesce("_nt", "_stop").alias("b"),
                                   *[F.col(f"_c{i}").alias(f"c{i}") for i in range(n)]).alias("g"))
     gaps = heads.unionByName(tails).filter(F.col("g.b") > F.col("g.a") + 1)
-    gaps = gaps.repartition(*keys, "g.a")
-    gap_rows = gaps.select(*keys, "period", *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
+    gap_rows = _dealt_gaps(gaps, keys).select(*keys, "period", *[F.col(f"g.c{i}").alias(o) for i, o in enumerate(out_cols)],
                            F.explode(F.sequence(F.col("g.a") + 1, F.col("g.b") - 1)).alias("_g"))
     grid = gap_rows.select(*keys, "period", (F.col("_g") / 60).cast("int").alias("minute"),
                            (F.col("_g") % 60).cast("int").alias("second"), *out_cols)

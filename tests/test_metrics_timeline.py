@@ -1,6 +1,7 @@
 """Metrics (FIXTURES §2) and timelines."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitchlake.operators import explore, metrics, timeline
 
@@ -98,3 +99,14 @@ def test_correlation_pairs_match_ml_matrix(spark):
     for i, x in enumerate(feats):
         for j, y in enumerate(feats):
             assert pairs[(x, y)] == pytest.approx(m[i][j], abs=1e-6)
+
+
+@pytest.mark.parametrize("by_period", [False, True])
+def test_tick_grid_is_expanded_by_many_tasks(spark, by_period):
+    rows = [(m, t, 1, 10, 5, 2 * m + k, 0.5, 0) for m in range(60) for k, t in enumerate(("home", "away"))]
+    shots = spark.createDataFrame(rows, "match_id long, team string, period int, minute int, second int, id long, "
+                                        "shot_statsbomb_xg double, goal int")
+    grid = timeline.tick_grid_timeline(shots, by_period=by_period)
+    tasks = [r["count"] for r in grid.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()]
+    assert sum(tasks) == 120 * 91 * 60
+    assert max(tasks) < 0.5 * sum(tasks)
