@@ -56,13 +56,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def write_batches(df: DataFrame, path: str, batch_col: str = "batch", fmt: str = "parquet",
-                  spread: str | None = "match_id") -> None:
+                  spread: str | None = None) -> None:
     """Batch-named outputs (K2): one folder per batch.  A batch that is
     written again replaces its folder, so a retry never doubles it, and other
-    batches stay; rows are dealt by (batch, ``spread``), so each batch is a
-    few files whatever the number of input tasks."""
-    keys = [batch_col] + ([spread] if spread in df.columns else [])
-    (df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    batches stay.  Rows are dealt by batch, so that files grow as the batches
+    and not as batches times tasks; adaptive execution splits a batch beyond
+    its advisory partition size into a few files.  ``spread`` deals the rows
+    of a batch by a second column as well: more files, written in parallel."""
+    keys = [batch_col] + ([spread] if spread and spread in df.columns else [])
+    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(batch_col).format(fmt).save(path))
 
 

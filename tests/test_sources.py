@@ -84,6 +84,23 @@ def test_batches_are_written_once(spark):
     assert spark.read.parquet(path).count() == 100
 
 
+def test_small_batches_are_one_file_each(spark):
+    from pitchlake.sinks.writers import write_batches
+
+    df = spark.range(6000).select("id", (F.col("id") % 300).alias("match_id"), (F.col("id") % 300 % 30).alias("batch"))
+    path = scratch_dir(spark, "t-batch-files")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # as on a cluster, where tasks are many
+    try:
+        write_batches(df, path)
+    finally:
+        spark.conf.set(coalesce, "true")
+    back = spark.read.parquet(path)
+    assert len(back.inputFiles()) == 30
+    assert back.groupBy("batch").agg(F.countDistinct("match_id").alias("m"), F.count("*").alias("n")).where("m != 10 or n != 200").count() == 0
+    assert back.count() == 6000
+
+
 def test_split_spreads_rows_without_a_match(spark):
     df = spark.range(2000).select("id", F.lit(None).cast("long").alias("match_id"), F.lit("c").alias("competition"))
     path = scratch_dir(spark, "t-null")
