@@ -128,6 +128,45 @@ def valid_starts(ends: np.ndarray, n: int, size: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- ties
 
+def sorted_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the keys, equal ones by place, and the sorted keys.
+
+    Numbers sort several times faster than places by numbers, so the upper bits
+    of the keys (without those that all share) are sorted with the places in
+    the bits below.  The few keys that differ only further down are put right."""
+    n = len(keys)
+    if not n:
+        return np.zeros(0, dtype=np.int64), keys
+    low = np.uint64((1 << (n - 1).bit_length()) - 1)
+    mixed = keys << np.uint64(min(63, 64 - int(keys.min() ^ keys.max()).bit_length()))
+    mixed &= ~low
+    mixed |= np.arange(n, dtype=np.uint64)
+    mixed.sort()
+    order = (mixed & low).view(np.int64)
+    k = keys[order]
+    wrong = np.flatnonzero(k[1:] < k[:-1])
+    if len(wrong) > 100:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    for w in mixed[wrong]:
+        i, j = np.searchsorted(mixed, w & ~low), np.searchsorted(mixed, w | low, side="right")
+        places = np.sort(order[i:j])
+        order[i:j] = places[np.argsort(keys[places], kind="stable")]
+        k[i:j] = keys[order[i:j]]
+    return order, k
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, first place of each, place of each key among them, how often)."""
+    order, k = sorted_keys(keys)
+    new = np.ones(len(k), dtype=bool)
+    new[1:] = k[1:] != k[:-1]
+    at = np.flatnonzero(new)
+    place = np.empty(len(k), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return k[at], order[at], place, np.diff(at, append=len(k))
+
+
 def bucket_bits(keys: float, per_bucket: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1.0, keys / per_bucket)))))
 
@@ -148,8 +187,8 @@ def by_bucket(keys: np.ndarray, bits: int, low: int, high: int):
 
 def tied(keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
     """Which (key, check) stand more than once."""
-    order = np.argsort(keys, kind="stable")
-    k, c = keys[order], checks[order]
+    order, k = sorted_keys(keys)
+    c = checks[order]
     same = k[1:] == k[:-1]
     if (same & (c[1:] != c[:-1])).any():
         order = np.lexsort((checks, keys))
@@ -205,7 +244,7 @@ def sample_keys(data: np.ndarray, ends: np.ndarray, length: int):
     size = length - v + 1
     at = cover_positions(max(0, len(data) - size + 1), length)
     at = at[valid_starts(ends, len(data), size)[at]]
-    keys, place, number = np.unique(window_hashes(data, size, at), return_inverse=True, return_counts=True)
+    keys, _, place, number = distinct(window_hashes(data, size, at))
     return at, keys, place, number
 
 
@@ -264,20 +303,30 @@ def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- suffixes
 
-def suffix_keys(data: np.ndarray, sizes: np.ndarray, length: int):
-    """(places, sorted distinct keys, checks, place of each key, how often) of
-    the candidate suffixes; places are offsets in ``data``."""
+def suffix_hashes(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, keys) of the candidate suffixes; places are offsets in ``data``."""
     at = np.flatnonzero(valid_starts(np.cumsum(sizes), len(data), length))
-    keys, first, place, number = np.unique(window_hashes(data, length, at), return_index=True, return_inverse=True, return_counts=True)
-    checks = (window_hashes(data, length, at, second=True)[first] >> np.uint64(32)).astype(np.uint32)
-    return at, keys, checks, place, number
+    return at, window_hashes(data, length, at)
+
+
+def suffix_keys(data: np.ndarray, sizes: np.ndarray, length: int, bits: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and checks, of the candidate suffixes whose bucket
+    is in [low, high): others are dropped before anything is sorted."""
+    at, keys = suffix_hashes(data, sizes, length)
+    if bits:
+        bucket = keys >> np.uint64(64 - bits)
+        own = (bucket >= low) & (bucket < high)
+        at, keys = at[own], keys[own]
+    keys, first, _, _ = distinct(keys)
+    return keys, (window_hashes(data, length, at, second=True)[first] >> np.uint64(32)).astype(np.uint32)
 
 
 def send_suffixes(found: DataFrame, length: int, bits: int, low: int, high: int) -> DataFrame:
     def suffixes(batches):
         for b in batches:
             for block, sizes, data in zip(b.column("block"), b.column("sizes"), b.column("data")):
-                _, keys, checks, _, _ = suffix_keys(np.frombuffer(data.as_buffer(), np.uint8), np.array(sizes.as_py(), np.int64), length)
+                keys, checks = suffix_keys(np.frombuffer(data.as_buffer(), np.uint8), np.array(sizes.as_py(), np.int64), length,
+                                           bits, low, high)
                 yield send(block.as_py(), keys, checks, bits, low, high)
 
     return found.select("block", "sizes", "data").mapInArrow(suffixes, SENT)
@@ -289,7 +338,8 @@ def spans(found: DataFrame, answers: DataFrame, length: int, bits: int) -> DataF
         for b in batches:
             for block, starts, sizes, data, own in zip(*(b.column(c) for c in ("block", "starts", "sizes", "data", "own"))):
                 size, start = np.array(sizes.as_py(), np.int64), np.array(starts.as_py(), np.int64)
-                at, keys, _, place, number = suffix_keys(np.frombuffer(data.as_buffer(), np.uint8), size, length)
+                at, keys = suffix_hashes(np.frombuffer(data.as_buffer(), np.uint8), size, length)
+                keys, _, place, number = distinct(keys)
                 hit = at[(received(keys, bits, own.as_py()) | (number > 1))[place]]
                 run = np.searchsorted(np.cumsum(size), hit, side="right")
                 p = start[run] + hit - (np.cumsum(size) - size)[run]

@@ -488,6 +488,30 @@ def test_covers_are_difference_covers():
         assert {(a - b) % v for a in d for b in d} == set(range(v))
 
 
+def test_repeat_keys_are_sorted_and_told_apart():
+    rng = np.random.default_rng(5)
+    top = np.uint64((1 << 64) - 1)
+    for keys in (rng.integers(0, 1 << 64, 5000, dtype=np.uint64), rng.integers(0, 40, 5000, dtype=np.uint64),  # many alike
+                 rng.integers(0, 1 << 20, 3000, dtype=np.uint64) + (np.uint64(9) << np.uint64(60)),  # one bucket
+                 np.array([top, 3, top, 2, 3, 1 << 63, 2, 0], dtype=np.uint64),  # upper bits tell 3 and 2 not apart
+                 np.array([7, 7], dtype=np.uint64), np.array([top], dtype=np.uint64), np.zeros(0, dtype=np.uint64)):
+        order, k = repeats.sorted_keys(keys)
+        assert (order == np.argsort(keys, kind="stable")).all() and (k == keys[order]).all()
+        want = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(repeats.distinct(keys), want))
+
+
+def test_a_pass_sorts_its_own_suffixes_only(monkeypatch):
+    data = np.random.default_rng(6).integers(97, 105, 4000).astype(np.uint8)
+    seen, plain = [], repeats.distinct
+    monkeypatch.setattr(repeats, "distinct", lambda k: (seen.append(len(k)), plain(k))[1])
+    size = np.array([3000, 1000])
+    whole = repeats.suffix_keys(data, size, 10, 2, 0, 4)
+    parts = [repeats.suffix_keys(data, size, 10, 2, b, b + 1) for b in range(4)]
+    assert sum(seen[1:]) == seen[0] == 2991 + 991 and max(seen[1:]) < 1500
+    assert all((np.concatenate(p) == w).all() for p, w in zip(zip(*parts), whole))
+
+
 def test_window_hashes_across_segments(monkeypatch):
     data = np.frombuffer(prose(random.Random(7), 900).encode(), np.uint8)
     every = np.arange(len(data) - 49)
