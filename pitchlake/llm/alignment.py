@@ -20,7 +20,8 @@ Texts are encoded in pieces cut before every space that follows another
 character: A's pattern never goes on into such a space, and B has no piece with
 a space behind another character (checked when the model is loaded; else texts
 stay whole).  Each worker encodes a piece once and remembers up to ``KNOWN`` of
-them.
+them.  New pieces go to A joined by ``JOINED``, as a call costs more than a
+piece, and its tokens are dealt out by their byte ends.
 
 Texts that are null or empty, or whose joined token bytes differ from
 space + text, have no tokens: zeros and ''.  Repeated rows are kept, and each
@@ -33,6 +34,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain, repeat
 from operator import itemgetter
 
 import numpy as np
@@ -49,6 +51,7 @@ SLICE = 1 << 21
 LINKS = 1 << 22
 
 KNOWN = 500_000
+JOINED = 256
 
 # Python's white space holds that of the tokenizers; a last space stays where it is, as B gives nothing for no text
 SEAM = re.compile(r"(?<=\S) (?=[\s\S])")
@@ -105,19 +108,45 @@ class Tokenizers:
         """Parts of a text; a space belongs before each but the first."""
         return SEAM.split(text) if self.cuttable else [text]
 
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def joined_a(self, pieces: list[str], loose: int, raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """A's ids of all pieces and where each piece's start, from pieces joined
+        to texts; the ``loose`` last ones, which end in white space, go alone.
+        None unless all bytes are as in ``raw`` and a token ends where a piece does."""
+        solid = len(pieces) - loose
+        texts = [" " + " ".join(pieces[i:min(i + JOINED, solid)]) for i in range(0, solid, JOINED)]
+        ids = np.fromiter(chain.from_iterable(self.encode_a(texts + [" " + p for p in pieces[solid:]])), dtype=np.int64)
+        length = self.length_a[ids]
+        if not len(ids) or not length.all():
+            return None
+        at = np.cumsum(length)
+        last = np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[last] != ends).any() or b"".join(map(self.bytes_a.__getitem__, ids.tolist())) != raw:
+            return None
+        return ids, np.concatenate([[0], last + 1])
+
     def learn(self, pieces: list[str]) -> None:
+        loose = [p for p in pieces if p[-1:].isspace()] if self.cuttable else pieces
+        if self.cuttable and loose:
+            pieces = [p for p in pieces if not p[-1:].isspace()] + loose
         raw = [b" " + p.encode() for p in pieces]
+        whole = b"".join(raw)
         exact = np.ones(len(pieces), dtype=bool)
-        a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        b = self.b.encode(pieces, num_threads=1)
-        width = np.array([len(r) for r in raw])
-        for k, (found, value, length) in enumerate(((a, self.bytes_a, self.length_a), (b, self.bytes_b, self.length_b))):
-            ids = np.array([x for i in found for x in i], dtype=np.int64)
-            edge = np.concatenate([[0], np.cumsum([len(i) for i in found], dtype=np.int64)])
-            total = np.concatenate([[0], np.cumsum(length[ids])])[edge]
-            # every piece as long as its text and all bytes equal: so is each piece; else they are looked at one by one
-            if (np.diff(total) != width).any() or b"".join([value[x] for x in ids.tolist()]) != b"".join(raw):
-                exact &= [b"".join([value[x] for x in i]) == r for i, r in zip(found, raw)]
+        width = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        for k, (value, length) in enumerate(((self.bytes_a, self.length_a), (self.bytes_b, self.length_b))):
+            joined = self.joined_a(pieces, len(loose), whole, np.cumsum(width)) if k == 0 else None
+            if joined is not None:
+                ids, edge = joined
+            else:
+                found = self.encode_a([" " + p for p in pieces]) if k == 0 else self.b.encode(pieces, num_threads=1)
+                ids = np.fromiter(chain.from_iterable(found), dtype=np.int64)
+                edge = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))])
+                total = np.concatenate([[0], np.cumsum(length[ids])])[edge]
+                # every piece as long as its text and all bytes equal: so is each piece; else they are looked at one by one
+                if (np.diff(total) != width).any() or b"".join(map(value.__getitem__, ids.tolist())) != whole:
+                    exact &= [b"".join([value[x] for x in i]) == r for i, r in zip(found, raw)]
             self.start[k] = np.concatenate([self.start[k], self.start[k][-1] + edge[1:]])
             self.ids[k] = np.concatenate([self.ids[k], ids])
         self.exact = np.concatenate([self.exact, exact])
@@ -130,9 +159,11 @@ class Tokenizers:
         flat = [p for ps in parts for p in ps]
         if len(self.known) > KNOWN:
             self.forget()
-        if new := [p for p in dict.fromkeys(flat) if p not in self.known]:
-            self.learn(new)
-        piece = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        piece = np.fromiter(map(self.known.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        if len(new := np.flatnonzero(piece < 0)):
+            missing = [flat[i] for i in new.tolist()]
+            self.learn(list(dict.fromkeys(missing)))
+            piece[new] = list(map(self.known.__getitem__, missing))
         doc = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
         good = np.bincount(doc, weights=~self.exact[piece], minlength=len(texts)) == 0
         piece, doc = piece[good[doc]], doc[good[doc]]

@@ -130,3 +130,24 @@ def test_gallop_is_a_lower_bound():
         guess = rng.integers(low, high, 400)
         got = alignment.gallop(wanted, ends, np.full(400, low), np.full(400, high), guess)
         assert (got == low + np.searchsorted(ends[low:high], wanted)).all()
+
+
+def test_pieces_joined_for_a_are_encoded_as_alone(monkeypatch):
+    paths = [public_tokenizers.path(m) for m in (alignment.MODEL_A, alignment.MODEL_B)]
+    monkeypatch.setattr(alignment, "JOINED", 5)
+    together, alone = alignment.Tokenizers(*paths), alignment.Tokenizers(*paths)
+    assert together.cuttable
+    calls, plain_call = [], together.encode_a
+    monkeypatch.setattr(together, "encode_a", lambda texts: (calls.append(len(texts)), plain_call(texts))[1])
+    monkeypatch.setattr(alone, "joined_a", lambda *_: None)
+    rng = random.Random(8)
+    texts = odd_texts() + ["a \n", "b\u00a0", "", "tail  ", "\u3000 c"] + [prose(rng, 300) for _ in range(5)]
+    got, want = together.encode(texts), alone.encode(texts)
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, want))
+    assert len(calls) == 1 and calls[0] < 0.6 * len(together.known)
+    # bytes that do not add up: each piece is looked at by itself
+    for t in (together, alone):
+        t.forget()
+        monkeypatch.setattr(t, "length_a", t.length_a + (np.arange(t.n_a) == got[0][0]))
+    got, want = together.encode(texts), alone.encode(texts)
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, want))
