@@ -15,8 +15,10 @@ count in the block, and what adds up to ``LEAST`` over all blocks is the
 candidate set of the next trie.  Counts of blocks are summed on Spark.  The
 counts of the result are those of the accepting states.
 
-A broadcast is bounded: vocabulary and tries go in parts of at most ``WORDS``
-words and ``PHRASES`` phrases, by hash, and a task holds one part at a time.
+A broadcast is bounded: vocabulary and tries go in parts of about ``WORDS``
+words and ``PHRASES`` phrases, by hash, and a task holds one part at a time: each
+position is looked up in the one part that its words hash to, the positions of
+``GROUP`` ids while a part is loaded.  What a task sends leaves in small batches.
 
 Null texts are empty; an empty table, or one without a frequent phrase, gives
 no rows; repeated rows count again; other columns are ignored; long texts are
@@ -30,6 +32,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +43,16 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 COVER = 80  # per cent of a phrase's occurrences that make a longer one hide it
-WORDS = 1_000_000
-PHRASES = 2_000_000
+WORDS = 250_000
+PHRASES = 500_000
 SEGMENT = 1 << 20
 IDS = 1 << 19
+GROUP = 1 << 21
 DISTINCT = 200_000
-KEYS = 1 << 20
+KEYS = 1 << 19
+SENT = 1 << 16  # keys in a batch that leaves a task
 NO_WORD = 0xFFFFFFFF
+PRIME, FACTOR = 2**31 - 1, 1_103_515_245  # products stay below 2**63
 
 # fixed values: lower-casing touches A-Z only; these bytes end a piece
 PIECE_END = b".,;:!?\n\x0b\x0c\r"
@@ -110,12 +116,36 @@ def vocabulary(counts: DataFrame, least: int, words: int) -> tuple[DataFrame, in
     return out, parts
 
 
-def each(parts: list):
-    """The values of some broadcasts, one in memory at a time."""
-    for p in parts:
-        yield p.value
-        if len(parts) > 1:
-            p.__dict__.pop("_value", None)
+def with_part(part, alone: bool, use):
+    """``use`` of a broadcast's value.  Unless it is alone, nothing holds the value
+    afterwards, so that two parts never meet in memory."""
+    try:
+        return use(part.value)
+    finally:
+        if not alone:
+            part.__dict__.pop("_value", None)
+
+
+def word_ids(held: list, known: list) -> np.ndarray:
+    """The ids of (lang, words) lists, -1 for words that no part of ``known`` has."""
+    sizes = np.array([len(w) for _, w in held])
+    names = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in held))}
+    owner = np.repeat(np.array([names[lang] for lang, _ in held], dtype=np.int32), sizes)
+    ids = np.full(len(owner), -1, dtype=np.int32)
+    words = {lang: (np.flatnonzero(owner == i), pa.array([x for own, w in held if own == lang for x in w], pa.binary()))
+             for lang, i in names.items()}
+
+    def use(table):
+        for lang, (spot, own) in words.items():
+            if lang in table:
+                vocab, number = table[lang]
+                at = pc.index_in(own, value_set=vocab).fill_null(-1).to_numpy(zero_copy_only=False)
+                hit = at >= 0
+                ids[spot[hit]] = number[at[hit]]
+
+    for part in known:
+        with_part(part, len(known) == 1, use)
+    return ids
 
 
 def id_blocks(docs: DataFrame, vocab: DataFrame, parts: int) -> DataFrame:
@@ -124,9 +154,10 @@ def id_blocks(docs: DataFrame, vocab: DataFrame, parts: int) -> DataFrame:
     known = []
     for p in range(parts):
         table = vocab.where(F.col("part") == p).select("lang", "word", "id").toArrow()
-        own: dict[str, dict[bytes, int]] = {}
-        for lang, word, i in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "id"))):
-            own.setdefault(lang, {})[word.encode()] = i
+        own = {}
+        for lang in table.column("lang").unique().to_pylist():
+            t = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+            own[lang] = t.column("word").combine_chunks().cast(pa.string()).cast(pa.binary()), t.column("id").to_numpy().astype(np.int32)
         known.append(sc.broadcast(own))
 
     def run(batches):
@@ -139,18 +170,14 @@ def id_blocks(docs: DataFrame, vocab: DataFrame, parts: int) -> DataFrame:
                     if size >= IDS:
                         yield block(held)
                         held, size = [], 0
-                held.append((lang, [BREAK]))
+                if held:
+                    held[-1][1].append(BREAK)
+                    size += 1
         if held:
             yield block(held)
 
     def block(held):
-        ids = np.full(sum(len(w) for _, w in held), -1, dtype=np.int32)
-        for own in each(known):
-            at = 0
-            for lang, w in held:
-                get = own.get(lang, {}).get
-                ids[at:at + len(w)] = np.maximum(ids[at:at + len(w)], np.array([get(x, -1) for x in w], dtype=np.int32))
-                at += len(w)
+        ids = word_ids(held, known)
         keep = (ids >= 0) | (np.concatenate([[0], ids[:-1]]) >= 0)
         return pa.RecordBatch.from_arrays([pa.array([ids[keep].tobytes()], pa.binary())], names=["ids"])
 
@@ -161,167 +188,227 @@ class Trie:
     """A double-array trie of phrases (rows of word ids, equally long).
 
     The child of state s by symbol c is ``base[s] + c`` if ``check`` of that is
-    s; symbols are ranks among the trie's own words, from 1; 0 is any other."""
+    s; a word is two symbols, from 1, the digits of its rank among the trie's own
+    words: no state has more than about the root of their number as children, so
+    that families fit between each other."""
 
     def __init__(self, phrases: np.ndarray):
         self.words = np.unique(phrases)
         self.depth = phrases.shape[1]
-        symbols = (np.searchsorted(self.words, phrases) + 1).astype(np.int64)
-        order = np.lexsort(symbols.T[::-1])
-        symbols = symbols[order]
-        n_symbols, n = len(self.words) + 1, len(phrases)
+        self.digits = max(1, int(np.ceil(np.sqrt(len(self.words)))))
+        ranks = np.searchsorted(self.words, phrases)
+        order = np.lexsort(ranks.T[::-1])
+        ranks = ranks[order]
+        n = len(phrases)
         # nodes: at each depth, runs of phrases that agree so far
         new = np.zeros(n, dtype=bool)
         new[:1] = True
         parent_of, symbol_of, total = [], [], 1
         parent = np.zeros(n, dtype=np.int64)
-        for d in range(self.depth):
-            new[1:] |= symbols[1:, d] != symbols[:-1, d]
+        for d in range(2 * self.depth):
+            symbol = (ranks[:, d // 2] % self.digits if d % 2 else ranks[:, d // 2] // self.digits) + 1
+            new[1:] |= symbol[1:] != symbol[:-1]
             node = total + np.cumsum(new) - 1
             parent_of.append(parent[new])
-            symbol_of.append(symbols[new, d])
+            symbol_of.append(symbol[new])
             total += int(new.sum())
             parent = node
         parent_of, symbol_of = np.concatenate(parent_of), np.concatenate(symbol_of)
-        slot, base, check = self.place(parent_of, symbol_of, total, n_symbols)
-        self.sink = len(check) - 1
-        self.base, self.check = base.astype(np.int32), check.astype(np.int32)
-        self.value = np.full(len(check), -1, dtype=np.int32)
+        slot, self.base, self.check = self.place(parent_of, symbol_of, total, self.digits + 1)
+        self.sink = len(self.check) - 1
+        self.value = np.full(len(self.check), -1, dtype=np.int32)
         self.value[slot[parent]] = order
 
     @staticmethod
     def place(parent_of: np.ndarray, symbol_of: np.ndarray, total: int, n_symbols: int):
         """Slots of all nodes, and the arrays: the root's children at their
-        symbols, then families of children, the largest first.  Many families of
-        like size try random bases together; those that meet nothing stay."""
+        symbols, then families of children, the largest first.  Families of like
+        size try random bases together; those that meet nothing stay.  Where few
+        do, room for the rest of that size is added and they go there."""
         rng = np.random.default_rng(1)
         n_children = np.bincount(parent_of, minlength=total)
         first = np.concatenate([[0], np.cumsum(n_children)])  # children of a node are consecutive and follow its order
-        room = 2 * total + n_symbols + 64
+        room = n_symbols
         taken = np.zeros(room + n_symbols, dtype=bool)
         slot, at = np.zeros(total, dtype=np.int64), np.zeros(total, dtype=np.int64)
         own = symbol_of[:n_children[0]]
         slot[1:n_children[0] + 1] = own
         taken[own] = taken[0] = True
         families = np.flatnonzero(n_children[1:]) + 1
-        size = n_children[families]
-        families = families[np.argsort(-size, kind="stable")]
-        size = n_children[families]
-        tries = 0
+        families = families[np.argsort(-n_children[families], kind="stable")]
         while len(families):
-            # a batch of the largest left: alone while they are wide, more of them the smaller they are
-            batch = families[:max(1, int(np.searchsorted(-size, -max(1, size[0] // 2), side="right")))] if size[0] <= 64 else families[:1]
-            b = rng.integers(1, room, len(batch))
-            wide = n_children[batch]
-            owner = np.repeat(np.arange(len(batch)), wide)
-            child = np.repeat(first[batch], wide) + np.arange(len(owner)) - np.repeat(np.cumsum(wide) - wide, wide)
-            target = b[owner] + symbol_of[child]
-            free = ~taken[target]
-            _, at_first = np.unique(target, return_index=True)
-            only = np.zeros(len(target), dtype=bool)
-            only[at_first] = True
-            good = np.bincount(owner, weights=~(free & only), minlength=len(batch)) == 0
-            won = good[owner]
-            taken[target[won]] = True
-            slot[child[won] + 1] = target[won]
-            at[batch[good]] = b[good]
-            left = np.ones(len(families), dtype=bool)
-            left[:len(batch)] = ~good
-            families, size = families[left], size[left]
-            tries = 0 if good.any() else tries + 1
-            if tries > 20:  # too full for what is left
-                grown = np.zeros(2 * room + n_symbols, dtype=bool)
-                grown[:len(taken)] = taken
-                taken, room, tries = grown, 2 * room, 0
-        base, check = np.zeros(len(taken) + 1, dtype=np.int64), np.full(len(taken) + 1, -1, dtype=np.int64)
+            size = n_children[families]
+            alike = int(np.searchsorted(-size, -(size[0] // 2), side="left"))
+            left, families = families[:alike], families[alike:]
+            low, tries = 1, 0
+            while len(left):
+                some = max(1, int(np.searchsorted(np.cumsum(n_children[left]), (room - low) // 2)))
+                batch, left = left[:some], left[some:]
+                b = rng.integers(low, room, len(batch))
+                wide = n_children[batch]
+                owner = np.repeat(np.arange(len(batch)), wide)
+                child = np.repeat(first[batch], wide) + np.arange(len(owner)) - np.repeat(np.cumsum(wide) - wide, wide)
+                target = b[owner] + symbol_of[child]
+                free = ~taken[target]
+                _, at_first = np.unique(target, return_index=True)
+                only = np.zeros(len(target), dtype=bool)
+                only[at_first] = True
+                good = np.bincount(owner, weights=~(free & only), minlength=len(batch)) == 0
+                won = good[owner]
+                taken[target[won]] = True
+                slot[child[won] + 1] = target[won]
+                at[batch[good]] = b[good]
+                left = np.concatenate([left, batch[~good]])
+                tries = tries + 1 if 16 * int(good.sum()) < len(batch) else 0
+                if tries > 4:  # too full for what is left
+                    low, tries = room, 0
+                    room += 2 * int(n_children[left].sum()) + n_symbols
+                    taken = np.concatenate([taken, np.zeros(room + n_symbols - len(taken), dtype=bool)])
+        base, check = np.zeros(len(taken) + 1, dtype=np.int32), np.full(len(taken) + 1, -1, dtype=np.int32)
         base[slot] = at
         check[slot[1:]] = slot[parent_of]
         return slot, base, check
 
-    def accepting(self, ids: np.ndarray) -> np.ndarray:
-        """For every position the index of the phrase that starts there, or -1."""
-        symbol = np.searchsorted(self.words, ids)
-        symbol[symbol == len(self.words)] = 0
-        symbol = np.where(self.words[symbol] == ids, symbol + 1, 0) if len(self.words) else np.zeros_like(symbol)
-        n = len(ids)
-        state = np.zeros(n, dtype=np.int64)
-        for d in range(min(self.depth, n)):
-            now = state[:n - d]
-            to = self.base[now] + symbol[d:]
-            state[:n - d] = np.where(self.check[to] == now, to, self.sink)
-            state[n - d:] = self.sink
-        return self.value[state] if n >= self.depth else np.full(n, -1, dtype=np.int32)
+    def accepting(self, ids: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """For every position (or those of ``at``) the index of the phrase that starts there, or -1."""
+        at = np.arange(len(ids)) if at is None else at
+        found = np.full(len(at), -1, dtype=np.int32)
+        if not len(self.words):
+            return found
+        fits = at <= len(ids) - self.depth
+        start = at[fits]
+        state = np.zeros(len(start), dtype=np.int32)
+        for d in range(self.depth):
+            word = ids[start + d]
+            rank = np.searchsorted(self.words, word)
+            rank[rank == len(self.words)] = 0
+            state[self.words[rank] != word] = self.sink
+            for symbol in (rank // self.digits, rank % self.digits):
+                to = self.base[state] + symbol.astype(np.int32) + 1
+                state = np.where(self.check[to] == state, to, self.sink).astype(np.int32)
+        found[fits] = self.value[state]
+        return found
 
 
 def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys with the sums of their counts."""
+    """Distinct keys with the sums of their counts.  The lists are emptied."""
     key, n = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
     order = np.argsort(key)
     key, n = key[order], n[order]
+    del order
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
     return key[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def counted(blocks: DataFrame, tries: list, k: int, propose: bool, least: int) -> DataFrame:
+def part_of(ids: np.ndarray, depth: int, parts: int) -> np.ndarray:
+    """For every position the part of the trie that can hold the ``depth`` words
+    from there, or -1 where a break or the end comes first."""
+    n = max(0, len(ids) - depth + 1)
+    out = np.full(len(ids), -1, dtype=np.int32)
+    h, whole = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for d in range(depth):
+        word = ids[d:d + n]
+        whole &= word >= 0
+        h = word.astype(np.int64) if depth == 1 else (h + word + 1) * FACTOR % PRIME
+    out[:n] = np.where(whole, h % parts, -1)
+    return out
+
+
+def part_column(parts: int):
+    """``part_of`` for a column ``words`` of two or more."""
+    h = F.aggregate("words", F.lit(0).cast("long"), lambda h, w: (h + w + 1) * FACTOR % PRIME)
+    return (h % parts).cast("int")
+
+
+def block_counts(blocks: list, tries: list, parts: int, k: int, propose: bool):
+    """Keys (phrase << 32 | word) and counts of some blocks of ids, in pieces."""
+    owner = [part_of(ids, k - 1, parts) for ids in blocks]
+    named = [np.full(len(ids) + 1, -1, dtype=np.int64) for ids in blocks]
+
+    def use(p, trie, names):
+        n = np.zeros(len(names), dtype=np.int64)
+        for ids, own, name in zip(blocks, owner, named):
+            at = np.flatnonzero(own == p)
+            local = trie.accepting(ids, at)
+            hit = local >= 0
+            name[at[hit]] = names[local[hit]]
+            n += np.bincount(local[hit], minlength=len(names))
+        some = np.flatnonzero(n)
+        return names[some] << 32 | NO_WORD, n[some]
+
+    for p, part in tries:
+        yield with_part(part, len(tries) == 1, lambda value, p=p: use(p, *value))
+    if propose:
+        for ids, name in zip(blocks, named):
+            at = np.flatnonzero((name[:-1] >= 0) & (name[1:] >= 0))
+            yield np.unique(name[at] << 32 | ids[at + k - 1], return_counts=True)
+
+
+def dealt(key: np.ndarray, n: np.ndarray, deals: int):
+    """Batches of deal, keys, counts; counts in the narrowest integers that hold a row's."""
+    to = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(deals)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    key, n, to = key[order], n[order], to[order]
+    del order
+    edge = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else np.zeros(1, dtype=np.int64)
+    spans = [(i, min(i + SENT, j)) for a, j in zip(edge.tolist(), edge[1:].tolist()) for i in range(a, j, SENT)]
+    while spans:
+        most = next((x for x in range(1, len(spans)) if spans[x][1] - spans[0][0] > SENT), len(spans))
+        now, spans = spans[:most], spans[most:]
+        yield pa.RecordBatch.from_arrays([pa.array([int(to[i]) for i, _ in now], pa.int32()),
+                                          pa.array([key[i:j].tobytes() for i, j in now], pa.binary()),
+                                          pa.array([n[i:j].astype(np.min_scalar_type(n[i:j].max())).tobytes() for i, j in now], pa.binary())],
+                                         names=["deal", "keys", "counts"])
+
+
+def counted(blocks: DataFrame, tries: list, parts: int, k: int, propose: bool, least: int) -> DataFrame:
     """phrase, word, n: with word -1 the occurrences of a trie's phrase; else, if
     at least ``least``, those of the phrase followed by the word where the k-1
     words that end with it are a phrase of the tries as well.
 
     Counts travel as sorted arrays of keys (phrase << 32 | word) and counts, dealt
     by a hash of the key after each task has summed its own."""
-    deals = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.count() // 8)
+    deals = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks.count() // 2)
 
-    def run(batches):
-        keys, counts, size = [], [], 0
+    def groups(batches):
+        held, size = [], 0
         for batch in batches:
             for raw in batch.column("ids"):
-                for key, n in block(np.frombuffer(raw.as_buffer(), dtype=np.int32)):
-                    keys.append(key)
-                    counts.append(n)
-                    size += len(key)
+                held.append(np.frombuffer(raw.as_buffer(), dtype=np.int32))
+                size += len(held[-1])
+                if size >= GROUP:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+    def run(batches):
+        keys, counts, size = [], [], 0
+        for held in groups(batches):
+            for key, n in block_counts(held, tries, parts, k, propose):
+                keys.append(key)
+                counts.append(n)
+                size += len(key)
                 if size > KEYS:
                     key, n = summed(keys, counts)
-                    keys, counts, size = [key], [n], len(key)
-                    if size > KEYS // 2:
-                        yield dealt(key, n)
-                        keys, counts, size = [], [], 0
+                    if len(key) > KEYS // 2:
+                        yield from dealt(key, n, deals)
+                        size = 0
+                    else:
+                        keys, counts, size = [key], [n], len(key)
         if keys:
-            yield dealt(*summed(keys, counts))
-
-    def block(ids):
-        part, local = np.full(len(ids) + 1, -1, dtype=np.int32), np.zeros(len(ids), dtype=np.int64)
-        for p, (trie, names) in enumerate(each(tries)):
-            at = trie.accepting(ids)
-            hit = at >= 0
-            n = np.bincount(at[hit], minlength=len(names))
-            some = np.flatnonzero(n)
-            yield names[some] << 32 | NO_WORD, n[some]
-            part[:-1][hit], local[hit] = p, at[hit]
-        if not propose:
-            return
-        go_on = (part[:-1] >= 0) & (part[1:] >= 0)
-        for p, (_, names) in enumerate(each(tries)):
-            at = np.flatnonzero(go_on & (part[:-1] == p))
-            yield np.unique(names[local[at]] << 32 | ids[at + k - 1], return_counts=True)
-
-    def dealt(key, n):
-        to = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(deals)
-        order = np.argsort(to, kind="stable")
-        key, n, to = key[order], n[order].astype(np.int64), to[order]
-        edge = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]]) if len(to) else np.zeros(1, dtype=np.int64)
-        spans = list(zip(edge.tolist(), edge[1:].tolist()))
-        return pa.RecordBatch.from_arrays([pa.array([int(to[i]) for i, _ in spans], pa.int32()),
-                                           pa.array([key[i:j].tobytes() for i, j in spans], pa.binary()),
-                                           pa.array([n[i:j].tobytes() for i, j in spans], pa.binary())], names=["deal", "keys", "counts"])
+            yield from dealt(*summed(keys, counts), deals)
 
     def total(batches):
         keys, counts, size = [], [], 0
         for batch in batches:
             for key, n in zip(batch.column("keys"), batch.column("counts")):
                 keys.append(np.frombuffer(key.as_buffer(), dtype=np.int64))
-                counts.append(np.frombuffer(n.as_buffer(), dtype=np.int64))
+                counts.append(np.frombuffer(n.as_buffer(), dtype=f"u{8 * len(n.as_buffer()) // len(key.as_buffer())}").astype(np.int64))
                 size += len(keys[-1])
-                if size > 2 * KEYS:
+                if size > KEYS:
                     key, n = summed(keys, counts)
                     keys, counts, size = [key], [n], 0
         if keys:
@@ -340,13 +427,13 @@ def numbered(grams: DataFrame, phrases: int) -> tuple[DataFrame, int]:
     grams = written(grams, "candidates")
     parts = max(1, -(-grams.count() // phrases))
     rank = F.row_number().over(Window.partitionBy("part").orderBy("words")) - 1
-    out = grams.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(parts)).cast("int")) \
+    out = grams.withColumn("part", part_column(parts)) \
         .select("part", (rank.cast("long") * parts + F.col("part")).alias("id"), "words")
     return written(out, "numbered-candidates"), parts
 
 
 def broadcast_tries(grams: DataFrame, parts: int) -> list:
-    """A trie of the phrases of each part, with their ids."""
+    """(part, broadcast of a trie of its phrases and their ids) of the parts that have some."""
     sc = grams.sparkSession.sparkContext
     out = []
     for p in range(parts):
@@ -354,7 +441,7 @@ def broadcast_tries(grams: DataFrame, parts: int) -> list:
         if table.num_rows:
             words = table.column("words").combine_chunks()
             flat = (words.values if isinstance(words, pa.ListArray) else pa.concat_arrays([c.values for c in words.chunks])).to_numpy()
-            out.append(sc.broadcast((Trie(flat.reshape(table.num_rows, -1)), table.column("id").to_numpy().astype(np.int64))))
+            out.append((p, sc.broadcast((Trie(flat.reshape(table.num_rows, -1)), table.column("id").to_numpy().astype(np.int64)))))
     return out
 
 
@@ -372,8 +459,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, w
         tries = broadcast_tries(grams, parts)
         if not tries:
             break
-        both = written(counted(blocks, tries, k, k <= longest, least), f"phrases-{k}")
-        for t in tries:
+        both = written(counted(blocks, tries, parts, k, k <= longest, least), f"phrases-{k}")
+        for _, t in tries:
             t.unpersist()
         named = both.join(grams.select("id", "words"), F.col("phrase") == F.col("id"))
         if k > 2:

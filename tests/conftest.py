@@ -15,3 +15,10 @@ def spark():
     s = get_spark("local[4]", 4, app_name="pitchlake-tests")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_cache_left(spark):
+    """What a module's fixtures cache goes with the module."""
+    yield
+    spark.catalog.clearCache()

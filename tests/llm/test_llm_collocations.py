@@ -2,6 +2,7 @@
 
 import random
 import re
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -103,3 +104,66 @@ def test_large_scores_stay_exact(spark):
     score = spark.sql(f"select (cast(2000000 as decimal(10,0)) * cast({a}L as decimal(20,0))) div "
                       f"(cast({l}L as decimal(20,0)) + cast({r}L as decimal(20,0))) s").first().s
     assert score == 2_000_000 * a // (l + r)
+
+
+def test_tries_stay_small_where_words_have_many_successors():
+    rng = np.random.default_rng(7)
+    pairs = np.unique((3000 * rng.random((60_000, 2)) ** 3).astype(np.int32), axis=0)
+    trie = collocations.Trie(pairs)
+    assert len(trie.check) < 6 * len(pairs)
+    assert sorted(trie.accepting(pairs.reshape(-1), np.arange(0, pairs.size, 2)).tolist()) == list(range(len(pairs)))
+
+
+def test_parts_never_meet_in_memory_and_count_everything():
+    alive, most = weakref.WeakSet(), []
+
+    class Part:  # keeps its value as a broadcast does
+        def __init__(self, phrases, names):
+            self.made = phrases, names
+
+        @property
+        def value(self):
+            if "_value" not in self.__dict__:
+                self._value = collocations.Trie(self.made[0]), self.made[1]
+                alive.add(self._value[0])
+                most.append(len(alive))
+            return self._value
+
+    rng = np.random.default_rng(8)
+    blocks = [rng.integers(-1, 12, 2000).astype(np.int32) for _ in range(3)]
+    phrases = np.array([(a, b) for a in range(12) for b in range(12) if (a + b) % 3], dtype=np.int32)
+    owner = collocations.part_of(phrases.reshape(-1), 2, 4)[::2]
+    assert set(owner.tolist()) == {0, 1, 2, 3}
+    tries = [(p, Part(phrases[owner == p], np.flatnonzero(owner == p).astype(np.int64))) for p in range(4)]
+    got = Counter()
+    for key, n in collocations.block_counts(blocks, tries, 4, 3, True):
+        got.update(dict(zip(key.tolist(), n.tolist())))
+    at = {tuple(p): i for i, p in enumerate(phrases.tolist())}
+    want = Counter()
+    for ids in (b.tolist() for b in blocks):
+        for i in range(len(ids) - 1):
+            here, after = at.get(tuple(ids[i:i + 2])), at.get(tuple(ids[i + 1:i + 3]))
+            if here is not None:
+                want[here << 32 | collocations.NO_WORD] += 1
+                if after is not None:
+                    want[here << 32 | ids[i + 2]] += 1
+    assert got == want and max(most) == 1 and len(most) == 4
+
+
+def test_counts_leave_in_small_batches(monkeypatch):
+    monkeypatch.setattr(collocations, "SENT", 50)
+    key, n = np.arange(3000, dtype=np.int64) << 20, np.arange(3000, dtype=np.int64) % 400 + 1
+    n[7] = 1 << 40
+    found = {}
+    for batch in collocations.dealt(key, n, 17):
+        assert sum(len(k) for k in batch.column("keys").to_pylist()) <= 50 * 8
+        for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
+            found.update(zip(np.frombuffer(k, np.int64).tolist(), np.frombuffer(c, f"u{8 * len(c) // len(k)}").tolist()))
+    assert found == dict(zip(key.tolist(), n.tolist()))
+
+
+def test_parts_of_spark_and_numpy_agree(spark):
+    rows = [([a, b, c],) for a in (0, 5, 2**31 - 1) for b in (1, 10**9) for c in (0, 77, 2**31 - 2)]
+    df = spark.createDataFrame(rows, "words array<int>")
+    got = {tuple(r.words): r.p for r in df.select("words", collocations.part_column(13).alias("p")).collect()}
+    assert got == {tuple(w): int(collocations.part_of(np.array(w, dtype=np.int32), 3, 13)[0]) for w, in rows}
